@@ -3,6 +3,14 @@
 from __future__ import annotations
 
 from fiscalis.llm.simhash import op1_simhash_neardup
+from fiscalis.llm.toxicity import op9_toxicity_fm
+from fiscalis.llm.urlfilter import op7_url_filter
+from fiscalis.llm.warc import SQL_OP10, op10_warc_revisits
 
-QUERIES = {"op1_simhash_neardup": op1_simhash_neardup}
-SQL: dict[str, str] = {}
+QUERIES = {
+    "op1_simhash_neardup": op1_simhash_neardup,
+    "op7_url_filter": op7_url_filter,
+    "op9_toxicity_fm": op9_toxicity_fm,
+    "op10_warc_revisits": op10_warc_revisits,
+}
+SQL: dict[str, str] = {"op10_warc_revisits": SQL_OP10}
