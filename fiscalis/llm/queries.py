@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fiscalis.llm.packing import op8_bestfit_packing
 from fiscalis.llm.simhash import op1_simhash_neardup
 from fiscalis.llm.toxicity import op9_toxicity_fm
 from fiscalis.llm.urlfilter import op7_url_filter
@@ -10,6 +11,7 @@ from fiscalis.llm.warc import SQL_OP10, op10_warc_revisits
 QUERIES = {
     "op1_simhash_neardup": op1_simhash_neardup,
     "op7_url_filter": op7_url_filter,
+    "op8_bestfit_packing": op8_bestfit_packing,
     "op9_toxicity_fm": op9_toxicity_fm,
     "op10_warc_revisits": op10_warc_revisits,
 }
