@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fiscalis.llm.decontaminate import op3_decontamination
+from fiscalis.llm.fingerprint import op5_document_fingerprints
 from fiscalis.llm.packing import op8_bestfit_packing
 from fiscalis.llm.simhash import op1_simhash_neardup
 from fiscalis.llm.toxicity import op9_toxicity_fm
@@ -10,6 +12,8 @@ from fiscalis.llm.warc import SQL_OP10, op10_warc_revisits
 
 QUERIES = {
     "op1_simhash_neardup": op1_simhash_neardup,
+    "op3_decontamination": op3_decontamination,
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op7_url_filter": op7_url_filter,
     "op8_bestfit_packing": op8_bestfit_packing,
     "op9_toxicity_fm": op9_toxicity_fm,
