@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _OWN_ROOT: dict[str, str] = {}
 _LEFT: list[tuple[SparkSession, str]] = []
@@ -82,11 +83,19 @@ def _nullable_schema(spark: SparkSession, path: str):
     return spark.read.parquet(path).schema
 
 
-def fields(schema: str):
-    """A StructType from its DDL text."""
-    from pyspark.sql.types import StructType
+_KINDS = {
+    "int": T.IntegerType(), "integer": T.IntegerType(), "long": T.LongType(), "bigint": T.LongType(), "string": T.StringType(),
+    "binary": T.BinaryType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "array<int>": T.ArrayType(T.IntegerType()),
+    "array<long>": T.ArrayType(T.LongType()), "array<string>": T.ArrayType(T.StringType()),
+}
 
-    return StructType.fromDDL(schema)
+
+def fields(schema: str) -> T.StructType:
+    """A StructType from its DDL text; without a session for the plain types that ``_KINDS`` lists."""
+    pairs = [x.strip().split(" ", 1) for x in schema.split(",")]
+    if all(len(x) == 2 and x[1] in _KINDS for x in pairs):
+        return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in pairs])
+    return T.StructType.fromDDL(schema)
 
 
 def connected_components(edges: DataFrame, label: str = "cc") -> DataFrame:

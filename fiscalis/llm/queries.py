@@ -6,6 +6,7 @@ from fiscalis.llm.decontaminate import op3_decontamination
 from fiscalis.llm.fingerprint import op5_document_fingerprints
 from fiscalis.llm.packing import op8_bestfit_packing
 from fiscalis.llm.simhash import op1_simhash_neardup
+from fiscalis.llm.substring import op6_substring_dedup
 from fiscalis.llm.toxicity import op9_toxicity_fm
 from fiscalis.llm.urlfilter import op7_url_filter
 from fiscalis.llm.warc import SQL_OP10, op10_warc_revisits
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_simhash_neardup": op1_simhash_neardup,
     "op3_decontamination": op3_decontamination,
     "op5_document_fingerprints": op5_document_fingerprints,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_bestfit_packing": op8_bestfit_packing,
     "op9_toxicity_fm": op9_toxicity_fm,
