@@ -105,7 +105,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _batch(schema, **cols) -> pa.RecordBatch:
-    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
     names = [f.name for f in schema.fields]
     return pa.RecordBatch.from_arrays([pa.array(cols[f.name], types[{"bigint": "long"}.get(f.dataType.simpleString(), f.dataType.simpleString())]) for f in schema.fields], names)
 
