@@ -148,6 +148,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams
     return out
 
 
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -> DataFrame:
+    """``docs`` without the rows whose text holds a test item within its error budget; all columns are passed on."""
+    out = docs.withColumn("text", F.col("text").cast("string"))
+    at = docs.columns.index("text")
+    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).orderBy("item_id", "text").toLocalIterator()
+    for items in _blocks(rows, p):
+        shared = docs.sparkSession.sparkContext.broadcast(LeakIndex(items, p.rate))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared.value
+            for batch in batches:
+                yield batch.filter(pa.array([not index.leaks(t.as_py()) for t in batch.column(at)], pa.bool_()))
+
+        out = out.mapInArrow(run, out.schema)
+    return out
+
+
 def _blocks(rows, p: LeakParams) -> Iterator[list[tuple[object, list[str]]]]:
     block: list[tuple[object, list[str]]] = []
     size = 0

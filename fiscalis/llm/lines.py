@@ -99,14 +99,26 @@ def band_keys(lines: list[str], p: LineParams) -> np.ndarray:
     return _mixed(keys + np.arange(p.bands, dtype=np.uint64))
 
 
-def jaccard_forest(lines: list[str], p: LineParams) -> Iterator[tuple[int, int]]:
-    """Index pairs spanning the components of "Jaccard at or above the threshold", each link verified on whole sets."""
-    sets = [shingle_set(x, p.shingle) for x in lines]
+def jaccard_forest(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
+    """Index pairs spanning the components of "Jaccard at or above the threshold", each link verified on whole sets.
+
+    Sets are sorted and distinct; two empty ones are equal.
+    """
+    if len(sets) < 2:
+        return
     if len(sets) == 2:
         common = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        if common >= p.similarity * (len(sets[0]) + len(sets[1]) - common):
+        if common >= similarity * (len(sets[0]) + len(sets[1]) - common):
             yield 0, 1
         return
+    bare = [i for i, x in enumerate(sets) if not len(x)]
+    yield from zip(bare, bare[1:], strict=False)
+    kept = [i for i, x in enumerate(sets) if len(x)]
+    if len(kept) < 2:
+        return
+    if bare:
+        yield from ((kept[a], kept[b]) for a, b in jaccard_forest([sets[i] for i in kept], similarity))
+        return
     sizes = np.array([len(s) for s in sets])
     values, dense = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -118,16 +130,16 @@ def jaccard_forest(lines: list[str], p: LineParams) -> Iterator[tuple[int, int]]
             at = front.pop()
             own = dense[starts[at] : starts[at] + sizes[at]]
             member[own] = True
-            least, most = p.similarity * sizes[at], sizes[at] / p.similarity
+            least, most = similarity * sizes[at], sizes[at] / similarity
             able = rest[(sizes[rest] >= least - 1e-9) & (sizes[rest] <= most + 1e-9)]
             found = []
             if len(able) > 64:
                 sums = np.add.reduceat(member[dense], starts)[able]
-                found = able[sums >= p.similarity * (sizes[able] + sizes[at] - sums) - 1e-9].tolist()
+                found = able[sums >= similarity * (sizes[able] + sizes[at] - sums) - 1e-9].tolist()
             else:
                 for x in able.tolist():
                     s = int(member[dense[starts[x] : starts[x] + sizes[x]]].sum())
-                    if s >= p.similarity * (sizes[x] + sizes[at] - s) - 1e-9:
+                    if s >= similarity * (sizes[x] + sizes[at] - s) - 1e-9:
                         found.append(x)
             member[own] = False
             if found:
@@ -269,7 +281,7 @@ def kept_lines(docs: DataFrame, p: LineParams = LineParams()) -> tuple[DataFrame
     paired = members.join(texts, "lid").select("bucket", F.col("lid").alias("id"), "line")
 
     def linker(payload: pa.Array):
-        return jaccard_forest(payload.to_pylist(), p)
+        return jaccard_forest([shingle_set(x, p.shingle) for x in payload.to_pylist()], p.similarity)
 
     edges = bucket_edges(paired, "line", linker, "long", block=512)
     roots = connected_components(edges, "line-cc").select(F.col("node").alias("lid"), "root")
@@ -280,41 +292,40 @@ def kept_lines(docs: DataFrame, p: LineParams = LineParams()) -> tuple[DataFrame
 
 
 def dedup_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
-    """``dk, tkey, n_lines, n_kept, kept_text`` of every distinct row; of near-equal lines of all texts the first stays.
+    """``docs`` with the lines that stay as ``text``, and ``n_lines, n_kept`` (columns of these names are replaced).
 
-    Null texts have no lines. Blank lines stay where they are, unless no other line of a text that had some is left:
-    then the text is empty. A line repeated within its document stays once. Rows that repeat an id with the same text
-    keep the same lines.
+    Of near-equal lines of all texts the first by (doc_id, position) stays; a null id stands before all others. A null
+    text stays null. Blank lines stay where they are, unless no other line of a text that had some is left: then the
+    text is empty. Rows that repeat an id with the same text keep the same lines. Columns else are passed on.
     """
-    keyed, kept = kept_lines(docs, p)
-    schema = fields("dk long, tkey long, n_lines long, n_kept long, kept_text string")
+    _, kept = kept_lines(docs, p)
+    keep = [c for c in docs.columns if c.lower() not in ("n_lines", "n_kept")]
+    own = _keyed(docs.select(*[F.col(f"`{c}`") for c in keep]), carry=True).join(kept.toDF("__dk", "__tkey", "__kept"), ["__dk", "__tkey"], "left")
+    out = own.select(*[F.col(f"`{c}`") for c in keep], F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_kept"), "__kept")
+    out = out.withColumn("text", F.col("text").cast("string"))
+    at, n_at = keep.index("text"), len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, m, out = [], [], []
-            for text, own in zip(batch.column("text"), batch.column("kept"), strict=True):
-                text = text.as_py().decode("utf-8", "replace")
+            n, m, texts = [], [], []
+            for text, stays in zip(batch.column(at), batch.column(n_at + 2), strict=True):
+                text = text.as_py()
                 lines = text.split("\n") if text else []
-                stay = set(own.as_py() or ())
+                stay = set(stays.as_py() or ())
                 left = [x for i, x in enumerate(lines) if i in stay or not x.strip()]
                 if not stay and any(x.strip() for x in lines):
                     left = []
                 n.append(len(lines))
                 m.append(len(left))
-                out.append("\n".join(left))
-            yield _batch_of(schema, batch, n, m, out)
-
-    joined = keyed.join(kept, ["dk", "tkey"], "left").select("dk", "tkey", "text", "kept")
-    return joined.mapInArrow(run, schema)
-
+                texts.append(None if text is None else "\n".join(left))
+            cols = [batch.column(i) for i in range(n_at)] + [pa.array(n, pa.int64()), pa.array(m, pa.int64())]
+            cols[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(cols, batch.schema.names[: n_at + 2])
 
-def _batch_of(schema, batch, n, m, out) -> pa.RecordBatch:
-    cols = [batch.column("dk"), batch.column("tkey"), pa.array(n, pa.int64()), pa.array(m, pa.int64()), pa.array(out, pa.string())]
-    return pa.RecordBatch.from_arrays(cols, schema.names)
+    return out.mapInArrow(run, out.drop("__kept").schema)
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Lines of all ``documents``, near-equal ones once: per document the counts and the text that stays."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    own = F.when(F.col("dk") > -(1 << 63), F.col("dk"))
-    return dedup_lines(docs).select(own.alias("doc_id"), "n_lines", "n_kept", F.sha2("kept_text", 256).alias("kept_sha256"), "kept_text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_kept", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), F.col("text").alias("kept_text"))

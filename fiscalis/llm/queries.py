@@ -6,6 +6,7 @@ from fiscalis.llm.decontaminate import op3_decontamination
 from fiscalis.llm.fingerprint import op5_document_fingerprints
 from fiscalis.llm.lines import op4_line_dedup
 from fiscalis.llm.packing import op8_bestfit_packing
+from fiscalis.llm.secrets import op2_secret_scan
 from fiscalis.llm.simhash import op1_simhash_neardup
 from fiscalis.llm.substring import op6_substring_dedup
 from fiscalis.llm.toxicity import op9_toxicity_fm
@@ -14,6 +15,7 @@ from fiscalis.llm.warc import SQL_OP10, op10_warc_revisits
 
 QUERIES = {
     "op1_simhash_neardup": op1_simhash_neardup,
+    "op2_secret_scan": op2_secret_scan,
     "op3_decontamination": op3_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,

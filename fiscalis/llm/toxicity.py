@@ -173,14 +173,16 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, p: ToxicityParams = Toxic
     return fit_fm(rows, np.array([found["y"][i].as_py() for i in at], float), p)
 
 
-def score_toxicity(docs: DataFrame, model: FactorizationMachine, p: ToxicityParams = ToxicityParams()) -> DataFrame:
-    """``docs`` with ``score double`` (0 to 1) in place of any column of that name; whole texts, one row per row.
+def score_toxicity(
+    docs: DataFrame, model: FactorizationMachine, p: ToxicityParams = ToxicityParams(), score_col: str = "score"
+) -> DataFrame:
+    """``docs`` with ``score_col double`` (0 to 1) in place of any column of that name; whole texts, one row per row.
 
     Null and empty texts get the score of no terms. The model is a closure of bounded size.
     """
     bits = p.bits
-    keep = [c for c in docs.columns if c.lower() != "score"]
-    kept = docs.select(*[F.col(f"`{c}`") for c in keep]).withColumn("score", F.lit(0.0))
+    keep = [c for c in docs.columns if c.lower() != score_col.lower()]
+    kept = docs.select(*[F.col(f"`{c}`") for c in keep]).withColumn(score_col, F.lit(0.0))
     at = keep.index("text")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -199,6 +201,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityPar
     return score_toxicity(docs, train_toxicity(docs, labels, p), p)
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()) -> DataFrame:
+    """``docs`` without the rows that reach the threshold; all columns are passed on."""
+    scored = score_toxicity(docs, train_toxicity(docs, labels, p), p, "__toxicity")
+    return scored.filter(F.col("__toxicity") < p.threshold).drop("__toxicity")
+
+
 def op9_toxicity_fm(spark, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text of ``documents``."""
     p = ToxicityParams()

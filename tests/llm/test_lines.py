@@ -75,11 +75,12 @@ def test_edited_lines_nulls_blanks_and_repeats(spark):
         docs.append((i, "\n".join(lines)))
     docs += [(500, None), (501, ""), (502, "\n\n"), (503, "é"), (504, "É\nab"), (505, docs[3][1])]
     df = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, kept int").repartition(4)
-    got = sorted((r.dk, r.n_lines, r.n_kept, r.kept_text) for r in dedup_lines(df).collect())
+    got = sorted((r.doc_id, r.n_lines, r.n_kept, r.text or "") for r in dedup_lines(df).collect())
     assert got == sorted(plain(docs))
+    assert dedup_lines(df).columns == ["doc_id", "text", "kept", "n_lines", "n_kept"]
     assert dedup_lines(df.filter("false")).count() == 0
     twice = spark.createDataFrame([(1, "a line\nother"), (1, "a line\nother"), (None, "a line")], "doc_id long, text string")
-    assert sorted(r.kept_text for r in dedup_lines(twice).collect()) == ["a line", "other", "other"]
+    assert sorted(r.text for r in dedup_lines(twice).collect()) == ["a line", "other", "other"]
 
 
 def test_bands_find_pairs_at_the_threshold():
@@ -101,10 +102,11 @@ def test_bands_find_pairs_at_the_threshold():
 
 
 def test_forest_links_dense_and_chained_lines():
-    p = LineParams()
     lines = ["x" * 50 + str(i) for i in range(300)] + ["completely different words here"] * 1
-    pairs = list(jaccard_forest(lines, p))
     sets = [shingle_set(x, 6) for x in lines]
+    pairs = list(jaccard_forest(sets, 0.8))
+    none = np.empty(0, np.uint64)
+    assert sorted(jaccard_forest([none, sets[0], none, sets[0]], 0.8)) == [(0, 2), (1, 3)]
     assert len(pairs) < len(lines)
     for a, b in pairs:
         i = len(np.intersect1d(sets[a], sets[b]))
