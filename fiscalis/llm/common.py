@@ -62,6 +62,16 @@ def _remove_left() -> None:
             return
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hold batches to Python at ``BATCH_BYTES`` at most, so that long texts do not add up; a lower setting stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(spark.conf.get(key)).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: lineage ends here, and each task ran once.
 
@@ -69,6 +79,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     cleaner delete them, so that steps do not add up on the disks.
     """
     spark = df.sparkSession
+    bounded_batches(spark)
     path = scratch_path(spark, label)
     df.write.parquet(path)
     del df
@@ -159,10 +170,37 @@ def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held)
 
 
+def _members(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """Ids and payloads of each group in a stream sorted by ``bucket, i, j``; lists, since most groups are tiny."""
+    ids: list = []
+    payload: list = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [np.asarray(batch.column(k)) for k in ("bucket", "i", "j")]
+        cut = np.zeros(batch.num_rows, bool)
+        for c in cols:
+            cut[1:] |= c[1:] != c[:-1]
+        own_ids, own_payload = batch.column("id").to_pylist(), batch.column("payload").to_pylist()
+        if ids and tuple(c[0] for c in cols) != last:
+            yield ids, payload
+            ids, payload = [], []
+        at = 0
+        for end in np.flatnonzero(cut).tolist():
+            yield ids + own_ids[at:end], payload + own_payload[at:end]
+            ids, payload, at = [], [], end
+        ids += own_ids[at:]
+        payload += own_payload[at:]
+        last = tuple(c[-1] for c in cols)
+    if ids:
+        yield ids, payload
+
+
 def bucket_edges(
-    members: DataFrame, payload: str, linker: Callable[[list], Iterable[tuple[int, int]]], id_type: str, block: int = 1024
+    members: DataFrame, payload: str, linker: Callable[[list], Iterable[tuple[int, int]]], block: int = 1024
 ) -> DataFrame:
-    """Verified links inside buckets: ``members (bucket long, id, <payload>)`` -> spanning edges ``(u, v)``.
+    """Verified links inside buckets: ``members (bucket long, id long, <payload>)`` -> spanning edges ``(u, v)``.
 
     ``linker(payloads)`` gets the payloads of one group and yields index pairs that span the components of its true
     links, so a group of n rows gives less than n edges, never all pairs. A bucket beyond ``block`` rows is cut into
@@ -178,18 +216,21 @@ def bucket_edges(
         "bucket", F.least("blk", "j").alias("i"), F.greatest("blk", "j").alias("j"), "id", F.col(payload).alias("payload")
     )
     dealt = keyed.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    schema = fields(f"u {id_type}, v {id_type}")
+    schema = fields("u long, v long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in groups(batches, ["bucket", "i", "j"]):
-            if g.num_rows < 2:
-                continue
-            pairs = list(linker(g.column("payload").combine_chunks()))
-            if pairs:
-                ids = g.column("id").combine_chunks()
-                a, b = zip(*pairs, strict=True)
-                u, v = ids.take(pa.array(a, pa.int32())), ids.take(pa.array(b, pa.int32()))
-                yield pa.RecordBatch.from_arrays([u, v], ["u", "v"])
+        u: list[int] = []
+        v: list[int] = []
+        for ids, load in _members(batches):
+            if len(ids) > 1:
+                for a, b in linker(load):
+                    u.append(ids[a])
+                    v.append(ids[b])
+            if len(u) > 8192:
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+                u, v = [], []
+        if u:
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
     return dealt.mapInArrow(run, schema)
 

@@ -87,10 +87,10 @@ def fingerprint_classes(prints: DataFrame, radius: int = 3, blocks: int = 5, lab
     nodes = prints.groupBy("fp").agg(F.min("id").alias("first_id"))
     members = in_tables(nodes.select(F.col("fp").alias("id"), "fp"), radius, blocks)
 
-    def linker(payload: pa.Array):
-        return hamming_forest(payload.to_numpy().view(np.uint64), radius)
+    def linker(payload: list):
+        return hamming_forest(np.array(payload, np.int64).view(np.uint64), radius)
 
-    edges = bucket_edges(members, "fp", linker, "long")
+    edges = bucket_edges(members, "fp", linker)
     roots = connected_components(edges, label).select(F.col("node").alias("fp"), "root")
     rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"))

@@ -7,13 +7,14 @@ contracted by distributed union-find, and of each component the first line by (d
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +32,8 @@ class LineParams:
     similarity: float = 0.8
     bands: int = 16
     rows: int = 5
-    chunk_lines: int = 60_000
-    chunk_chars: int = 16_000_000
+    chunk_lines: int = 30_000
+    chunk_chars: int = 8_000_000
     seed: int = 5
 
     @property
@@ -75,10 +76,10 @@ def band_keys(lines: list[str], p: LineParams) -> np.ndarray:
     starts = np.arange(len(owner)) + np.repeat(ends - sizes, np.maximum(sizes - p.shingle + 1, 0)) - np.repeat(np.cumsum(np.maximum(sizes - p.shingle + 1, 0)) - np.maximum(sizes - p.shingle + 1, 0), np.maximum(sizes - p.shingle + 1, 0))
     if len(owner):
         h = _line_shingles(flat, p.shingle)[starts]
-        np.minimum.at(sig, owner * k + (h % np.uint64(k)).astype(np.int64), h)
+        np.minimum.at(sig, owner * k + ((h >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(np.int64), h)
     for i in np.flatnonzero((sizes < p.shingle) & (sizes > 0)).tolist():
         h = _line_shingles(flat[ends[i] - sizes[i] : ends[i]], p.shingle)[0]
-        sig[i * k + int(h % np.uint64(k))] = h
+        sig[i * k + (int(h) >> 32) * k // (1 << 32)] = h
     row, col = np.divmod(np.flatnonzero(sig == _EMPTY), k)
     own = sig.reshape(n, k)
     out = own.copy()
@@ -148,48 +149,44 @@ def jaccard_forest(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[
                 yield from zip(repeat(at), found)
 
 
-_SENT = fields("dest long, a binary, b binary")
+def line_forest(lines: list[str], p: LineParams) -> Iterable[tuple[int, int]]:
+    """:func:`jaccard_forest` of lines; pairs, the common case, by plain sets of strings."""
+    if len(lines) == 2 and min(map(len, lines)) >= p.shingle:
+        a, b = ({x[i : i + p.shingle] for i in range(len(x) - p.shingle + 1)} for x in lines)
+        least, most = sorted((len(a), len(b)))
+        if least < p.similarity * most:
+            return ()
+        common = len(a & b)
+        return ((0, 1),) if common >= p.similarity * (least + most - common) else ()
+    return jaccard_forest([shingle_set(x, p.shingle) for x in lines], p.similarity)
 
 
-def line_places(keyed: DataFrame) -> DataFrame:
-    """``(lid, dk, pos, tkey)`` of every line that is not blank, as often as it stands in distinct texts of a task."""
-    schema = fields("lid long, dk long, pos int, tkey long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lid, dk, pos, tkey = [], [], [], []
-            for d, t, text in zip(*(batch.column(i) for i in range(3)), strict=True):
-                d, t = d.as_py(), t.as_py()
-                first: dict[int, int] = {}
-                for i, line in enumerate(normal_lines(text.as_py().decode("utf-8", "replace"))):
-                    if line:
-                        first.setdefault(line_id(line), i)
-                lid += first.keys()
-                pos += first.values()
-                dk += [d] * len(first)
-                tkey += [t] * len(first)
-            ids = np.array(lid, np.uint64).view(np.int64)
-            yield _batch(schema, lid=ids, dk=dk, pos=pos, tkey=tkey)
+_SENT = fields("dest long, a binary, b binary, c binary, d binary")
+_MET = fields("bucket long, lid long, n long, s long, a binary, b binary, c binary, d binary")
 
-    return keyed.mapInArrow(run, schema)
 
+def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
+    """One pass over the texts, written: rows of two kinds.
 
-def candidate_members(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
-    """``(bucket, lid)``: lines that share a band with another line; one bucket for each distinct set of lines.
-
-    Keys travel as one sorted blob per chunk of lines and destination. A line that is frequent is one entry per chunk.
+    ``bucket, lid, n, s``: a line that shares a band with others, the size and a checksum of the set of such lines.
+    ``a, b, c, d``: packed ids of the lines of a chunk, each with its first document, position and text there. Keys
+    travel as one sorted blob per chunk of lines and destination, so a line that is frequent is one entry per chunk.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, str] = {}
-        chars = 0
+        first: dict[int, tuple[int, int, int]] = {}
+        chars = chunk = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             ids, lines = np.fromiter(seen.keys(), np.uint64, len(seen)), list(seen.values())
+            place = np.array([first[x] for x in seen], np.int64).reshape(-1, 3)
+            dest = -1 - (TaskContext.get().partitionId() * 8191 + chunk) % 1_000_003
+            yield _batch(_SENT, dest=[dest], a=[_planes(ids)], b=[_planes(place[:, 0])], c=[_planes(place[:, 1].astype("<i4"))], d=[_planes(place[:, 2])])
             parts, at = [], 0
             while at < len(lines):
                 end, size = at, 0
-                while end < len(lines) and end - at < 8192 and (size < 1_000_000 or end == at):
+                while end < len(lines) and end - at < 8192 and (size < 100_000 or end == at):
                     size += len(lines[end])
                     end += 1
                 parts.append(band_keys(lines[at:end], p))
@@ -206,27 +203,35 @@ def candidate_members(keyed: DataFrame, p: LineParams, buckets: int) -> DataFram
                     rows["dest"].append(t)
                     rows["a"].append(pack_sorted(keys[own] // np.uint64(buckets)))
                     rows["b"].append(_planes(who[own]))
-            yield _batch(_SENT, **rows)
+            none = [b""] * len(rows["dest"])
+            yield _batch(_SENT, **rows, c=none, d=none)
 
         for batch in batches:
-            for text in batch.column(0):
-                for line in normal_lines(text.as_py().decode("utf-8", "replace")):
+            for dk, tkey, text in zip(*(batch.column(i) for i in range(3)), strict=True):
+                dk, tkey = dk.as_py(), tkey.as_py()
+                for i, line in enumerate(normal_lines(text.as_py().decode("utf-8", "replace"))):
                     if line:
                         lid = line_id(line)
+                        at = (dk, i, tkey)
                         if lid not in seen:
                             seen[lid] = line
+                            first[lid] = at
                             chars += len(line)
+                        elif at < first[lid]:
+                            first[lid] = at
                 if len(seen) >= p.chunk_lines or chars >= p.chunk_chars:
                     yield from flush()
-                    seen, chars = {}, 0
+                    seen, first, chars, chunk = {}, {}, 0, chunk + 1
         if seen:
             yield from flush()
 
-    met_schema = fields("bucket long, lid long, n long, s long")
-
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, ["dest"]):
             t = table.column("dest")[0].as_py()
+            if t < 0:
+                none = [None] * table.num_rows
+                yield _batch(_MET, bucket=none, lid=none, n=none, s=none, **{c: table.column(c).to_pylist() for c in "abcd"})
+                continue
             keys = np.concatenate([unpack_sorted(x.as_py()) for x in table.column("a")])
             who = np.concatenate([_unplanes(x.as_py(), "<u8") for x in table.column("b")])
             order = np.lexsort((who, keys))
@@ -241,52 +246,65 @@ def candidate_members(keyed: DataFrame, p: LineParams, buckets: int) -> DataFram
             s = np.add.reduceat(_mixed(who), starts)
             each = np.repeat(np.arange(len(starts)), n)
             many = n[each] > 1
-            bucket = (keys * np.uint64(buckets) + np.uint64(t)).view(np.int64)
-            yield _batch(met_schema, bucket=bucket[many], lid=who[many].view(np.int64), n=n[each][many], s=s[each][many].view(np.int64))
+            bucket = (keys * np.uint64(buckets) + np.uint64(t)).view(np.int64)[many]
+            none = [None] * len(bucket)
+            yield _batch(_MET, bucket=bucket, lid=who[many].view(np.int64), n=n[each][many], s=s[each][many].view(np.int64), a=none, b=none, c=none, d=none)
+
+    sent = keyed.select("dk", "tkey", "text").mapInArrow(sign, _SENT).repartition("dest").sortWithinPartitions("dest")
+    return materialize(sent.mapInArrow(meet, _MET), "line-bands")
+
+
+def first_places(met: DataFrame) -> DataFrame:
+    """``(lid, dk, pos, tkey)``: the first place of every distinct line, from what :func:`line_bands` wrote."""
+    schema = fields("lid long, dk long, pos int, tkey long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, c, d in zip(*(batch.column(i) for i in range(4)), strict=True):
+                yield _batch(schema, lid=_unplanes(a.as_py(), "<i8"), dk=_unplanes(b.as_py(), "<i8"), pos=_unplanes(c.as_py(), "<i4"), tkey=_unplanes(d.as_py(), "<i8"))
 
-    sent = keyed.select("text").mapInArrow(sign, _SENT).repartition("dest").sortWithinPartitions("dest")
-    met = materialize(sent.mapInArrow(meet, met_schema), "line-bands")
-    chosen = met.groupBy("n", "s").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return met.join(chosen, "bucket", "left_semi").select("bucket", "lid")
+    every = met.filter("a is not null").select("a", "b", "c", "d").mapInArrow(run, schema)
+    return every.groupBy("lid").agg(F.min(F.struct("dk", "pos", "tkey")).alias("at")).select("lid", "at.dk", "at.pos", "at.tkey")
 
 
 def line_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(lid, line)`` of the lines in ``wanted (lid)``, each once."""
+    """``(lid, line)`` of the places in ``wanted (dk, pos, tkey)``; the lines come from their first documents only."""
     schema = fields("lid long, line string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
             lid, out = [], []
-            for text in batch.column(0):
-                for line in normal_lines(text.as_py().decode("utf-8", "replace")):
-                    if line and (x := line_id(line)) not in seen:
-                        seen.add(x)
-                        lid.append(x)
-                        out.append(line)
-            if len(seen) > 500_000:
-                seen = set()
-            yield _batch(schema, lid=np.array(lid, np.uint64).view(np.int64), line=pa.array(out, pa.string()))
+            for text, places in zip(batch.column(0), batch.column(1), strict=True):
+                lines = text.as_py().decode("utf-8", "replace").lower().split("\n")
+                for i in places.as_py():
+                    line = " ".join(lines[i].split())
+                    lid.append(line_id(line))
+                    out.append(line)
+            yield _batch(schema, lid=np.array(lid, np.uint64).view(np.int64), line=out)
 
-    every = keyed.select("text").mapInArrow(run, schema)
-    return every.join(wanted.distinct(), "lid", "left_semi").groupBy("lid").agg(F.first("line").alias("line"))
+    per_text = wanted.groupBy("dk", "tkey").agg(F.collect_list("pos").alias("places"))
+    return keyed.join(per_text, ["dk", "tkey"]).select("text", "places").mapInArrow(run, schema)
 
 
 def kept_lines(docs: DataFrame, p: LineParams = LineParams()) -> tuple[DataFrame, DataFrame]:
     """The keyed texts, and ``(dk, tkey, kept array<int>)``: positions of the lines that stay, blank ones apart."""
     keyed = _keyed(docs)
     buckets = max(4, 4 * keyed.rdd.getNumPartitions())
-    members = materialize(candidate_members(keyed, p, buckets), "line-members")
-    texts = line_texts(keyed, members.select("lid"))
+    met = line_bands(keyed, p, buckets)
+    first = materialize(first_places(met), "line-places")
+    several = met.filter("bucket is not null")
+    chosen = several.groupBy("n", "s").agg(F.min("bucket").alias("bucket")).select("bucket")
+    members = materialize(several.join(chosen, "bucket", "left_semi").select("bucket", "lid"), "line-members")
+    wanted = first.join(members.select("lid").distinct(), "lid", "left_semi").select("dk", "pos", "tkey")
+    texts = materialize(line_texts(keyed, wanted), "line-texts").dropDuplicates(["lid"])
     paired = members.join(texts, "lid").select("bucket", F.col("lid").alias("id"), "line")
 
-    def linker(payload: pa.Array):
-        return jaccard_forest([shingle_set(x, p.shingle) for x in payload.to_pylist()], p.similarity)
+    def linker(payload: list):
+        return line_forest(payload, p)
 
-    edges = bucket_edges(paired, "line", linker, "long", block=512)
+    edges = bucket_edges(paired, "line", linker, block=512)
     roots = connected_components(edges, "line-cc").select(F.col("node").alias("lid"), "root")
-    first = line_places(keyed).groupBy("lid").agg(F.min(F.struct("dk", "pos", "tkey")).alias("at"))
-    owned = first.join(roots, "lid", "left").groupBy(F.coalesce("root", "lid").alias("root")).agg(F.min("at").alias("at"))
+    owned = first.join(roots, "lid", "left").groupBy(F.coalesce("root", "lid").alias("root")).agg(F.min(F.struct("dk", "pos", "tkey")).alias("at"))
     kept = owned.groupBy(F.col("at.dk").alias("dk"), F.col("at.tkey").alias("tkey")).agg(F.collect_list("at.pos").alias("kept"))
     return keyed, materialize(kept, "line-kept")
 

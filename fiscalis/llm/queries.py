@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
+from fiscalis.llm.common import bounded_batches
 from fiscalis.llm.decontaminate import op3_decontamination
 from fiscalis.llm.fingerprint import op5_document_fingerprints
 from fiscalis.llm.lines import op4_line_dedup
@@ -13,7 +16,7 @@ from fiscalis.llm.toxicity import op9_toxicity_fm
 from fiscalis.llm.urlfilter import op7_url_filter
 from fiscalis.llm.warc import SQL_OP10, op10_warc_revisits
 
-QUERIES = {
+_OPS = {
     "op1_simhash_neardup": op1_simhash_neardup,
     "op2_secret_scan": op2_secret_scan,
     "op3_decontamination": op3_decontamination,
@@ -25,4 +28,16 @@ QUERIES = {
     "op9_toxicity_fm": op9_toxicity_fm,
     "op10_warc_revisits": op10_warc_revisits,
 }
+
+
+def _bounded(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        bounded_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {name: _bounded(query) for name, query in _OPS.items()}
 SQL: dict[str, str] = {"op10_warc_revisits": SQL_OP10}

@@ -122,10 +122,10 @@ def simhash_components(prints: DataFrame, radius: int = 3, label: str = "simhash
     low, high = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("fp", 32)
     found = segment_buckets(nodes.select(F.col("fp").alias("id"), F.array(low, high).alias("seg_values")), 2, 32)
 
-    def linker(payload: pa.Array):
-        return hamming_forest(payload.to_numpy().view(np.uint64), radius)
+    def linker(payload: list):
+        return hamming_forest(np.array(payload, np.int64).view(np.uint64), radius)
 
-    edges = bucket_edges(found.withColumn("fp", F.col("id")), "fp", linker, "long")
+    edges = bucket_edges(found.withColumn("fp", F.col("id")), "fp", linker)
     roots = connected_components(edges, f"{label}-cc").select(F.col("node").alias("fp"), "root")
     nodes = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = nodes.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -188,8 +188,8 @@ def near_duplicate_groups(docs: DataFrame, p: NearDupParams = NearDupParams(), l
     prints = materialize(prints, f"{label}-fp")
     found = segment_buckets(prints, p.segments, p.width).join(prints, "id")
 
-    def by_bits(payload: pa.Array):
-        segs = payload.flatten().to_numpy().reshape(-1, p.segments)
+    def by_bits(payload: list):
+        segs = np.array(payload, np.int64)
         rest = np.arange(len(segs))
         while len(rest):
             front, rest = [int(rest[0])], rest[1:]
@@ -202,14 +202,14 @@ def near_duplicate_groups(docs: DataFrame, p: NearDupParams = NearDupParams(), l
                     front += hits
                     yield from zip(repeat(at), hits)
 
-    rough = connected_components(bucket_edges(found, "seg_values", by_bits, "long"), f"{label}-rough")
+    rough = connected_components(bucket_edges(found, "seg_values", by_bits), f"{label}-rough")
     texts = keyed.select(F.col("tkey").alias("node"), "text").join(rough, "node")
     members = texts.groupBy(F.col("root").alias("bucket"), F.col("node").alias("id")).agg(F.first("text").alias("text"))
 
-    def by_shingles(payload: pa.Array):
-        return jaccard_forest(shingle_sets(payload.to_pylist(), p.shingle), p.similarity)
+    def by_shingles(payload: list):
+        return jaccard_forest(shingle_sets(payload, p.shingle), p.similarity)
 
-    edges = bucket_edges(members, "text", by_shingles, "long", p.block)
+    edges = bucket_edges(members, "text", by_shingles, p.block)
     roots = connected_components(edges, f"{label}-cc").select(F.col("node").alias("tkey"), "root")
     rooted = places.join(roots, "tkey", "left").withColumn("root", F.coalesce("root", "tkey"))
     first = rooted.groupBy("root").agg(F.min(F.struct("dk", "tkey")).alias("g"))

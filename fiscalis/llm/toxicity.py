@@ -189,8 +189,9 @@ def score_toxicity(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fm = shared.value
         for batch in batches:
-            rows = [term_slots(t.as_py(), bits) for t in batch.column(at).cast(pa.string()).cast(pa.binary())]
-            cols = [batch.column(i) for i in range(len(keep))] + [pa.array(fm.scores(rows), pa.float64())]
+            texts = batch.column(at).cast(pa.string()).cast(pa.binary())
+            scores = [float(fm.scores([term_slots(t.as_py(), bits)])[0]) for t in texts]
+            cols = [batch.column(i) for i in range(len(keep))] + [pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
 
     return kept.mapInArrow(run, kept.schema)
