@@ -149,15 +149,28 @@ def jaccard_forest(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[
                 yield from zip(repeat(at), found)
 
 
+def alike(a: str, b: str, p: LineParams) -> bool:
+    """Whether the shingle sets of two lines, none shorter than a shingle, reach the similarity."""
+    points = np.frombuffer((a + b).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    h = rolling(points + np.uint64(1), p.shingle, 0x9E3779B97F4A7C15)
+    sets = []
+    for part in (h[: len(a) - p.shingle + 1], h[len(a) :]):
+        part = np.sort(part)
+        fresh = np.ones(len(part), bool)
+        np.not_equal(part[1:], part[:-1], out=fresh[1:])
+        sets.append(part[fresh])
+    total = len(sets[0]) + len(sets[1])
+    if min(map(len, sets)) < p.similarity * max(map(len, sets)):
+        return False
+    both = np.sort(np.concatenate(sets))
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return common >= p.similarity * (total - common)
+
+
 def line_forest(lines: list[str], p: LineParams) -> Iterable[tuple[int, int]]:
-    """:func:`jaccard_forest` of lines; pairs, the common case, by plain sets of strings."""
+    """:func:`jaccard_forest` of lines; pairs, the common case, are compared directly."""
     if len(lines) == 2 and min(map(len, lines)) >= p.shingle:
-        a, b = ({x[i : i + p.shingle] for i in range(len(x) - p.shingle + 1)} for x in lines)
-        least, most = sorted((len(a), len(b)))
-        if least < p.similarity * most:
-            return ()
-        common = len(a & b)
-        return ((0, 1),) if common >= p.similarity * (least + most - common) else ()
+        return ((0, 1),) if alike(*lines, p) else ()
     return jaccard_forest([shingle_set(x, p.shingle) for x in lines], p.similarity)
 
 
@@ -173,6 +186,9 @@ def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
     travel as one sorted blob per chunk of lines and destination, so a line that is frequent is one entry per chunk.
     """
 
+    low = np.uint64(64 - (buckets - 1).bit_length())  # the highest bits of a key name its destination
+    buckets = 1 << (buckets - 1).bit_length()
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, str] = {}
         first: dict[int, tuple[int, int, int]] = {}
@@ -192,17 +208,16 @@ def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
                 parts.append(band_keys(lines[at:end], p))
                 at = end
             keys = np.concatenate(parts).ravel()
-            who = np.repeat(ids, p.bands)
-            to = (keys % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((keys, to))
-            cut = np.searchsorted(to[order], np.arange(buckets + 1))
+            order = np.argsort(keys)
+            keys, who = keys[order], np.repeat(ids, p.bands)[order]
+            cut = np.append(np.searchsorted(keys, np.arange(buckets, dtype=np.uint64) << low), len(keys))
             rows: dict[str, list] = {"dest": [], "a": [], "b": []}
             for t in range(buckets):
-                own = order[cut[t] : cut[t + 1]]
-                if len(own):
+                a, b = cut[t], cut[t + 1]
+                if b > a:
                     rows["dest"].append(t)
-                    rows["a"].append(pack_sorted(keys[own] // np.uint64(buckets)))
-                    rows["b"].append(_planes(who[own]))
+                    rows["a"].append(pack_sorted(keys[a:b] - (np.uint64(t) << low)))
+                    rows["b"].append(_planes(who[a:b]))
             none = [b""] * len(rows["dest"])
             yield _batch(_SENT, **rows, c=none, d=none)
 
@@ -234,6 +249,14 @@ def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
                 continue
             keys = np.concatenate([unpack_sorted(x.as_py()) for x in table.column("a")])
             who = np.concatenate([_unplanes(x.as_py(), "<u8") for x in table.column("b")])
+            order = np.argsort(keys)
+            keys, who = keys[order], who[order]
+            twin = np.zeros(len(keys) + 1, bool)
+            twin[1:-1] = keys[1:] == keys[:-1]
+            shared = twin[1:] | twin[:-1]
+            keys, who = keys[shared], who[shared]
+            if not len(keys):
+                continue
             order = np.lexsort((who, keys))
             keys, who = keys[order], who[order]
             fresh = np.ones(len(keys), bool)
@@ -246,7 +269,7 @@ def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
             s = np.add.reduceat(_mixed(who), starts)
             each = np.repeat(np.arange(len(starts)), n)
             many = n[each] > 1
-            bucket = (keys * np.uint64(buckets) + np.uint64(t)).view(np.int64)[many]
+            bucket = (keys + (np.uint64(t) << low)).view(np.int64)[many]
             none = [None] * len(bucket)
             yield _batch(_MET, bucket=bucket, lid=who[many].view(np.int64), n=n[each][many], s=s[each][many].view(np.int64), a=none, b=none, c=none, d=none)
 

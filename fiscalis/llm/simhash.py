@@ -139,8 +139,9 @@ class NearDupParams:
 
     Fingerprints of ``segments * width`` bits; a pair is a candidate if a segment differs in one bit at most and the
     whole in ``radius`` bits at most. Expected share of differing bits: 15 % at similarity 0.8, 13 % at 0.85, 10 % at
-    0.9, a half for unrelated texts; so 92, 98 and 99.9 % of such pairs are candidates directly, others through the
-    rest of their group.
+    0.9, a half for unrelated texts; so 89, 97 and 99.8 % of such pairs are candidates directly, others through the
+    rest of their group. Unrelated texts meet by chance as often as ``width * n / 2 ** width``: beyond some ten million
+    texts ``width`` should grow with the logarithm of their number, and ``segments`` with it.
     """
 
     shingle: int = 5
