@@ -7,6 +7,7 @@ a bounded sample of labelled rows; texts are scored whole, one pass, without a s
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -165,12 +166,22 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, p: ToxicityParams = Toxic
             )
 
     schema = fields(f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, terms array<int>")
-    found = texts.select("doc_id", "text", "y").mapInArrow(run, schema).toArrow()
-    at = sorted(range(found.num_rows), key=lambda i: (str(found["doc_id"][i]), str(len(found["terms"][i]))))
-    terms = found["terms"].combine_chunks()
-    flat, ends = terms.flatten().to_numpy(), np.concatenate([[0], np.cumsum(terms.value_lengths().to_numpy())])
-    rows = [flat[ends[i] : ends[i + 1]].astype(np.int64) for i in at]
-    return fit_fm(rows, np.array([found["y"][i].as_py() for i in at], float), p)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        found = pa.Table.from_batches(held) if held else None
+        if found is None:
+            model = fit_fm([], np.empty(0), p)
+        else:
+            ids, terms = found["doc_id"].to_pylist(), found["terms"].combine_chunks()
+            flat, ends = terms.flatten().to_numpy(), np.concatenate([[0], np.cumsum(terms.value_lengths().to_numpy())])
+            at = sorted(range(len(ids)), key=lambda i: (str(ids[i]), int(ends[i + 1] - ends[i])))
+            model = fit_fm([flat[ends[i] : ends[i + 1]] for i in at], found["y"].to_numpy().astype(float)[at], p)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    # the sample is bounded, so one task fits the machine; the driver gets the weights only
+    sampled = texts.select("doc_id", "text", "y").mapInArrow(run, schema).repartition(1)
+    return pickle.loads(sampled.mapInArrow(fit, fields("model binary")).first().model)
 
 
 def score_toxicity(
