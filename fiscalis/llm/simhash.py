@@ -146,9 +146,9 @@ class NearDupParams:
 
     shingle: int = 5
     similarity: float = 0.8
-    segments: int = 20
-    width: int = 24
-    radius: int = 130
+    segments: int = 22
+    width: int = 26
+    radius: int = 150
     block: int = 256
 
 
