@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Letters with marks and their plain forms, for text in the languages of the reports.
 ACCENTED = "ÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ"
@@ -41,7 +42,7 @@ def _name_form(folded: Column) -> Column:
     return F.trim(plain)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkd_upper(s: pd.Series) -> pd.Series:
     return s.map(lambda v: "".join(c for c in unicodedata.normalize("NFKD", v or "") if not unicodedata.combining(c)).upper())
 

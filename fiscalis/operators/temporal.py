@@ -127,6 +127,15 @@ def _decree(t: Column, prefix: str) -> Column:
     return F.when(ok, _interval(day, day, F.lit("EXACT"), F.substring(normalize_ws(basis), 1, 220), F.lit(0.94)))
 
 
+def pinned(col: Column) -> Column:
+    """A column that the optimizer neither copies into filters nor merges into later projections.
+
+    The cascade is a large expression; a filter on its result would otherwise evaluate it again for each mention.
+    Filters on other columns belong before the cascade, since they do not move below it either.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, col)
+
+
 def infer(text: Column, prefix: str = "FINDING_TEXT") -> Column:
     """Interval of a text as a struct of :data:`FIELDS`, null without evidence."""
     t = normalize_ws(text)
@@ -145,16 +154,16 @@ def with_occurrence(findings: DataFrame, text: str = "description", audit_object
     that begin after the document are refused; a report's date is never taken for the fact's.
     """
     limit = document_date(F.col(doc_date)) if doc_date else F.lit("")
-    out = findings.withColumn("__direct", infer(F.col(text))).withColumn("__limit", limit)
+    out = findings.withColumn("__direct", pinned(infer(F.col(text)))).withColumn("__limit", limit)
     late = lambda c: (F.col("__limit") != "") & (F.col(c)["from"] > F.col("__limit"))
     out = out.withColumn("__direct", F.when(~late("__direct"), F.col("__direct")))
     unknown = _interval(F.lit(""), F.lit(""), F.lit("UNKNOWN"), F.lit("NO_TEMPORAL_EVIDENCE"), F.lit(0.0))
     if audit_objective:
-        out = out.withColumn("__audit", infer(F.col(audit_objective), "AUDIT_OBJECTIVE"))
+        out = out.withColumn("__audit", pinned(infer(F.col(audit_objective), "AUDIT_OBJECTIVE")))
         out = out.withColumn("__audit", F.when(~late("__audit"), F.col("__audit")))
         a = F.col("__audit")
         inherited = F.when(a.isNotNull(), _interval(a["from"], a["to"], F.concat(F.lit("AUDIT_"), a["precision"]), a["basis"], F.least(a["confidence"], F.lit(0.68))))
-        out = out.withColumn("occurrence", F.coalesce("__direct", inherited, unknown)).drop("__audit")
+        out = out.withColumn("occurrence", pinned(F.coalesce("__direct", inherited, unknown))).drop("__audit")
     else:
-        out = out.withColumn("occurrence", F.coalesce("__direct", unknown))
+        out = out.withColumn("occurrence", pinned(F.coalesce("__direct", unknown)))
     return out.drop("__direct", "__limit")
