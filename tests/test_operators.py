@@ -147,7 +147,7 @@ def test_html(spark):
     page = "<html><title> A\n b </title><style>x</style><body><!-- c --><p>Uno <a href='/x?a=1'>dos</a></p><table><tr><th>h</th><td>1</td></tr></table><script>no()</script></body>"
     df = spark.createDataFrame([(1, page), (2, None), (3, "<p>broken <a href=y>")], "id long, html string")
     assert [tuple(r) for r in html.links(df, "id").orderBy("id").collect()] == [(1, "/x?a=1", "dos"), (3, "y", "")]
-    assert {r.id: r.text for r in html.visible_text(df, "id").collect()}[1].split("\n") == ["A\n b".split("\n")[0], " b".strip(), "Uno", "dos", "h", "1"]
+    assert {r.id: r.text for r in html.visible_text(df, "id").collect()}[1] == "A\n b\nUno\ndos\nh\n1"
     assert [(r.table, r.row, r.cell, r.is_header, r.text) for r in html.table_cells(df, "id").orderBy("cell").collect()] == [(0, 0, 0, True, "h"), (0, 0, 1, False, "1")]
     assert ("p", "Uno dos", "/x?a=1") in [(r.tag, r.text, r.href) for r in html.blocks(df, "id").collect()]
 
@@ -171,3 +171,51 @@ def test_export_refuses_nothing(spark):
 def test_nested_hypotheses_order(spark):
     df = spark.createDataFrame([("f", "h2", "B", 70), ("f", "h1", "A", 70), ("f", "h3", "C", 90)], "finding_id string, hypothesis_id string, code string, score int")
     assert [d[1] for d in marts.nested_hypotheses(df).first().details] == ["C", "A", "B"]
+
+
+def test_documents_and_findings(spark):
+    from fiscalis.operators import documents
+
+    item = "Se constató que el municipio pagó servicios sin respaldo suficiente por $ 12.000.000 durante el año 2019 a su proveedor"
+    text = f"NÚMERO\n: 123\nFECHA DOCUMENTO\n05-03-2020\nNIVEL\nregional\nOBJETIVO revisar pagos\nCONCLUSIONES\n1. {item}\n2. {item} y otro\n- corto"
+    pages = spark.createDataFrame([("u1", text), ("u2", None)], "source_url string, text string")
+    docs = documents.parse_documents(pages)
+    d = {r.source_url: r for r in docs.collect()}
+    assert (d["u1"].document_number, d["u1"].document_date, d["u1"].level, d["u1"].objective) == ("123", "05-03-2020", "regional", "revisar pagos")
+    rows = documents.document_findings(docs).orderBy("finding_order").collect()
+    assert [r.finding_order for r in rows] == [1, 2] and rows[0].amount_clp == 12_000_000 and rows[0].finding_id != rows[1].finding_id
+    assert documents.evidence_rows(documents.document_findings(docs)).count() == 2
+
+
+def test_finding_splitter_tiers():
+    from fiscalis.operators.documents import split_findings
+
+    long = "Una oración que describe con detalle suficiente lo observado por la fiscalización en terreno. "
+    assert split_findings("") == [] and split_findings("corto") == []
+    assert len(split_findings(f"{long}\n\n{long}")) == 2
+    packed = split_findings(long * 14)
+    assert len(packed) == 2 and all(len(p) > 80 for p in packed)
+
+
+def test_publications(spark):
+    from fiscalis.operators import publications as pub
+
+    blocks = spark.createDataFrame([(0, "Fiscalización al hospital regional de Temuco", "https://www.contraloria.cl/a"), (1, "Fiscalización al hospital regional de Temuco", "https://www.contraloria.cl/a"), (2, "Otra noticia sin señal alguna", ""), (3, "Auditoría ajena con enlace externo a otra parte", "https://x.org/b")], "pos int, text string, url string")
+    watch = pub.watch_candidates(blocks, "s", "https://www.contraloria.cl/", "t0")
+    assert watch.count() == 1
+    docs = spark.createDataFrame([("D2", "Informe hospital regional Temuco"), ("D1", "Hospital regional Temuco obras"), ("D3", "Nada")], "document_id string, title string")
+    (m,) = pub.match_watch(watch, docs).collect()
+    assert (m.matched_document_id, m.status) == ("D2", "CLOSED_MATCHED")
+    assert pub.match_watch(watch, docs.filter("document_id = 'D3'")).first().status == "OPEN"
+    text = "Estado 01/02/2024 12 / 2023 RES. N° 45 Contraloría Regional de Maule Juan Pérez y otros 02/02/2024 13/2023 RES. N° 46 sin reclamante"
+    cases = pub.tribunal_cases(spark.createDataFrame([("u", text)], "source_url string, text string"))
+    (c,) = cases.collect()
+    assert (c.state_date, c.role, c.claimant, c.defendants_raw) == ("2024-02-01", "12/2023", "Contraloría Regional de Maule", "Juan Pérez y otros")
+    rep = spark.createDataFrame([("E1", "Contraloría Regional del Maule", "2024-01-01"), ("E2", "Contraloría Regional del Maule", "2025-01-01"), ("E3", "Otra", "")], "enforcement_event_id string, unit_cgr string, action_date string")
+    assert pub.link_cases(cases, rep).first().candidate_reparo_ids == ["E1"]
+    cells = spark.createDataFrame([(1, 0, r, i, "Oportunamente" if i == 2 else f"x{i}") for r in range(2) for i in range(10)] + [(1, 1, 0, 0, "menu")], "page int, table int, row int, cell int, text string")
+    snap = pub.municipal_snapshot(cells, "2024-01-01")
+    assert snap.count() == 16 and snap.filter("indicator_code = 'DIP_ALCALDE'").first().status == "GREEN"
+    art = spark.createDataFrame([("CIC N° 3", "cruce con SIAPER", "d", "u1"), ("CIC N° 3", "SII y SIAPER", "d", "u2"), ("Nada", "x", "d", "u3")], "title string, text string, date string, url string")
+    (a,) = pub.circulars(art).collect()
+    assert (a.cic_number, a.url, a.datasets_detected) == (3, "u2", ["SIAPER"])
