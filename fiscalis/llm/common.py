@@ -62,7 +62,7 @@ def _remove_left() -> None:
             return
 
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:

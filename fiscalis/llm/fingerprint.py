@@ -21,6 +21,7 @@ from fiscalis.llm.common import bucket_edges, connected_components, fields, hex1
 from fiscalis.llm.simhash import hamming_forest, shingle_hashes
 
 BITS = 64
+_STEP = 1 << 12
 
 
 def weighted_fingerprint(text: str, size: int = 2) -> int:
@@ -30,10 +31,11 @@ def weighted_fingerprint(text: str, size: int = 2) -> int:
         return 0
     terms, counts = np.unique(hashes, return_counts=True)
     votes = np.zeros(BITS)
-    for at in range(0, len(terms), 1 << 15):
-        part = np.ascontiguousarray(terms[at : at + (1 << 15)]).view(np.uint8).reshape(-1, 8)
-        signs = np.unpackbits(part, axis=1, bitorder="little").astype(np.float64) * 2 - 1
-        votes += (1 + np.log(counts[at : at + (1 << 15)])) @ signs
+    for at in range(0, len(terms), _STEP):
+        part = np.ascontiguousarray(terms[at : at + _STEP]).view(np.uint8).reshape(-1, 8)
+        bits = np.unpackbits(part, axis=1, bitorder="little").astype(np.float64)
+        weight = 1 + np.log(counts[at : at + _STEP])
+        votes += 2 * (weight @ bits) - weight.sum()
     return int(np.packbits(votes > 0, bitorder="little").view(np.uint64)[0])
 
 
@@ -153,7 +155,9 @@ def edited_neighbours(docs: DataFrame) -> DataFrame:
             yield table([(part, 2, len(last[1]), None, last[2], None, None, last[1])], [last[0]], id_type)
 
     dealt = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    dealt = dealt.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # a stated number of ranges is not merged again, so that each task sorts a small share of the texts
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id", "text")
     found = materialize(dealt.mapInArrow(run, schema), "edited")
     heads = found.filter("edge = 1").select("part", F.col("text").alias("after"), F.col("fp").alias("after_fp"))
     parts = sorted(r.part for r in heads.select("part").collect())  # one number per partition
