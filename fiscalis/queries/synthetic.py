@@ -63,7 +63,9 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
 
 def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The synthetic findings with their amounts."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    # narrow rows and costly patterns: a small file is one split, so deal its rows out before they are classified
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    orders = orders.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     return spark.sql(finding_sql("spark").replace("from orders", "from {orders}"), orders=orders).withColumn("amount_clp", max_amount(F.col("description")))
 
 
