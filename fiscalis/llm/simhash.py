@@ -5,6 +5,8 @@ to a single bit. Each distinct segment value is indexed under its one-wildcard v
 values that differ in one bit share exactly one variant, so a variant holds two values at most and no key can be hot.
 Equality on the variant finds the neighbouring values, equality on the value finds the agreeing ones, and the
 fingerprints below them are verified by their Hamming distance.
+
+Near duplicates by word shingles, a stage of the pipeline, take MinHash bands in place of fingerprints.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from fiscalis.llm.common import bucket_edges, connected_components, fields, hex16, materialize
 from fiscalis.llm.lines import jaccard_forest
-from fiscalis.llm.substring import _keyed
+from fiscalis.llm.substring import _keyed, _mixed
 
 _SEED = 42
 _STEP = 1 << 16
@@ -137,32 +139,39 @@ def simhash_components(prints: DataFrame, radius: int = 3, label: str = "simhash
 class NearDupParams:
     """Near duplicates by word shingles: Jaccard ``similarity`` of the shingle sets, verified exactly.
 
-    Fingerprints of ``segments * width`` bits; a pair is a candidate if a segment differs in one bit at most and the
-    whole in ``radius`` bits at most. Expected share of differing bits: 15 % at similarity 0.8, 13 % at 0.85, 10 % at
-    0.9, a half for unrelated texts; so 89, 97 and 99.8 % of such pairs are candidates directly, others through the
-    rest of their group. Unrelated texts meet by chance as often as ``width * n / 2 ** width``: beyond some ten million
-    texts ``width`` should grow with the logarithm of their number, and ``segments`` with it.
+    MinHash signatures of ``bands * rows`` numbers; a pair is a candidate if it agrees in a whole band and in a share
+    of the numbers of ``similarity - slack`` at least. A band is missed by a pair of similarity s with probability
+    1 - s ** rows, so 99.99 % of the pairs at 0.8 are candidates directly; the slack is 5 standard deviations.
     """
 
     shingle: int = 5
     similarity: float = 0.8
-    segments: int = 22
-    width: int = 26
-    radius: int = 150
+    bands: int = 24
+    rows: int = 5
+    slack: float = 0.2
     block: int = 256
+    seed: int = 11
+
 
+def minhash(hashes: np.ndarray, bins: int, seed: int) -> np.ndarray:
+    """The least value of the hashes under each of ``bins`` affine maps of 32 bits; repeats do not count."""
+    rng = np.random.default_rng(seed)
+    factor = rng.integers(0, 1 << 31, (bins, 1), np.uint32) * np.uint32(2) + np.uint32(1)
+    shift = rng.integers(0, 1 << 32, (bins, 1), np.uint32)
+    short = (hashes ^ (hashes >> np.uint64(32))).astype(np.uint32)
+    least = np.full(bins, (1 << 32) - 1, np.uint32)
+    for at in range(0, len(short), 1024):
+        np.minimum(least, (short[at : at + 1024] * factor + shift).min(axis=1), out=least)
+    return least
 
-def wide_fingerprint(hashes: np.ndarray, segments: int, width: int) -> np.ndarray:
-    """Majority bits of hashes that are widened by mixing, cut into ``segments`` numbers of ``width`` bits."""
-    bits = []
-    for k in range(-(-segments * width // 64)):
-        h = hashes + np.uint64(k * 0x9E3779B97F4A7C15 & ((1 << 64) - 1))
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        value = majority_bits(h ^ (h >> np.uint64(31)))
-        bits.append(np.unpackbits(np.array([value], np.uint64).view(np.uint8), bitorder="little"))
-    flat = np.concatenate(bits)[: segments * width].reshape(segments, width)
-    return flat.astype(np.int64) @ (1 << np.arange(width, dtype=np.int64))
+
+def signature_bands(signatures: np.ndarray, bands: int) -> np.ndarray:
+    """``len(signatures) x bands`` keys of 64 bits; signatures that agree in a band share its key."""
+    parts = signatures.reshape(len(signatures), bands, -1).astype(np.uint64)
+    keys = np.zeros(parts.shape[:2], np.uint64) + np.arange(bands, dtype=np.uint64)
+    for r in range(parts.shape[2]):
+        keys = _mixed(keys * np.uint64(0xD6E8FEB86659FD93) + parts[:, :, r])
+    return keys
 
 
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -172,38 +181,47 @@ def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
 def near_duplicate_groups(docs: DataFrame, p: NearDupParams = NearDupParams(), label: str = "neardup") -> DataFrame:
     """``(dk, tkey, group_dk, group_tkey)`` of every distinct ``(doc_id, text)``; the group is named by its first member.
 
-    Candidates come from deletion-variant signatures of wide fingerprints, are contracted by Hamming distance, and the
+    Candidates share a band of their MinHash signatures, are contracted if their signatures agree enough, and the
     groups that arise are verified by exact Jaccard similarity of the shingle sets; only members of such groups bring
     their texts. Texts without words are alike. Null ids stand before all others.
     """
     keyed = _keyed(docs)
     places = materialize(keyed.groupBy("tkey", "dk").agg(F.count("*").alias("n")).select("tkey", "dk"), f"{label}-places")
-    schema = fields("id long, seg_values array<long>")
+    schema = fields("id long, bands array<long>, sig binary")
+    bins = p.bands * p.rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            segs = [wide_fingerprint(shingle_hashes(ascii_words(t.as_py()), p.shingle), p.segments, p.width) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(segs, pa.list_(pa.int64()))], ["id", "seg_values"])
+            least = [minhash(shingle_hashes(ascii_words(t.as_py()), p.shingle), bins, p.seed) for t in batch.column(1)]
+            sigs = np.array(least, np.uint32).reshape(-1, bins)
+            bands = signature_bands(sigs, p.bands).view(np.int64).tolist()
+            short = [x.tobytes() for x in sigs.astype("<u2")]  # for the comparison 16 bits of each number do
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bands, pa.list_(pa.int64())), pa.array(short, pa.binary())], schema.names)
 
-    prints = keyed.select(F.col("tkey").alias("id"), "text").mapInArrow(run, schema).groupBy("id").agg(F.first("seg_values").alias("seg_values"))
+    prints = keyed.select(F.col("tkey").alias("id"), "text").mapInArrow(run, schema).groupBy("id").agg(F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     prints = materialize(prints, f"{label}-fp")
-    found = segment_buckets(prints, p.segments, p.width).join(prints, "id")
-
-    def by_bits(payload: list):
-        segs = np.array(payload, np.int64)
-        rest = np.arange(len(segs))
+    places_of = prints.select("id", F.explode("bands").alias("bucket"))
+    # bands with the same members are one bucket: they are told by size and two checksums
+    met = places_of.groupBy("bucket").agg(F.count("*").alias("n"), F.expr("bit_xor(id)").alias("x"), F.expr("bit_xor(xxhash64(id))").alias("y"))
+    met = met.filter("n > 1").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
+    found = places_of.join(met, "bucket").join(prints.select("id", "sig"), "id")
+    enough = int((p.similarity - p.slack) * bins)
+
+    def by_signature(payload: list):
+        sigs = np.frombuffer(b"".join(payload), "<u2").reshape(-1, bins)
+        rest = np.arange(len(sigs))
         while len(rest):
             front, rest = [int(rest[0])], rest[1:]
             while front and len(rest):
                 at = front.pop()
-                near = np.bitwise_count(segs[rest] ^ segs[at]).sum(axis=1) <= p.radius
+                near = (sigs[rest] == sigs[at]).sum(axis=1) >= enough
                 if near.any():
                     hits = rest[near].tolist()
                     rest = rest[~near]
                     front += hits
                     yield from zip(repeat(at), hits)
 
-    rough = connected_components(bucket_edges(found, "seg_values", by_bits), f"{label}-rough")
+    rough = connected_components(bucket_edges(found, "sig", by_signature), f"{label}-rough")
     texts = keyed.select(F.col("tkey").alias("node"), "text").join(rough, "node")
     members = texts.groupBy(F.col("root").alias("bucket"), F.col("node").alias("id")).agg(F.first("text").alias("text"))
 

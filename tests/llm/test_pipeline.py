@@ -68,6 +68,22 @@ def test_near_duplicates_of_edited_copies(spark):
     assert drop_near_duplicates(df.filter("false")).count() == 0
 
 
+def test_near_duplicates_of_isolated_pairs(spark):
+    docs, want = [], {}
+    for k, tail in enumerate([40, 35, 29] * 120):  # 320 common shingles of 5 words: similarity 0.80, 0.82, 0.85
+        common = [f"c{k}x{i}" for i in range(324)]
+        for side in "ab":
+            docs.append((len(docs), " ".join(common + [f"{side}{k}x{i}" for i in range(tail)])))
+        want[len(docs) - 1] = (tail, len(docs) - 2)
+    groups = near_duplicate_groups(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = {r.dk: r.group_dk for r in groups.collect()}
+    for tail in (40, 35, 29):
+        pairs = [(i, first) for i, (t, first) in want.items() if t == tail]
+        share = sum(got[i] == first for i, first in pairs) / len(pairs)
+        print(tail, share)
+        assert share >= 0.99
+
+
 def test_stages_keep_the_columns_and_take_effect(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]
