@@ -23,13 +23,14 @@ _APART = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in range(256)
 
 @dataclass(frozen=True)
 class LeakParams:
-    """``rate`` of word edits; items under ``min_words`` are too short to tell anything and are left out.
+    """``rate`` of word edits; items under ``min_words`` are matched exactly if ``short`` is set, else left out.
 
     ``block_bytes`` bounds what of the benchmark is sent to the executors at a time; more blocks, more passes.
     """
 
     rate: float = 0.1
     min_words: int = 8
+    short: bool = False
     block_bytes: int = 32 << 20
 
 
@@ -67,9 +68,9 @@ def myers_search(item: Sequence[str], window: Sequence[str], limit: int) -> tupl
 class LeakIndex:
     """All pieces of a block of items in one automaton."""
 
-    def __init__(self, items: Sequence[tuple[object, Sequence[str]]], rate: float):
-        self.items, self.rate = items, rate
-        self.limits = [int(rate * len(w)) for _, w in items]
+    def __init__(self, items: Sequence[tuple[object, Sequence[str]]], rate: float, min_words: int = 0):
+        self.items, self.rate, self.min_words = items, rate, min_words
+        self.limits = [int(rate * len(w)) if len(w) >= min_words else 0 for _, w in items]
         self.automaton = ahocorasick.Automaton()
         pieces: dict[str, list[tuple[int, int]]] = {}
         for i, (_, w) in enumerate(items):
@@ -84,7 +85,7 @@ class LeakIndex:
         self.empty = not pieces
 
     def __reduce__(self):
-        return LeakIndex, (self.items, self.rate)
+        return LeakIndex, (self.items, self.rate, self.min_words)
 
     def leaks(self, text: str | None) -> list[tuple[int, int, int]]:
         """``(item, distance, end word)``: for each item that the text holds, its best match."""
@@ -104,6 +105,9 @@ class LeakIndex:
             at = begin
             for i, offset in places:
                 k, item = self.limits[i], self.items[i][1]
+                if not k:  # the piece is the whole item
+                    found.setdefault(i, (0, at_word + len(item)))
+                    continue
                 lo, hi = max(0, at_word - offset - k), min(len(words), at_word - offset + len(item) + k)
                 if any(a <= lo and hi <= b for a, b in looked.get(i, ())):
                     continue
@@ -117,8 +121,8 @@ class LeakIndex:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -> DataFrame:
     """``(doc_id, item_id, distance, end_word)`` of every document that holds a test item within its error budget.
 
-    One row per row of ``docs`` and item; equal items are found each; null texts, null items and items under
-    ``p.min_words`` words give none. The benchmark is read in blocks of bounded size, one pass over the documents
+    One row per row of ``docs`` and item; equal items are found each; null texts and items without words give none,
+    nor do items under ``p.min_words`` words unless ``p.short`` is set. The benchmark is read in blocks of bounded size, one pass over the documents
     for each; no shuffle.
     """
     doc_kind, item_kind = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
@@ -128,7 +132,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams
     out = spark.createDataFrame([], schema)
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).orderBy("item_id", "text").toLocalIterator()
     for items in _blocks(rows, p):
-        shared = spark.sparkContext.broadcast(LeakIndex(items, p.rate))
+        shared = spark.sparkContext.broadcast(LeakIndex(items, p.rate, p.min_words))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
@@ -154,7 +158,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams
     at = docs.columns.index("text")
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).orderBy("item_id", "text").toLocalIterator()
     for items in _blocks(rows, p):
-        shared = docs.sparkSession.sparkContext.broadcast(LeakIndex(items, p.rate))
+        shared = docs.sparkSession.sparkContext.broadcast(LeakIndex(items, p.rate, p.min_words))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
@@ -170,7 +174,7 @@ def _blocks(rows, p: LeakParams) -> Iterator[list[tuple[object, list[str]]]]:
     size = 0
     for r in rows:
         w = words_of(r.text)
-        if len(w) < p.min_words:
+        if not w or len(w) < p.min_words and not p.short:
             continue
         if block and size + len(r.text) > p.block_bytes:
             yield block
@@ -184,4 +188,4 @@ def _blocks(rows, p: LeakParams) -> Iterator[list[tuple[object, list[str]]]]:
 def op3_decontamination(spark, sf_dir: str) -> DataFrame:
     """Every document of ``documents`` that holds an item of ``benchmark``, with the item and the distance."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), LeakParams(short=True))

@@ -8,6 +8,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import corpus_pipeline
 from fiscalis.llm.decontaminate import LeakParams, find_leaks, myers_search, op3_decontamination, words_of
 from fiscalis.llm.fingerprint import fingerprint_classes, find_within, op5_document_fingerprints, weighted_fingerprint
 
@@ -137,3 +138,14 @@ def test_leaks_on_the_table(spark, sf_dir):
     flat = {d: " ".join(words_of(t)) for d, t in docs}
     assert {(d, i) for d, t in flat.items() for i, x in items if " ".join(words_of(x)) in t} <= got
     assert got == {(d, i) for d, i, _ in plain_leaks([(d, t) for d, t in docs if d in {x for x, _ in got} or d % 9 == 0], items, 0.1)}
+
+
+def test_short_items_are_found_exactly(spark, tmp_path):
+    docs = [(1, "They asked: Who wrote, the Iliad? Nobody knew."), (2, "who wrote the odyssey then"), (3, "ab yes " * 3000), (4, None)]
+    items = [(1, "Who wrote the Iliad?"), (2, "yes"), (3, " ?"), (4, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id, r.distance, r.end_word) for r in op3_decontamination(spark, str(tmp_path)).collect()}
+    assert got == {(1, 1, 0, 6), (3, 2, 0, 2)}
+    kept = corpus_pipeline.decontamination(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert {r.doc_id for r in kept.collect()} == {2, 4}
