@@ -31,8 +31,8 @@ from fiscalis.llm.common import fields
 PATTERNS = (
     ("access_key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"),
     ("prefixed_token", r"\b(?:ghp_|gho_|glpat-|xox[abp]-|sk_live_|sk-|AIza)[A-Za-z0-9_-]{16,}"),
-    ("assignment", r"(?i:\b(?:pass(?:word|wd)?|pwd|secret|token|(?:api|access|private)[_-]?key)\b)[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?P<value>[^\s\"',;]{6,200})"),
-    ("long_token", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,512}(?![A-Za-z0-9+/_=-])"),
+    ("assignment", r"(?i:\b(?:pass(?:word|wd)?|pwd|secret|token|(?:api|access|private)[_-]?key)\b)[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?P<value>[^\s\"',;]{6,})"),
+    ("long_token", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}(?![A-Za-z0-9+/_=-])"),
 )
 _SCAN = re.compile("|".join(f"(?P<k{i}>{p})" for i, (_, p) in enumerate(PATTERNS)))
 _NEAR_GOOD = frozenset("password passwd pwd secret token key apikey api_key credential auth bearer private access login".split())

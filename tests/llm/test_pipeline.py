@@ -177,3 +177,11 @@ def test_forest_and_features_edges():
     assert ((forest.scores(x) >= 0.5) == (x[:, 0] > 1.5)).all()
     assert len(features("a", "", "", "", False, frozenset())) == 16
     assert train_forest([]).trees == []
+
+
+def test_long_secrets_are_whole_candidates():
+    rng = random.Random(3)
+    for n in (201, 513, 5000):
+        value = "".join(rng.choices("ABCDEFabcdef0123456789+/", k=n))
+        for text, kind in ((f"so token={value} end", "assignment"), (f"so {value} end", "long_token")):
+            assert [(text[a:b], k) for a, b, k, _ in candidates(text)] == [(value, kind)]
