@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from fiscalis.operators import entities, findings, linking, queues, store, temporal
 from fiscalis.plans import interop, marts
 from fiscalis.sources import html
@@ -219,3 +220,10 @@ def test_publications(spark):
     art = spark.createDataFrame([("CIC N° 3", "cruce con SIAPER", "d", "u1"), ("CIC N° 3", "SII y SIAPER", "d", "u2"), ("Nada", "x", "d", "u3")], "title string, text string, date string, url string")
     (a,) = pub.circulars(art).collect()
     assert (a.cic_number, a.url, a.datasets_detected) == (3, "u2", ["SIAPER"])
+
+
+def test_dataset_tags_reads_whole_texts(spark, tmp_path):
+    rows = [(4, "x " * 5000 + "SICOGEN"), (5, None), (0, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.tags for r in entry.queries()["dataset_tags"](spark, str(tmp_path)).collect()}
+    assert got == {4: "SICOGEN", 5: "", 0: "SIAPER,MIGRACIONES"}
