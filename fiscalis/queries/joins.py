@@ -40,10 +40,10 @@ p as (select l.id as left_id, r.id as right_id, len(list_intersect(l.w, r.w)) as
 q as (select left_id, right_id, common, cast(common as double) / greatest(small, 1) as score from p where common >= {floor} and cast(common as double) / greatest(small, 1) >= {threshold})"""
 
 
-def _sides(spark, sf, min_len, digits, stop):
+def _sides(spark, sf, min_len, digits, stop, left_rows="p_partkey % 5 = 0", right_rows="p_partkey % 7 = 1"):
     (part,) = tables(spark, sf, "part")
-    left = part.filter("p_partkey % 5 = 0").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_type").alias("t"))
-    right = part.filter("p_partkey % 7 = 1").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("t"))
+    left = part.filter(left_rows).select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_type").alias("t"))
+    right = part.filter(right_rows).select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("t"))
     return tuple(d.select("id", X.name_tokens(F.col("t"), min_len, stop, digits).alias("tokens")) for d in (left, right))
 
 
@@ -60,6 +60,21 @@ def token_overlap_all(spark, sf):
     return out.select("left_id", F.array_join(F.transform("right_ids", lambda x: x.cast("string")), ",").alias("right_ids"), "score")
 
 
+@query("token_overlap_best_whole", None)
+def token_overlap_best_whole(spark, sf):
+    """As token_overlap_best, over all pairs of parts."""
+    left, right = _sides(spark, sf, 4, False, T.WATCH_STOP, "true", "true")
+    return linking.best_match(linking.token_overlap(left, right, "id", "id", "tokens", 2, 0.62)).select("left_id", "right_id", "score")
+
+
+@query("token_overlap_all_whole", None)
+def token_overlap_all_whole(spark, sf):
+    """As token_overlap_all, over all pairs of parts."""
+    left, right = _sides(spark, sf, 3, True, T.TRIBUNAL_STOP, "true", "true")
+    out = linking.all_matches(linking.token_overlap(left, right, "id", "id", "tokens", 1, 0.55))
+    return out.select("left_id", F.array_join(F.transform("right_ids", lambda x: x.cast("string")), ",").alias("right_ids"), "score")
+
+
 _S = f"select s_suppkey, {name_sql('s_name')} as n from supplier"
 _CN = f"select {name_sql('replace(c_name, ' + chr(39) + 'Customer' + chr(39) + ', ' + chr(39) + 'Supplier' + chr(39) + ')')} as n from customer where c_custkey % 3 = 0"
 
