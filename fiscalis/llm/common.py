@@ -62,6 +62,21 @@ def _remove_left() -> None:
             return
 
 
+def fresh(taken: Iterable[str], name: str) -> str:
+    """``name``, lengthened until no column of ``taken`` resolves to it."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def place(columns: list[str], name: str) -> int:
+    """Where the column is that Spark resolves ``name`` to: the exact name, else the one that differs in case."""
+    if name in columns:
+        return columns.index(name)
+    return [c.lower() for c in columns].index(name.lower())
+
+
 BATCH_BYTES = 4 << 20
 
 

@@ -15,8 +15,9 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from fiscalis.llm.common import fields
+from fiscalis.llm.common import fields, place
 
 _APART = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
 
@@ -88,13 +89,16 @@ class LeakIndex:
         return LeakIndex, (self.items, self.rate, self.min_words)
 
     def leaks(self, text: str | None) -> list[tuple[int, int, int]]:
-        """``(item, distance, end word)``: for each item that the text holds, its best match."""
+        """``(item, distance, end word)``: for each item that the text holds, its best match, the first of equal ones.
+
+        The windows of an item's hits are merged, so every word of the text is looked at once per item that it may hold.
+        """
         if self.empty:
             return []
         words = words_of(text)
         flat = f" {' '.join(words)} "
         found: dict[int, tuple[int, int]] = {}
-        looked: dict[int, list[tuple[int, int]]] = {}
+        spans: dict[int, list[list[int]]] = {}
         at, at_word = 0, 0
         for end, (size, places) in self.automaton.iter(flat):
             begin = end - size + 1
@@ -109,12 +113,22 @@ class LeakIndex:
                     found.setdefault(i, (0, at_word + len(item)))
                     continue
                 lo, hi = max(0, at_word - offset - k), min(len(words), at_word - offset + len(item) + k)
-                if any(a <= lo and hi <= b for a, b in looked.get(i, ())):
+                own = spans.setdefault(i, [])
+                if own and lo <= own[-1][1] and own[-1][0] <= hi:
+                    own[-1][0], own[-1][1] = min(lo, own[-1][0]), max(hi, own[-1][1])
+                else:
+                    own.append([lo, hi])
+        for i, own in spans.items():
+            own.sort()
+            lo, hi = own[0]
+            for a, b in [*own[1:], (len(words) + 1, 0)]:
+                if a <= hi:
+                    hi = max(hi, b)
                     continue
-                looked.setdefault(i, []).append((lo, hi))
-                best = myers_search(item, words[lo:hi], k)
+                best = myers_search(self.items[i][1], words[lo:hi], self.limits[i])
                 if best and (i not in found or best[0] < found[i][0]):
                     found[i] = (best[0], lo + best[1])
+                lo, hi = a, b
         return [(i, d, e) for i, (d, e) in sorted(found.items())]
 
 
@@ -122,13 +136,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams
     """``(doc_id, item_id, distance, end_word)`` of every document that holds a test item within its error budget.
 
     One row per row of ``docs`` and item; equal items are found each; null texts and items without words give none,
-    nor do items under ``p.min_words`` words unless ``p.short`` is set. The benchmark is read in blocks of bounded size, one pass over the documents
+    nor do items under ``p.min_words`` words unless ``p.short`` is set. Very long texts are searched whole; an empty
+    table on either side gives no rows. The benchmark is read in blocks of bounded size, one pass over the documents
     for each; no shuffle.
     """
     doc_kind, item_kind = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
     schema = fields(f"doc_id {doc_kind}, item_id {item_kind}, distance int, end_word long")
     spark = docs.sparkSession
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    item_type = to_arrow_type(schema["item_id"].dataType)
     out = spark.createDataFrame([], schema)
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).orderBy("item_id", "text").toLocalIterator()
     for items in _blocks(rows, p):
@@ -142,7 +158,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams
                     for hit in index.leaks(text.as_py()):
                         at.append(n)
                         hits.append(hit)
-                ids = pa.array([index.items[i][0] for i, _, _ in hits], {"bigint": pa.int64(), "int": pa.int32()}.get(item_kind, pa.string()))
+                ids = pa.array([index.items[i][0] for i, _, _ in hits], item_type)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(at, pa.int32())), ids, pa.array([h[1] for h in hits], pa.int32()), pa.array([h[2] for h in hits], pa.int64())],
                     schema.names,
@@ -154,8 +170,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -> DataFrame:
     """``docs`` without the rows whose text holds a test item within its error budget; all columns are passed on."""
-    out = docs.withColumn("text", F.col("text").cast("string"))
-    at = docs.columns.index("text")
+    at = place(docs.columns, "text")
+    out = docs.withColumn(docs.columns[at], F.col(f"`{docs.columns[at]}`").cast("string"))
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).orderBy("item_id", "text").toLocalIterator()
     for items in _blocks(rows, p):
         shared = docs.sparkSession.sparkContext.broadcast(LeakIndex(items, p.rate, p.min_words))

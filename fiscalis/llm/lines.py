@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalis.llm.common import bucket_edges, connected_components, fields, groups, materialize
+from fiscalis.llm.common import bucket_edges, connected_components, fields, fresh, groups, materialize, place
 from fiscalis.llm.substring import _batch, _keyed, _mixed, _planes, _unplanes, pack_sorted, rolling, unpack_sorted
 
 _EMPTY = np.uint64((1 << 64) - 1)
@@ -341,18 +341,19 @@ def dedup_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     """
     _, kept = kept_lines(docs, p)
     keep = [c for c in docs.columns if c.lower() not in ("n_lines", "n_kept")]
-    own = _keyed(docs.select(*[F.col(f"`{c}`") for c in keep]), carry=True).join(kept.toDF("__dk", "__tkey", "__kept"), ["__dk", "__tkey"], "left")
-    out = own.select(*[F.col(f"`{c}`") for c in keep], F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_kept"), "__kept")
-    out = out.withColumn("text", F.col("text").cast("string"))
-    at, n_at = keep.index("text"), len(keep)
+    dk, tkey, stays = (fresh([*keep, "n_lines", "n_kept"], c) for c in ("dk", "tkey", "stays"))
+    own = _keyed(docs.select(*[F.col(f"`{c}`") for c in keep]), carry=(dk, tkey)).join(kept.toDF(dk, tkey, stays), [dk, tkey], "left")
+    at, n_at = place(keep, "text"), len(keep)
+    own = own.withColumn(keep[at], F.col(f"`{keep[at]}`").cast("string"))
+    out = own.select(*[F.col(f"`{c}`") for c in keep], F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_kept"), stays)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m, texts = [], [], []
-            for text, stays in zip(batch.column(at), batch.column(n_at + 2), strict=True):
+            for text, kept_at in zip(batch.column(at), batch.column(n_at + 2), strict=True):
                 text = text.as_py()
                 lines = text.split("\n") if text else []
-                stay = set(stays.as_py() or ())
+                stay = set(kept_at.as_py() or ())
                 left = [x for i, x in enumerate(lines) if i in stay or not x.strip()]
                 if not stay and any(x.strip() for x in lines):
                     left = []
@@ -363,7 +364,7 @@ def dedup_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
             cols[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(cols, batch.schema.names[: n_at + 2])
 
-    return out.mapInArrow(run, out.drop("__kept").schema)
+    return out.mapInArrow(run, out.drop(stays).schema)
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:

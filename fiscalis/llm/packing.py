@@ -9,6 +9,7 @@ The plan speaks of ranks within a length; documents meet it by their rank, witho
 from __future__ import annotations
 
 import base64
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,6 +26,8 @@ from fiscalis.llm.common import fields, materialize
 
 CAPACITY = 1024
 END_ID = 2
+LONG_RUN = 4096
+_LONG = re.compile(rf"\S{{{LONG_RUN}}}|\s{{{LONG_RUN}}}")
 
 
 @dataclass(frozen=True)
@@ -48,7 +51,9 @@ def encoder(path: str):
     """``text -> ids`` of a byte-level BPE tokenizer file, special tokens being ordinary text.
 
     If the same vocabulary lies beside it as ranks, the rank encoder serves, which gives equal ids several times
-    faster (``tests/llm/test_packing.py`` compares them); else the file's own tokenizer.
+    faster (``tests/llm/test_packing.py`` compares them); else the file's own tokenizer. The latter also takes texts
+    with a run of ``LONG_RUN`` characters or more without a border of white space: the former's pattern matching goes
+    as deep as such a run is long, and ends the process on a million spaces.
     """
     ranks_path = path.removesuffix(".json") + ".tiktoken"
     try:
@@ -58,7 +63,16 @@ def encoder(path: str):
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         ranked = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return ranked.encode_ordinary
+        plain: list = []
+
+        def encode(text: str) -> list[int]:
+            if len(text) < LONG_RUN or not _LONG.search(text):
+                return ranked.encode_ordinary(text)
+            if not plain:
+                plain.append(file_encoder(path))
+            return plain[0](text)
+
+        return encode
     except (ImportError, FileNotFoundError):
         return file_encoder(path)
 
@@ -259,7 +273,11 @@ def pack_pieces(pieces: DataFrame, p: PackingParams = PackingParams()) -> DataFr
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, p: PackingParams = PackingParams(), with_ids: bool = False) -> DataFrame:
-    """Tokenise, cut and pack every row of ``docs``; one row per piece, with its token ids if asked for."""
+    """Tokenise, cut and pack every row of ``docs``; one row per piece, with its token ids if asked for.
+
+    Null and empty texts are one piece of the end id; repeated rows are packed each; an empty table gives no rows; a
+    very long text is tokenised whole and cut. Other columns are not passed on.
+    """
     return pack_pieces(materialize(tokenize_pieces(docs, tokenizer, p.capacity, with_ids), "pieces"), p)
 
 

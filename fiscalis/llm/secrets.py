@@ -29,15 +29,17 @@ from fiscalis.llm.common import fields
 
 #: Kinds of candidates: name, pattern; the group is the candidate. A text is searched for all at once, left to right.
 PATTERNS = (
+    ("pem_block", r"-----BEGIN [A-Z0-9 ]{0,60}-----[^-]+-----END [A-Z0-9 ]{0,60}-----"),
     ("access_key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"),
     ("prefixed_token", r"\b(?:ghp_|gho_|glpat-|xox[abp]-|sk_live_|sk-|AIza)[A-Za-z0-9_-]{16,}"),
     ("assignment", r"(?i:\b(?:pass(?:word|wd)?|pwd|secret|token|(?:api|access|private)[_-]?key)\b)[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?P<value>[^\s\"',;]{6,})"),
     ("long_token", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}(?![A-Za-z0-9+/_=-])"),
 )
 _SCAN = re.compile("|".join(f"(?P<k{i}>{p})" for i, (_, p) in enumerate(PATTERNS)))
-_NEAR_GOOD = frozenset("password passwd pwd secret token key apikey api_key credential auth bearer private access login".split())
-_NEAR_BAD = frozenset("example sample dummy fake placeholder test sha sha1 sha256 md5 commit checksum hash uuid guid digest revision id integrity".split())
-_PATH_BAD = ("test", "example", "sample", "fixture", "mock", "doc", "demo")
+_NEAR_GOOD = frozenset("password passwd pwd secret token key apikey api_key credential credentials auth bearer private access login authorization".split())
+_NEAR_BAD = frozenset("example sample dummy fake placeholder test mock redacted sha sha1 sha256 sha512 md5 commit checksum hash uuid guid digest revision id integrity base64 image png jpeg gif svg font woff etag".split())
+_PATH_BAD = ("test", "example", "sample", "fixture", "mock", "doc", "demo", "spec", "vendor")
+_PATH_GOOD = (".env", "config", "settings", "deploy", "secret", "credential", ".pem", ".yml", ".yaml", ".tf")
 _WORD = re.compile(r"[A-Za-z0-9_]+")
 _LETTERS = re.compile(r"[a-z]{4,}")
 
@@ -67,19 +69,24 @@ def dictionary(path: str | None = None) -> frozenset[str]:
     return frozenset(w[1:].lower() for w in vocab if w.startswith("\u0120") and len(w) > 4 and w[1:].isalpha() and w[1:].isascii())
 
 
+@lru_cache(maxsize=4)
+def _longest(words: frozenset[str]) -> int:
+    return max(map(len, words), default=0)
+
+
 def coverage(text: str, words: frozenset[str]) -> float:
     """Share of the characters that dictionary words cover, the longest first from the left."""
-    covered = 0
+    covered, longest = 0, _longest(words)
     for run in _LETTERS.findall(text.lower()):
         at = 0
         while at <= len(run) - 4:
-            size = next((n for n in range(min(len(run) - at, 14), 3, -1) if run[at : at + n] in words), 0)
+            size = next((n for n in range(min(len(run) - at, longest), 3, -1) if run[at : at + n] in words), 0)
             covered += size
             at += size or 1
     return covered / max(1, len(text))
 
 
-FEATURES = ("length", "transitions", "digits", "upper", "lower", "other", "entropy", "hex", "coverage", "distinct", "repeat", "path_bad", "near_good", "near_bad", "keyed", "uuid")
+FEATURES = ("length", "transitions", "digits", "upper", "lower", "other", "entropy", "hex", "coverage", "distinct", "repeat", "path_bad", "path_good", "near_good", "near_bad", "inline", "private", "keyed", "uuid")
 
 
 def features(value: str, before: str, after: str, path: str, keyed: bool, words: frozenset[str]) -> list[float]:
@@ -87,13 +94,14 @@ def features(value: str, before: str, after: str, path: str, keyed: bool, words:
     n = len(value)
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o" for c in value]
     counts = Counter(value)
-    near = [w.lower() for w in _WORD.findall(before)[-3:] + _WORD.findall(after)[:2]]
+    near = [w.lower() for w in _WORD.findall(before)[-5:] + _WORD.findall(after)[:3]]
     entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
     return [
         min(n, 256), sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / n, kinds.count("d") / n, kinds.count("u") / n,
         kinds.count("l") / n, kinds.count("o") / n, entropy, float(all(c in string.hexdigits for c in value)), coverage(value, words),
         len(counts) / n, max(counts.values()) / n, float(any(x in path.lower() for x in _PATH_BAD)),
-        float(any(w in _NEAR_GOOD for w in near)), float(any(w in _NEAR_BAD for w in near)), float(keyed),
+        float(any(x in path.lower() for x in _PATH_GOOD)), float(sum(w in _NEAR_GOOD for w in near)), float(sum(w in _NEAR_BAD for w in near)),
+        float(before.endswith(("base64,", "://", "/", "@"))), float("PRIVATE KEY" in value[:80]), float(keyed),
         float(re.fullmatch(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", value) is not None),
     ]
 
@@ -113,12 +121,15 @@ def labelled_findings(n: int = 4000, seed: int = 7) -> list[tuple[str, str, int]
     hexes = lambda k: "".join(rng.choices("0123456789abcdef", k=k))
     mixed = lambda k: "".join(rng.choices(string.ascii_letters + string.digits, k=k))
     pick = lambda: rng.choice(words)
+    lines = lambda n: "\n".join(mixed(64) for _ in range(n))
     true = [
         lambda: "AKIA" + "".join(rng.choices(string.ascii_uppercase + "234567", k=16)),
         lambda: f"ghp_{mixed(36)}", lambda: f"sk_live_{mixed(24)}",
         lambda: f"password={rng.choice([hexes(18), hexes(24), mixed(12), mixed(16) + '!'])}",
+        lambda: f"{rng.choice(['password', 'pwd', 'passwd'])}{rng.choice(['=', ': ', ' = '])}{pick()}{rng.randrange(1, 9999)}{rng.choice(['', '!', '#', '_'])}{pick()}",
         lambda: f'token = "{rng.choice([hexes(40), hexes(32), mixed(40)])}"', lambda: f"api_key: {mixed(32)}",
-        lambda: f"secret='{mixed(rng.randrange(12, 44))}'", lambda: f"bearer auth {mixed(48)}",
+        lambda: f"secret='{mixed(rng.randrange(12, 44))}'", lambda: f"bearer auth {mixed(48)}", lambda: f"access key {mixed(rng.randrange(36, 90))}=",
+        lambda: f"-----BEGIN {rng.choice(['RSA ', 'EC ', 'OPENSSH ', ''])}PRIVATE KEY-----\n{lines(rng.randrange(2, 12))}\n-----END PRIVATE KEY-----",
     ]
     false = [
         lambda: f"password={rng.choice(['changeme', 'password', 'your_password', 'xxxxxxxx', '********', '${PASSWORD}', '<password>', 'None', pick() * 2])}",
@@ -127,14 +138,23 @@ def labelled_findings(n: int = 4000, seed: int = 7) -> list[tuple[str, str, int]
         lambda: "".join(pick() for _ in range(rng.randrange(4, 7))), lambda: "_".join(pick() for _ in range(rng.randrange(4, 7))),
         lambda: "/".join(pick() for _ in range(rng.randrange(4, 8))), lambda: "-" * rng.randrange(24, 80), lambda: "=" * rng.randrange(24, 60),
         lambda: "".join(rng.choice(["th", "er", "on", "an", "tion", "ing", "ed", "re", "st", "en", "keit", "ich", "ment", "eau", "ci", "ado"]) for _ in range(rng.randrange(9, 20))).capitalize(),
-        lambda: f"md5 checksum {hexes(32)}", lambda: f"secret: {pick()}{pick()}",
+        lambda: f"md5 checksum {hexes(32)}", lambda: f"secret: {pick()}{pick()}", lambda: f"data:{rng.choice(['image/png', 'font/woff', 'image/gif'])};base64,{mixed(rng.randrange(40, 600))}",
+        lambda: f"-----BEGIN {rng.choice(['CERTIFICATE', 'PUBLIC KEY', 'PGP SIGNATURE'])}-----\n{lines(rng.randrange(2, 12))}\n-----END CERTIFICATE-----",
+        lambda: f"etag {hexes(rng.choice([32, 40]))}", lambda: f"https://{pick()}.org/{mixed(28)}",
     ]
     out = []
     for i in range(n):
         good = i % 2 == 0
         lead = " ".join(pick() for _ in range(rng.randrange(1, 4)))
-        path = rng.choice(["src/app.py", "web", "src0", "crawl", "config/prod.env"] * 3 + ["tests/fixture.py", "docs/example.md"])
-        out.append((f"{lead} {rng.choice(true if good else false)()} {pick()} {pick()}", path, int(good)))
+        value = rng.choice(true if good else false)()
+        path = rng.choice(["src/app.py", "web", "src0", "crawl", "lib/util.js", "config/prod.env", "deploy/values.yml"])
+        if good and rng.random() < 0.2:  # a real-looking value that its place or its words call a stand-in
+            good = False
+            if rng.random() < 0.5:
+                path = rng.choice(["tests/fixture.py", "docs/example.md", "spec/mock_auth.rb", "samples/demo.cfg"])
+            else:
+                lead += " " + rng.choice(["example", "dummy", "fake", "sample", "placeholder", "redacted"])
+        out.append((f"{lead} {value} {pick()} {pick()}", path, int(good)))
     return out
 
 
@@ -219,12 +239,26 @@ def train_forest(findings: Sequence[tuple[str, str, int]], p: ForestParams = For
     return fit_forest(np.array(x), np.array(y, float), p)
 
 
+@lru_cache(maxsize=1)
+def default_forest() -> Forest:
+    """The forest of the invented findings."""
+    return train_forest(labelled_findings())
+
+
+def scored_findings(text: str, path: str = "", p: ForestParams = ForestParams()) -> list[tuple[int, int, str, float]]:
+    """``(start, end, kind, score)`` of every candidate of one text, by the default forest."""
+    found = finding_features(text, path, p, dictionary())
+    scores = default_forest().scores(np.array([x for *_, x in found])) if found else []
+    return [(a, b, kind, float(s)) for (a, b, kind, _), s in zip(found, scores, strict=True)]
+
+
 def scan_secrets(
     docs: DataFrame, forest: Forest | None = None, path_col: str | None = None, p: ForestParams = ForestParams(), vocabulary: str | None = None
 ) -> DataFrame:
     """``(doc_id, start, length, kind, secret_sha256, score)`` of every candidate of the whole texts, kept or not.
 
-    Positions are code points. Null and empty texts have no candidates; repeated rows give their findings again. A
+    Positions are code points. Null and empty texts have no candidates; repeated rows give their findings again; an
+    empty table gives no rows. Very long texts are scanned whole, and a candidate has no greatest length. A
     finding is kept if its score reaches ``p.threshold``. The secret itself is not written, only its digest.
     """
     forest = forest or train_forest(labelled_findings(), p, vocabulary)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalis.llm.common import bucket_edges, connected_components, fields, hex16, materialize
+from fiscalis.llm.common import bucket_edges, connected_components, fields, fresh, hex16, materialize
 from fiscalis.llm.lines import jaccard_forest
 from fiscalis.llm.substring import _keyed, _mixed
 
@@ -238,9 +238,10 @@ def near_duplicate_groups(docs: DataFrame, p: NearDupParams = NearDupParams(), l
 def drop_near_duplicates(docs: DataFrame, p: NearDupParams = NearDupParams()) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the first by id; all columns are passed on."""
     groups = near_duplicate_groups(docs, p)
-    stay = groups.filter("dk = group_dk and tkey = group_tkey").select(F.col("dk").alias("__dk"), F.col("tkey").alias("__tkey"))
-    kept = _keyed(docs, carry=True).join(stay, ["__dk", "__tkey"], "left_semi")
-    return kept.dropDuplicates(["__dk", "__tkey"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    at = (fresh(docs.columns, "dk"), fresh(docs.columns, "tkey"))
+    stay = groups.filter("dk = group_dk and tkey = group_tkey").select(F.col("dk").alias(at[0]), F.col("tkey").alias(at[1]))
+    kept = _keyed(docs, carry=at).join(stay, list(at), "left_semi")
+    return kept.dropDuplicates(list(at)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_simhash_neardup(spark, sf_dir: str) -> DataFrame:

@@ -98,15 +98,15 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(_unplanes(data[1:], "<u8" if data[:1] == b"8" else "<u4").astype(np.uint64), dtype=np.uint64)
 
 
-def _keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
+def _keyed(docs: DataFrame, carry: tuple[str, str] | None = None) -> DataFrame:
     """``dk`` the id (null: below all others), ``tkey`` a hash of the text, ``text`` bytes (null: empty).
 
-    With ``carry``: all columns of ``docs``, and the first two as ``__dk, __tkey``.
+    With ``carry``: all columns of ``docs``, and the first two under the two names given. Ids are integers.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     dk, tkey = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64(text)
     if carry:
-        return docs.select("*", dk.alias("__dk"), tkey.alias("__tkey"))
+        return docs.select("*", dk.alias(carry[0]), tkey.alias(carry[1]))
     return docs.select(dk.alias("dk"), tkey.alias("tkey"), text.alias("text"))
 
 

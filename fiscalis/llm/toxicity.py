@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalis.llm.common import fields
+from fiscalis.llm.common import fields, fresh, place
 
 #: A-Z to a-z, other ASCII characters than letters and digits to spaces, bytes of other scripts unchanged.
 _FOLD = bytes(
@@ -26,15 +26,20 @@ _FOLD = bytes(
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    """``max_train_rows`` bounds the labelled sample, ``max_terms`` the terms that carry weights, hence the model."""
+    """``max_train_rows`` bounds the labelled sample, ``max_terms + max_pair_terms`` the terms that carry weights."""
 
     bits: int = 20
     factors: int = 8
     max_train_rows: int = 8_000
     max_terms: int = 4096
+    pair_terms: int = 2048
+    max_pair_terms: int = 512
     min_docs: int = 8
     min_chi2: float = 20.0
-    epochs: int = 30
+    min_pair: float = 40.0
+    epochs: int = 40
+    spread: float = 0.01
+    lead: float = 0.3
     batch: int = 64
     rate: float = 0.1
     l2: float = 1e-4
@@ -65,8 +70,14 @@ def term_slots(text: bytes | None, bits: int) -> np.ndarray:
     return np.unique(np.concatenate(found)).astype(np.int64) if found else np.empty(0, np.int64)
 
 
-def informative(rows: list[np.ndarray], labels: np.ndarray, p: ToxicityParams) -> np.ndarray:
-    """The terms whose presence tells about the label (chi-square), ``p.max_terms`` of them at most, ascending."""
+def informative(rows: list[np.ndarray], labels: np.ndarray, p: ToxicityParams) -> tuple[np.ndarray, np.ndarray]:
+    """The terms that tell about the label alone or together with another, ascending, and first factors of them.
+
+    Alone: chi-square of the presence, the best ``p.max_terms``. Together: the score test of a product of two centred
+    presences beyond the additive part, over all pairs of the ``p.pair_terms`` terms of the greatest variance, the
+    best ``p.max_pair_terms``. The leading directions of the signed pairs that pass are the first factors, of length
+    ``p.lead`` at most, so that the fit does not wait for chance to find an interaction of terms that tell nothing alone.
+    """
     size = 1 << p.bits
     with_term, toxic = np.zeros(size), np.zeros(size)
     for row, y in zip(rows, labels, strict=True):
@@ -77,7 +88,37 @@ def informative(rows: list[np.ndarray], labels: np.ndarray, p: ToxicityParams) -
     spread = np.maximum(with_term * (n - with_term) * n1 * (n - n1), 1)
     chi2 = np.where(with_term >= p.min_docs, n * gap * gap / spread, 0)
     top = np.argsort(-chi2, kind="stable")[: p.max_terms]
-    return np.sort(top[chi2[top] >= p.min_chi2])
+    alone = top[chi2[top] >= p.min_chi2]
+    able = np.flatnonzero((with_term >= p.min_docs) & (with_term <= n - p.min_docs))
+    able = np.sort(able[np.argsort(-np.minimum(with_term[able], n - with_term[able]), kind="stable")[: p.pair_terms]])
+    if not len(able) or not 0 < n1 < n:
+        return np.sort(alone), np.zeros((len(alone), p.factors))
+    share, rest = (with_term[able] / n).astype(np.float32), (labels - labels.mean()).astype(np.float32)
+    moved, squares = np.zeros((len(able), len(able)), np.float32), np.zeros((len(able), len(able)), np.float32)
+    for at in range(0, n, 1024):
+        part = rows[at : at + 1024]
+        x = np.zeros((len(part), len(able)), np.float32)
+        for i, row in enumerate(part):
+            x[i, np.searchsorted(able, row[np.isin(row, able, assume_unique=True)])] = 1
+        x -= share
+        moved += x.T @ (x * rest[at : at + 1024, None])
+        x *= x
+        squares += x.T @ x
+    moved /= np.sqrt(np.maximum(squares * np.float32(labels.var()), 1e-6))
+    np.fill_diagonal(moved, 0)
+    best = np.abs(moved).max(axis=0)
+    told = np.sort(np.argsort(-best, kind="stable")[: p.max_pair_terms])
+    told = told[best[told] >= p.min_pair**0.5]
+    slots = np.union1d(alone, able[told])
+    first = np.zeros((len(slots), p.factors))
+    if len(told):
+        signed = moved[np.ix_(told, told)]
+        values, vectors = np.linalg.eigh(np.where(np.abs(signed) >= p.min_pair**0.5, signed, 0))
+        k = min(p.factors, int((values > 0).sum()))
+        lead = vectors[:, ::-1][:, :k] * np.sqrt(values[::-1][:k])
+        lead *= p.lead / max(1e-9, float(np.sqrt((lead * lead).sum(axis=1)).max()))
+        first[np.searchsorted(slots, able[told]), :k] = lead
+    return slots, first
 
 
 @dataclass
@@ -110,10 +151,10 @@ def fit_fm(rows: list[np.ndarray], labels: np.ndarray, p: ToxicityParams) -> Fac
     """Adagrad over mini-batches, log loss. Without both labels the machine has a bias only."""
     share = (labels.sum() + 0.5) / (len(labels) + 1)
     bias = float(np.log(share / (1 - share)))
-    slots = informative(rows, labels, p) if len(rows) else np.empty(0, np.int64)
+    slots, first = informative(rows, labels, p) if len(rows) else (np.empty(0, np.int64), np.zeros((0, p.factors)))
     rng = np.random.default_rng(p.seed)
     n = len(slots)
-    w, v = np.zeros(n), rng.normal(0, 0.01, (n, p.factors))
+    w, v = np.zeros(n), first + rng.normal(0, p.spread, (n, p.factors))
     if not n or labels.min(initial=0) == labels.max(initial=0):
         return FactorizationMachine(slots, bias, w.astype(np.float32), np.zeros((n, p.factors), np.float32))
     where = [np.searchsorted(slots, r[np.isin(r, slots, assume_unique=True)]) for r in rows]
@@ -141,7 +182,7 @@ def fit_fm(rows: list[np.ndarray], labels: np.ndarray, p: ToxicityParams) -> Fac
                 v[used, k] -= p.rate * len(part) ** 0.5 * pull / np.sqrt(gv[used, k])
             g = float(err.sum())
             gb += g * g * len(part) ** 2
-            bias -= p.rate * g / gb**0.5
+            bias -= p.rate * len(part) ** 0.5 * g / gb**0.5
     return FactorizationMachine(slots, bias, w.astype(np.float32), v.astype(np.float32))
 
 
@@ -194,7 +235,7 @@ def score_toxicity(
     bits = p.bits
     keep = [c for c in docs.columns if c.lower() != score_col.lower()]
     kept = docs.select(*[F.col(f"`{c}`") for c in keep]).withColumn(score_col, F.lit(0.0))
-    at = keep.index("text")
+    at = place(keep, "text")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,8 +256,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityPar
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()) -> DataFrame:
     """``docs`` without the rows that reach the threshold; all columns are passed on."""
-    scored = score_toxicity(docs, train_toxicity(docs, labels, p), p, "__toxicity")
-    return scored.filter(F.col("__toxicity") < p.threshold).drop("__toxicity")
+    name = fresh(docs.columns, "toxicity")
+    scored = score_toxicity(docs, train_toxicity(docs, labels, p), p, name)
+    return scored.filter(F.col(name) < p.threshold).drop(name)
 
 
 def op9_toxicity_fm(spark, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 import hashlib
 import math
 import random
+import time
 from collections import Counter
+from decimal import Decimal
 
 import numpy as np
 import xxhash
@@ -9,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from fiscalis.llm.decontaminate import LeakParams, find_leaks, myers_search, op3_decontamination, words_of
+from fiscalis.llm.decontaminate import LeakIndex, LeakParams, find_leaks, myers_search, op3_decontamination, words_of
 from fiscalis.llm.fingerprint import fingerprint_classes, find_within, op5_document_fingerprints, weighted_fingerprint
 
 
@@ -149,3 +151,19 @@ def test_short_items_are_found_exactly(spark, tmp_path):
     assert got == {(1, 1, 0, 6), (3, 2, 0, 2)}
     kept = corpus_pipeline.decontamination(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
     assert {r.doc_id for r in kept.collect()} == {2, 4}
+
+
+def test_hits_of_one_item_without_end_take_one_pass(spark):
+    item = [f"q{i}" for i in range(20)]
+    index = LeakIndex([(1, item)], 0.1)
+    text = " ".join(item[:10] * 20_000)
+    began = time.time()
+    assert index.leaks(text) == [] and index.leaks(text + " " + " ".join(item[10:])) == [(0, 0, 200_010)]
+    assert time.time() - began < 5
+
+
+def test_item_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("d1", "one two three four"), (None, "three")], "doc_id string, text string")
+    for kind, ids in (("decimal(10,2)", [Decimal("1.50"), Decimal("2.00")]), ("string", ["x", "y"]), ("binary", [bytearray(b"x"), bytearray(b"y")])):
+        bench = spark.createDataFrame([(ids[0], "two three"), (ids[1], "five")], f"item_id {kind}, text string")
+        assert [(r.doc_id, r.item_id) for r in find_leaks(docs, bench, LeakParams(short=True)).collect()] == [("d1", ids[0])]

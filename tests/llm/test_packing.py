@@ -118,3 +118,14 @@ def test_rank_encoder_equals_the_tokenizer_file(text):
 def test_rank_encoder_on_documents(spark, sf):
     for r in spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select(F.col("text")).collect():
         assert list(ENCODE(r.text)) == list(PLAIN(r.text))
+
+
+@pytest.mark.parametrize("text", [" " * 5_000_000, "a" * 5_000_000, "x" + "\n" * 1_000_000 + "y", "é" * 400_000])
+def test_long_runs_are_tokenised_as_by_the_file(text):
+    assert list(ENCODE(text)) == list(PLAIN(text))
+
+
+def test_long_runs_are_packed(spark):
+    texts = {1: " " * 1_500_000, 2: "b" * 1_500_000, 3: "short"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check(pack_documents(docs).collect(), texts)

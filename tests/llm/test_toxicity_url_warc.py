@@ -5,7 +5,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from fiscalis.llm.toxicity import ToxicityParams, fit_fm, op9_toxicity_fm, term_slots, toxicity
+from fiscalis.llm.toxicity import FactorizationMachine, ToxicityParams, fit_fm, op9_toxicity_fm, term_slots, toxicity
 from fiscalis.llm.urlfilter import LABELLED_URLS, Rule, filter_urls, op7_url_filter, train_urls
 from fiscalis.llm.warc import SQL_OP10, op10_warc_revisits, read_archives, resolve_read, write_archives
 
@@ -25,9 +25,19 @@ def test_toxicity_held_out_accuracy(spark):
     assert np.mean([(b > g) + 0.5 * (b == g) for b in bad for g in good]) > 0.95
 
 
-def test_toxicity_learns_an_interaction_that_is_not_additive():
-    rng = np.random.default_rng(3)
-    p = ToxicityParams(max_terms=64, epochs=60, l2=0.0, min_chi2=0.0)
+def test_scores_equal_the_sum_over_pairs():
+    rng = np.random.default_rng(1)
+    fm = FactorizationMachine(np.array([3, 5, 9, 11]), 0.3, rng.normal(size=4), rng.normal(size=(4, 3)))
+    for row in ([], [3], [5, 9], [3, 4, 5, 9, 11, 12]):
+        at = [i for i, s in enumerate(fm.slots.tolist()) if s in row]
+        want = 0.3 + sum(fm.w[i] for i in at) + sum(float(fm.v[i] @ fm.v[j]) for i in at for j in at if i < j)
+        assert abs(fm.margins([np.array(row, np.int64)])[0] - want) < 1e-9
+
+
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_toxicity_learns_an_interaction_that_is_not_additive(seed):
+    rng = np.random.default_rng(seed)
+    p = ToxicityParams()
     a, b = term_slots(b"aaaa", p.bits), term_slots(b"bbbb", p.bits)
     fill = [term_slots(f"word{i}".encode(), p.bits) for i in range(3)]
     rows, y = [], []
@@ -35,7 +45,7 @@ def test_toxicity_learns_an_interaction_that_is_not_additive():
         x, z = (rng.random(2) < 0.5).tolist()
         parts = [a] * x + [b] * z + [fill[i % 3]]
         rows.append(np.unique(np.concatenate(parts)))
-        y.append(float(x == z))
+        y.append(float(x == z if seed % 2 else x != z))
     fm = fit_fm(rows, np.array(y), p)
     assert ((fm.scores(rows) >= 0.5) == np.array(y, bool)).mean() > 0.95
 
