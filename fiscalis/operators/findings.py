@@ -9,22 +9,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fiscalis.functions.text import any_match, count_matches, regex, stable_id, text_or_empty
+from fiscalis.functions.text import any_match, count_matches, low_regex, pinned, regex, stable_id, text_or_empty
 from fiscalis.rules import tables as T
 
 
-def labels_of(col: Column, rules: tuple[tuple[str, tuple[str, ...]], ...]) -> Column:
-    """Array of the labels with a matching pattern, in table order."""
-    return F.array_compact(F.array(*[F.when(any_match(col, p), F.lit(name)) for name, p in rules]))
+def labels_of(low: Column, rules: tuple[tuple[str, tuple[str, ...]], ...]) -> Column:
+    """Array of the labels with a pattern that matches a text in lower case, in table order."""
+    return F.array_compact(F.array(*[F.when(any_match(low, p), F.lit(name)) for name, p in rules]))
 
 
 def enforcement(text: Column) -> Column:
     """Follow-up actions named in a text."""
-    return labels_of(text_or_empty(text), T.ENFORCEMENT_RULES)
+    return labels_of(F.lower(text_or_empty(text)), T.ENFORCEMENT_RULES)
 
 
 def roles(text: Column) -> Column:
-    return labels_of(text_or_empty(text), tuple((name, (p,)) for name, p in T.ROLE_RULES))
+    return labels_of(F.lower(text_or_empty(text)), tuple((name, (p,)) for name, p in T.ROLE_RULES))
 
 
 def datasets(text: Column) -> Column:
@@ -86,9 +86,9 @@ def assess_risk(df: DataFrame, text: str, has_amount: Column, actions: str = "en
 
 def irregularities(text: Column) -> Column:
     """``array<struct<code, label, family, weight>>`` of a text, in table order."""
-    t = text_or_empty(text)
+    low = F.lower(text_or_empty(text))
     rows = [
-        F.when(any_match(t, p), F.struct(F.lit(code).alias("code"), F.lit(label).alias("label"), F.lit(family).alias("family"), F.lit(weight).alias("weight")))
+        F.when(any_match(low, p), F.struct(F.lit(code).alias("code"), F.lit(label).alias("label"), F.lit(family).alias("family"), F.lit(weight).alias("weight")))
         for code, label, family, weight, p in T.IRREGULARITY_RULES
     ]
     return F.array_compact(F.array(*rows))
@@ -142,7 +142,7 @@ def hypotheses(df: DataFrame, text: str, amount: str, codes: str = "irregularity
     low = F.lower(text_or_empty(F.col(text)))
     acts = F.col(actions)
     of = lambda names: F.arrays_overlap(F.col(codes), F.array(*[F.lit(n) for n in names]))
-    has = lambda p: low.rlike(regex(p))
+    has = lambda p: low.rlike(low_regex(p))
     flags = F.struct(
         of(SPENDING).alias("t0"),
         (F.array_contains(codes, "PUBLIC_FUNDS_MISUSE") | has(MALVERSATION)).alias("t1"),
@@ -184,10 +184,11 @@ def classify(findings: DataFrame, text: str = "description", amount: str = "amou
 
     In steps of one projection each, so that generated methods stay small and no pattern is tried twice.
     """
-    t, a = F.col(text), F.col(amount)
-    out = findings.withColumn("enforcement", enforcement(t)).withColumn("irregular", irregularities(t))
+    low, a = F.col("__low"), F.col(amount)
+    out = findings.withColumn("__low", pinned(F.lower(text_or_empty(F.col(text)))))
+    out = out.withColumn("enforcement", enforcement(low)).withColumn("irregular", irregularities(low))
     out = out.withColumn("irregularity_codes", F.transform("irregular", lambda x: x["code"]))
-    out = hypotheses(assess_risk(out, text, a.isNotNull()), text, amount)
+    out = hypotheses(assess_risk(out, "__low", a.isNotNull()), "__low", amount).drop("__low")
     out = out.withColumn("cgr_score", audit_score(F.col("irregular"), F.col("enforcement"), a))
     out = out.withColumn("penal_score", F.coalesce(F.array_max(F.transform("hypotheses", lambda x: x["score"])), F.lit(0)))
     out = out.withColumn("penal_relevance", relevance(F.col("penal_score")))
@@ -223,12 +224,12 @@ def alert_matches(classified: DataFrame, text: str = "description") -> DataFrame
     ``match_basis``: first matches, distinct and sorted, 120 characters and 8 entries at most.
     """
     labels = F.array_join(F.array_sort(F.array_distinct(F.transform("irregular", lambda x: x["label"]))), " ")
-    base = classified.withColumn("__t", F.concat_ws(" ", text_or_empty(F.col(text)), labels))
+    base = classified.withColumn("__t", F.concat_ws(" ", text_or_empty(F.col(text)), labels)).withColumn("__l", pinned(F.lower("__t")))
     rows = []
     for code, label, _, origin, patterns in T.ALERT_PATTERNS:
-        basis = F.array_compact(F.array(*[F.when(F.col("__t").rlike(regex(p)), F.substring(F.regexp_extract("__t", regex(p), 0), 1, 120)) for p in patterns]))
+        basis = F.array_compact(F.array(*[F.when(F.col("__l").rlike(low_regex(p)), F.substring(F.regexp_extract("__t", regex(p), 0), 1, 120)) for p in patterns]))
         rows.append(F.struct(F.lit(code).alias("pattern_code"), F.lit(label).alias("pattern_label"), F.lit(origin).alias("origin"), basis.alias("found")))
-    out = base.select("finding_id", "document_id", "cgr_score", F.explode(F.array(*rows)).alias("m")).select("finding_id", "document_id", "cgr_score", "m.*").filter(F.size("found") > 0)
+    out = base.select("finding_id", "document_id", "cgr_score", F.explode_outer(F.array(*rows)).alias("m")).select("finding_id", "document_id", "cgr_score", "m.*").filter(F.size("found") > 0)
     score = F.least(F.lit(100), F.lit(40) + F.size("found") * 14)
     score = F.when(F.col("cgr_score") >= 75, F.least(F.lit(100), score + 8)).otherwise(score)
     out = out.withColumn("score", score).withColumn("match_basis", F.slice(F.array_sort(F.array_distinct("found")), 1, 8))

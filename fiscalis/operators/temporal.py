@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fiscalis.functions.dates import MONTHS, document_date, iso_date, month_end, month_number
-from fiscalis.functions.text import normalize_ws, text_or_empty
+from fiscalis.functions.text import bound, normalize_ws, pinned, text_or_empty
 from fiscalis.rules.tables import FUTURE_WORDS, NORMATIVE_WORDS
 
+# Patterns, precisions and confidences of the steps, and the radius of the context.
 _MONTH = "|".join(m for m, _ in MONTHS)
 _DAY_TEXT = rf"(\d{{1,2}})\s+de\s+({_MONTH})(?:\s+de\s+(\d{{4}}))?"
 _DAY_NUM = r"(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
@@ -27,12 +28,14 @@ def _group(t: Column, pattern: str, i: int) -> Column:
     return F.regexp_extract(t, pattern, i)
 
 
-def context(t: Column, pattern: str) -> Column:
-    """Lower-cased text around the first match of a pattern."""
-    at = F.regexp_instr(t, F.lit(pattern))
-    left = F.greatest(at - _RADIUS, F.lit(1))
-    end = F.least(F.length(t), at - 1 + F.length(_group(t, pattern, 0)) + _RADIUS)
-    return F.lower(F.substring(t, left, end - left + 1))
+def context(t: Column, match: Column, pattern: str) -> Column:
+    """Lower-cased text around ``match``, the first match of a pattern."""
+
+    def cut(at: Column) -> Column:
+        left = F.greatest(at - _RADIUS, F.lit(1))
+        return F.substring(t, left, F.least(F.length(t), at - 1 + F.length(match) + _RADIUS) - left + 1)
+
+    return F.lower(bound(F.regexp_instr(t, F.lit(pattern)), cut))
 
 
 def _has(c: Column, words: tuple[str, ...]) -> Column:
@@ -55,16 +58,17 @@ class Step:
     words: tuple[str, ...] = ()
 
     def apply(self, t: Column, prefix: str) -> Column:
+        """The step's interval; the text is searched once, the groups are read from the short match."""
         p = f"(?iuU){self.pattern}"
-        g = lambda i: _group(t, p, i)
-        lo, hi = self.ends(g)
-        ok = t.rlike(p) & (lo != "") & (hi != "")
-        around = context(t, p)
         banned = (NORMATIVE_WORDS if self.normative else ()) + (FUTURE_WORDS if self.future else ()) + self.words
-        if banned:
-            ok = ok & ~_has(around, banned)
-        basis = F.substring(normalize_ws(F.concat(F.lit(f"{prefix}: "), g(0))), 1, 220)
-        return F.when(ok, _interval(lo, hi, F.lit(self.precision), basis, F.lit(self.confidence)))
+
+        def judged(m: Column) -> Column:
+            lo, hi = self.ends(lambda i: _group(m, p, i))
+            basis = F.substring(normalize_ws(F.concat(F.lit(f"{prefix}: "), m)), 1, 220)
+            found = F.when((lo != "") & (hi != ""), _interval(lo, hi, F.lit(self.precision), basis, F.lit(self.confidence)))
+            return F.when((m != "") & ~bound(context(t, m, p), lambda c: _has(c, banned)), found)
+
+        return bound(_group(t, p, 0), judged)
 
 
 def _interval(lo: Column, hi: Column, precision: Column, basis: Column, confidence: Column) -> Column:
@@ -117,29 +121,31 @@ LATE_STEPS = (
 def _decree(t: Column, prefix: str) -> Column:
     """The day of a decree, if the text repeats it as a day of the year at hand."""
     p = rf"(?iuU)\bdecreto\b.{{0,100}}?\bde\s+{_DAY_TEXT}"
-    d, m, y = (_group(t, p, i) for i in (1, 2, 3))
+    return bound(_group(t, p, 0), lambda found: F.when(found != "", _repeated_day(t, found, p, prefix)))
+
+
+def _repeated_day(t: Column, found: Column, p: str, prefix: str) -> Column:
+    d, m, y = (_group(found, p, i) for i in (1, 2, 3))
     # the repeated day is found by collecting all such days and looking for this one
     again = F.regexp_extract_all(F.lower(t), F.lit(rf"(?iuU)\bd[ií]a\s+(\d{{1,2}}\s+de\s+(?:{_MONTH}))\s+de\s+la\s+presente\s+anualidad"), F.lit(1))
     again = F.transform(again, lambda x: F.regexp_replace(x, r"\s+", " "))
     day = iso_date(y, month_number(m), d)
-    ok = t.rlike(p) & (y != "") & (day != "") & F.array_contains(again, F.concat_ws(" ", d, F.lit("de"), F.lower(m)))
+    ok = (y != "") & (day != "") & F.array_contains(again, F.concat_ws(" ", d, F.lit("de"), F.lower(m)))
     basis = F.concat(F.lit(f"{prefix}: fecha del acto coincidente con día del hecho ("), d, F.lit(" de "), m, F.lit(" de "), y, F.lit(")"))
     return F.when(ok, _interval(day, day, F.lit("EXACT"), F.substring(normalize_ws(basis), 1, 220), F.lit(0.94)))
 
 
-def pinned(col: Column) -> Column:
-    """A column that the optimizer neither copies into filters nor merges into later projections.
+def infer(text: Column, prefix: str = "FINDING_TEXT") -> Column:
+    """Interval of a text as a struct of :data:`FIELDS`, null without evidence.
 
-    The cascade is a large expression; a filter on its result would otherwise evaluate it again for each mention.
-    Filters on other columns belong before the cascade, since they do not move below it either.
+    All steps need a year, so texts without four digits in a row are not searched; the first interval ends the search.
     """
-    return F.when(F.monotonically_increasing_id() >= 0, col)
 
+    def cascade(t: Column) -> Column:
+        steps = [*[s.apply(t, prefix) for s in STEPS], _decree(t, prefix), *[s.apply(t, prefix) for s in LATE_STEPS]]
+        return F.when(t.rlike(r"(?U)\d{4}"), F.coalesce(*steps))
 
-def infer(text: Column, prefix: str = "FINDING_TEXT") -> Column:
-    """Interval of a text as a struct of :data:`FIELDS`, null without evidence."""
-    t = normalize_ws(text)
-    return F.coalesce(*[s.apply(t, prefix) for s in STEPS], _decree(t, prefix), *[s.apply(t, prefix) for s in LATE_STEPS])
+    return bound(normalize_ws(text), cascade)
 
 
 def objective(raw: Column) -> Column:

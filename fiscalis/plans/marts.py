@@ -89,7 +89,8 @@ def region_profiles(classified: DataFrame) -> DataFrame:
 
 def top_labels(df: DataFrame, group: str, labels: str, n: int) -> DataFrame:
     """``(group, code, n, rank)``: the most frequent labels of each group, ties by first encounter in finding order."""
-    each = df.select(group, "finding_id", F.posexplode(labels).alias("pos", "code"))
+    # outer, then filtered: an inner explode would have its array computed again by an inferred filter
+    each = df.select(group, "finding_id", F.posexplode_outer(labels).alias("pos", "code")).filter("code is not null")
     counts = each.groupBy(group, "code").agg(F.count("*").alias("n"), F.min(F.struct("finding_id", "pos")).alias("first"))
     w = Window.partitionBy(group).orderBy(F.desc("n"), "first")
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).drop("first")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fiscalis.queries import joins, rules, scalars, state
+from fiscalis.queries import joins, landing, rules, scalars, state
 
-QUERIES = scalars.QUERIES | rules.QUERIES | joins.QUERIES | state.QUERIES
-SQL = scalars.SQL | rules.SQL | joins.SQL | state.SQL
+QUERIES = scalars.QUERIES | rules.QUERIES | landing.QUERIES | joins.QUERIES | state.QUERIES
+SQL = scalars.SQL | rules.SQL | landing.SQL | joins.SQL | state.SQL

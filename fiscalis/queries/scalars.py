@@ -206,14 +206,21 @@ def _occurrence(spark, sf):
     return temporal.with_occurrence(findings(spark, sf), doc_date=None)
 
 
+def _words(col: str, words: tuple[str, ...]) -> str:
+    return " or ".join(f"contains({col}, '{x}')" for x in words)
+
+
+# a refused range leaves its first day to the step of single days, whose context begins elsewhere
 _OCC = f"""with f as (select finding_id, organization_id, o_orderkey % 11 as k, lower(trim(description)) as t from ({finding_sql('duckdb')})),
 m as (select *, case k when 1 then 'durante el año 2019' when 2 then 'en marzo de 2020' when 3 then 'el día 5 de mayo de 2018' when 4 then 'entre el 1 de enero de 2017 y el 30 de junio de 2018' when 6 then 'con fecha 12/03/2019' when 7 then 'en los años 2015 y 2016' when 10 then 'al 31 de diciembre de 2016' end as hit from f),
 w as (select *, substr(t, greatest(1, strpos(t, hit) - 85), len(hit) + 85 + least(85, strpos(t, hit) - 1)) as around from m),
-g as (select *, hit is not null and not ({' or '.join(f"contains(around, '{x}')" for x in T.NORMATIVE_WORDS)}) and not (k in (3, 6, 10) and ({' or '.join(f"contains(around, '{x}')" for x in T.FUTURE_WORDS)})) as ok from w),
+g as (select *, hit is not null and not ({_words('around', T.NORMATIVE_WORDS)}) and not (k in (3, 6, 10) and ({_words('around', T.FUTURE_WORDS)})) as first_ok from w),
+v as (select *, case when k = 4 and not first_ok then substr(t, greatest(1, strpos(t, 'el 1 de enero de 2017') - 85), 21 + 85 + least(85, strpos(t, 'el 1 de enero de 2017') - 1)) end as day_around from g),
+u as (select *, day_around is not null and not ({_words('day_around', T.NORMATIVE_WORDS + T.FUTURE_WORDS)}) as day_ok from v),
 o as (select finding_id, organization_id,
- case when not ok then '' else case k when 1 then '2019-01-01' when 2 then '2020-03-01' when 3 then '2018-05-05' when 4 then '2017-01-01' when 6 then '2019-03-12' when 7 then '2015-01-01' when 10 then '2016-12-31' end end as date_from,
- case when not ok then '' else case k when 1 then '2019-12-31' when 2 then '2020-03-31' when 3 then '2018-05-05' when 4 then '2018-06-30' when 6 then '2019-03-12' when 7 then '2016-12-31' when 10 then '2016-12-31' end end as date_to,
- case when not ok then 'UNKNOWN' else case k when 1 then 'YEAR' when 2 then 'MONTH' when 3 then 'EXACT' when 4 then 'RANGE' when 6 then 'EXACT' when 7 then 'YEAR_RANGE' when 10 then 'AS_OF_DATE' end end as precision from g)"""
+ case when day_ok then '2017-01-01' when not first_ok then '' else case k when 1 then '2019-01-01' when 2 then '2020-03-01' when 3 then '2018-05-05' when 4 then '2017-01-01' when 6 then '2019-03-12' when 7 then '2015-01-01' when 10 then '2016-12-31' end end as date_from,
+ case when day_ok then '2017-01-01' when not first_ok then '' else case k when 1 then '2019-12-31' when 2 then '2020-03-31' when 3 then '2018-05-05' when 4 then '2018-06-30' when 6 then '2019-03-12' when 7 then '2016-12-31' when 10 then '2016-12-31' end end as date_to,
+ case when day_ok then 'EXACT' when not first_ok then 'UNKNOWN' else case k when 1 then 'YEAR' when 2 then 'MONTH' when 3 then 'EXACT' when 4 then 'RANGE' when 6 then 'EXACT' when 7 then 'YEAR_RANGE' when 10 then 'AS_OF_DATE' end end as precision from u)"""
 
 
 @query("occurrence_cascade", f"{_OCC} select finding_id, date_from, date_to, precision from o")

@@ -34,6 +34,22 @@ DATES = (
 )
 
 
+def registry():
+    """A module's queries, their SQL, and the decorator that adds a query with its SQL (None: not expressible)."""
+    queries, sqls = {}, {}
+
+    def query(name: str, sql: str | None):
+        def add(f):
+            queries[name] = f
+            if sql:
+                sqls[name] = sql
+            return f
+
+        return add
+
+    return queries, sqls, query
+
+
 def _pick(expr: str, values: tuple[str, ...]) -> str:
     cases = " ".join(f"when {i} then '{v}'" for i, v in enumerate(values))
     return f"(case cast({expr} as int) {cases} end)"

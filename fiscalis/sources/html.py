@@ -8,10 +8,12 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from fiscalis.functions.text import text_or_empty
 
 _SILENT = {"script", "style", "template", "noscript"}
+_HEADINGS = {"h1", "h2", "h3", "h4"}
 _BLOCKS = {"article", "li", "tr", "h2", "h3", "h4", "p", "a"}
 
 
@@ -34,6 +36,8 @@ class _Reader(HTMLParser):
         self.cell: list[str] | None = None
         self.blocks: list[tuple[str, list[str], list[str]]] = []
         self.open_blocks: list[tuple[str, int]] = []
+        self.headings: list[tuple[str, list[str]]] = []
+        self.in_heading = ""
 
     def handle_starttag(self, tag, attrs):
         if tag in _SILENT:
@@ -47,6 +51,9 @@ class _Reader(HTMLParser):
         if tag in _BLOCKS:
             self.blocks.append((tag, [], [href] if tag == "a" and href else []))
             self.open_blocks.append((tag, len(self.blocks) - 1))
+        if tag in _HEADINGS:
+            self.headings.append((tag, []))
+            self.in_heading = tag
         if tag == "table":
             self.tables.append([])
             self.open_tables.append(len(self.tables) - 1)
@@ -65,6 +72,8 @@ class _Reader(HTMLParser):
             self.open_tables.pop()
         if tag in ("td", "th"):
             self.cell = None
+        if tag == self.in_heading:
+            self.in_heading = ""
         if tag in _BLOCKS:
             for k in range(len(self.open_blocks) - 1, -1, -1):
                 if self.open_blocks[k][0] == tag:
@@ -75,6 +84,8 @@ class _Reader(HTMLParser):
         if self.silent or not data.strip():
             return
         self.texts.append(data)
+        if self.in_heading:
+            self.headings[-1][1].append(data)
         for i in self.open_links:
             self.links[i][1].append(data)
         if self.cell is not None:
@@ -128,3 +139,30 @@ def blocks(df: DataFrame, key: str, html: str = "html") -> DataFrame:
     """``(key, pos, tag, text, href)`` of block elements, with the first link inside (or their own)."""
     each = lambda r: [(n, tag, _ws(t), h[0] if h else "") for n, (tag, t, h) in enumerate(r.blocks)]
     return _rows(df, key, html, each, {"pos": "int", "tag": "string", "text": "string", "href": "string"})
+
+
+def _pairs(*names: str) -> ArrayType:
+    return ArrayType(StructType([StructField(n, StringType()) for n in names]))
+
+
+@F.pandas_udf(_pairs("href", "text"))
+def anchors(html: pd.Series) -> pd.Series:
+    """Links of a page in document order, as one array: what follows needs no shuffle."""
+    return html.map(lambda h: [{"href": href, "text": _ws(text)} for href, text in read(h).links])
+
+
+@F.pandas_udf(StringType())
+def text_of(html: pd.Series) -> pd.Series:
+    """Visible text of a page: text nodes joined by line ends."""
+    return html.map(lambda h: "\n".join(x.strip() for x in read(h).texts))
+
+
+@F.pandas_udf(_pairs("tag", "text"))
+def headings(html: pd.Series) -> pd.Series:
+    """Headings h1 to h4 of a page in document order."""
+    return html.map(lambda h: [{"tag": tag, "text": _ws(text)} for tag, text in read(h).headings])
+
+
+def first_heading(found: Column, *tags: str) -> Column:
+    """Text of the first heading of one of ``tags`` in what :func:`headings` gives, else empty."""
+    return F.coalesce(F.try_element_at(F.filter(found, lambda x: x["tag"].isin(*tags)), F.lit(1))["text"], F.lit(""))
