@@ -78,7 +78,7 @@ def audit_hash(url: Column) -> Column:
 
 def legacy_audit_hash(url: Column) -> Column:
     """As :func:`audit_hash`, else from the legacy ``docIdcm`` parameter with its hyphens."""
-    old = F.regexp_replace(F.lower(F.regexp_extract(text_or_empty(url), r"(?i)docIdcm=([0-9a-f-]{32,40})", 1)), "[^0-9a-f]", "")
+    old = F.regexp_replace(F.lower(F.regexp_extract(text_or_empty(url), r"[?&]docIdcm=([0-9a-fA-F-]{32,40})", 1)), "[^0-9a-f]", "")
     return F.coalesce(F.nullif(audit_hash(url), F.lit("")), F.when(F.length(old) == 32, old), F.lit(""))
 
 

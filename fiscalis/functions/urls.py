@@ -10,7 +10,7 @@ from fiscalis.functions.text import bound, text_or_empty
 
 _SCHEME = r"[A-Za-z][A-Za-z0-9+.-]*:"
 #: Fixed value: the legacy parameter with the 32 digits of an audit.
-LEGACY_ID = r"(?i)docIdcm=([0-9a-f]{32})"
+LEGACY_ID = r"(?i)docIdcm[^0-9a-f]{0,30}([0-9a-f]{32})"
 
 
 def _without_dots(path: Column) -> Column:

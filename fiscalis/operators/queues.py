@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fiscalis.functions.identity import legacy_audit_hash
+from fiscalis.functions.identity import AUDIT_URL, audit_hash, canonical_audit_url, legacy_audit_hash
+from fiscalis.functions.text import missing, text_or_empty
 
 MAX_ATTEMPTS = 4
 
@@ -79,3 +80,88 @@ def merge_collections(registry: DataFrame, found: DataFrame, key: str) -> DataFr
     return registry.join(found.select(key, F.col("collections").alias("__new")), key, "full_outer").withColumn(
         "collections", F.array_sort(F.array_union(F.coalesce("collections", F.array().cast("array<string>")), F.coalesce("__new", F.array().cast("array<string>"))))
     ).drop("__new")
+
+
+#: How a search states its number of results, and what is carried over of a known audit.
+RESULT_COUNT = r"(?iuU)(?:total\s*(?:de)?\s*)?(\d[\d.]*)\s+(?:informes|resultados|registros)"
+CARRIED = ("document_id", "document_date", "document_number", "last_error")
+
+
+def parse_result_count(text: Column) -> Column:
+    """The greatest number of results that a page states, dots between thousands dropped; null without any."""
+    found = F.regexp_extract_all(text_or_empty(text), F.lit(RESULT_COUNT), F.lit(1))
+    return F.array_max(F.transform(found, lambda x: F.replace(x, F.lit("."), F.lit("")).try_cast("int")))
+
+
+def register_hashes(registry: DataFrame, found: DataFrame, channel: str, source: str, now: str) -> DataFrame:
+    """Rows to upsert for the hashes of ``found (audit_hash[, collections])``: what is known of them is carried over.
+
+    Status, attempts, first sight, channel and source stay as they were; new hashes are discovered now. With
+    ``collections`` their union with the known ones is kept, and the first twelve are the source of a new hash.
+    """
+    listed = "collections" in found.columns
+    empty = F.array().cast("array<string>")
+    rows = found.filter(missing(F.col("audit_hash")).isNotNull())
+    rows = rows.groupBy("audit_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("collections")))).alias("__new")) if listed else rows.select("audit_hash").distinct().withColumn("__new", empty)
+    own = ["audit_hash", "status", "attempts", "first_seen", "discovery_channel", "discovery_source", *CARRIED] + (["discovery_collections"] if listed else [])
+    out = rows.join(registry.select(*own), "audit_hash", "left")
+    where = F.array_join(F.slice("__new", 1, 12), ",") if listed else F.lit(source)
+    return out.select(
+        F.concat(F.lit("AUDREG-"), "audit_hash").alias("registry_id"), "audit_hash", F.format_string(AUDIT_URL, F.col("audit_hash")).alias("audit_url"),
+        F.coalesce("status", F.lit("DISCOVERED")).alias("status"), F.coalesce("attempts", F.lit(0)).alias("attempts"),
+        F.coalesce(missing(F.col("first_seen")), F.lit(now)).alias("first_seen"), F.lit(now).alias("last_seen"),
+        F.coalesce(missing(F.col("discovery_channel")), F.lit(channel)).alias("discovery_channel"), F.coalesce(missing(F.col("discovery_source")), where).alias("discovery_source"),
+        *[text_or_empty(F.col(c)).alias(c) for c in CARRIED],
+        *([F.array_sort(F.array_union(F.coalesce("discovery_collections", empty), F.col("__new"))).alias("discovery_collections")] if listed else []),
+    )
+
+
+def sync_documents(registry: DataFrame, documents: DataFrame, now: str) -> DataFrame:
+    """Registry in which every audit with a document is fetched: an outer join by the hash in the document's url.
+
+    A row that was known keeps its first sight, channel, source and attempts; of several documents of one audit the
+    last by id counts.
+    """
+    h = audit_hash(F.col("source_url"))
+    own = documents.withColumn("audit_hash", h).filter("audit_hash <> ''").groupBy("audit_hash").agg(F.max(F.struct("document_id", "document_date", "document_number", "retrieved_at", "source_url")).alias("d"))
+    known = registry.withColumn("__old", F.struct(*registry.columns)).select("audit_hash", "__old")
+    both = known.join(own, "audit_hash", "full_outer")
+    has = F.col("d").isNotNull()
+    url = canonical_audit_url(F.col("d.source_url"))
+    old = lambda c: F.col(f"__old.{c}")
+    first = {
+        "registry_id": F.concat(F.lit("AUDREG-"), "audit_hash"), "audit_url": url, "status": F.lit("FETCHED"), "last_error": F.lit(""), "last_seen": F.lit(now),
+        "document_id": text_or_empty(F.col("d.document_id")), "document_date": text_or_empty(F.col("d.document_date")), "document_number": text_or_empty(F.col("d.document_number")),
+    }
+    later = {"first_seen": F.coalesce(missing(F.col("d.retrieved_at")), F.lit(now)), "discovery_channel": F.lit("EXISTING_DOCUMENT"), "discovery_source": url, "attempts": F.lit(1)}
+    cols = [F.when(has, v).otherwise(old(k)).alias(k) for k, v in first.items()] + [F.coalesce(old(k), v).alias(k) for k, v in later.items()]
+    return both.select("audit_hash", *cols)
+
+
+def scannable_collections(indexes: DataFrame, state: DataFrame, min_year: int, max_year: int, rescan: bool = False, n: int = 0) -> DataFrame:
+    """Index collections of the years to scan next, by id: those not scanned yet, or all; ``n`` at most unless 0."""
+    year = F.regexp_extract("collection_id", r"CC-MAIN-(\d{4})-", 1).try_cast("int")
+    own = indexes.filter(year.between(min_year, max_year))
+    done = state.filter(F.col("status") == "SCANNED").select("collection_id")
+    out = (own if rescan else own.join(done, "collection_id", "left_anti")).orderBy("collection_id")
+    return out.limit(n) if n > 0 else out
+
+
+def collection_state(indexes: DataFrame, hashes: DataFrame, errors: DataFrame, state: DataFrame, now: str) -> DataFrame:
+    """State of the index collections after a scan; those that were not scanned stay as they are.
+
+    ``hashes (collection_id, audit_hash)`` found and ``errors (collection_id, error)`` met, joined in order, 800 characters.
+    """
+    n = hashes.groupBy("collection_id").agg(F.countDistinct("audit_hash").alias("hashes_found"))
+    bad = errors.groupBy("collection_id").agg(F.substring(F.array_join(F.array_sort(F.collect_list("error")), " | "), 1, 800).alias("last_error"))
+    new = indexes.join(n, "collection_id", "left").join(bad, "collection_id", "left")
+    failed = F.col("last_error").isNotNull()
+    new = new.select("collection_id", F.when(failed, "ERROR").otherwise("SCANNED").alias("status"), F.coalesce("hashes_found", F.lit(0)).alias("hashes_found"), F.lit(now).alias("last_scanned"), text_or_empty(F.col("last_error")).alias("last_error"))
+    return state.join(new.select("collection_id"), "collection_id", "left_anti").select(*new.columns).unionByName(new)
+
+
+def window_stats(windows: DataFrame) -> DataFrame:
+    """How many search windows are complete, partial and failed, and the share of the complete."""
+    of = lambda k: F.count_if(F.col("status") == k)
+    out = windows.agg(F.count("*").alias("windows_total"), of("SCANNED").alias("windows_complete"), of("PARTIAL").alias("windows_partial"), of("ERROR").alias("windows_error"))
+    return out.withColumn("window_completion_pct", F.bround(F.lit(100.0) * F.col("windows_complete") / F.greatest(F.col("windows_total"), F.lit(1)), 1))

@@ -133,17 +133,6 @@ def relationship_promotion(spark, sf):
     return interop.promote_relationships(rel, c.unionByName(s), ev).select("o_orderkey", "source_global_id", "target_global_id")
 
 
-_EV = "'Región del Biobío'"
-
-
-@query("fusion_events", "select o_orderkey as event_id, strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00+00:00' as occurred_at, case o_orderkey % 3 when 0 then 'CL-REG-08' when 1 then 'CL-REG-05' end as territory_id from orders")
-def fusion_events(spark, sf):
-    (o,) = tables(spark, sf, "orders")
-    ev = o.select(F.col("o_orderkey").alias("event_id"), F.date_format("o_orderdate", "dd-MM-yyyy").alias("event_date"), F.expr("case o_orderkey % 3 when 0 then 'Región del Biobío' when 1 then 'Valparaíso' else 'Otra' end").alias("region"))
-    out = interop.export_events(ev)
-    return out.select("event_id", "temporal.occurred_at", "attributes.territory_id")
-
-
 @query("array_setops", "select l_orderkey, len(list_distinct(a || b)) as u, len(list_intersect(list_distinct(a), list_distinct(b))) as i, array_to_string(list_sort(list_distinct(a)), ',') as parts from (select l_orderkey, list(l_suppkey) as a, list(l_partkey % 100) as b from lineitem group by 1)")
 def array_setops(spark, sf):
     (li,) = tables(spark, sf, "lineitem")

@@ -129,10 +129,10 @@ def crawl_archive(spark, sf):
 _TABLE = "'<table><tr><th>A</th><th>B</th></tr><tr><td>' || cast(page_id as string) || '</td><td> x  <b>' || md5(url) || '</b></td></tr></table><table><tr><td>z</td></tr></table>'"
 
 
-@query("table_cells", "select page_id, cast(t as int) as \"table\", cast(r as int) as \"row\", cast(c as int) as cell, h as is_header, v as text from (select page_id, unnest([0, 0, 0, 0, 1]) as t, unnest([0, 0, 1, 1, 0]) as r, unnest([0, 1, 0, 1, 0]) as c, unnest([true, true, false, false, false]) as h, unnest(['A', 'B', cast(page_id as string), 'x ' || md5(url), 'z']) as v from pages)")
+@query("table_cells", "select page_id, cast(t as int) as table_ix, cast(r as int) as row_ix, cast(c as int) as cell_ix, h as is_header, v as text from (select page_id, unnest([0, 0, 0, 0, 1]) as t, unnest([0, 0, 1, 1, 0]) as r, unnest([0, 1, 0, 1, 0]) as c, unnest([true, true, false, false, false]) as h, unnest(['A', 'B', cast(page_id as string), 'x ' || md5(url), 'z']) as v from pages)")
 def table_cells(spark, sf):
     (p,) = tables(spark, sf, "pages")
-    return H.table_cells(p.select("page_id", F.expr(_TABLE).alias("html")), "page_id")
+    return H.table_cells(p.select("page_id", F.expr(_TABLE).alias("html")), "page_id").toDF("page_id", "table_ix", "row_ix", "cell_ix", "is_header", "text")
 
 
 _BLOCK = "'<article><h2>T ' || cast(page_id as string) || '</h2><p>uno <a href=\"/l' || cast(page_id as string) || '\">dos</a></p></article><ul><li>tres</li></ul>'"

@@ -204,7 +204,7 @@ def test_publications(spark):
     from fiscalis.operators import publications as pub
 
     blocks = spark.createDataFrame([(0, "Fiscalización al hospital regional de Temuco", "https://www.contraloria.cl/a"), (1, "Fiscalización al hospital regional de Temuco", "https://www.contraloria.cl/a"), (2, "Otra noticia sin señal alguna", ""), (3, "Auditoría ajena con enlace externo a otra parte", "https://x.org/b")], "pos int, text string, url string")
-    watch = pub.watch_candidates(blocks, "s", "https://www.contraloria.cl/", "t0")
+    watch = pub.watch_candidates(blocks, "cgr_fiscalizaciones", "https://www.contraloria.cl/", "t0")
     assert watch.count() == 1
     docs = spark.createDataFrame([("D2", "Informe hospital regional Temuco"), ("D1", "Hospital regional Temuco obras"), ("D3", "Nada")], "document_id string, title string")
     (m,) = pub.match_watch(watch, docs).collect()
