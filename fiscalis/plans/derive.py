@@ -1,4 +1,8 @@
-"""The derivation: from documents, findings and watch items to marts, as one lazy plan per mart."""
+"""The derivation: from documents, events, findings and watch items to entities, enrichment and marts.
+
+Time, rules, bodies, providers and persons, resolution, quality gate, hub, follow-up, alerts, profiles. What several
+marts read (the enriched findings, the mentions) is written once below ``work`` and read back, so no rule runs twice.
+"""
 
 from __future__ import annotations
 
@@ -6,24 +10,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fiscalis.functions.dates import document_date
-from fiscalis.functions.text import missing, normalize_name, stable_id
-from fiscalis.operators import entities, findings, publications, temporal
-from fiscalis.plans import marts
+from fiscalis.functions.text import missing, normalize_name, stable_id, text_or_empty
+from fiscalis.operators import entities, findings, organizations, publications, temporal
+from fiscalis.plans import dashboard, interop, marts
+
+#: Fixed value: the order in which products are rebuilt; each step needs only those before it.
+STEPS = ("temporality", "intelligence", "resolution", "quality_gate", "entity_hub", "watch_matches", "enforcement", "tribunal", "alerts", "profiles")
+EVENT_COLUMNS = "event_id string, document_id string, entity_name string, region string"
+
+
+def _written(df: DataFrame, work: str | None, name: str) -> DataFrame:
+    """``df`` written below ``work`` and read back; without ``work`` as it is, to be evaluated by each use."""
+    if work is None:
+        return df
+    df.write.mode("overwrite").parquet(f"{work}/{name}")
+    return df.sparkSession.read.parquet(f"{work}/{name}")
 
 
-def enrich(documents: DataFrame, raw_findings: DataFrame) -> DataFrame:
+def enrich(documents: DataFrame, raw_findings: DataFrame, events: DataFrame | None = None) -> DataFrame:
     """Findings with their document's organization and date, occurrence, rules and scores.
 
-    Time first, then rules: the join brings one row of a document to each of its findings.
+    Time first, then rules: the join brings one row of a document to each of its findings. The organization is the
+    resolved one, else the one that the document or its event names.
     """
-    org = entities.infer_organization(F.col("title"), F.col("objective"), F.lit(""))
-    docs = documents.withColumn("objective", temporal.objective(F.col("raw_text"))).withColumn("organization_name", org)
-    docs = docs.select("document_id", F.col("document_date").alias("__date"), "objective", "organization_name", findings.region_label(F.col("region"), F.col("unit_cgr"), F.col("title")).alias("region"))
-    named = F.when(F.col("organization_name") != "", stable_id("ENT", normalize_name(F.col("organization_name")))).otherwise(F.lit(""))
-    docs = docs.withColumn("organization_id", named)
-    own = raw_findings.drop("organization_id", "region").join(docs, "document_id", "left")
+    spark = documents.sparkSession
+    events = events if events is not None else spark.createDataFrame([], EVENT_COLUMNS)
+    named = organizations.document_organizations(documents, events)
+    resolved = organizations.resolve_documents(documents, organizations.organization_rows(named))
+    org = ("organization_id", "name", "organization_type", "region")
+    first, second = (df.select("document_id", F.struct(*org).alias(alias)) for df, alias in ((resolved, "__r"), (named, "__n")))
+    docs = documents.select("document_id", F.col("document_date").alias("__date"), temporal.objective(F.col("raw_text")).alias("objective"), findings.region_label(F.col("region"), F.col("unit_cgr"), F.col("title")).alias("__region"))
+    docs = docs.join(first, "document_id", "left").join(second, "document_id", "full_outer").withColumn("__o", F.coalesce("__r", "__n"))
+    pick = lambda c, alias: text_or_empty(F.col(f"__o.{c}")).alias(alias)
+    docs = docs.select("document_id", "__date", "objective", pick("organization_id", "organization_id"), pick("name", "organization_name"), pick("organization_type", "organization_type"), F.coalesce(missing(F.col("__o.region")), F.col("__region"), F.lit("")).alias("region"))
+    own = raw_findings.drop("organization_id", "organization_name", "organization_type", "region").join(docs, "document_id", "left")
+    for c in ("organization_id", "organization_name", "organization_type", "region"):
+        own = own.withColumn(c, text_or_empty(F.col(c)))
     own = temporal.with_occurrence(own, audit_objective="objective", doc_date="__date")
-    return findings.classify(own).withColumn("action_date", document_date(F.col("__date"))).drop("__date", "objective")
+    out = findings.classify(own).withColumn("action_date", document_date(F.col("__date"))).drop("__date", "objective")
+    for flag, kind in (("disciplinary", "DISCIPLINARY"), ("reparo", "REPARO"), ("criminal_referral", "CRIMINAL_REFERRAL"), ("cde_referral", "CDE_REFERRAL")):
+        out = out.withColumn(flag, F.array_contains("enforcement", kind))
+    labels = F.transform("irregular", lambda x: x["label"])
+    parts = {"from": "from", "to": "to", "anchor": "anchor", "precision": "precision", "basis": "basis", "confidence": "confidence"}
+    out = out.withColumn("irregularity_labels", labels).withColumn("roles_detected", findings.roles(F.col("description")))
+    return out.withColumns({f"occurrence_date_{k}": F.col(f"occurrence.{v}") for k, v in parts.items()})
 
 
 def provider_links(enriched: DataFrame) -> DataFrame:
@@ -31,30 +61,74 @@ def provider_links(enriched: DataFrame) -> DataFrame:
     found = entities.provider_mentions(enriched, "finding_id", "description")
     found = found.withColumn("provider_id", stable_id("ENT", F.col("normalized_name")))
     orgs = enriched.select(normalize_name(F.col("organization_name")).alias("normalized_name")).distinct()
-    return entities.without_collisions(found, orgs).select("finding_id", "provider_id", "name", "relationship_type")
+    return entities.without_collisions(found, orgs).select("finding_id", "provider_id", "name", "normalized_name", "relationship_type", "provider_type", "confidence")
+
+
+def _relationships(enriched: DataFrame, links: DataFrame, persons: DataFrame) -> DataFrame:
+    """Edges from the organization of a finding to its providers and persons, for findings that have one."""
+    carry = ["finding_id", "document_id", "organization_id", *[c for c in ("evidence_id", "source_url", "event_id") if c in enriched.columns]]
+    own = enriched.filter("organization_id <> ''").select(*carry)
+    to_provider = links.select("finding_id", F.col("provider_id").alias("target_entity_id"), "relationship_type", "confidence")
+    to_person = persons.select("finding_id", F.col("person_id").alias("target_entity_id"), F.lit("MENTIONED_PERSON").alias("relationship_type"), "confidence")
+    edges = own.join(to_provider.unionByName(to_person), "finding_id").withColumnRenamed("organization_id", "source_entity_id")
+    return edges.withColumn("relationship_id", stable_id("REL", F.col("source_entity_id"), F.col("target_entity_id"), F.col("relationship_type"), F.col("finding_id"))).dropDuplicates(["relationship_id"])
+
+
+def derive(documents: DataFrame, raw_findings: DataFrame, watch: DataFrame, events: DataFrame | None = None, work: str | None = None) -> dict[str, DataFrame]:
+    """All products by name. With ``work``, a folder that all executors share, shared inputs are written there once."""
+    enriched = _written(enrich(documents, raw_findings, events), work, "enriched")
+    mentions = _written(provider_links(enriched), work, "provider_links")
+    people = entities.person_mentions(enriched, "finding_id", "description").withColumn("person_id", stable_id("ENT", F.col("normalized_name")))
+    people = _written(people, work, "person_links")
 
+    old = mentions.groupBy("provider_id").agg(F.min("name").alias("name"), F.max("provider_type").alias("provider_type"), F.max("confidence").alias("confidence"))
+    mapping, resolved = entities.resolve_providers(old)
+    targets = mapping.select("provider_id", F.explode("targets").alias("target"))
+    kinds = targets.join(old, "provider_id").groupBy(F.col("target").alias("provider_id")).agg(F.max("provider_type").alias("provider_type"), F.greatest(F.max("confidence"), F.lit(0.85)).alias("confidence"))
+    providers = _written(resolved.join(kinds, "provider_id"), work, "providers")
+    orgs = enriched.filter("organization_id <> ''").groupBy("organization_id").agg(F.max(F.struct("document_id", "organization_name", "organization_type", "region")).alias("o"))
+    orgs = orgs.select("organization_id", F.col("o.organization_name").alias("name"), normalize_name(F.col("o.organization_name")).alias("normalized_name"), F.col("o.organization_type").alias("organization_type"), F.col("o.region").alias("region"), F.col("o.document_id").alias("source_document_id"), F.lit(organizations.RESOLVED).alias("confidence"))
+    orgs = _written(orgs, work, "organizations")
+    persons = people.groupBy("person_id").agg(F.max(F.struct("finding_id", "name", "normalized_name", "role", "confidence")).alias("p")).select("person_id", "p.name", "p.normalized_name", "p.role", "p.confidence")
 
-def derive(documents: DataFrame, raw_findings: DataFrame, watch: DataFrame) -> dict[str, DataFrame]:
-    """All marts. The enriched findings feed most of them: persist or write them when several are taken."""
-    enriched = enrich(documents, raw_findings)
-    links = provider_links(enriched)
-    with_provider = enriched.drop("provider_id").join(links.select("finding_id", "provider_id"), "finding_id", "left")
+    ids = mentions.groupBy("finding_id").agg(F.array_sort(F.collect_set("provider_id")).alias("provider_ids"))
+    arrays = enriched.join(ids, "finding_id", "left").withColumn("provider_ids", F.coalesce("provider_ids", F.array().cast("array<string>")))
+    mapped = _written(organizations.remap_providers(arrays, mapping, providers), work, "with_providers")
+    edges = entities.remap(_relationships(enriched, mentions, people).withColumnRenamed("target_entity_id", "provider_id"), mapping, "provider_id").withColumnRenamed("provider_id", "target_entity_id")
+    gate = organizations.quality_gate(orgs, providers, persons, mapped, edges)
+    with_ids = _written(gate["finding_enrichment"], work, "finding_enrichment")
+    one_each = with_ids.withColumn("provider_id", F.explode_outer("provider_ids"))
+    hub = interop.adapt_entities(gate["entities"])
     years, precision = marts.temporal_summary(enriched)
     usable = enriched.filter(missing(F.col("organization_id")).isNotNull())
+    org_details = dashboard.organization_details(with_ids, orgs, gate["providers"])
+    provider_details = dashboard.provider_details(with_ids, orgs, gate["providers"])
+    enforcement = findings.enforcement_events(enriched)
+    hypotheses = findings.hypothesis_rows(enriched)
+    alerts = findings.alert_matches(enriched)
     return {
-        "finding_enrichment": enriched,
+        "finding_enrichment": with_ids,
+        "organizations": orgs,
+        "providers": gate["providers"],
+        "persons": persons,
+        "relationships": gate["relationships"],
+        "entities": gate["entities"],
+        "entity_hub": hub,
         "irregularities": findings.irregularity_rows(enriched),
-        "penal_hypotheses": findings.hypothesis_rows(enriched),
-        "enforcement_events": findings.enforcement_events(enriched),
-        "fau_matches": findings.alert_matches(enriched),
-        "provider_links": links,
-        "organization_profiles": marts.top_organizations(with_provider),
-        "provider_profiles": marts.top_providers(with_provider),
-        "region_profiles": marts.region_profiles(with_provider),
+        "penal_hypotheses": hypotheses,
+        "enforcement_events": enforcement,
+        "fau_matches": alerts,
+        "provider_links": mentions,
+        "organization_profiles": dashboard.with_bounds(dashboard.organizations_list(org_details), with_ids, "organization_id"),
+        "provider_profiles": dashboard.with_bounds(dashboard.providers_list(provider_details), one_each, "provider_id"),
+        "region_profiles": dashboard.region_details(with_ids),
+        "penal_cases": dashboard.penal_cases(hypotheses, with_ids, with_ids),
+        "enforcement_list": dashboard.enforcement_list(enforcement, with_ids, with_ids),
+        "alerts_list": dashboard.alerts_list(alerts, with_ids, with_ids),
         "top_irregularities": marts.top_labels(usable, "organization_id", "irregularity_codes", 6),
         "temporal_years": years,
         "temporal_precision": precision,
         "occurrence_bounds": marts.occurrence_bounds(usable, "organization_id"),
         "watch_items": publications.match_watch(watch, documents),
-        "kpis": marts.kpis(with_provider),
+        "kpis": marts.kpis(one_each.dropDuplicates(["finding_id"])),
     }

@@ -88,7 +88,7 @@ def provider_details(spark, sf):
     return out.select("provider_id", "name", "documents", "findings", F.array_join("regions", ",").alias("regions"), "amount", "organizations_count", F.array_join("organization_names", ",").alias("organization_names"), "exposure_score", "top_labels", F.array_join("source_urls", " ").alias("source_urls"))
 
 
-@query("providers_top", f"{_PRV_DETAILS} select provider_id, least(100, len(orgs_all) * 15 + documents * 8 + findings * 4 + penal_high * 8) as exposure_score from a left join n on n.g = provider_id order by 2 desc, coalesce(organizations_count, 0) desc, findings desc, provider_id limit 20")
+@query("providers_top", f"{_PRV_DETAILS} select provider_id, cast(least(100, len(orgs_all) * 15 + documents * 8 + findings * 4 + penal_high * 8) as bigint) as exposure_score from a left join n on n.g = provider_id order by 2 desc, coalesce(organizations_count, 0) desc, findings desc, provider_id limit 20")
 def providers_top(spark, sf):
     return D.providers_list(D.provider_details(enriched(spark, sf), *_dims(spark, sf)), 20).select("provider_id", "exposure_score")
 
@@ -147,7 +147,7 @@ def tribunal_list(spark, sf):
     return D.tribunal_list(rows).drop("tribunal_case_event_id")
 
 
-@query("source_health", "select cast(event_id as string) as run_id, cast(ts as string) as finished_at from events order by ts desc, run_id limit 40")
+@query("source_health", "select cast(event_id as string) as run_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as finished_at from events order by ts desc, run_id limit 40")
 def source_health(spark, sf):
     (e,) = tables(spark, sf, "events")
     return D.source_health(e.select(F.col("event_id").cast("string").alias("run_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("finished_at")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -71,13 +71,16 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id", "run_date").parquet(path)
 
 
-def write_marts(marts: dict[str, DataFrame], root: str) -> list[str]:
-    """Parquet tables below ``root``; empty marts are left out. Errors are raised."""
-    written = []
+def write_marts(marts: dict[str, DataFrame], root: str) -> dict[str, int]:
+    """Parquet tables below ``root`` and their numbers of rows, counted while they are written.
+
+    An empty mart replaces what was there as any other does, so no table of an earlier run is read as today's.
+    """
+    written = {}
     for name, df in marts.items():
-        if not df.isEmpty():
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
-            written.append(name)
+        seen = Observation(f"rows_{name}")
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{root}/{name}")
+        written[name] = seen.get["n"]
     return written
 
 

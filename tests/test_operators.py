@@ -113,12 +113,19 @@ def test_token_overlap_equals_nested_loop(spark):
     assert best == {i: min((-s, j) for (k, j), s in want.items() if k == i)[1] for i in {k for k, _ in want}}
 
 
-def test_mentions():
+def test_mentions(spark):
     text = "Se pagó a Constructora Los Robles Ltda. y a Fundación Vida Nueva por transferencia; don Pedro Soto, alcalde subrogante"
-    found = entities.provider_spans(text)
-    assert [(f["normalized_name"], f["relationship_type"]) for f in found] == [("CONSTRUCTORA LOS ROBLES LIMITADA", "PAYMENT_RECIPIENT"), ("FUNDACION VIDA NUEVA", "TRANSFER_RECIPIENT")]
-    assert entities.person_spans(text)[0]["role"] == "ALCALDE"
-    assert entities.provider_spans("") == entities.person_spans("") == []
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "k int, t string")
+    found = entities.provider_mentions(df, "k", "t").orderBy("normalized_name").collect()
+    assert [(f.normalized_name, f.relationship_type) for f in found] == [("CONSTRUCTORA LOS ROBLES LIMITADA", "PAYMENT_RECIPIENT"), ("FUNDACION VIDA NUEVA", "TRANSFER_RECIPIENT")]
+    assert [(p.k, p.normalized_name, p.role) for p in entities.person_mentions(df, "k", "t").collect()] == [(1, "PEDRO SOTO", "ALCALDE")]
+
+
+def test_the_last_mention_of_a_provider_counts(spark):
+    far = " y nada más que decir sobre este punto del informe" * 5
+    text = f"La licitación adjudicó: Obras Sur Ltda. fue revisada.{far} Se efectuó un desembolso: Obras Sur Ltda."
+    (r,) = entities.provider_mentions(spark.createDataFrame([(1, text)], "k int, t string"), "k", "t").collect()
+    assert r.relationship_type == "PAYMENT_RECIPIENT"
 
 
 def test_resolution(spark):
@@ -190,14 +197,26 @@ def test_documents_and_findings(spark):
     assert documents.evidence_rows(documents.document_findings(docs)).count() == 2
 
 
-def test_finding_splitter_tiers():
+def test_finding_splitter_tiers(spark):
     from fiscalis.operators.documents import split_findings
 
     long = "Una oración que describe con detalle suficiente lo observado por la fiscalización en terreno. "
-    assert split_findings("") == [] and split_findings("corto") == []
-    assert len(split_findings(f"{long}\n\n{long}")) == 2
-    packed = split_findings(long * 14)
-    assert len(packed) == 2 and all(len(p) > 80 for p in packed)
+    texts = ["", "corto", None, f"{long}\n\n{long}", long * 14, f"x\n1) {long}\n2) {long}\n- {long}"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.f for r in df.select("i", split_findings(F.col("t")).alias("f")).orderBy("i").collect()]
+    assert [len(g) for g in got] == [0, 0, 0, 2, 2, 3] and all(len(p) > 80 for p in got[4])
+    assert got[4][0] == " ".join([long.strip()] * 7) and got[5][2].startswith("- Una")
+
+
+def test_metadata_of_documents(spark):
+    from fiscalis.operators import documents
+
+    text = "INFORME FINAL N° 12-2020 sobre pagos del hospital\nNÚMERO 77 FECHA DOCUMENTO 01-02-2021 NIVEL undefined UNIDAD CGR CONTRALORÍA REGIONAL DEL MAULE\nTIPO\n: Auditoría\nTIPO\nInforme\nNOMBRE x OBJETIVO auditoría en el Hospital de Curicó, 2020 CONCLUSIONES y"
+    url = "https://www.contraloria.cl/buscadorpdf/auditoria/" + "a" * 32 + "/html"
+    (d,) = documents.parse_documents(spark.createDataFrame([(url, text)], "source_url string, text string")).collect()
+    assert (d.document_number, d.document_date, d.level, d.document_type) == ("77", "01-02-2021", "", "Informe")
+    assert d.document_id == "CGR-AUD-" + "a" * 32 and d.pdf_url.endswith("a" * 32 + "&pdf=1")
+    assert d.region == "Del Maule" and d.title.startswith("INFORME FINAL") and d.entity_name == "Hospital de Curicó"
 
 
 def test_publications(spark):

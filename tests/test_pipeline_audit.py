@@ -23,7 +23,7 @@ def corpus(spark):
 
 
 def test_derivation_end_to_end(spark, tmp_path):
-    marts = derive(*corpus(spark))
+    marts = derive(*corpus(spark), work=f"file://{tmp_path}/work")
     rows = {r.finding_id: r for r in marts["finding_enrichment"].collect()}
     assert rows["F1"].organization_name == "MUNICIPALIDAD DE LOS LAGOS" and rows["F1"].region == "Los Lagos"
     assert rows["F1"].occurrence["precision"] == "AUDIT_YEAR" and rows["F2"].occurrence["from"] == "2020-04-07"
@@ -31,7 +31,7 @@ def test_derivation_end_to_end(spark, tmp_path):
     assert [r.name for r in marts["provider_links"].collect()] == ["Constructora Los Robles Ltda"] or [r.name for r in marts["provider_links"].collect()] == ["Constructora Los Robles Ltda."]
     assert marts["organization_profiles"].first().reparos == 1
     written = tables.write_marts(marts, f"file://{tmp_path}/gold")
-    assert "kpis" in written and spark.read.parquet(f"{tmp_path}/gold/kpis").first().findings == 3
+    assert written["kpis"] == 1 and written["penal_cases"] > 0 and spark.read.parquet(f"{tmp_path}/gold/kpis").first().findings == 3
 
 
 def test_jsonl_round_trip_and_absent_table(spark, tmp_path):
