@@ -44,8 +44,8 @@ def enrich(documents: DataFrame, raw_findings: DataFrame, events: DataFrame | No
     pick = lambda c, alias: text_or_empty(F.col(f"__o.{c}")).alias(alias)
     docs = docs.select("document_id", "__date", "objective", pick("organization_id", "organization_id"), pick("name", "organization_name"), pick("organization_type", "organization_type"), F.coalesce(missing(F.col("__o.region")), F.col("__region"), F.lit("")).alias("region"))
     own = raw_findings.drop("organization_id", "organization_name", "organization_type", "region").join(docs, "document_id", "left")
-    for c in ("organization_id", "organization_name", "organization_type", "region"):
-        own = own.withColumn(c, text_or_empty(F.col(c)))
+    for c in ("organization_id", "organization_name", "organization_type", "region", "source_url"):
+        own = own.withColumn(c, text_or_empty(F.col(c)) if c in own.columns else F.lit(""))
     own = temporal.with_occurrence(own, audit_objective="objective", doc_date="__date")
     out = findings.classify(own).withColumn("action_date", document_date(F.col("__date"))).drop("__date", "objective")
     for flag, kind in (("disciplinary", "DISCIPLINARY"), ("reparo", "REPARO"), ("criminal_referral", "CRIMINAL_REFERRAL"), ("cde_referral", "CDE_REFERRAL")):

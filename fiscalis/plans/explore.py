@@ -54,3 +54,9 @@ def alerts(df: DataFrame, pattern: str = "", min_score: int = 0) -> DataFrame:
 def watch(df: DataFrame, kind: str = "", status: str = "") -> DataFrame:
     out = df.filter(F.col("watch_type") == kind) if kind else df
     return out.filter(F.col("status") == status) if status else out
+
+
+def penal(df: DataFrame, lo: str = "", hi: str = "", precision: str = "", relevance: str = "") -> DataFrame:
+    """Cases by time, precision and relevance."""
+    out = temporal(df, lo, hi, precision, "occurrence_date_from", "occurrence_date_to", "occurrence_date_precision")
+    return out.filter(F.col("penal_relevance") == relevance) if relevance else out

@@ -30,8 +30,8 @@ def _token_sql(expr: str, min_len: int, digits: bool, stop: tuple[str, ...]) ->
     return f"list_distinct(list_filter(string_split({name_sql(expr)}, ' '), lambda x: len(x) >= {min_len} and x not in ({words}){num}))"
 
 
-_LEFT = "select p_partkey as id, p_name || ' ' || p_type as t from part where p_partkey % 5 = 0"
-_RIGHT = "select p_partkey as id, p_name || ' ' || p_brand || ' ' || p_type as t from part where p_partkey % 7 = 1"
+_LEFT = "select item_id as id, replace(coalesce(text, ''), 'ß', 'ss') as t from benchmark"
+_RIGHT = "select doc_id as id, replace(coalesce(text, ''), 'ß', 'ss') as t from documents"
 
 
 def _pairs_sql(min_len: int, digits: bool, stop: tuple[str, ...], floor: int, threshold: float) -> str:
@@ -40,11 +40,10 @@ p as (select l.id as left_id, r.id as right_id, len(list_intersect(l.w, r.w)) as
 q as (select left_id, right_id, common, cast(common as double) / greatest(small, 1) as score from p where common >= {floor} and cast(common as double) / greatest(small, 1) >= {threshold})"""
 
 
-def _sides(spark, sf, min_len, digits, stop, left_rows="p_partkey % 5 = 0", right_rows="p_partkey % 7 = 1"):
-    (part,) = tables(spark, sf, "part")
-    left = part.filter(left_rows).select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_type").alias("t"))
-    right = part.filter(right_rows).select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("t"))
-    return tuple(d.select("id", X.name_tokens(F.col("t"), min_len, stop, digits).alias("tokens")) for d in (left, right))
+def _sides(spark, sf, min_len, digits, stop):
+    b, d = tables(spark, sf, "benchmark", "documents")
+    left, right = b.select(F.col("item_id").alias("id"), "text"), d.select(F.col("doc_id").alias("id"), "text")
+    return tuple(x.select("id", X.name_tokens(F.col("text"), min_len, stop, digits).alias("tokens")) for x in (left, right))
 
 
 @query("token_overlap_best", f"{_pairs_sql(4, False, T.WATCH_STOP, 2, 0.62)} select left_id, right_id, score from (select *, row_number() over (partition by left_id order by score desc, right_id) as k from q) where k = 1")
@@ -60,29 +59,14 @@ def token_overlap_all(spark, sf):
     return out.select("left_id", F.array_join(F.transform("right_ids", lambda x: x.cast("string")), ",").alias("right_ids"), "score")
 
 
-@query("token_overlap_best_whole", None)
-def token_overlap_best_whole(spark, sf):
-    """As token_overlap_best, over all pairs of parts."""
-    left, right = _sides(spark, sf, 4, False, T.WATCH_STOP, "true", "true")
-    return linking.best_match(linking.token_overlap(left, right, "id", "id", "tokens", 2, 0.62)).select("left_id", "right_id", "score")
-
-
-@query("token_overlap_all_whole", None)
-def token_overlap_all_whole(spark, sf):
-    """As token_overlap_all, over all pairs of parts."""
-    left, right = _sides(spark, sf, 3, True, T.TRIBUNAL_STOP, "true", "true")
-    out = linking.all_matches(linking.token_overlap(left, right, "id", "id", "tokens", 1, 0.55))
-    return out.select("left_id", F.array_join(F.transform("right_ids", lambda x: x.cast("string")), ",").alias("right_ids"), "score")
-
-
 _S = f"select s_suppkey, {name_sql('s_name')} as n from supplier"
-_CN = f"select {name_sql('replace(c_name, ' + chr(39) + 'Customer' + chr(39) + ', ' + chr(39) + 'Supplier' + chr(39) + ')')} as n from customer where c_custkey % 3 = 0"
+_CN = "select 'SUPPLIER ' || substr(c_name, 10) as n from customer where c_custkey % 3 = 0 union all select 'OTHER ' || substr(c_name, 10) from customer where c_custkey % 3 <> 0"
 
 
 def _names(spark, sf):
     s, c = tables(spark, sf, "supplier", "customer")
     providers = s.select("s_suppkey", X.normalize_name(F.col("s_name")).alias("normalized_name"))
-    public = c.filter("c_custkey % 3 = 0").select(X.normalize_name(F.replace("c_name", F.lit("Customer"), F.lit("Supplier"))).alias("normalized_name"))
+    public = c.select(X.normalize_name(F.replace("c_name", F.lit("Customer"), F.when(F.col("c_custkey") % 3 == 0, "Supplier").otherwise("Other"))).alias("normalized_name"))
     return providers, public
 
 
@@ -96,15 +80,15 @@ def anti_join_quality_gate(spark, sf):
     return entities.without_collisions(*_names(spark, sf)).select("s_suppkey")
 
 
-_MAP = "select s_suppkey, unnest(case when s_suppkey % 5 = 0 then cast([] as bigint[]) when s_suppkey % 5 = 1 then [s_suppkey + 1000, s_suppkey + 2000] else [s_suppkey + 1000] end) as target from supplier where s_suppkey % 2 = 0"
+_MAP = "select s_suppkey, unnest(case when s_suppkey % 5 = 0 then cast([] as bigint[]) when s_suppkey % 5 = 1 then [s_suppkey + 1000, s_suppkey + 2000] else [s_suppkey + 1000] end) as target from (select s_suppkey * 2 as s_suppkey from supplier)"
 
 
-@query("provider_remap_fanout", f"with e as (select distinct l_orderkey, l_suppkey from lineitem), m as ({_MAP}), k as (select s_suppkey from supplier where s_suppkey % 2 = 0) select distinct l_orderkey, cast(coalesce(m.target, e.l_suppkey) as bigint) as provider from e left join k on k.s_suppkey = l_suppkey left join m on m.s_suppkey = l_suppkey where k.s_suppkey is null or m.target is not null")
+@query("provider_remap_fanout", f"with e as (select distinct l_orderkey, l_suppkey from lineitem), m as ({_MAP}), k as (select s_suppkey * 2 as s_suppkey from supplier) select distinct l_orderkey, cast(coalesce(m.target, e.l_suppkey) as bigint) as provider from e left join k on k.s_suppkey = l_suppkey left join m on m.s_suppkey = l_suppkey where k.s_suppkey is null or m.target is not null")
 def provider_remap_fanout(spark, sf):
     li, s = tables(spark, sf, "lineitem", "supplier")
     edges = li.select(F.col("l_orderkey").alias("edge_id"), F.col("l_suppkey").alias("id")).distinct()
     target = F.when(F.col("s_suppkey") % 5 == 0, F.array().cast("array<bigint>")).when(F.col("s_suppkey") % 5 == 1, F.array(F.col("s_suppkey") + 1000, F.col("s_suppkey") + 2000)).otherwise(F.array(F.col("s_suppkey") + 1000))
-    mapping = s.filter("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("id"), target.alias("targets"))
+    mapping = s.select((F.col("s_suppkey") * 2).alias("s_suppkey")).withColumn("targets", target).select(F.col("s_suppkey").alias("id"), "targets")
     return entities.remap(edges, mapping, "id").select(F.col("edge_id").alias("l_orderkey"), F.col("id").alias("provider")).distinct()
 
 
@@ -123,13 +107,13 @@ def evidence_fallback_union(spark, sf):
     return interop.with_fallback_evidence(docs, ev).select("document_id", "evidence_id", "synthetic")
 
 
-@query("relationship_promotion", "select o_orderkey, 'G' || cast(o_custkey as string) as source_global_id, 'G' || cast(l_suppkey as string) as target_global_id from (select distinct o_orderkey, o_custkey, l_suppkey from orders join lineitem on l_orderkey = o_orderkey) where o_custkey % 3 <> 0 and l_suppkey % 4 <> 0 and o_orderkey % 2 = 0")
+@query("relationship_promotion", "select o_orderkey, 'G' || cast(o_custkey as string) as source_global_id, 'G' || cast(l_suppkey as string) as target_global_id from (select distinct o_orderkey, o_custkey, o_orderstatus, l_suppkey from orders join lineitem on l_orderkey = o_orderkey) where o_custkey % 3 <> 0 and l_suppkey % 4 <> 0 and o_orderstatus <> 'F'")
 def relationship_promotion(spark, sf):
     o, li = tables(spark, sf, "orders", "lineitem")
     rel = o.join(li, F.col("l_orderkey") == F.col("o_orderkey")).select("o_orderkey", F.concat(F.lit("C"), F.col("o_custkey")).alias("source_entity_id"), F.concat(F.lit("S"), F.col("l_suppkey")).alias("target_entity_id"), F.col("o_orderkey").alias("evidence_id")).distinct()
     c = o.select("o_custkey").distinct().select(F.concat(F.lit("C"), F.col("o_custkey")).alias("source_entity_id"), F.when(F.col("o_custkey") % 3 != 0, F.concat(F.lit("G"), F.col("o_custkey"))).alias("entity_id"))
     s = li.select("l_suppkey").distinct().select(F.concat(F.lit("S"), F.col("l_suppkey")).alias("source_entity_id"), F.when(F.col("l_suppkey") % 4 != 0, F.concat(F.lit("G"), F.col("l_suppkey"))).alias("entity_id"))
-    ev = o.filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("evidence_id"))
+    ev = o.filter("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("evidence_id"))
     return interop.promote_relationships(rel, c.unionByName(s), ev).select("o_orderkey", "source_global_id", "target_global_id")
 
 
@@ -141,10 +125,10 @@ def array_setops(spark, sf):
     return g.select("l_orderkey", F.size(F.array_union("a", "b")).cast("bigint").alias("u"), F.size(F.array_intersect("a", "b")).cast("bigint").alias("i"), parts.alias("parts"))
 
 
-@query("set_union_except", "select s_nationkey as k, 'both' as side from supplier intersect select c_nationkey, 'both' from customer where c_custkey % 9 = 0 union all (select n_nationkey, 'none' from nation except select s_nationkey, 'none' from supplier)")
+@query("set_union_except", "select s_nationkey as k, 'both' as side from supplier intersect select c_nationkey, 'both' from customer union all (select n_nationkey, 'none' from nation except select s_nationkey, 'none' from supplier)")
 def set_union_except(spark, sf):
     s, c, n = tables(spark, sf, "supplier", "customer", "nation")
-    both = s.select(F.col("s_nationkey").alias("k")).intersect(c.filter("c_custkey % 9 = 0").select("c_nationkey"))
+    both = s.select(F.col("s_nationkey").alias("k")).intersect(c.select("c_nationkey"))
     none = n.select(F.col("n_nationkey").alias("k")).join(s.select(F.col("s_nationkey").alias("k")), "k", "left_anti")
     return both.withColumn("side", F.lit("both")).unionByName(none.withColumn("side", F.lit("none")))
 

@@ -79,14 +79,13 @@ def org_types(spark, sf):
     return s.select("s_suppkey", ops.org_type(F.expr(_ORG_IN)).alias("org_type"))
 
 
-_DATA_IN = "substr(text, 1, 200) || case doc_id % 6 when 0 then ' cruce con SIAPER y la PDI' when 1 then ' Servicio de Impuestos Internos' when 2 then ' SISREC, portal de transparencia' when 3 then ' Registro Nacional de Deudores' else '' end"
+_DATA_IN = "coalesce(text, '') || case doc_id % 6 when 0 then ' cruce con SIAPER y la PDI' when 1 then ' Servicio de Impuestos Internos' when 2 then ' SISREC, portal de transparencia' when 3 then ' Registro Nacional de Deudores' else '' end"
 
 
 @query("dataset_tags", "select doc_id, array_to_string(" + list_sql([("(" + " or ".join(f"contains(low, {lit(t)})" for t in terms) + ")", lit(code)) for code, terms in T.DATASETS]) + f", ',') as tags from (select doc_id, lower({_DATA_IN}) as low from documents)")
 def dataset_tags(spark, sf):
     (d,) = tables(spark, sf, "documents")
-    whole = F.expr(_DATA_IN.replace("substr(text, 1, 200)", "coalesce(text, '')", 1))  # the SQL looks at a prefix only
-    return d.select("doc_id", F.array_join(ops.datasets(whole), ",").alias("tags"))
+    return d.select("doc_id", F.array_join(ops.datasets(F.expr(_DATA_IN)), ",").alias("tags"))
 
 
 _CIRC = "case doc_id % 5 when 0 then 'Informe CIC N° ' || cast(doc_id % 30 as string) when 1 then 'el cuarto consolidado de información circularizada' when 2 then 'Undécimo Consolidado de Información Circularizada' when 3 then 'CIC' else 'sin número' end"

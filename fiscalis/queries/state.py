@@ -23,14 +23,14 @@ def query(name: str, sql: str | None):
     return add
 
 
-_OLD = "select o_orderkey as k, o_orderstatus as v, cast(o_custkey as string) as last_seen from orders where o_orderkey % 3 <> 0"
-_NEW = "select o_orderkey as k, case when o_orderkey % 5 = 0 then 'X' else o_orderstatus end as v, 'now' as last_seen from orders where o_orderkey % 4 <> 0"
+_OLD = "select o_orderkey as k, o_orderstatus as v, cast(o_custkey as string) as last_seen from orders"
+_NEW = "select case when o_orderkey % 4 = 0 then -1 - o_orderkey else o_orderkey end as k, case when o_orderkey % 5 = 0 then 'X' else o_orderstatus end as v, 'now' as last_seen from orders"
 
 
 def _versions(spark, sf):
     (o,) = tables(spark, sf, "orders")
-    old = o.filter("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"), F.col("o_custkey").cast("string").alias("last_seen"))
-    new = o.filter("o_orderkey % 4 <> 0").select(F.col("o_orderkey").alias("k"), F.when(F.col("o_orderkey") % 5 == 0, "X").otherwise(F.col("o_orderstatus")).alias("v"), F.lit("now").alias("last_seen"))
+    old = o.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"), F.col("o_custkey").cast("string").alias("last_seen"))
+    new = o.select(F.when(F.col("o_orderkey") % 4 == 0, -1 - F.col("o_orderkey")).otherwise(F.col("o_orderkey")).alias("k"), F.when(F.col("o_orderkey") % 5 == 0, "X").otherwise(F.col("o_orderstatus")).alias("v"), F.lit("now").alias("last_seen"))
     return old, new
 
 
@@ -57,14 +57,14 @@ def latest_run_per_source(spark, sf):
     return marts.latest_per_group(e.select("event_type", "ts", "event_id", "user_id"), "event_type", "ts", "event_id").select("event_type", "event_id", "user_id")
 
 
-_KNOWN = "select md5(url) as registry_id, 'DOCUMENTS' as channel, '2020' as first_seen, case when page_id % 2 = 0 then 'FETCHED' else 'DISCOVERED' end as status from pages where page_id % 3 = 0"
-_SEEN = "select md5(url) as registry_id from pages where page_id % 5 <> 0"
+_KNOWN = "select md5(url) as registry_id, 'DOCUMENTS' as channel, '2020' as first_seen, case when page_id % 2 = 0 then 'FETCHED' else 'DISCOVERED' end as status from pages"
+_SEEN = "select md5(case when page_id % 5 = 0 then url || '#new' else url end) as registry_id from pages"
 
 
 def _registry(spark, sf):
     (p,) = tables(spark, sf, "pages")
-    known = p.filter("page_id % 3 = 0").select(F.md5("url").alias("registry_id"), F.lit("DOCUMENTS").alias("channel"), F.lit("2020").alias("first_seen"), F.lit("2020").alias("last_seen"), F.when(F.col("page_id") % 2 == 0, "FETCHED").otherwise("DISCOVERED").alias("status"), (F.col("page_id") % 6).cast("int").alias("attempts"))
-    found = p.filter("page_id % 5 <> 0").select(F.md5("url").alias("registry_id"))
+    known = p.select(F.md5("url").alias("registry_id"), F.lit("DOCUMENTS").alias("channel"), F.lit("2020").alias("first_seen"), F.lit("2020").alias("last_seen"), F.when(F.col("page_id") % 2 == 0, "FETCHED").otherwise("DISCOVERED").alias("status"), (F.col("page_id") % 6).cast("int").alias("attempts"))
+    found = p.select(F.md5(F.when(F.col("page_id") % 5 == 0, F.concat("url", F.lit("#new"))).otherwise(F.col("url"))).alias("registry_id"))
     return known, found
 
 
@@ -88,7 +88,7 @@ def queue_transitions(spark, sf):
     return queues.after_attempt(rows, F.col("error"), "2021-01-01T00:00:00+00:00").select("page_id", "attempts", "status")
 
 
-@query("coverage_metrics", "select count(*) as discovered, cast(count_if(page_id % 2 = 0) as bigint) as fetched, cast(count_if(page_id % 2 = 1 and page_id % 6 >= 4) as bigint) as exhausted, cast(count_if(page_id % 2 = 1 and page_id % 6 < 4) as bigint) as pending, '2020' as first_seen, '2020' as last_seen, round_even(cast(100 as double) * count_if(page_id % 2 = 0) / greatest(count(*), 1), 1) as fetched_pct from pages where page_id % 3 = 0")
+@query("coverage_metrics", "select count(*) as discovered, cast(count_if(page_id % 2 = 0) as bigint) as fetched, cast(count_if(page_id % 2 = 1 and page_id % 6 >= 4) as bigint) as exhausted, cast(count_if(page_id % 2 = 1 and page_id % 6 < 4) as bigint) as pending, '2020' as first_seen, '2020' as last_seen, round_even(cast(100 as double) * count_if(page_id % 2 = 0) / greatest(count(*), 1), 1) as fetched_pct from pages")
 def coverage_metrics(spark, sf):
     known, _ = _registry(spark, sf)
     return marts.coverage(known.withColumn("status", F.when(F.col("status") == "DISCOVERED", "ERROR").otherwise(F.col("status"))))
@@ -108,14 +108,14 @@ def top_collections(spark, sf):
     return rows.groupBy("c").agg(F.countDistinct("h").alias("n")).orderBy(F.desc("n"), "c").limit(30)
 
 
-@query("window_state_left_anti", "select strftime(m, '%Y-%m') as window_id, 'PENDING' as status from (select unnest(generate_series(timestamp '1995-01-01', timestamp '1999-12-01', interval 1 month)) as m) where strftime(m, '%Y-%m') not in (select strftime(o_orderdate, '%Y-%m') from orders where o_orderkey % 500 = 0) union all select distinct strftime(o_orderdate, '%Y-%m'), 'SCANNED' from orders where o_orderkey % 500 = 0")
+@query("window_state_left_anti", "select strftime(m, '%Y-%m') as window_id, 'PENDING' as status from (select unnest(generate_series(timestamp '1990-01-01', timestamp '2003-12-01', interval 1 month)) as m) where strftime(m, '%Y-%m') not in (select strftime(o_orderdate, '%Y-%m') from orders) union all select distinct strftime(o_orderdate, '%Y-%m'), 'SCANNED' from orders")
 def window_state_left_anti(spark, sf):
     (o,) = tables(spark, sf, "orders")
-    state = o.filter("o_orderkey % 500 = 0").select(F.date_format("o_orderdate", "yyyy-MM").alias("window_id"), F.lit("SCANNED").alias("status")).distinct()
-    return queues.seed_windows(D.month_windows(spark, 1995, 1999, 12), state).select("window_id", "status")
+    state = o.select(F.date_format("o_orderdate", "yyyy-MM").alias("window_id"), F.lit("SCANNED").alias("status")).distinct()
+    return queues.seed_windows(D.month_windows(spark, 1990, 2003, 12), state).select("window_id", "status")
 
 
-@query("window_scan_status", "select o_orderkey, case when o_orderkey % 4 < o_orderkey % 3 then 'PARTIAL' when o_orderkey % 4 = 0 and o_orderkey % 5 = 0 and not (o_orderkey % 7 = 0) then 'PARTIAL' else 'SCANNED' end as status from orders where o_orderkey % 5 = 0 or true")
+@query("window_scan_status", "select o_orderkey, case when o_orderkey % 4 < o_orderkey % 3 then 'PARTIAL' when o_orderkey % 4 = 0 and o_orderkey % 5 = 0 and not (o_orderkey % 7 = 0) then 'PARTIAL' else 'SCANNED' end as status from orders")
 def window_scan_status(spark, sf):
     (o,) = tables(spark, sf, "orders")
     k = F.col("o_orderkey")

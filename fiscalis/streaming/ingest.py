@@ -15,33 +15,41 @@ from fiscalis.sources.tables import TableSpec
 POINTER = "_current"
 
 
+def _pointers(spark: SparkSession, root: str):
+    """File system, folder of the pointers and their names, oldest first: names begin with a counter of the table."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, folder, sorted(x.getPath().getName() for x in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
 def current_version(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     """The table that the newest pointer names; empty before the first."""
-    jvm = spark.sparkContext._jvm
-    fs_path = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
-    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(fs_path):
-        return spark.createDataFrame([], spec.schema)
-    newest = max((s.getPath().getName() for s in fs.listStatus(fs_path)), default=None)
-    if newest is None:
+    _, _, names = _pointers(spark, root)
+    if not names:
         return spark.createDataFrame([], spec.schema)
-    return spark.read.schema(spec.schema).parquet(f"{root}/{newest}")
+    return spark.read.schema(spec.schema).parquet(f"{root}/{names[-1]}")
 
 
-def merge_batch(root: str, spec: TableSpec, order: str) -> Callable[[DataFrame, int], None]:
+def merge_batch(root: str, spec: TableSpec, order: str, keep: int = 2) -> Callable[[DataFrame, int], None]:
     """Writer of one micro-batch: a new version is written whole, then named by a pointer; readers see one or the other.
 
-    A repeated batch merges the same rows again, which changes nothing.
+    Versions are counted by the table, not by the stream, so a stream that begins anew goes on from what is there. A
+    repeated batch merges the same rows again, which changes nothing. All but the last ``keep`` versions are deleted.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = f"v{batch_id:012d}-{uuid.uuid4().hex[:8]}"
+        fs, folder, names = _pointers(spark, root)
+        n = int(names[-1][1:13]) + 1 if names else 0
+        version = f"v{n:012d}-{uuid.uuid4().hex[:8]}"
         merged = upsert(current_version(spark, root, spec), keep_last(batch.select(*spec.schema.names), spec.key, order), spec.key)
         merged.drop("change").write.parquet(f"{root}/{version}")
-        jvm = spark.sparkContext._jvm
-        pointer = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}/{version}")
-        pointer.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(pointer, True).close()
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs.create(path(folder, version), True).close()
+        for old in [*names, version][:-keep]:
+            fs.delete(path(folder, old), False)
+            fs.delete(path(f"{root}/{old}"), True)
 
     return write
 

@@ -2,8 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from fiscalis.queries import joins
-from fiscalis.rules import tables as T
 from fiscalis.operators import entities, findings, linking, queues, store, temporal
 from fiscalis.plans import interop, marts
 from fiscalis.sources import html
@@ -248,19 +246,3 @@ def test_dataset_tags_reads_whole_texts(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.tags for r in entry.queries()["dataset_tags"](spark, str(tmp_path)).collect()}
     assert got == {4: "SICOGEN", 5: "", 0: "SIAPER,MIGRACIONES"}
-
-
-def test_token_overlap_of_whole_tables_equals_brute_force(spark, sf_dir):
-    for name, min_len, digits, stop, floor, least in (("best", 4, False, T.WATCH_STOP, 2, 0.62), ("all", 3, True, T.TRIBUNAL_STOP, 1, 0.55)):
-        a, b = ({r.id: set(r.tokens) for r in d.collect()} for d in joins._sides(spark, sf_dir, min_len, digits, stop, "true", "true"))
-        assert len(a) == len(b) == spark.read.parquet(f"{sf_dir}/part.parquet").count()
-        pairs = {(i, j): len(x & y) / max(1, min(len(x), len(y))) for i, x in a.items() for j, y in b.items() if len(x & y) >= floor}
-        want = {}
-        for (i, j), score in pairs.items():
-            if score >= least:
-                want.setdefault(i, []).append((-score, j))
-        rows = entry.queries()[f"token_overlap_{name}_whole"](spark, sf_dir).collect()
-        if name == "best":
-            assert {r.left_id: (-r.score, r.right_id) for r in rows} == {i: min(x) for i, x in want.items()}
-        else:
-            assert {r.left_id: (r.right_ids, -r.score) for r in rows} == {i: (",".join(map(str, sorted(j for _, j in x))), min(x)[0]) for i, x in want.items()}
