@@ -185,8 +185,8 @@ def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held)
 
 
-def _members(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
-    """Ids and payloads of each group in a stream sorted by ``bucket, i, j``; lists, since most groups are tiny."""
+def _members(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list, list]]:
+    """Bucket, ids and payloads of each group in a stream sorted by ``bucket, i, j``; lists, since most groups are tiny."""
     ids: list = []
     payload: list = []
     last = None
@@ -199,55 +199,98 @@ def _members(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
             cut[1:] |= c[1:] != c[:-1]
         own_ids, own_payload = batch.column("id").to_pylist(), batch.column("payload").to_pylist()
         if ids and tuple(c[0] for c in cols) != last:
-            yield ids, payload
+            yield last[0], ids, payload
             ids, payload = [], []
         at = 0
         for end in np.flatnonzero(cut).tolist():
-            yield ids + own_ids[at:end], payload + own_payload[at:end]
+            yield int(cols[0][at]), ids + own_ids[at:end], payload + own_payload[at:end]
             ids, payload, at = [], [], end
         ids += own_ids[at:]
         payload += own_payload[at:]
-        last = tuple(c[-1] for c in cols)
+        last = tuple(c[-1].item() for c in cols)
     if ids:
-        yield ids, payload
+        yield last[0], ids, payload
+
+
+def _with_first(n: int, at: int, pairs: Iterable[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[int]]:
+    """The pairs, and the indices below ``n`` that they do not connect with ``at``."""
+    up = list(range(n))
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    kept = list(pairs)
+    for x, y in kept:
+        up[top(x)] = top(y)
+    root = top(at)
+    return kept, [i for i in range(n) if top(i) != root]
 
 
 def bucket_edges(
-    members: DataFrame, payload: str, linker: Callable[[list], Iterable[tuple[int, int]]], block: int = 1024
+    members: DataFrame, payload: str, linker: Callable[[list], Iterable[tuple[int, int]]], block: int = 1024, label: str = "buckets"
 ) -> DataFrame:
     """Verified links inside buckets: ``members (bucket long, id long, <payload>)`` -> spanning edges ``(u, v)``.
 
     ``linker(payloads)`` gets the payloads of one group and yields index pairs that span the components of its true
     links, so a group of n rows gives less than n edges, never all pairs. A bucket beyond ``block`` rows is cut into
-    blocks and one group is made of each pair of blocks: every pair of rows meets in some group, each group is
-    bounded, and the groups of a hot bucket spread over the cluster.
+    blocks, and each block meets the bucket's first row: rows that it reaches are connected already and need not meet
+    one another. The rows that are left meet all blocks, themselves in blocks, so every link is found, each group is
+    bounded, and the groups of a hot bucket spread over the cluster. A bucket of n rows with r left is copied
+    1 + r / block times, not n / block times.
     """
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    placed = members.join(sizes, "bucket").withColumn("nb", blocks)
-    placed = placed.withColumn("blk", F.pmod(F.xxhash64("id", F.lit(7)), F.col("nb")).cast("int"))
-    placed = placed.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    keyed = placed.select(
-        "bucket", F.least("blk", "j").alias("i"), F.greatest("blk", "j").alias("j"), "id", F.col(payload).alias("payload")
-    )
-    dealt = keyed.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    schema = fields("u long, v long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        u: list[int] = []
-        v: list[int] = []
-        for ids, load in _members(batches):
+    own = members.select("bucket", "id", F.col(payload).alias("payload"))
+    sizes = materialize(own.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), f"{label}-sizes")
+    schema = fields("u long, v long, left boolean")
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.select("bucket", "i", "j", "id", "payload").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def batch(rows: list[tuple[int, int, bool]]) -> pa.RecordBatch:
+        u, v, left = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(left, pa.bool_())], schema.names)
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, int, bool]] = []
+        for _, ids, load in _members(batches):
             if len(ids) > 1:
-                for a, b in linker(load):
-                    u.append(ids[a])
-                    v.append(ids[b])
-            if len(u) > 8192:
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-                u, v = [], []
-        if u:
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-
-    return dealt.mapInArrow(run, schema)
+                out += [(ids[x], ids[y], False) for x, y in linker(load)]
+            if len(out) > 8192:
+                yield batch(out)
+                out = []
+        if out:
+            yield batch(out)
+
+    def link_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Edges of a block with the bucket's first row, which has the least id; and the rows that it does not reach."""
+        for bucket, ids, load in _members(batches):
+            kept, rest = _with_first(len(ids), ids.index(min(ids)), linker(load))
+            out = [(ids[x], ids[y], False) for x, y in kept] + [(ids[x], bucket, True) for x in rest]
+            if out:
+                yield batch(out)
+
+    zero = F.lit(0)
+    small = own.join(sizes.filter(F.col("n") <= block), "bucket").withColumn("i", zero).withColumn("j", zero)
+    edges = dealt(small).mapInArrow(link, schema).select("u", "v")
+    hot = sizes.filter(F.col("n") > block)
+    if hot.isEmpty():
+        return edges
+    big = own.join(hot.withColumn("nb", F.ceil(F.col("n") / F.lit(block)).cast("int")), "bucket")
+    big = materialize(big.withColumn("i", F.pmod(F.xxhash64("id", F.lit(7)), F.col("nb")).cast("int")).drop("n"), f"{label}-hot")
+    first = big.groupBy("bucket", "nb").agg(F.min("id").alias("id"))
+    heads = big.join(first.select("bucket", "id"), ["bucket", "id"]).dropDuplicates(["bucket"])
+    everywhere = heads.withColumn("i", F.explode(F.sequence(zero, F.col("nb") - 1)))
+    rest = big.join(heads.select("bucket", "id"), ["bucket", "id"], "left_anti").select(*everywhere.columns)
+    met = materialize(dealt(rest.unionByName(everywhere).withColumn("j", zero)).mapInArrow(link_first, schema), f"{label}-met")
+    edges = edges.unionByName(met.filter("not left").select("u", "v"))
+    left = met.filter("left").select(F.col("v").alias("bucket"), F.col("u").alias("id")).distinct()
+    counts = left.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("nu"))
+    again = big.join(counts, "bucket").withColumn("j", F.explode(F.sequence(zero, F.col("nu") - 1)))
+    lone = big.join(left, ["bucket", "id"]).join(counts, "bucket").withColumn("j", F.pmod(F.xxhash64("id", F.lit(9)), F.col("nu")).cast("int"))
+    lone = lone.withColumn("i", F.explode(F.sequence(zero, F.col("nb") - 1)))
+    return edges.unionByName(dealt(again.unionByName(lone.select(*again.columns))).mapInArrow(link, schema).select("u", "v"))
 
 
 def hex16(col) -> F.col:
