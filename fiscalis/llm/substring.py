@@ -33,10 +33,15 @@ _WRAP = (1 << 64) - 1
 
 @dataclass(frozen=True)
 class SubstringParams:
-    """``chunk_words`` bounds what a task holds at a time; ``block`` is the longest that any repeat must cover."""
+    """``chunk_words`` bounds what a task holds at a time; ``block`` is the longest that any repeat must cover.
+
+    A chunk sends to ``fan`` destinations at most, whatever the number of buckets; where more are needed, what arrives
+    is merged and dealt out again, ``fan`` ways a round.
+    """
 
     window: int = 20
     chunk_words: int = 3_000_000
+    fan: int = 1024
 
     @property
     def block(self) -> int:
@@ -116,7 +121,56 @@ def _batch(schema, **cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols[f.name], types[{"bigint": "long"}.get(f.dataType.simpleString(), f.dataType.simpleString())]) for f in schema.fields], names)
 
 
+def filled(to: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """``(value, indices)`` of each value that occurs, indices ascending."""
+    order = np.argsort(to, kind="stable")
+    own = to[order]
+    cuts = np.flatnonzero(own[1:] != own[:-1]) + 1 if len(own) else []
+    for part in np.split(order, cuts) if len(own) else ():
+        yield int(to[part[0]]), part
+
+
+def rounds(buckets: int, fan: int) -> list[int]:
+    """How many ways each round deals: powers of two, ``fan`` at most, that make ``buckets`` or more together."""
+    bits, step = max(1, (buckets - 1).bit_length()), max(1, fan.bit_length() - 1)
+    return [1 << min(step, bits - at) for at in range(0, bits, step)]
+
+
+def merge_rounds(sent: DataFrame, ways: list[int], refine) -> DataFrame:
+    """Rows of the first round dealt on by the further ones.
+
+    ``refine(done, way)`` gives a function over sorted batches that merges the rows of a destination, up to a bounded
+    size at a time, and splits them. Rows need not all meet for that, so a destination is spread over as many tasks
+    as it will have parts; rows with a negative destination are passed through.
+    """
+    done = ways[0]
+    for way in ways[1:]:
+        spread = F.pmod(F.xxhash64("a"), F.lit(way))
+        sent = sent.repartition(F.col("dest"), spread).sortWithinPartitions("dest").mapInArrow(refine(done, way), sent.schema)
+        done *= way
+    return sent
+
+
+MERGE_ROWS = 4_000_000
+
+
+def merged_runs(batches: Iterator[pa.RecordBatch], size) -> Iterator[tuple[int, list[dict]]]:
+    """Rows of one destination after the other, ``MERGE_ROWS`` numbers at a time; ``size(row)`` bytes stand for numbers."""
+    held: list[dict] = []
+    total = 0
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and (row["dest"] != held[0]["dest"] or total >= MERGE_ROWS or row["dest"] < 0):
+                yield held[0]["dest"], held
+                held, total = [], 0
+            held.append(row)
+            total += size(row)
+    if held:
+        yield held[0]["dest"], held
+
+
 _SENT = fields("dest long, chunk long, a binary, b binary, c binary, d binary, e binary")
+_FOUND = fields("dest long, chunk long, a binary, b binary, c binary, d binary, e binary, f binary")
 _BACK = fields("chunk long, kind int, a binary, b binary, c binary, d binary")
 
 
@@ -126,7 +180,7 @@ def _blobs(table: pa.Table, *names: str) -> list[list[bytes]]:
 
 def anchor_blocks(keyed: DataFrame, p: SubstringParams, buckets: int) -> DataFrame:
     """``(dk, tkey, hits binary)``: numbers of the blocks of a text that are met elsewhere; texts without any are left out."""
-    size = p.block
+    size, ways = p.block, rounds(buckets, p.fan)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
@@ -152,14 +206,12 @@ def anchor_blocks(keyed: DataFrame, p: SubstringParams, buckets: int) -> DataFra
             )
             asked = np.flatnonzero(~known)
             rows: dict[str, list] = {k: [] for k in ("dest", "chunk", "a", "b", "c", "d", "e")}
-            d_to, b_to = distinct % np.uint64(buckets), block[asked] % np.uint64(buckets)
-            d_order, b_order = np.argsort(d_to, kind="stable"), np.argsort(b_to, kind="stable")
-            d_cut, b_cut = np.searchsorted(d_to[d_order], np.arange(buckets + 1)), np.searchsorted(b_to[b_order], np.arange(buckets + 1))
-            for t in range(buckets):
-                mine, own = distinct[d_order[d_cut[t] : d_cut[t + 1]]], asked[b_order[b_cut[t] : b_cut[t + 1]]]
-                if len(mine):
-                    for k, v in zip(rows, (t, chunk, pack_sorted(mine // np.uint64(buckets)), pack_sorted(own), _planes((block[own] // np.uint64(buckets)).astype("<u8")), b"", b""), strict=True):
-                        rows[k].append(v)
+            way = np.uint64(ways[0])
+            mine_of = {t: asked[i] for t, i in filled(block[asked] % way)}
+            for t, i in filled(distinct % way):  # every block that is asked for is among the distinct ones
+                own = mine_of.get(t, asked[:0])
+                for k, v in zip(rows, (t, chunk, pack_sorted(distinct[i] // way), pack_sorted(own), _planes((block[own] // way).astype("<u8")), b"", b""), strict=True):
+                    rows[k].append(v)
             yield _batch(_SENT, **rows)
 
         for batch in batches:
@@ -175,25 +227,57 @@ def anchor_blocks(keyed: DataFrame, p: SubstringParams, buckets: int) -> DataFra
         if held:
             yield from flush()
 
+    def asked_of(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Chunk, number and hash of the blocks that a row asks for; merged rows name the chunk of each."""
+        block = _unplanes(row["c"], "<u8")
+        if row["d"]:
+            return _unplanes(row["d"], "<i8"), _unplanes(row["b"], "<i8"), block
+        return np.full(len(block), row["chunk"], np.int64), unpack_sorted(row["b"]).astype(np.int64), block
+
+    def refine(done: int, way: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for dest, held in merged_runs(batches, lambda r: len(r["a"]) // 2):
+                if dest < 0:
+                    yield _batch(_SENT, **{k: [r[k] for r in held] for k in held[0]})
+                    continue
+                every = np.sort(np.concatenate([unpack_sorted(r["a"]) for r in held]))
+                third = np.zeros(len(every), bool)  # that a hash came more than once is all that counts
+                third[2:] = every[2:] == every[:-2]
+                every = every[~third]
+                chunk, at, block = (np.concatenate(x) for x in zip(*map(asked_of, held), strict=True))
+                mine = {t: i for t, i in filled(block % np.uint64(way))}
+                none = np.empty(0, np.int64)
+                rows: dict[str, list] = {k: [] for k in held[0]}
+                for t, i in filled(every % np.uint64(way)):
+                    own = mine.get(t, none)
+                    for k, v in zip(("dest", "chunk", "a", "b", "c", "d", "e"), (dest + t * done, -1, pack_sorted(every[i] // np.uint64(way)), _planes(at[own]), _planes(block[own] // np.uint64(way)), _planes(chunk[own]), b""), strict=True):
+                        rows[k].append(v)
+                yield _batch(_SENT, **rows)
+
+        return run
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, ["dest"]):
-            chunks = table.column("chunk").to_pylist()
-            a, b, c, d = _blobs(table, "a", "b", "c", "d")
             if table.column("dest")[0].as_py() < 0:
+                chunks = table.column("chunk").to_pylist()
+                a, b, c, d = _blobs(table, "a", "b", "c", "d")
                 yield _batch(_BACK, chunk=chunks, kind=[0] * len(chunks), a=a, b=b, c=c, d=d)
                 continue
-            every = np.sort(np.concatenate([unpack_sorted(x) for x in a]))
+            held = table.to_pylist()
+            every = np.sort(np.concatenate([unpack_sorted(r["a"]) for r in held]))
             shared = np.unique(every[1:][every[1:] == every[:-1]])
             if not len(shared):
                 continue
             out, ids = [], []
-            for chunk, at, block in zip(chunks, b, c, strict=True):
-                at, block = unpack_sorted(at), _unplanes(block, "<u8")
+            for row in held:
+                chunk, at, block = asked_of(row)
                 i = np.minimum(np.searchsorted(shared, block), len(shared) - 1)
-                hit = at[shared[i] == block]
-                if len(hit):
-                    ids.append(chunk)
-                    out.append(pack_sorted(hit))
+                hit = shared[i] == block
+                if hit.any():
+                    chunk, at = chunk[hit], at[hit]
+                    for c, own in filled(chunk):
+                        ids.append(c)
+                        out.append(pack_sorted(np.sort(at[own])))
             none = [b""] * len(ids)
             yield _batch(_BACK, chunk=ids, kind=[1] * len(ids), a=out, b=none, c=none, d=none)
 
@@ -212,14 +296,14 @@ def anchor_blocks(keyed: DataFrame, p: SubstringParams, buckets: int) -> DataFra
                 dk, tkey = _unplanes(c[home], "<i8"), _unplanes(d[home], "<i8")
                 yield _batch(result, dk=dk[some], tkey=tkey[some], hits=[pack_sorted(hits[cut[i] : cut[i + 1]] - first[i]) for i in some])
 
-    sent = keyed.mapInArrow(probe, _SENT).repartition("dest").sortWithinPartitions("dest", "chunk")
+    sent = merge_rounds(keyed.mapInArrow(probe, _SENT), ways, refine).repartition("dest").sortWithinPartitions("dest", "chunk")
     back = sent.mapInArrow(meet, _BACK).repartition("chunk").sortWithinPartitions("chunk", "kind")
     return back.mapInArrow(gather, result).dropDuplicates(["dk", "tkey"])  # repeated rows have equal anchors
 
 
 def repeated_spans(keyed: DataFrame, anchors: DataFrame, p: SubstringParams, buckets: int) -> DataFrame:
     """``(dk, tkey, spans binary)``: word intervals covered by windows that start earlier elsewhere; others left out."""
-    size, span = p.block, p.window
+    size, span, ways = p.block, p.window, rounds(buckets, p.fan)
 
     def candidates(n: int, hits: np.ndarray) -> np.ndarray:
         """Starts of the windows of n words all of whose whole blocks are anchors."""
@@ -249,20 +333,16 @@ def repeated_spans(keyed: DataFrame, anchors: DataFrame, p: SubstringParams, buc
             later = (dk[order] != dk[lead]) | (pos[order] != pos[lead])
             flags = np.sort(order[later])
             yield _batch(
-                _SENT, dest=[-1 - chunk], chunk=[chunk], a=[pack_sorted(flags)], b=[pack_sorted(np.concatenate([[0], np.cumsum(count)]))],
-                c=[_planes(np.array([x[0] for x in held], "<i8"))], d=[_planes(np.array([x[1] for x in held], "<i8"))], e=[_planes(np.diff(pos, prepend=0).astype("<i4"))],
+                _FOUND, dest=[-1 - chunk], chunk=[chunk], a=[pack_sorted(flags)], b=[pack_sorted(np.concatenate([[0], np.cumsum(count)]))],
+                c=[_planes(np.array([x[0] for x in held], "<i8"))], d=[_planes(np.array([x[1] for x in held], "<i8"))], e=[_planes(np.diff(pos, prepend=0).astype("<i4"))], f=[b""],
             )
             lone = np.sort(order[~later])
-            to = (ha[lone] % np.uint64(buckets)).astype(np.int64)
-            by = np.argsort(to, kind="stable")
-            cut = np.searchsorted(to[by], np.arange(buckets + 1))
-            rows: dict[str, list] = {k: [] for k in ("dest", "chunk", "a", "b", "c", "d", "e")}
-            for t in range(buckets):
-                own = lone[by[cut[t] : cut[t + 1]]]
-                if len(own):
-                    for k, v in zip(rows, (t, chunk, pack_sorted(own), _planes(ha[own]), _planes(hb[own]), _planes(np.diff(dk[own], prepend=0)), _planes(pos[own].astype("<i4"))), strict=True):
-                        rows[k].append(v)
-            yield _batch(_SENT, **rows)
+            rows: dict[str, list] = {k: [] for k in (*(f.name for f in _SENT.fields), "f")}
+            for t, i in filled(ha[lone] % np.uint64(ways[0])):
+                own = lone[i]
+                for k, v in zip(rows, (t, chunk, pack_sorted(own), _planes(ha[own]), _planes(hb[own]), _planes(np.diff(dk[own], prepend=0)), _planes(pos[own].astype("<i4")), b""), strict=True):
+                    rows[k].append(v)
+            yield _batch(_FOUND, **rows)
 
         for batch in batches:
             for dk, tkey, text, hits in zip(*(batch.column(i) for i in range(4)), strict=True):
@@ -279,32 +359,48 @@ def repeated_spans(keyed: DataFrame, anchors: DataFrame, p: SubstringParams, buc
         if held:
             yield from flush()
 
+    def windows_of(row: dict) -> tuple[np.ndarray, ...]:
+        """Chunk, number, both hashes, document and position of a row's windows; merged rows name the chunk of each."""
+        ha, hb = _unplanes(row["b"], "<u8"), _unplanes(row["c"], "<u4")
+        dk, pos = np.cumsum(_unplanes(row["d"], "<i8")), _unplanes(row["e"], "<i4")
+        if row["f"]:
+            return _unplanes(row["f"], "<i8"), _unplanes(row["a"], "<i8"), ha, hb, dk, pos
+        return np.full(len(ha), row["chunk"], np.int64), unpack_sorted(row["a"]).astype(np.int64), ha, hb, dk, pos
+
+    def refine(done: int, way: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for dest, held in merged_runs(batches, lambda r: len(r["b"]) // 4):
+                if dest < 0:
+                    yield _batch(_FOUND, **{k: [r[k] for r in held] for k in held[0]})
+                    continue
+                chunk, at, ha, hb, dk, pos = (np.concatenate(x) for x in zip(*map(windows_of, held), strict=True))
+                rows: dict[str, list] = {k: [] for k in held[0]}
+                for t, own in filled(ha // np.uint64(done) % np.uint64(way)):
+                    for k, v in zip(("dest", "chunk", "a", "b", "c", "d", "e", "f"), (dest + t * done, -1, _planes(at[own]), _planes(ha[own]), _planes(hb[own]), _planes(np.diff(dk[own], prepend=0)), _planes(pos[own]), _planes(chunk[own])), strict=True):
+                        rows[k].append(v)
+                yield _batch(_FOUND, **rows)
+
+        return run
+
     back_schema = fields("chunk long, kind int, a binary, b binary, c binary, d binary, e binary")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, ["dest"]):
-            chunks = table.column("chunk").to_pylist()
-            a, b, c, d, e = _blobs(table, "a", "b", "c", "d", "e")
             if table.column("dest")[0].as_py() < 0:
+                chunks = table.column("chunk").to_pylist()
+                a, b, c, d, e = _blobs(table, "a", "b", "c", "d", "e")
                 yield _batch(back_schema, chunk=chunks, kind=[0] * len(chunks), a=a, b=b, c=c, d=d, e=e)
                 continue
-            at = [unpack_sorted(x) for x in a]
-            index = np.concatenate(at)
-            ha, hb = np.concatenate([_unplanes(x, "<u8") for x in b]), np.concatenate([_unplanes(x, "<u4") for x in c])
-            dk, pos = np.concatenate([np.cumsum(_unplanes(x, "<i8")) for x in d]), np.concatenate([_unplanes(x, "<i4") for x in e])
+            chunk, index, ha, hb, dk, pos = (np.concatenate(x) for x in zip(*map(windows_of, table.to_pylist()), strict=True))
             order = np.lexsort((pos, dk, hb, ha))
             new = np.ones(len(order), bool)
             new[1:] = (ha[order[1:]] != ha[order[:-1]]) | (hb[order[1:]] != hb[order[:-1]])
             lead = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
-            later = np.zeros(len(order), bool)
-            later[order] = (dk[order] != dk[lead]) | (pos[order] != pos[lead])
+            later = order[(dk[order] != dk[lead]) | (pos[order] != pos[lead])]
             ids, out = [], []
-            cut = np.concatenate([[0], np.cumsum([len(x) for x in at])])
-            for i, chunk in enumerate(chunks):
-                flags = index[cut[i] : cut[i + 1]][later[cut[i] : cut[i + 1]]]
-                if len(flags):
-                    ids.append(chunk)
-                    out.append(pack_sorted(flags))
+            for c, own in filled(chunk[later]):
+                ids.append(c)
+                out.append(pack_sorted(np.sort(index[later[own]])))
             none = [b""] * len(ids)
             yield _batch(back_schema, chunk=ids, kind=[1] * len(ids), a=out, b=none, c=none, d=none, e=none)
 
@@ -332,7 +428,7 @@ def repeated_spans(keyed: DataFrame, anchors: DataFrame, p: SubstringParams, buc
             yield _batch(result, dk=dk[some], tkey=tkey[some], spans=spans)
 
     met = keyed.join(anchors, ["dk", "tkey"]).select("dk", "tkey", "text", "hits").sortWithinPartitions("dk", "tkey")
-    sent = met.mapInArrow(extend, _SENT).repartition("dest").sortWithinPartitions("dest", "chunk")
+    sent = merge_rounds(met.mapInArrow(extend, _FOUND), ways, refine).repartition("dest").sortWithinPartitions("dest", "chunk")
     back = sent.mapInArrow(meet, back_schema).repartition("chunk").sortWithinPartitions("chunk", "kind")
     return back.mapInArrow(gather, result).dropDuplicates(["dk", "tkey"])
 

@@ -40,8 +40,8 @@ def test_table_equals_brute_force(spark, sf):
     assert rows(op6_substring_dedup(spark, d)) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("span,chunk", [(20, 3_000_000), (7, 200), (4, 50), (1, 30)])
-def test_planted_repeats(spark, span, chunk):
+@pytest.mark.parametrize("span,chunk,fan", [(20, 3_000_000, 1024), (7, 200, 2), (4, 50, 4), (1, 30, 1024)])
+def test_planted_repeats(spark, span, chunk, fan):
     rng = random.Random(span)
     vocab = [f"w{i}" for i in range(300)]
     passages = [rng.choices(vocab, k=rng.randrange(1, 60)) for _ in range(12)]
@@ -53,7 +53,7 @@ def test_planted_repeats(spark, span, chunk):
         docs.append((i, " \t\n"[i % 3].join(words)))
     docs += [(100, None), (101, ""), (102, "the " * 90), (103, "the " * 41), (None, docs[5][1]), (None, "x " * 30), (7, docs[7][1]), (7, docs[9][1]), (50, docs[3][1] + "   é")]
     df = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, spans int").repartition(5)
-    got = rows(remove_substrings(df, SubstringParams(span, chunk), digest=True))
+    got = rows(remove_substrings(df, SubstringParams(span, chunk, fan), digest=True))
     assert got == sorted(plain(docs, span), key=str)
 
 
