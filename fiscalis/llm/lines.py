@@ -19,14 +19,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fiscalis.llm.common import bucket_edges, connected_components, fields, fresh, groups, materialize, place
-from fiscalis.llm.substring import _batch, _keyed, _mixed, _planes, _unplanes, pack_sorted, rolling, unpack_sorted
+from fiscalis.llm.substring import _batch, _keyed, _mixed, _planes, _unplanes, filled, merge_rounds, merged_runs, pack_sorted, rolling, rounds, unpack_sorted
 
 _EMPTY = np.uint64((1 << 64) - 1)
 
 
 @dataclass(frozen=True)
 class LineParams:
-    """A pair of similarity s is a candidate with probability 1 - (1 - s ** rows) ** bands: 0.998 at 0.8."""
+    """A pair of similarity s is a candidate with probability 1 - (1 - s ** rows) ** bands: 0.998 at 0.8.
+
+    A chunk sends its keys to ``fan`` destinations at most; more are reached in further rounds. A key that ``heavy``
+    lines of a chunk carry is sent on for one of them, so that a bucket holds it once for each chunk.
+    """
 
     shingle: int = 6
     similarity: float = 0.8
@@ -34,6 +38,8 @@ class LineParams:
     rows: int = 5
     chunk_lines: int = 30_000
     chunk_chars: int = 8_000_000
+    fan: int = 1024
+    heavy: int = 64
     seed: int = 5
 
     @property
@@ -174,6 +180,7 @@ def line_forest(lines: list[str], p: LineParams) -> Iterable[tuple[int, int]]:
     return jaccard_forest([shingle_set(x, p.shingle) for x in lines], p.similarity)
 
 
+_LOCAL = -2_000_000
 _SENT = fields("dest long, a binary, b binary, c binary, d binary")
 _MET = fields("bucket long, lid long, n long, s long, a binary, b binary, c binary, d binary")
 
@@ -182,12 +189,46 @@ def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
     """One pass over the texts, written: rows of two kinds.
 
     ``bucket, lid, n, s``: a line that shares a band with others, the size and a checksum of the set of such lines.
-    ``a, b, c, d``: packed ids of the lines of a chunk, each with its first document, position and text there. Keys
+    Lines of a hot key have ``n = 0`` and may come twice. ``a, b, c, d``: packed ids of the lines of a chunk, each with its first document, position and text there. Keys
     travel as one sorted blob per chunk of lines and destination, so a line that is frequent is one entry per chunk.
     """
 
-    low = np.uint64(64 - (buckets - 1).bit_length())  # the highest bits of a key name its destination
-    buckets = 1 << (buckets - 1).bit_length()
+    ways = rounds(buckets, p.fan)
+    bits = [w.bit_length() - 1 for w in ways]  # the highest bits of a key name its destinations, round by round
+
+    def dealt(keys: np.ndarray, who: np.ndarray, hot: np.ndarray, top: int) -> pa.RecordBatch:
+        """Rows of ascending keys, one for each value of their ``top`` bits that occurs."""
+        shift = np.uint64(64 - top)
+        rows: dict[str, list] = {k: [] for k in ("dest", "a", "b", "c", "d")}
+        for t, i in filled(keys >> shift):
+            for k, v in zip(rows, (t, pack_sorted(keys[i] - (np.uint64(t) << shift)), _planes(who[i]), pack_sorted(np.flatnonzero(hot[i])), b""), strict=True):
+                rows[k].append(v)
+        return _batch(_SENT, **rows)
+
+    def gathered(held: list[dict], top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys, lines and hot marks of rows of one destination, by key."""
+        parts = [unpack_sorted(r["a"]) for r in held]
+        keys = np.concatenate(parts) + (np.uint64(held[0]["dest"]) << np.uint64(64 - top))
+        hot = np.zeros(len(keys), bool)
+        at = 0
+        for r, part in zip(held, parts, strict=True):
+            if r["c"]:
+                hot[at + unpack_sorted(r["c"]).astype(np.int64)] = True
+            at += len(part)
+        order = np.argsort(keys)
+        return keys[order], np.concatenate([_unplanes(r["b"], "<u8") for r in held])[order], hot[order]
+
+    def refine(done: int, way: int):
+        top = done.bit_length() - 1
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for dest, held in merged_runs(batches, lambda r: len(r["b"]) // 8):
+                if dest < 0:
+                    yield _batch(_SENT, **{k: [r[k] for r in held] for k in held[0]})
+                else:
+                    yield dealt(*gathered(held, top), top + way.bit_length() - 1)
+
+        return run
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, str] = {}
@@ -210,16 +251,14 @@ def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
             keys = np.concatenate(parts).ravel()
             order = np.argsort(keys)
             keys, who = keys[order], np.repeat(ids, p.bands)[order]
-            cut = np.append(np.searchsorted(keys, np.arange(buckets, dtype=np.uint64) << low), len(keys))
-            rows: dict[str, list] = {"dest": [], "a": [], "b": []}
-            for t in range(buckets):
-                a, b = cut[t], cut[t + 1]
-                if b > a:
-                    rows["dest"].append(t)
-                    rows["a"].append(pack_sorted(keys[a:b] - (np.uint64(t) << low)))
-                    rows["b"].append(_planes(who[a:b]))
-            none = [b""] * len(rows["dest"])
-            yield _batch(_SENT, **rows, c=none, d=none)
+            new = np.append(True, keys[1:] != keys[:-1])
+            size = np.diff(np.append(np.flatnonzero(new), len(keys)))
+            hot = np.repeat(size >= p.heavy, size)
+            if hot.any():
+                here = _LOCAL - TaskContext.get().partitionId() % 1_000_003
+                yield _batch(_SENT, dest=[here], a=[_planes(keys[hot])], b=[_planes(who[hot])], c=[b""], d=[b""])
+                keys, who, hot = keys[new | ~hot], who[new | ~hot], hot[new | ~hot]
+            yield dealt(keys, who, hot, bits[0])
 
         for batch in batches:
             for dk, tkey, text in zip(*(batch.column(i) for i in range(3)), strict=True):
@@ -243,22 +282,26 @@ def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, ["dest"]):
             t = table.column("dest")[0].as_py()
+            if t <= _LOCAL:
+                for a, b in zip(table.column("a"), table.column("b"), strict=True):
+                    bucket, lid = _unplanes(a.as_py(), "<i8"), _unplanes(b.as_py(), "<i8")
+                    none = [None] * len(bucket)
+                    yield _batch(_MET, bucket=bucket, lid=lid, n=np.zeros(len(bucket), np.int64), s=bucket, a=none, b=none, c=none, d=none)
+                continue
             if t < 0:
                 none = [None] * table.num_rows
                 yield _batch(_MET, bucket=none, lid=none, n=none, s=none, **{c: table.column(c).to_pylist() for c in "abcd"})
                 continue
-            keys = np.concatenate([unpack_sorted(x.as_py()) for x in table.column("a")])
-            who = np.concatenate([_unplanes(x.as_py(), "<u8") for x in table.column("b")])
-            order = np.argsort(keys)
-            keys, who = keys[order], who[order]
+            keys, who, hot = gathered(table.to_pylist(), sum(bits))
             twin = np.zeros(len(keys) + 1, bool)
             twin[1:-1] = keys[1:] == keys[:-1]
             shared = twin[1:] | twin[:-1]
-            keys, who = keys[shared], who[shared]
+            keys, who, hot = keys[shared], who[shared], hot[shared]
             if not len(keys):
                 continue
             order = np.lexsort((who, keys))
-            keys, who = keys[order], who[order]
+            keys, who, hot = keys[order], who[order], hot[order]
+            hot = np.maximum.reduceat(hot, np.flatnonzero(np.append(True, keys[1:] != keys[:-1])))
             fresh = np.ones(len(keys), bool)
             fresh[1:] = (keys[1:] != keys[:-1]) | (who[1:] != who[:-1])
             keys, who = keys[fresh], who[fresh]
@@ -267,13 +310,15 @@ def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
             starts = np.flatnonzero(new)
             n = np.diff(np.append(starts, len(keys)))
             s = np.add.reduceat(_mixed(who), starts)
+            # a hot key's lines are spread: it has no checksum and stands for itself
+            s, told = np.where(hot, keys[starts], s), np.where(hot, 0, n)
             each = np.repeat(np.arange(len(starts)), n)
             many = n[each] > 1
-            bucket = (keys + (np.uint64(t) << low)).view(np.int64)[many]
+            bucket = keys.view(np.int64)[many]
             none = [None] * len(bucket)
-            yield _batch(_MET, bucket=bucket, lid=who[many].view(np.int64), n=n[each][many], s=s[each][many].view(np.int64), a=none, b=none, c=none, d=none)
+            yield _batch(_MET, bucket=bucket, lid=who[many].view(np.int64), n=told[each][many], s=s[each][many].view(np.int64), a=none, b=none, c=none, d=none)
 
-    sent = keyed.select("dk", "tkey", "text").mapInArrow(sign, _SENT).repartition("dest").sortWithinPartitions("dest")
+    sent = merge_rounds(keyed.select("dk", "tkey", "text").mapInArrow(sign, _SENT), ways, refine).repartition("dest").sortWithinPartitions("dest")
     return materialize(sent.mapInArrow(meet, _MET), "line-bands")
 
 
@@ -316,8 +361,9 @@ def kept_lines(docs: DataFrame, p: LineParams = LineParams()) -> tuple[DataFrame
     met = line_bands(keyed, p, buckets)
     first = materialize(first_places(met), "line-places")
     several = met.filter("bucket is not null")
-    chosen = several.groupBy("n", "s").agg(F.min("bucket").alias("bucket")).select("bucket")
-    members = materialize(several.join(chosen, "bucket", "left_semi").select("bucket", "lid"), "line-members")
+    chosen = several.filter("n > 0").groupBy("n", "s").agg(F.min("bucket").alias("bucket")).select("bucket")
+    plain = several.filter("n > 0").join(chosen, "bucket", "left_semi").select("bucket", "lid")
+    members = materialize(plain.unionByName(several.filter("n = 0").select("bucket", "lid").distinct()), "line-members")
     wanted = first.join(members.select("lid").distinct(), "lid", "left_semi").select("dk", "pos", "tkey")
     texts = materialize(line_texts(keyed, wanted), "line-texts").dropDuplicates(["lid"])
     paired = members.join(texts, "lid").select("bucket", F.col("lid").alias("id"), "line")

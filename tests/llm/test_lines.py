@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from fiscalis.llm.common import bucket_edges, connected_components
 from fiscalis.llm.lines import LineParams, band_keys, dedup_lines, jaccard_forest, normal_lines, op4_line_dedup, shingle_set
 
 
@@ -111,3 +113,48 @@ def test_forest_links_dense_and_chained_lines():
     for a, b in pairs:
         i = len(np.intersect1d(sets[a], sets[b]))
         assert i / (len(sets[a]) + len(sets[b]) - i) >= 0.8 - 1e-9
+
+
+def test_rounds_and_hot_keys_change_nothing(spark):
+    """Small chunks, two destinations a round and keys that are hot from two lines on: the same lines stay."""
+    rng = random.Random(3)
+    base = ["".join(rng.choices("abcdefgh ", k=60)) for _ in range(40)]
+    docs = [(i, "\n".join(rng.choice(base)[: rng.randrange(55, 60)] + rng.choice("xyz") for _ in range(12))) for i in range(60)]
+    docs += [(100 + i, f"the same notice for everyone, number {i:03d}, please read it with care and sign it below") for i in range(150)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    want = {r.doc_id: r.text for r in dedup_lines(df).collect()}
+    got = {r.doc_id: r.text for r in dedup_lines(df, LineParams(fan=2, heavy=2, chunk_lines=40)).collect()}
+    assert got == want and sum(bool(want[100 + i]) for i in range(150)) < 20
+
+
+def test_a_hot_bucket_is_copied_a_few_times_and_loses_no_link(spark):
+    """Numbers that link at a distance of 1: one dense run and some far ones, in blocks of 8."""
+    rng = random.Random(4)
+    values = list(range(300)) + [1000, 1001, 5000, 9000, 9001, 9003]
+    rng.shuffle(values)
+    rows = [(b, i, v) for b in (1, 2) for i, v in enumerate(values)] + [(3, 0, values[0]), (3, 1, values[1])]
+    seen = spark.sparkContext.accumulator(0)
+
+    def linker(load):
+        seen.add(len(load))
+        order = sorted(range(len(load)), key=load.__getitem__)
+        return [(a, b) for a, b in zip(order, order[1:]) if load[b] - load[a] <= 1]
+
+    df = spark.createDataFrame(rows, "bucket long, id long, v long")
+    roots = {r.node: r.root for r in connected_components(bucket_edges(df, "v", linker, 8)).collect()}
+    group = lambda v: roots.get(values.index(v), values.index(v))
+    assert len({group(v) for v in range(300)}) == 1 and group(1000) == group(1001) and group(9000) == group(9001)
+    assert len({group(v) for v in (0, 1000, 5000, 9000, 9003)}) == 5
+
+
+def test_copies_of_a_dense_bucket(spark):
+    """Of 20,000 rows that the first reaches, none is sent more than twice, whatever the number of blocks."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def linker(load):
+        seen.add(len(load))
+        return [(0, i) for i in range(1, len(load))]
+
+    df = spark.range(20_000).select(F.lit(1).cast("long").alias("bucket"), "id", F.col("id").alias("v"))
+    assert bucket_edges(df, "v", linker, 64).count() >= 19_999
+    assert seen.value < 2 * 20_000 + 400
