@@ -436,3 +436,50 @@ def export_status(spark, sf):
     objects, skipped = interop.export_evidence(ev, d, e)
     events = interop.export_events(e, objects)
     return interop.export_status(_hub(o), _edges(o), {"events": events, "relationships": interop.export_relationships(_edges(o), _hub(o), objects, events)}, skipped)
+
+
+@query("rule_set_labels", "select o_orderkey, array_to_string(case when o_orderkey % 3 = 0 then ['A'] else cast([] as varchar[]) end || case when o_orderkey % 2 = 0 then ['B'] else cast([] as varchar[]) end, ',') as labels, cast(greatest(case when o_orderkey % 3 = 0 then 5 else 0 end, case when o_orderkey % 2 = 0 then 9 else 0 end) as int) as weight from orders")
+def rule_set_labels(spark, sf):
+    """A rule set of one's own over a text column."""
+    from fiscalis.rules.ruleset import RuleSet
+
+    (o,) = tables(spark, sf, "orders")
+    rules = RuleSet("own").with_rule("A", "pago", weight=5).with_rule("B", "Obra", "camino", weight=9)
+    rows = o.select("o_orderkey", F.concat_ws(" ", F.when(F.col("o_orderkey") % 3 == 0, "PAGO"), F.when(F.col("o_orderkey") % 2 == 0, "obra"), F.lit("x")).alias("t"))
+    return rules.apply(rows, "t").select("o_orderkey", F.array_join("own.labels", ",").alias("labels"), "own.weight")
+
+
+@query("alert_catalogue", "select unnest([" + ", ".join(lit(r[0]) for r in T.ALERT_PATTERNS) + "]) as pattern_code, unnest([" + ", ".join(lit(r[2]) for r in T.ALERT_PATTERNS) + "]) as process, 'https://h/fau' as source_url")
+def alert_catalogue(spark, sf):
+    from fiscalis.rules.ruleset import alert_catalogue as catalogue
+
+    return catalogue(spark, "https://h/fau").select("pattern_code", "process", "source_url")
+
+
+@query("lateral_links", "select page_id, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) as href from pages")
+def lateral_links(spark, sf):
+    """The table functions, called from SQL."""
+    from fiscalis.functions import udtf
+
+    udtf.register(spark)
+    (p,) = tables(spark, sf, "pages")
+    return spark.sql("select page_id, l.href from {pages}, lateral html_links(html) l", pages=p)
+
+
+@query("source_readers", "select page_id, case page_id % 4 when 0 then 'WATCH' when 1 then 'TRIBUNAL' when 2 then 'NEWS' else 'LANDING' end as reader from pages")
+def source_readers(spark, sf):
+    from fiscalis.sources.config import reader
+
+    (p,) = tables(spark, sf, "pages")
+    k = (F.col("page_id") % 4 + 1).cast("int")
+    ids, kinds = F.array(*[F.lit(x) for x in ("cgr_fiscalizaciones", "cgr_tribunal_cuentas", "cgr_noticias", "x")]), F.array(*[F.lit(x) for x in ("page_discovery", "page_discovery", "news_index", "page_discovery")])
+    return p.select("page_id", reader(F.element_at(ids, k), F.element_at(kinds, k)).alias("reader"))
+
+
+@query("index_queries", "select 'C' || cast(n_nationkey as string) as collection_id, p as page, 'https://i/C' || cast(n_nationkey as string) || '?url=a.cl%2Fx&matchType=prefix&output=json&page=' || cast(p as string) || '&pageSize=5' as url from nation, (select cast(unnest(range(3)) as int) as p)")
+def index_queries(spark, sf):
+    from fiscalis.sources.http import index_queries as asked
+
+    (n,) = tables(spark, sf, "nation")
+    cid = F.concat(F.lit("C"), F.col("n_nationkey"))
+    return asked(n.select(cid.alias("collection_id"), F.concat(F.lit("https://i/"), cid).alias("api")), ("a.cl/x",), 3).drop("prefix")

@@ -65,3 +65,64 @@ def test_stream_merges_like_a_batch(spark, tmp_path):
         ingest.stream_upserts(stream.parquet(src), f"file://{tmp_path}/out", spec, "last_seen", f"{tmp_path}/ck").awaitTermination()
     got = {r.k: (r.v, r.last_seen) for r in ingest.current_version(spark, f"file://{tmp_path}/out", spec).collect()}
     assert got == {"a": (1, "t0"), "b": (3, "t1"), "c": (4, "t1")}
+
+
+def test_a_stream_that_begins_anew_goes_on(spark, tmp_path):
+    spec = tables.TableSpec("t", "k", "k string, v int, last_seen string")
+    stream = spark.readStream.schema(spec.schema)
+    for n in range(3):
+        src = f"{tmp_path}/in{n}"
+        spark.createDataFrame([("a", n, f"t{n}")], spec.schema).write.parquet(src)
+        ingest.stream_upserts(stream.parquet(src), f"file://{tmp_path}/out", spec, "last_seen", f"{tmp_path}/ck{n}").awaitTermination()
+        assert ingest.current_version(spark, f"file://{tmp_path}/out", spec).first().v == n
+    assert len([x for x in (tmp_path / "out").iterdir() if x.name.startswith("v")]) == 2
+
+
+def test_an_empty_mart_replaces_the_old_one(spark, tmp_path):
+    df = spark.range(3)
+    assert tables.write_marts({"m": df}, f"file://{tmp_path}") == {"m": 3}
+    assert tables.write_marts({"m": df.filter("id > 9")}, f"file://{tmp_path}") == {"m": 0}
+    assert spark.read.parquet(f"{tmp_path}/m").count() == 0
+
+
+def test_configuration(spark, tmp_path):
+    from fiscalis.sources import config
+
+    (tmp_path / "h.json").write_text(json.dumps({"news_archives": [{"url": "n", "enabled": False}], "reference_pages": [], "known_audits": [{"url": "https://x/buscadorpdf/auditoria/" + "a" * 32 + "/html"}, {"url": "bad"}]}))
+    got = config.history(spark, f"file://{tmp_path}/h.json")
+    assert got["news_archives"].count() == 0 and [(r.channel, r.source) for r in got["known_audits"].collect()] == [("KNOWN_SEED", "CONFIG")]
+    assert all(df.count() == 0 for df in config.history(spark, f"file://{tmp_path}/none.json").values())
+    (tmp_path / "s.json").write_text(json.dumps({"sources": [{"id": "cgr_semaforo", "url": "u"}, {"id": "b", "url": "v", "collector": "news_index"}, {"id": "c", "enabled": False}]}))
+    assert sorted((r.id, r.reader) for r in config.sources(spark, f"file://{tmp_path}/s.json").collect()) == [("b", "NEWS"), ("cgr_semaforo", "MUNICIPAL")]
+    (tmp_path / "a.json").write_text(json.dumps({"audits": [{"url": "u1"}, {"url": "u2", "enabled": False}]}))
+    assert [r.url for r in config.seed_audits(spark, f"file://{tmp_path}/a.json").collect()] == ["u1"]
+
+
+def test_fetching_gives_rows_for_errors(spark):
+    import http.server
+    import threading
+
+    from fiscalis.sources.http import FetchParams, fetch_pages
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        tries = 0
+
+        def do_GET(self):
+            Handler.tries += self.path == "/later"
+            status = 200 if self.path == "/ok" or Handler.tries > 1 and self.path == "/later" else 503 if self.path == "/later" else 404
+            self.send_response(status)
+            self.end_headers()
+            self.wfile.write("año".encode())
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    at = f"http://127.0.0.1:{server.server_port}"
+    df = spark.createDataFrame([(f"{at}/ok",), (f"{at}/none",), (f"{at}/later",), ("nonsense",), (f"{at}/ok",)], "url string")
+    got = {r.requested.rpartition("/")[2]: r for r in fetch_pages(df, FetchParams(timeout=5, backoff=0.01)).collect()}
+    server.shutdown()
+    assert (got["ok"].html, got["ok"].http_status, got["ok"].error) == ("año", 200, "")
+    assert (got["none"].http_status, got["none"].error) == (404, "HTTPError: 404") and got["later"].html == "año"
+    assert got["nonsense"].error.startswith("ValueError") and len(got) == 4
