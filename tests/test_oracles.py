@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from fiscalis import queries as audit
 
+MAY_BE_EMPTY = {"anti_join_quality_gate"}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -35,7 +36,19 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
     sql = audit.SQL[name]
     assert sorted(duck.sql(sql).columns) == cols
     want = sorted((tuple(plain(v) for v in r) for r in duck.sql(f"select {', '.join(cols)} from ({sql})").fetchall()), key=str)
-    assert got == want and got
+    assert got == want and (got or name in MAY_BE_EMPTY)
+
+
+@pytest.mark.parametrize("name", ["occurrence_cascade", "temporal_precision", "temporal_years"])
+def test_dates_equal_sql_on_the_larger_table(spark, name):
+    """Ranges that are refused and leave a single day occur from this size on."""
+    larger = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"create view orders as select * from '{larger}/orders.parquet'")
+    df = audit.QUERIES[name](spark, larger)
+    cols = ", ".join(sorted(df.columns))
+    got = sorted((tuple(plain(v) for v in r) for r in df.select(*sorted(df.columns)).collect()), key=str)
+    assert got == sorted((tuple(plain(v) for v in r) for r in con.sql(f"select {cols} from ({audit.SQL[name]})").fetchall()), key=str)
 
 
 @pytest.mark.parametrize("name", sorted(set(audit.QUERIES) - set(audit.SQL)))
