@@ -9,9 +9,9 @@ from fiscalis.functions.dates import export_timestamp
 from fiscalis.functions.identity import entity_role, global_entity_id, normalize_rut, territory
 from fiscalis.functions.text import direct_id, missing, normalize_name, text_or_empty
 
-#: Names under which this engine exports.
-VERSION = "1.0"
-RADAR, ULTIMATE, DIRECT = "RADAR_CGR", "CGR", "EVD-CGR-DOC"
+#: The name under which this engine exports, and fixed values: version, first source, prefix of ids of made evidence.
+PRODUCER = "FISCALIS"
+VERSION, ULTIMATE, DIRECT = "1.0", "CGR", "EVD-CGR-DOC"
 
 
 def _or_null(df: DataFrame, name: str) -> Column:
@@ -50,8 +50,8 @@ def _stamp(c: str) -> Column:
 def _evidence_object(df: DataFrame, source: Column, method: str, published: Column, excerpt: Column) -> DataFrame:
     got = _stamp("retrieved_at")
     return df.select(
-        "evidence_id", "document_id", F.lit(RADAR).alias("producer_id"), source.alias("source_id"), F.lit(ULTIMATE).alias("ultimate_source_id"),
-        missing(F.col("source_url")).alias("source_url"), F.lit("OFFICIAL").alias("source_tier"), F.lit(method).alias("capture_method"),
+        "evidence_id", "document_id", F.lit(PRODUCER).alias("producer_id"), source.alias("source_id"), F.lit(ULTIMATE).alias("ultimate_source_id"),
+        missing(F.col("source_url")).alias("source_url"), F.lit("OFFICIAL").alias("source_tier"), F.lit(f"{PRODUCER}_{method}").alias("capture_method"),
         missing(F.trim(_or_null(df, "content_hash"))).alias("content_sha256"), F.lit("VALID").alias("quality_status"), published.alias("source_published_at"),
         got.alias("retrieved_at"), got.alias("ingested_at"), excerpt.alias("excerpt"), F.lit(VERSION).alias("schema_version"),
     )
@@ -64,16 +64,16 @@ def export_evidence(evidence: DataFrame, documents: DataFrame, events: DataFrame
     from each event whose document has none. The last row of an id counts.
     """
     null = F.lit(None).cast("string")
-    own = _evidence_object(evidence.filter(missing(F.trim("evidence_id")).isNotNull() & _stamp("retrieved_at").isNotNull()), F.lit("CGR_AUDIT_EVIDENCE"), "RADAR_CGR_FINDING_EXTRACTION", null, missing(F.col("source_text")))
+    own = _evidence_object(evidence.filter(missing(F.trim("evidence_id")).isNotNull() & _stamp("retrieved_at").isNotNull()), F.lit("CGR_AUDIT_EVIDENCE"), "FINDING_EXTRACTION", null, missing(F.col("source_text")))
     docs = documents.filter(missing(F.trim("document_id")).isNotNull() & _stamp("retrieved_at").isNotNull())
     bare = docs.join(own.select("document_id").distinct(), "document_id", "left_anti")
     seeded = bare.withColumn("evidence_id", direct_id(DIRECT, F.concat("document_id", F.lit("|"), text_or_empty(F.col("source_url")))))
-    made = _evidence_object(seeded, F.coalesce(missing(F.col("source_module")), F.lit("CGR_DOCUMENT")), "RADAR_CGR_DOCUMENT", _stamp("document_date"), null)
+    made = _evidence_object(seeded, F.coalesce(missing(F.col("source_module")), F.lit("CGR_DOCUMENT")), "DOCUMENT", _stamp("document_date"), null)
     held = own.unionByName(made)
     alone = events.filter(missing(F.trim("event_id")).isNotNull()).join(held.select("document_id").distinct(), "document_id", "left_anti")
     timed = alone.filter(_stamp("retrieved_at").isNotNull()).drop("content_hash")
     from_event = timed.withColumn("evidence_id", direct_id(DIRECT, F.concat("event_id", F.lit("|"), text_or_empty(F.col("source_url"))))).withColumn("document_id", F.concat(F.lit("\u0000"), "event_id"))
-    late = _evidence_object(from_event, F.coalesce(missing(F.col("source_module")), F.lit("CGR_EVENT")), "RADAR_CGR_EVENT", _stamp("event_date"), null)
+    late = _evidence_object(from_event, F.coalesce(missing(F.col("source_module")), F.lit("CGR_EVENT")), "EVENT", _stamp("event_date"), null)
     return held.unionByName(late), alone.filter(_stamp("retrieved_at").isNull())
 
 
@@ -101,7 +101,7 @@ def export_entities(hub: DataFrame, objects: DataFrame) -> DataFrame:
     first = rows.groupBy("entity_id").agg(F.min_by(F.struct("kind", "canonical_name", "rut"), "source_entity_id").alias("f"))
     return first.join(roles, "entity_id").join(ids, "entity_id").select(
         "entity_id", F.col("f.kind").alias("entity_type"), "f.canonical_name", F.col("f.rut").alias("rut_normalized"), F.array().cast("array<string>").alias("aliases"),
-        F.transform("r", lambda x: x["role"]).alias("roles"), F.array(F.lit(RADAR)).alias("producer_ids"), "evidence_ids", F.lit("RUT_EXACT").alias("identity_method"), F.lit(1.0).alias("identity_confidence"),
+        F.transform("r", lambda x: x["role"]).alias("roles"), F.array(F.lit(PRODUCER)).alias("producer_ids"), "evidence_ids", F.lit("RUT_EXACT").alias("identity_method"), F.lit(1.0).alias("identity_confidence"),
     )
 
 
@@ -117,7 +117,7 @@ def export_events(events: DataFrame, objects: DataFrame) -> DataFrame:
     opt = lambda c: missing(_or_null(events, c))
     attributes = F.struct(opt("document_id").alias("document_id"), opt("title").alias("title"), opt("status").alias("status"), opt("entity_name").alias("entity_name_unresolved"), opt("region").alias("region_name"))
     return rows.select(
-        "event_id", F.coalesce(opt("event_type"), F.lit("CGR_OBSERVATION")).alias("event_type"), F.lit(RADAR).alias("producer_id"), F.array_compact(F.array(place)).alias("territory_ids"),
+        "event_id", F.coalesce(opt("event_type"), F.lit("CGR_OBSERVATION")).alias("event_type"), F.lit(PRODUCER).alias("producer_id"), F.array_compact(F.array(place)).alias("territory_ids"),
         "evidence_ids", temporal.alias("temporal"), attributes.alias("attributes"),
     )
 

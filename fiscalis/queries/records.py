@@ -384,7 +384,7 @@ _HELD = "o_orderkey % 3 <> 0 and o_orderkey % 7 <> 0"
 _OWN = f"case when {_HELD} then 'F' when o_orderkey % 5 <> 0 then 'D' when o_orderkey % 10 <> 0 then 'V' else '' end"
 
 
-@query("exported_evidence", f"select case {_OWN} when 'F' then 'RADAR_CGR_FINDING_EXTRACTION' when 'D' then 'RADAR_CGR_DOCUMENT' else 'RADAR_CGR_EVENT' end as capture_method, count(*) as n, count(distinct case {_OWN} when 'F' then 'E' || cast(o_orderkey as string) when 'D' then 'EVD-CGR-DOC-' || substr(sha256(cast(o_orderkey as string) || '|u'), 1, 20) else 'EVD-CGR-DOC-' || substr(sha256('V' || cast(o_orderkey as string) || '|u'), 1, 20) end) as ids, min(case {_OWN} when 'F' then 'E' || cast(o_orderkey as string) when 'D' then 'EVD-CGR-DOC-' || substr(sha256(cast(o_orderkey as string) || '|u'), 1, 20) else 'EVD-CGR-DOC-' || substr(sha256('V' || cast(o_orderkey as string) || '|u'), 1, 20) end) as first_id from orders where {_OWN} <> '' group by 1")
+@query("exported_evidence", f"select case {_OWN} when 'F' then 'FISCALIS_FINDING_EXTRACTION' when 'D' then 'FISCALIS_DOCUMENT' else 'FISCALIS_EVENT' end as capture_method, count(*) as n, count(distinct case {_OWN} when 'F' then 'E' || cast(o_orderkey as string) when 'D' then 'EVD-CGR-DOC-' || substr(sha256(cast(o_orderkey as string) || '|u'), 1, 20) else 'EVD-CGR-DOC-' || substr(sha256('V' || cast(o_orderkey as string) || '|u'), 1, 20) end) as ids, min(case {_OWN} when 'F' then 'E' || cast(o_orderkey as string) when 'D' then 'EVD-CGR-DOC-' || substr(sha256(cast(o_orderkey as string) || '|u'), 1, 20) else 'EVD-CGR-DOC-' || substr(sha256('V' || cast(o_orderkey as string) || '|u'), 1, 20) end) as first_id from orders where {_OWN} <> '' group by 1")
 def exported_evidence(spark, sf):
     objects, _ = interop.export_evidence(*_exported(spark, sf))
     return objects.groupBy("capture_method").agg(F.count("*").alias("n"), F.countDistinct("evidence_id").alias("ids"), F.min("evidence_id").alias("first_id"))
