@@ -57,18 +57,16 @@ def first_urls(rows: DataFrame, group: str, n: int = TOP_URLS) -> DataFrame:
     return top.groupBy(group).agg(F.array_sort(F.collect_list("source_url")).alias("source_urls"))
 
 
-def named(rows: DataFrame, ids: str, names: DataFrame, out: str) -> DataFrame:
+def named(rows: DataFrame, key: str, ids: str, names: DataFrame, out: str) -> DataFrame:
     """``rows`` with the names of an array of ids, in its order, an unknown id standing for itself.
 
-    ``names (id, name)`` has one row per id; each element meets its name by a join and the arrays are collected again.
+    ``key`` tells the rows apart, so that both uses of them agree however the plan is laid out; ``names (id, name)`` has
+    one row per id. Each element meets its name by a join and the arrays are collected again under the key.
     """
-    key = F.monotonically_increasing_id()
-    marked = rows.withColumn("__row", key)
-    each = marked.select("__row", F.posexplode(ids).alias("pos", "id")).join(names.select("id", F.col("name").alias("__name")), "id", "left")
-    listed = each.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("__name", F.col("id").cast("string")).alias("name")))).alias("l"))
-    listed = listed.select("__row", F.transform("l", lambda x: x["name"]).alias(out))
-    empty = F.array().cast("array<string>")
-    return marked.join(listed, "__row", "left").withColumn(out, F.coalesce(out, empty)).drop("__row")
+    each = rows.select(key, F.posexplode(ids).alias("pos", "id")).join(names.select("id", F.col("name").alias("__name")), "id", "left")
+    listed = each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("__name", F.col("id").cast("string")).alias("name")))).alias("l"))
+    listed = listed.select(key, F.transform("l", lambda x: x["name"]).alias(out))
+    return rows.join(listed, key, "left").withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
 
 
 def organization_details(enriched: DataFrame, organizations: DataFrame, providers: DataFrame) -> DataFrame:
@@ -89,7 +87,7 @@ def organization_details(enriched: DataFrame, organizations: DataFrame, provider
     out = out.join(ranked_labels(own, "organization_id", "irregularity_labels", TOP_LABELS), "organization_id", "left").join(first_urls(own, "organization_id"), "organization_id", "left")
     known = organizations.select("organization_id", "name", "region")
     out = out.join(known, "organization_id", "left").withColumn("name", F.coalesce("name", F.lit(NO_ORGANIZATION))).withColumn("region", text_or_empty(c("region")))
-    return named(out, "provider_ids", providers.select(c("provider_id").alias("id"), "name"), "provider_names")
+    return named(out, "organization_id", "provider_ids", providers.select(c("provider_id").alias("id"), "name"), "provider_names")
 
 
 def organizations_list(details: DataFrame, n: int = TOP_PROFILES) -> DataFrame:
@@ -113,7 +111,7 @@ def provider_details(enriched: DataFrame, organizations: DataFrame, providers: D
     out = out.withColumn("organizations_count", F.size("organization_ids").cast("bigint"))
     out = out.join(ranked_labels(own, "provider_id", "irregularity_labels", TOP_LABELS), "provider_id", "left").join(first_urls(own, "provider_id"), "provider_id", "left")
     out = out.join(providers.select("provider_id", "name"), "provider_id", "left").withColumn("name", F.coalesce("name", F.lit(NO_PROVIDER)))
-    return named(out, "organization_ids", organizations.select(c("organization_id").alias("id"), "name"), "organization_names")
+    return named(out, "provider_id", "organization_ids", organizations.select(c("organization_id").alias("id"), "name"), "organization_names")
 
 
 def providers_list(details: DataFrame, n: int = TOP_PROFILES) -> DataFrame:
