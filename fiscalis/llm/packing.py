@@ -9,6 +9,7 @@ The plan speaks of ranks within a length; documents meet it by their rank, witho
 from __future__ import annotations
 
 import base64
+import json
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -27,7 +28,8 @@ from fiscalis.llm.common import fields, materialize
 CAPACITY = 1024
 END_ID = 2
 LONG_RUN = 4096
-_LONG = re.compile(rf"\S{{{LONG_RUN}}}|\s{{{LONG_RUN}}}")
+#: Matches whole texts without a run of that length; possessive, so each character is looked at once.
+_SHORT_RUNS = re.compile(rf"(?:\S{{1,{LONG_RUN - 1}}}+(?!\S)|\s{{1,{LONG_RUN - 1}}}+(?!\s))*+")
 
 
 @dataclass(frozen=True)
@@ -48,41 +50,47 @@ def tokenizer_file() -> str:
 
 @lru_cache(maxsize=2)
 def encoder(path: str):
-    """``text -> ids`` of a byte-level BPE tokenizer file, special tokens being ordinary text.
+    """``text -> ids`` of a byte-level BPE tokenizer file, as it encodes a text without adding special tokens.
 
     If the same vocabulary lies beside it as ranks, the rank encoder serves, which gives equal ids several times
-    faster (``tests/llm/test_packing.py`` compares them); else the file's own tokenizer. The latter also takes texts
-    with a run of ``LONG_RUN`` characters or more without a border of white space: the former's pattern matching goes
-    as deep as such a run is long, and ends the process on a million spaces.
+    faster (``tests/llm/test_packing.py`` compares them). Two kinds of texts go to the file's own tokenizer: those that
+    hold the literal of one of its added tokens, which it turns into that token's id, and those with a run of
+    ``LONG_RUN`` characters or more without a border of white space, since the rank encoder's pattern matching goes as
+    deep as such a run is long and ends the process on a million spaces.
     """
     ranks_path = path.removesuffix(".json") + ".tiktoken"
+    plain: list = []
+
+    def by_file(text: str) -> list[int]:
+        if not plain:
+            plain.append(file_encoder(path))
+        return plain[0](text)
+
     try:
         import public_tokenizers
         import tiktoken
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        ranked = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        plain: list = []
+        with open(path, encoding="utf-8") as f:
+            added = [x["content"] for x in json.load(f)["added_tokens"]]
+    except (ImportError, FileNotFoundError):
+        return by_file
+    ranked = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-        def encode(text: str) -> list[int]:
-            if len(text) < LONG_RUN or not _LONG.search(text):
-                return ranked.encode_ordinary(text)
-            if not plain:
-                plain.append(file_encoder(path))
-            return plain[0](text)
+    def encode(text: str) -> list[int]:
+        if any(x in text for x in added) or (len(text) >= LONG_RUN and not _SHORT_RUNS.fullmatch(text)):
+            return by_file(text)
+        return ranked.encode_ordinary(text)
 
-        return encode
-    except (ImportError, FileNotFoundError):
-        return file_encoder(path)
+    return encode
 
 
 def file_encoder(path: str):
-    """``text -> ids`` by the tokenizer file itself."""
+    """``text -> ids`` by the tokenizer file itself, as loaded."""
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
     return lambda text: own.encode(text, add_special_tokens=False).ids
 
 

@@ -1,3 +1,4 @@
+import time
 from zlib import crc32
 
 import numpy as np
@@ -5,11 +6,12 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from fiscalis.llm.packing import (
+    _SHORT_RUNS,
     PackingParams,
     encoder,
-    file_encoder,
     op8_bestfit_packing,
     pack_documents,
     packed_sequences,
@@ -17,7 +19,14 @@ from fiscalis.llm.packing import (
     tokenizer_file,
 )
 
-ENCODE, PLAIN = encoder(tokenizer_file()), file_encoder(tokenizer_file())
+FILE = Tokenizer.from_file(tokenizer_file())  # as loaded, nothing set
+
+
+def PLAIN(text):
+    return FILE.encode(text, add_special_tokens=False).ids
+
+
+ENCODE = encoder(tokenizer_file())
 
 
 def check(rows, texts, capacity=1024):
@@ -129,3 +138,22 @@ def test_long_runs_are_packed(spark):
     texts = {1: " " * 1_500_000, 2: "b" * 1_500_000, 3: "short"}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     check(pack_documents(docs).collect(), texts)
+
+
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y ", "<|endoftext|" + "|> <|ENDOFTEXT|>", "é<|endoftext|>" * 2000])
+def test_added_tokens_in_a_text_are_their_ids(text):
+    assert list(ENCODE(text)) == PLAIN(text)
+
+
+def test_added_token_of_the_file():
+    assert list(ENCODE("a <|endoftext|> b")) == [64, 220, 50256, 275]
+
+
+def test_runs_are_searched_in_one_pass():
+    words = ("w" * 4000 + " ") * 2500  # 10 MB without a long run
+    began = time.perf_counter()
+    assert _SHORT_RUNS.fullmatch(words)
+    assert time.perf_counter() - began < 1
+    for n, short in ((4095, True), (4096, False)):
+        for run in ("x" * n, " " * n, "a" + "\n" * n + "b", "é" * n + " z"):
+            assert bool(_SHORT_RUNS.fullmatch(run)) == short
