@@ -10,6 +10,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +27,11 @@ _FOLD = bytes(
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    """``max_train_rows`` bounds the labelled sample, ``max_terms + max_pair_terms`` the terms that carry weights."""
+    """``max_train_rows`` bounds the labelled sample, and that the terms: any that tells alone or in a pair has weights."""
 
     bits: int = 20
     factors: int = 8
     max_train_rows: int = 8_000
-    max_terms: int = 4096
-    pair_terms: int = 2048
-    max_pair_terms: int = 512
     min_docs: int = 8
     min_chi2: float = 20.0
     min_pair: float = 40.0
@@ -47,36 +45,117 @@ class ToxicityParams:
     threshold: float = 0.3
 
 
-def term_slots(text: bytes | None, bits: int) -> np.ndarray:
-    """The distinct hashed terms of a text, ascending.
+def _hashed(wide: np.ndarray, n: int) -> np.ndarray:
+    h = np.zeros(len(wide) - n + 1, np.uint64)
+    for k in range(n):
+        h *= np.uint64(0x100000001B3)
+        h += wide[k : k + len(h)]
+    return h
+
+
+def _slots(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+
 
-    Terms are the runs of 4 and of 6 bytes inside a word and its borders, so that inflected and compounded forms of
-    a word share terms; hashing is a polynomial over the bytes, done for the whole text at once.
+def word_slots(text: bytes | None, bits: int) -> np.ndarray:
+    """The distinct hashed words of a text, ascending."""
+    words = set((text or b"").translate(_FOLD).split())
+    return np.unique(np.array([crc32(w) * 0x9E3779B1 % (1 << 32) >> (32 - bits) for w in words], np.int64))
+
+
+def term_slots(text: bytes | None, bits: int) -> np.ndarray:
+    """The distinct hashed terms of a text, ascending: its words, and the runs of 4 and of 6 bytes inside a word and its
+    borders, so that inflected and compounded forms of a word share terms. Runs are hashed for the whole text at once.
     """
     raw = np.frombuffer(b" " + (text or b"").translate(_FOLD) + b" ", np.uint8)
     gap = np.concatenate([[0], np.cumsum(raw == 32)])
     wide = raw.astype(np.uint64)
-    found = []
+    found = [word_slots(text, bits)]
     for n in (4, 6):
         m = len(raw) - n + 1
-        if m <= 0:
+        if m > 0:
+            inner = gap[n - 1 : n - 1 + m] == gap[1 : 1 + m]
+            found.append(_slots(_hashed(wide, n)[inner], bits).astype(np.int64))
+    return np.unique(np.concatenate(found))
+
+
+def interacting(rows: list[np.ndarray], labels: np.ndarray, p: ToxicityParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every pair of terms that tells about the label together: ``(slot, slot, signed score)``.
+
+    The score test of a product of two centred presences, over all pairs of terms that ``p.min_docs`` rows hold and
+    ``p.min_docs`` do not, and that occur together; none is left out. Terms of a sixteenth of the rows or more are met in
+    dense blocks, the others through the rows that hold them.
+    """
+    n = len(rows)
+    slots, dense = np.unique(np.concatenate(rows), return_inverse=True) if n else (np.empty(0, np.int64), np.empty(0, np.int64))
+    count = np.bincount(dense, minlength=len(slots))
+    able = np.flatnonzero((count >= p.min_docs) & (count <= n - p.min_docs))
+    none = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    if len(able) < 2 or labels.min() == labels.max():
+        return none
+    able = able[np.argsort(-count[able], kind="stable")]  # the most frequent first
+    at = np.full(len(slots), -1)
+    at[able] = np.arange(len(able))
+    sizes, cols = np.array([len(r) for r in rows]), at[dense]
+    owner = np.repeat(np.arange(n), sizes)[cols >= 0]
+    cols = cols[cols >= 0]
+    rest, share = labels - labels.mean(), count[able] / n
+    pull = np.bincount(cols, rest[owner], len(able))
+    lean = 1 - 2 * share
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def keep(i: np.ndarray, j: np.ndarray, moved: np.ndarray, both: np.ndarray) -> None:
+        gap = moved - share[j] * pull[i] - share[i] * pull[j]
+        own, other = share[i] ** 2, share[j] ** 2
+        spread = lean[i] * lean[j] * both + n * (other * lean[i] * share[i] + own * lean[j] * share[j] + own * other)
+        z = gap / np.sqrt(np.maximum(spread * labels.var(), 1e-9))
+        told = np.flatnonzero((z * z >= p.min_pair) & (both > 0))
+        found.append((i[told], j[told], z[told]))
+
+    frequent, step = int((count[able] >= n / 16).sum()), 1024
+    starts = range(0, frequent, step)
+
+    def block(a: int) -> np.ndarray:
+        x = np.zeros((n, min(step, frequent - a)), np.float32)
+        inside = (cols >= a) & (cols < a + x.shape[1])
+        x[owner[inside], cols[inside] - a] = 1
+        return x
+
+    for a in starts:
+        x = block(a)
+        signed = x * rest[:, None].astype(np.float32)
+        for b in range(a, frequent, step):
+            y = x if a == b else block(b)
+            moved, both = signed.T @ y, x.T @ y
+            i, j = np.nonzero(np.triu(both, 1) if a == b else both)
+            keep(i + a, j + b, moved[i, j].astype(float), both[i, j])
+    order = np.lexsort((cols, owner))
+    owner, cols = owner[order], cols[order]
+    first = np.searchsorted(owner, np.arange(n + 1))
+    by_term = np.argsort(cols, kind="stable")
+    of_term = np.searchsorted(cols[by_term], np.arange(len(able) + 1))
+    for i in range(frequent, len(able)):
+        held = owner[by_term[of_term[i] : of_term[i + 1]]]
+        parts = [cols[first[k] : first[k + 1]] for k in held.tolist()]
+        near = np.concatenate([c[: np.searchsorted(c, i)] for c in parts])  # each pair once: the partner is more frequent
+        if not len(near):
             continue
-        h = np.zeros(m, np.uint64)
-        for k in range(n):
-            h *= np.uint64(0x100000001B3)
-            h += wide[k : k + m]
-        inner = gap[n - 1 : n - 1 + m] == gap[1 : 1 + m]
-        found.append((h[inner] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits))
-    return np.unique(np.concatenate(found)).astype(np.int64) if found else np.empty(0, np.int64)
+        weight = np.repeat(rest[held], [int(np.searchsorted(c, i)) for c in parts])
+        both, moved = np.bincount(near, minlength=i), np.bincount(near, weight, i)
+        j = np.flatnonzero(both)
+        keep(np.full(len(j), i), j, moved[j], both[j])
+    if not found:
+        return none
+    i, j, z = (np.concatenate(c) for c in zip(*found, strict=True))
+    return slots[able[i]], slots[able[j]], z
 
 
-def informative(rows: list[np.ndarray], labels: np.ndarray, p: ToxicityParams) -> tuple[np.ndarray, np.ndarray]:
+def informative(rows: list[np.ndarray], labels: np.ndarray, p: ToxicityParams, words: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The terms that tell about the label alone or together with another, ascending, and first factors of them.
 
-    Alone: chi-square of the presence, the best ``p.max_terms``. Together: the score test of a product of two centred
-    presences beyond the additive part, over all pairs of the ``p.pair_terms`` terms of the greatest variance, the
-    best ``p.max_pair_terms``. The leading directions of the signed pairs that pass are the first factors, of length
-    ``p.lead`` at most, so that the fit does not wait for chance to find an interaction of terms that tell nothing alone.
+    Alone: chi-square of the presence. Together: :func:`interacting`, over ``words`` where they are given apart, else
+    over all terms. The leading directions of the signed pairs are the first factors, of length ``p.lead`` at most, so
+    that the fit does not wait for chance to find an interaction of terms that tell nothing alone.
     """
     size = 1 << p.bits
     with_term, toxic = np.zeros(size), np.zeros(size)
@@ -86,41 +165,31 @@ def informative(rows: list[np.ndarray], labels: np.ndarray, p: ToxicityParams) -
     n, n1 = len(rows), labels.sum()
     gap = toxic * n - with_term * n1
     spread = np.maximum(with_term * (n - with_term) * n1 * (n - n1), 1)
-    chi2 = np.where(with_term >= p.min_docs, n * gap * gap / spread, 0)
-    top = np.argsort(-chi2, kind="stable")[: p.max_terms]
-    alone = top[chi2[top] >= p.min_chi2]
-    able = np.flatnonzero((with_term >= p.min_docs) & (with_term <= n - p.min_docs))
-    able = np.sort(able[np.argsort(-np.minimum(with_term[able], n - with_term[able]), kind="stable")[: p.pair_terms]])
-    if not len(able) or not 0 < n1 < n:
-        return np.sort(alone), np.zeros((len(alone), p.factors))
-    share, rest = (with_term[able] / n).astype(np.float32), (labels - labels.mean()).astype(np.float32)
-    moved, squares = np.zeros((len(able), len(able)), np.float32), np.zeros((len(able), len(able)), np.float32)
-    for at in range(0, n, 1024):
-        part = rows[at : at + 1024]
-        x = np.zeros((len(part), len(able)), np.float32)
-        for i, row in enumerate(part):
-            x[i, np.searchsorted(able, row[np.isin(row, able, assume_unique=True)])] = 1
-        x -= share
-        moved += x.T @ (x * rest[at : at + 1024, None])
-        x *= x
-        squares += x.T @ x
-    moved /= np.sqrt(np.maximum(squares * np.float32(labels.var()), 1e-6))
-    np.fill_diagonal(moved, 0)
-    best = np.abs(moved).max(axis=0)
-    told = np.sort(np.argsort(-best, kind="stable")[: p.max_pair_terms])
-    told = told[best[told] >= p.min_pair**0.5]
-    slots = np.union1d(alone, able[told])
+    alone = np.flatnonzero((with_term >= p.min_docs) & (n * gap * gap / spread >= p.min_chi2))
+    a, b, z = interacting(rows if words is None else words, labels, p)
+    told = np.union1d(a, b)
+    slots = np.union1d(alone, told)
     first = np.zeros((len(slots), p.factors))
     if len(told):
-        signed = moved[np.ix_(told, told)]
-        values, vectors = np.linalg.eigh(np.where(np.abs(signed) >= p.min_pair**0.5, signed, 0))
-        k = min(p.factors, int((values > 0).sum()))
-        lead = vectors[:, ::-1][:, :k] * np.sqrt(values[::-1][:k])
-        lead *= p.lead / max(1e-9, float(np.sqrt((lead * lead).sum(axis=1)).max()))
-        first[np.searchsorted(slots, able[told]), :k] = lead
+        first[np.searchsorted(slots, told)] = _leading(len(told), np.searchsorted(told, a), np.searchsorted(told, b), z, p)
     return slots, first
 
 
+def _leading(size: int, i: np.ndarray, j: np.ndarray, z: np.ndarray, p: ToxicityParams) -> np.ndarray:
+    """Directions of the greatest positive eigenvalues of the symmetric matrix of pairs, by orthogonal iteration."""
+    k = min(p.factors, size)
+    times = lambda v: np.stack([np.bincount(i, z * v[j, c], size) + np.bincount(j, z * v[i, c], size) for c in range(k)], axis=1)
+    shift = float((np.bincount(i, np.abs(z), size) + np.bincount(j, np.abs(z), size)).max())  # makes all eigenvalues positive
+    v = np.linalg.qr(np.random.default_rng(p.seed).normal(size=(size, k)))[0]
+    for _ in range(50):
+        v = np.linalg.qr(times(v) + shift * v)[0]
+    values, turn = np.linalg.eigh(v.T @ times(v))
+    lead = (v @ turn) * np.sqrt(np.maximum(values, 0))
+    out = np.zeros((size, p.factors))
+    out[:, :k] = lead * (p.lead / max(1e-9, float(np.sqrt((lead * lead).sum(axis=1)).max())))
+    return out
+
+
 @dataclass
 class FactorizationMachine:
     """``slots`` (sorted) are the hashed terms that carry weights; a term outside of them has none."""
@@ -147,11 +216,11 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(self.margins(rows), -30, 30)))
 
 
-def fit_fm(rows: list[np.ndarray], labels: np.ndarray, p: ToxicityParams) -> FactorizationMachine:
-    """Adagrad over mini-batches, log loss. Without both labels the machine has a bias only."""
+def fit_fm(rows: list[np.ndarray], labels: np.ndarray, p: ToxicityParams, words: list[np.ndarray] | None = None) -> FactorizationMachine:
+    """Adagrad over mini-batches, log loss. Without both labels the machine has a bias only. ``words``: as in :func:`informative`."""
     share = (labels.sum() + 0.5) / (len(labels) + 1)
     bias = float(np.log(share / (1 - share)))
-    slots, first = informative(rows, labels, p) if len(rows) else (np.empty(0, np.int64), np.zeros((0, p.factors)))
+    slots, first = informative(rows, labels, p, words) if len(rows) else (np.empty(0, np.int64), np.zeros((0, p.factors)))
     rng = np.random.default_rng(p.seed)
     n = len(slots)
     w, v = np.zeros(n), first + rng.normal(0, p.spread, (n, p.factors))
@@ -201,12 +270,11 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, p: ToxicityParams = Toxic
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [term_slots(t.as_py(), bits).astype(np.int32) for t in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(rows, pa.list_(pa.int32()))], ["doc_id", "y", "terms"]
-            )
+            texts = [t.as_py() for t in batch.column(1).cast(pa.binary())]
+            terms, words = (pa.array([of(t, bits).astype(np.int32) for t in texts], pa.list_(pa.int32())) for of in (term_slots, word_slots))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), terms, words], schema.names)
 
-    schema = fields(f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, terms array<int>")
+    schema = fields(f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, terms array<int>, words array<int>")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
@@ -214,10 +282,14 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, p: ToxicityParams = Toxic
         if found is None:
             model = fit_fm([], np.empty(0), p)
         else:
-            ids, terms = found["doc_id"].to_pylist(), found["terms"].combine_chunks()
-            flat, ends = terms.flatten().to_numpy(), np.concatenate([[0], np.cumsum(terms.value_lengths().to_numpy())])
-            at = sorted(range(len(ids)), key=lambda i: (str(ids[i]), int(ends[i + 1] - ends[i])))
-            model = fit_fm([flat[ends[i] : ends[i + 1]] for i in at], found["y"].to_numpy().astype(float)[at], p)
+            ids, parts = found["doc_id"].to_pylist(), {}
+            for c in ("terms", "words"):
+                lists = found[c].combine_chunks()
+                ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+                parts[c] = np.split(lists.flatten().to_numpy(), ends[1:-1])
+            at = sorted(range(len(ids)), key=lambda i: (str(ids[i]), len(parts["terms"][i])))
+            rows, words = ([parts[c][i] for i in at] for c in ("terms", "words"))
+            model = fit_fm(rows, found["y"].to_numpy().astype(float)[at], p, words)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     # the sample is bounded, so one task fits the machine; the driver gets the weights only
