@@ -29,10 +29,10 @@ from fiscalis.llm.common import fields
 
 #: Kinds of candidates: name, pattern; the group is the candidate. A text is searched for all at once, left to right.
 PATTERNS = (
-    ("pem_block", r"-----BEGIN [A-Z0-9 ]{0,60}-----[^-]+-----END [A-Z0-9 ]{0,60}-----"),
+    ("pem_block", r"-----BEGIN [A-Z0-9 ]{0,60}-----(?:[^-]++|-(?!----))++-----END [A-Z0-9 ]{0,60}-----"),
     ("access_key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"),
     ("prefixed_token", r"\b(?:ghp_|gho_|glpat-|xox[abp]-|sk_live_|sk-|AIza)[A-Za-z0-9_-]{16,}"),
-    ("assignment", r"(?i:\b(?:pass(?:word|wd)?|pwd|secret|token|(?:api|access|private)[_-]?key)\b)[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?P<value>[^\s\"',;]{6,})"),
+    ("assignment", r"(?:(?<![A-Za-z0-9])|(?<=[a-z])(?=[A-Z]))(?i:(?:pass(?:word|wd)?|pwd|secret|token|(?:api|access|private)[_-]?key)\b)[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?P<value>[^\s\"',;]{6,})"),
     ("long_token", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}(?![A-Za-z0-9+/_=-])"),
 )
 _SCAN = re.compile("|".join(f"(?P<k{i}>{p})" for i, (_, p) in enumerate(PATTERNS)))
@@ -40,7 +40,7 @@ _NEAR_GOOD = frozenset("password passwd pwd secret token key apikey api_key cred
 _NEAR_BAD = frozenset("example sample dummy fake placeholder test mock redacted sha sha1 sha256 sha512 md5 commit checksum hash uuid guid digest revision id integrity base64 image png jpeg gif svg font woff etag".split())
 _PATH_BAD = ("test", "example", "sample", "fixture", "mock", "doc", "demo", "spec", "vendor")
 _PATH_GOOD = (".env", "config", "settings", "deploy", "secret", "credential", ".pem", ".yml", ".yaml", ".tf")
-_WORD = re.compile(r"[A-Za-z0-9_]+")
+_WORD = re.compile(r"[A-Za-z0-9]+")
 _LETTERS = re.compile(r"[a-z]{4,}")
 
 
@@ -128,8 +128,10 @@ def labelled_findings(n: int = 4000, seed: int = 7) -> list[tuple[str, str, int]
         lambda: f"password={rng.choice([hexes(18), hexes(24), mixed(12), mixed(16) + '!'])}",
         lambda: f"{rng.choice(['password', 'pwd', 'passwd'])}{rng.choice(['=', ': ', ' = '])}{pick()}{rng.randrange(1, 9999)}{rng.choice(['', '!', '#', '_'])}{pick()}",
         lambda: f'token = "{rng.choice([hexes(40), hexes(32), mixed(40)])}"', lambda: f"api_key: {mixed(32)}",
+        lambda: f"{pick()}_{rng.choice(['secret', 'token', 'password', 'api_key'])}{rng.choice([': ', ' = ', '='])}{rng.choice([mixed(16), mixed(12), hexes(20), pick() + str(rng.randrange(10, 9999))])}",
+        lambda: f"{pick().upper()}_{rng.choice(['PASSWORD', 'SECRET', 'TOKEN'])}={rng.choice([mixed(14), pick() + str(rng.randrange(1, 99)) + mixed(2)])}",
         lambda: f"secret='{mixed(rng.randrange(12, 44))}'", lambda: f"bearer auth {mixed(48)}", lambda: f"access key {mixed(rng.randrange(36, 90))}=",
-        lambda: f"-----BEGIN {rng.choice(['RSA ', 'EC ', 'OPENSSH ', ''])}PRIVATE KEY-----\n{lines(rng.randrange(2, 12))}\n-----END PRIVATE KEY-----",
+        lambda: f"-----BEGIN {rng.choice(['RSA ', 'EC ', 'OPENSSH ', ''])}PRIVATE KEY-----\n{rng.choice(['', 'Proc-Type: 4,ENCRYPTED' + chr(10) + 'DEK-Info: AES-128-CBC,' + hexes(32) + chr(10) * 2])}{lines(rng.randrange(2, 12))}\n-----END PRIVATE KEY-----",
     ]
     false = [
         lambda: f"password={rng.choice(['changeme', 'password', 'your_password', 'xxxxxxxx', '********', '${PASSWORD}', '<password>', 'None', pick() * 2])}",
@@ -138,6 +140,7 @@ def labelled_findings(n: int = 4000, seed: int = 7) -> list[tuple[str, str, int]
         lambda: "".join(pick() for _ in range(rng.randrange(4, 7))), lambda: "_".join(pick() for _ in range(rng.randrange(4, 7))),
         lambda: "/".join(pick() for _ in range(rng.randrange(4, 8))), lambda: "-" * rng.randrange(24, 80), lambda: "=" * rng.randrange(24, 60),
         lambda: "".join(rng.choice(["th", "er", "on", "an", "tion", "ing", "ed", "re", "st", "en", "keit", "ich", "ment", "eau", "ci", "ado"]) for _ in range(rng.randrange(9, 20))).capitalize(),
+        lambda: f"{pick()}_{rng.choice(['token', 'secret', 'password'])} = {rng.choice(['changeme', 'None', 'undefined', pick() + '_' + pick(), pick() * 2, '<' + pick() + '>'])}",
         lambda: f"md5 checksum {hexes(32)}", lambda: f"secret: {pick()}{pick()}", lambda: f"data:{rng.choice(['image/png', 'font/woff', 'image/gif'])};base64,{mixed(rng.randrange(40, 600))}",
         lambda: f"-----BEGIN {rng.choice(['CERTIFICATE', 'PUBLIC KEY', 'PGP SIGNATURE'])}-----\n{lines(rng.randrange(2, 12))}\n-----END CERTIFICATE-----",
         lambda: f"etag {hexes(rng.choice([32, 40]))}", lambda: f"https://{pick()}.org/{mixed(28)}",
