@@ -51,6 +51,30 @@ cases("result_counts", lambda t: queues.parse_result_count(t).cast("string"), ((
 cases("dated_headers", lambda t: _list(publications.header_dates(F.split(t, ";"))), (("a (01/02);b;c (03/04)", "01/02|03/04"), (";".join(f"x ({i:02d}/01)" for i in range(1, 17)), "|".join(f"{i:02d}/01" for i in range(1, 17, 2))), ("x", "")))
 cases("normative_and_future_dates", lambda t: F.coalesce(temporal.infer(t)["from"], F.lit("")), (("conforme a la ley del día 5 de mayo de 2018", ""), ("con fecha 05/05/2018 se pagó", "2018-05-05"), ("el día 6 de junio de 2030 deberá pagar", ""), ("Decreto 12 de 5 de mayo de 2018. El día 5 de mayo de la presente anualidad", "2018-05-05")))
 
+_ENDS = "(?:that|the )"
+
+
+def _tidy_sql(values: str) -> str:
+    return rf"list_filter(list_transform({values}, lambda v: trim(regexp_replace(v, '\s+', ' ', 'g'), ': ')), lambda v: v <> '')"
+
+
+_BELOW = r"regexp_extract_all(rtrim(t, ' ' || chr(9) || chr(13) || chr(10)), '(?im)^[^\S\n]*with\s*\n\s*:?\s*\n?\s*([^\n]+)', 1)"
+_LAST, _BEFORE = (rf"regexp_extract(r, '(?is)^(?:.*with)?({x})$', 1)" for x in (".*", ".*with.*"))
+_INNER = rf"list_transform(runs, lambda r: case when trim(regexp_replace({_LAST}, '\s+', ' ', 'g'), ': ') = '' then {_BEFORE} else {_LAST} end)"
+_OPEN = "list_transform(range(1, len(parts)), lambda i: substr(tail, cast(list_sum(list_transform(parts[1:i], lambda x: len(x))) as bigint) + 4 * i + 1, 400))"
+
+
+@query("document_labels", f"""with c as (select doc_id, coalesce(text, '') as t, regexp_extract(coalesce(text, ''), '(?is)^.*{_ENDS}', 0) as closed from documents),
+s as (select doc_id, t, regexp_extract_all(closed, '(?is)with(.*?){_ENDS}', 1) as runs, substr(t, len(closed) + 1) as tail from c),
+p as (select *, string_split_regex(tail, '(?i)with') as parts from s),
+v as (select doc_id, {_tidy_sql(_BELOW)} as below, list_filter({_tidy_sql(f"{_INNER} || {_OPEN}")}, lambda x: len(x) < 350) as flat from p)
+select doc_id, coalesce(below[len(below)], flat[len(flat)], '') as value from v""")
+def document_labels(spark, sf):
+    """What follows the last "with" of each whole text, up to "that" or "the "."""
+    (d,) = tables(spark, sf, "documents")
+    return d.select("doc_id", docs_ops.metadata(X.text_or_empty(F.col("text")), "with", ("that", "the ")).alias("value"))
+
+
 _TEXTS = "case o_orderkey % 3 when 0 then 'Se pagó a Constructora Los Andes Ltda. por obras' when 1 then 'Hubo transferencia a Fundación Nueva Vida, y la licitación fue para Obras Sur SpA; don Pedro Soto, alcalde' else 'sin empresa' end"
 
 

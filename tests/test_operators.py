@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,6 +221,42 @@ def test_metadata_of_documents(spark):
     assert d.region == "Del Maule" and d.title.startswith("INFORME FINAL") and d.entity_name == "Hospital de Curicó"
 
 
+def plain_label(text, label, following):
+    """The label's value by its definition: every occurrence with the rest of the text."""
+    clean = lambda vs: [v for v in (" ".join(x.split()).strip(": ") for x in vs) if v and "undefined" not in v.lower()]
+    below = re.findall(rf"(?:^|\n)\s*{label}\s*\n\s*:?\s*\n?\s*([^\n]+)", text, re.I)
+    flat = []
+    for m in re.finditer(label, text, re.I):
+        rest = text[m.end() :]
+        end = re.search("|".join(following), rest, re.I)
+        flat.append(rest[: end.start()] if end else rest[:400])
+    found = [v for v in clean(flat) if len(v) < 350]
+    return (clean(below) or found or [""])[-1]
+
+
+def test_labels_equal_their_definition(spark):
+    from fiscalis.operators.documents import LABELS, metadata
+
+    rng = random.Random(4)
+    words = [w for _, label, ends in LABELS for w in (label, *ends)] + ["valor", ":", "\n", "\n:", " ", "undefined", "x" * 120, "nombre ", "Regional\n", "a b " * 60, " " * 90, "ñandú"]
+    texts = ["".join(rng.choice(words) + rng.choice(["", " ", "\n", " "]) for _ in range(rng.randrange(0, 40))) for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    rows = df.select("t", *[metadata(F.col("t"), label, ends).alias(name) for name, label, ends in LABELS]).collect()
+    for r in rows:
+        for name, label, ends in LABELS:
+            assert r[name] == plain_label(r.t, label, ends), (name, r.t)
+
+
+def test_labels_of_a_very_long_text(spark):
+    from fiscalis.operators.documents import metadata
+
+    text = ("TIPO " + "palabra " * 125) * 10_000  # 10 MB, 10,000 labels, no end for any of them
+    df = spark.createDataFrame([(text,), (text + " REGIÓN x",), (text + "\n \n" * 20_000,)], "t string")
+    began = time.perf_counter()
+    got = [r.v for r in df.select(metadata(F.col("t"), "TIPO", ("REGIÓN", "NOMBRE")).alias("v")).collect()]
+    assert got == ["", "", ""] and time.perf_counter() - began < 60
+
+
 def test_publications(spark):
     from fiscalis.operators import publications as pub
 

@@ -39,6 +39,23 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
     assert got == want and (got or name in MAY_BE_EMPTY)
 
 
+@pytest.mark.parametrize("partitions", ["1", "4", "200"])
+@pytest.mark.parametrize("name", ["organization_details", "provider_details", "region_details", "penal_case_list", "alerts_list", "token_overlap_best", "relationship_promotion"])
+def test_plans_that_use_a_table_twice_agree_in_every_layout(spark, sf_dir, duck, name, partitions):
+    """Without adaptive execution, which would merge the partitions again."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        df = audit.QUERIES[name](spark, sf_dir)
+        cols = sorted(df.columns)
+        got = sorted((tuple(plain(r[c]) for c in cols) for r in df.collect()), key=str)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert got == sorted((tuple(plain(v) for v in r) for r in duck.sql(f"select {', '.join(cols)} from ({audit.SQL[name]})").fetchall()), key=str)
+
+
 @pytest.mark.parametrize("name", ["occurrence_cascade", "temporal_precision", "temporal_years"])
 def test_dates_equal_sql_on_the_larger_table(spark, name):
     """Ranges that are refused and leave a single day occur from this size on."""
