@@ -19,18 +19,26 @@ def least_common(n: Column, min_common: int, threshold: float) -> Column:
     return F.greatest(F.lit(min_common), F.ceil(n * F.lit(threshold) - F.lit(1e-9)), F.lit(1)).cast("int")
 
 
-def _ordered(df: DataFrame, key: str, tokens: str, counts: DataFrame) -> DataFrame:
+def _ordered(sets: DataFrame, counts: DataFrame) -> DataFrame:
     """``(id, n, tokens)`` with the tokens of each set from the rarest to the most frequent."""
-    each = df.select(F.col(key).alias("id"), F.explode(F.array_distinct(tokens)).alias("token")).filter("id is not null")
+    each = sets.select("id", F.explode("tokens").alias("token"))
     rows = each.join(counts, "token").groupBy("id").agg(F.array_sort(F.collect_set(F.struct("sets", "token"))).alias("o"))
     return rows.select("id", F.size("o").alias("n"), F.transform("o", lambda x: x["token"]).alias("tokens"))
 
 
 def ordered_sets(left: DataFrame, right: DataFrame, left_key: str, right_key: str, tokens: str) -> tuple[DataFrame, DataFrame]:
-    """Both sides by :func:`_ordered`, over the frequencies of both together; written, as several steps read them."""
-    both = [df.select(F.explode(F.array_distinct(tokens)).alias("token")) for df in (left, right)]
-    counts = both[0].unionByName(both[1]).groupBy("token").agg(F.count("*").alias("sets"))
-    return written(_ordered(left, left_key, tokens, counts), "left-sets"), written(_ordered(right, right_key, tokens, counts), "right-sets")
+    """Both sides by :func:`_ordered`, over the frequencies of both together.
+
+    The sets are written before, as making tokens of texts costs more than reading them, and after, as several steps
+    read them.
+    """
+    sides = []
+    for df, key, name in ((left, left_key, "left"), (right, right_key, "right")):
+        own = df.select(F.col(key).alias("id"), F.array_distinct(tokens).alias("tokens")).filter("id is not null")
+        sides.append(written(own, f"{name}-tokens"))
+    every = [x.select(F.explode("tokens").alias("token")) for x in sides]
+    counts = written(every[0].unionByName(every[1]).groupBy("token").agg(F.count("*").alias("sets")), "token-counts")
+    return written(_ordered(sides[0], counts), "left-sets"), written(_ordered(sides[1], counts), "right-sets")
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, min_common: int, threshold: float) -> DataFrame:
