@@ -6,13 +6,16 @@ are one array per page, so filters, caps and distinct sets are array functions a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fiscalis.functions import urls
 from fiscalis.functions.identity import OFFICIAL_HOSTS, canonical_audit_url, official_url
-from fiscalis.functions.text import missing, normalize_ws, text_or_empty
+from fiscalis.functions.text import bound, missing, normalize_ws, text_or_empty
 from fiscalis.sources import html as H
+from fiscalis.sources import scratch
 
 #: Urls of audits in raw text, paths of news, names and texts of links to further pages, sizes of excerpts.
 RAW_AUDIT_URL = r"(?i)https?://[^\s\"']*contraloria\.cl/buscadorpdf/auditoria/[a-f0-9]+/html"
@@ -21,16 +24,15 @@ PAGE_KEYS, PAGE_TEXTS = ("cur", "page", "delta"), ("siguiente", "next", ">", "
 PAGE_EXCERPT, ARTICLE_EXCERPT, LINK_TEXT = 3000, 5000, 250
 
 
-def first_distinct(items: Column, key) -> Column:
-    """Elements whose key has not come before, in order."""
-    return F.filter(items, lambda x, i: F.array_position(F.transform(items, key), key(x)) == i + 1)
-
+def with_links(pages: DataFrame, url: str = "source_url", html: str = "html", more: tuple[str, ...] = ()) -> DataFrame:
+    """``pages`` with ``anchors array<struct<url, text, href>>``, urls absolute, in document order.
 
-def with_links(pages: DataFrame, url: str = "source_url", html: str = "html") -> DataFrame:
-    """``pages`` with ``anchors array<struct<url, text, href>>``, urls absolute, in document order."""
-    found = pages.withColumn("anchors", H.anchors(text_or_empty(F.col(html))))
+    ``more`` names further parts of the same reading of the page, as ``page_<part>``.
+    """
+    found = pages.withColumn("__page", H.parts(F.col(html), "links", *more))
     base = F.col(url)
-    return found.withColumn("anchors", F.transform("anchors", lambda x: F.struct(urls.resolve(base, x["href"]).alias("url"), x["text"].alias("text"), x["href"].alias("href"))))
+    anchors = F.transform("__page.links", lambda x: F.struct(urls.resolve(base, x["href"]).alias("url"), x["text"].alias("text"), x["href"].alias("href")))
+    return found.withColumns({"anchors": anchors} | {f"page_{part}": F.col(f"__page.{part}") for part in more}).drop("__page")
 
 
 def audit_links(html: Column, anchors: Column) -> Column:
@@ -42,10 +44,19 @@ def audit_links(html: Column, anchors: Column) -> Column:
 
 def official_links(anchors: Column, max_items: Column | int) -> Column:
     """The first ``max_items`` distinct official links of a page: ``array<struct<url, text>>``."""
-    own = F.filter(anchors, lambda x: official_url(x["url"]))
-    kept = first_distinct(own, lambda x: x["url"])
-    short = F.transform(kept, lambda x: F.struct(x["url"].alias("url"), F.substring(x["text"], 1, LINK_TEXT).alias("text")))
-    return F.slice(short, F.lit(1), max_items if isinstance(max_items, Column) else F.lit(max_items))
+    most = max_items if isinstance(max_items, Column) else F.lit(max_items)
+
+    def first_of_each(own: Column) -> Column:
+        """Each url once, with the text of its first place; only the urls that stay are looked up."""
+
+        def taken(names: Column) -> Column:
+            kept = F.slice(F.array_distinct(names), F.lit(1), most)
+            text = lambda u: F.element_at(own, F.array_position(names, u).cast("int"))["text"]
+            return F.transform(kept, lambda u: F.struct(u.alias("url"), F.substring(text(u), 1, LINK_TEXT).alias("text")))
+
+        return bound(F.transform(own, lambda x: x["url"]), taken)
+
+    return bound(F.filter(anchors, lambda x: official_url(x["url"])), first_of_each)
 
 
 def landing_rows(pages: DataFrame, max_items: int = 80) -> DataFrame:
@@ -56,14 +67,14 @@ def landing_rows(pages: DataFrame, max_items: int = 80) -> DataFrame:
     """
     ok = missing(F.col("error")).isNull()
     body = F.when(ok, text_or_empty(F.col("html"))).otherwise(F.lit(""))
-    rows = with_links(pages.withColumn("__body", body), html="__body").withColumn("__text", H.text_of(F.col("__body")))
+    rows = with_links(pages.withColumn("__body", body), html="__body", more=("text",))
     return rows.select(
         "source_id", "source_url",
         F.when(ok, F.col("http_status")).alias("status_code"),
         "fetched_at",
         F.when(ok, F.sha2("__body", 256)).otherwise(F.lit("")).alias("content_hash"),
         F.when(ok, F.coalesce(missing(H.title(F.col("__body"))), F.col("source_name"))).otherwise(F.lit("")).alias("title"),
-        F.substring(normalize_ws(F.col("__text")), 1, PAGE_EXCERPT).alias("text_excerpt"),
+        F.substring(normalize_ws(F.col("page_text")), 1, PAGE_EXCERPT).alias("text_excerpt"),
         official_links(F.col("anchors"), max_items).alias("links"),
         audit_links(F.col("__body"), F.col("anchors")).alias("audit_links"),
         text_or_empty(F.col("error")).alias("error"),
@@ -104,11 +115,11 @@ def pagination_links(anchors: Column) -> Column:
 def article_rows(pages: DataFrame) -> DataFrame:
     """One row per fetched article of ``(url, html, error)``: title, first date, digest, excerpt, audit links, error."""
     ok = missing(F.col("error")).isNull()
-    rows = with_links(pages, "url").withColumn("__text", normalize_ws(H.text_of(text_or_empty(F.col("html"))))).withColumn("__heads", H.headings(text_or_empty(F.col("html"))))
+    rows = with_links(pages, "url", more=("headings", "text")).withColumn("__text", normalize_ws(F.col("page_text")))
     when_ok = lambda c: F.when(ok, c)
     return rows.select(
         "url",
-        when_ok(H.first_heading(F.col("__heads"), "h1", "h2", "h3")).alias("title"),
+        when_ok(H.first_heading(F.col("page_headings"), "h1", "h2", "h3")).alias("title"),
         when_ok(F.regexp_extract("__text", r"(?U)\b(\d{2}/\d{2}/\d{4})\b", 1)).alias("date"),
         when_ok(F.sha2("__text", 256)).alias("content_hash"),
         when_ok(F.substring("__text", 1, ARTICLE_EXCERPT)).alias("text_excerpt"),
@@ -125,22 +136,41 @@ def discovered(seeds: DataFrame, *landed: DataFrame) -> DataFrame:
     return rows.select(canonical_audit_url(F.col("url")).alias("url")).filter("url <> ''").distinct()
 
 
-def crawl(pages: DataFrame, start: str, max_pages: int, max_articles: int) -> tuple[list[str], DataFrame]:
-    """The pages of a landed news archive that a breadth-first walk from ``start`` visits, and its articles to read.
+def crawl(pages: DataFrame | Callable[[DataFrame], DataFrame], start: str, max_pages: int, max_articles: int, state: str | None = None, spark: SparkSession | None = None) -> tuple[DataFrame, DataFrame]:
+    """Breadth-first walk over a news archive: ``(level, seq, url)`` of the pages visited, and the articles ``(url)`` to read.
 
-    ``pages (source_url, next array, articles array)``. One join-free lookup per level; the driver holds the visited
-    urls only, ``max_pages`` at most. Articles are distinct, by url, the first ``max_articles``.
+    ``pages (source_url, next array, articles array)`` is a landed archive, or a function that gives such rows for the
+    urls of a frontier ``(url)``, by fetching them. Visited pages and frontiers are tables below ``state``, a level each:
+    a frontier is joined with its pages, their further pages meet all levels before by an anti join, and the first ones in
+    reading order, up to ``max_pages`` in all, are the next level. A level that is written is never walked again, so a
+    driver that starts over with the same ``state`` goes on where the last one stopped. Articles are distinct, by url,
+    the first ``max_articles``.
     """
-    visited: list[str] = []
-    frontier = [start]
-    while frontier and len(visited) < max_pages:
-        frontier = frontier[: max_pages - len(visited)]
-        visited += frontier
-        level = pages.filter(F.col("source_url").isin(frontier)).select("source_url", F.slice("next", 1, max_pages).alias("next"))
-        after = {r.source_url: r.next for r in level.collect()}
-        seen = set(visited)
-        frontier = [u for u in dict.fromkeys(u for page in frontier for u in after.get(page, ())) if u not in seen]
-    found = pages.filter(F.col("source_url").isin(visited)).select(F.explode("articles").alias("url")).distinct()
+    spark = spark or (pages.sparkSession if isinstance(pages, DataFrame) else SparkSession.getActiveSession())
+    state = state or scratch.fresh_path(spark, "crawl")
+    fetched = None if isinstance(pages, DataFrame) else pages
+    table = lambda kind, k: f"{state}/{kind}/level={k}"
+    first = spark.range(1).select(F.lit(0).cast("long").alias("seq"), F.lit(start).alias("url"))
+    level, total, k = first, 0, 0
+    while True:
+        scratch.write_once(level, table("visited", k))
+        done = spark.read.parquet(f"{state}/visited")
+        size = spark.read.parquet(table("visited", k)).count()
+        total += size
+        frontier = spark.read.parquet(table("visited", k))
+        if fetched and size and not scratch.is_complete(spark, table("pages", k)):
+            scratch.write_once(fetched(frontier.select("url")).select("source_url", "next", "articles"), table("pages", k))
+        if not size or total >= max_pages:
+            break
+        own = spark.read.parquet(table("pages", k)) if fetched else pages
+        after = frontier.join(own.select(F.col("source_url").alias("url"), F.slice("next", 1, max_pages).alias("next")), "url")
+        each = after.select("seq", F.posexplode("next").alias("pos", "to")).groupBy(F.col("to").alias("url")).agg(F.min(F.struct("seq", "pos")).alias("at"))
+        ahead = each.filter("url is not null").join(done.select("url"), "url", "left_anti").orderBy("at", "url").limit(max_pages - total)
+        level = ahead.select((F.row_number().over(Window.orderBy("at", "url")) - 1).cast("long").alias("seq"), "url")  # max_pages rows at most
+        k += 1
+    visited = spark.read.parquet(f"{state}/visited").select("level", "seq", "url")
+    own = spark.read.parquet(f"{state}/pages") if fetched else pages
+    found = own.join(visited.select(F.col("url").alias("source_url")), "source_url", "left_semi").select(F.explode("articles").alias("url")).distinct()
     return visited, found.orderBy("url").limit(max_articles)
 
 

@@ -147,7 +147,7 @@ def page_blocks(spark, sf):
 @query("page_headings", r"select page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) as heading from pages")
 def page_headings(spark, sf):
     (p,) = tables(spark, sf, "pages")
-    return p.select("page_id", H.first_heading(H.headings(F.col("html")), "h1", "h2", "h3").alias("heading"))
+    return p.select("page_id", H.first_heading(H.parts(F.col("html"), "headings")["headings"], "h1", "h2", "h3").alias("heading"))
 
 
 _SEEN = "case page_id % 4 when 0 then 'a /buscadorpdf/auditoria/' || upper(md5(url)) || '/html b docIdcm=' || md5(url) || ' c docIdcm=' || md5(html) when 1 then 'docIdcm=' || md5(url) || '&x' when 2 then 'docIdcm=123' else '' end"

@@ -1,14 +1,13 @@
-"""HTML: title by expression; links, visible text, table cells and blocks by a streaming parser in Arrow batches."""
+"""HTML: title by expression; links, headings, text, table cells and blocks by one reading of a page in Arrow batches."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from fiscalis.functions.text import text_or_empty
 
@@ -105,64 +104,71 @@ def _ws(parts: list[str]) -> str:
     return " ".join(" ".join(parts).split())
 
 
-def _rows(df: DataFrame, key: str, html: str, each, columns: dict[str, str]) -> DataFrame:
-    schema = ", ".join([f"{key} {df.schema[key].dataType.simpleString()}", *(f"{c} {t}" for c, t in columns.items())])
+#: What one reading of a page gives: name -> type, and how it is taken from the reader.
+PARTS = {
+    "links": ("array<struct<href:string,text:string>>", lambda r: [{"href": h, "text": _ws(t)} for h, t in r.links]),
+    "headings": ("array<struct<tag:string,text:string>>", lambda r: [{"tag": tag, "text": _ws(t)} for tag, t in r.headings]),
+    "cells": (
+        "array<struct<table:int,row:int,cell:int,is_header:boolean,text:string>>",
+        lambda r: [
+            {"table": t, "row": i, "cell": j, "is_header": head, "text": _ws(text)}
+            for t, rows in enumerate(r.tables) for i, row in enumerate(rows) for j, (head, text) in enumerate(row)
+        ],
+    ),
+    "blocks": (
+        "array<struct<pos:int,tag:string,text:string,href:string>>",
+        lambda r: [{"pos": n, "tag": tag, "text": _ws(t), "href": h[0] if h else ""} for n, (tag, t, h) in enumerate(r.blocks)],
+    ),
+    "text": ("string", lambda r: "\n".join(x.strip() for x in r.texts)),
+}
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [(k, *row) for k, h in zip(f[key], f[html], strict=True) for row in each(read(h))]
-            yield pd.DataFrame(rows, columns=[key, *columns])
 
-    return df.select(key, html).mapInPandas(run, schema)
+@lru_cache(maxsize=32)
+def _parser(names: tuple[str, ...]):
+    @F.pandas_udf(", ".join(f"{n} {PARTS[n][0]}" for n in names))
+    def parse(html: pd.Series) -> pd.DataFrame:
+        rows = [[PARTS[n][1](page) for n in names] for page in map(read, html)]
+        return pd.DataFrame(rows, columns=list(names), dtype=object)
+
+    return parse
+
+
+def parts(html: Column, *names: str) -> Column:
+    """A struct with the named :data:`PARTS` of a page, from one reading of it; a null page is an empty one.
+
+    All that a plan needs of a page should be asked for at once: each distinct call is a parse of its own. Links,
+    headings, cells and blocks are in document order; the text is the text nodes joined by line ends, without scripts,
+    styles and comments; a block has the first link inside it, or its own.
+    """
+    return _parser(names)(text_or_empty(html))
+
+
+def _each(df: DataFrame, key: str, html: str, part: str) -> DataFrame:
+    # outer and then filtered: an inner generator would have the page parsed again by an inferred filter
+    rows = df.select(key, parts(F.col(html), part)[part].alias("__part")).select(key, F.inline_outer("__part"))
+    return rows.filter(F.col(rows.columns[1]).isNotNull())
 
 
 def links(df: DataFrame, key: str, html: str = "html") -> DataFrame:
     """``(key, href, text)`` of every link, in document order."""
-    return _rows(df, key, html, lambda r: [(h, _ws(t)) for h, t in r.links], {"href": "string", "text": "string"})
+    return _each(df, key, html, "links")
 
 
 def visible_text(df: DataFrame, key: str, html: str = "html") -> DataFrame:
     """``(key, text)``: text nodes joined by line ends, without scripts, styles and comments."""
-    return _rows(df, key, html, lambda r: [("\n".join(x.strip() for x in r.texts),)], {"text": "string"})
+    return df.select(key, parts(F.col(html), "text")["text"].alias("text"))
 
 
 def table_cells(df: DataFrame, key: str, html: str = "html") -> DataFrame:
     """``(key, table, row, cell, is_header, text)`` of every table cell."""
-
-    def each(r: _Reader):
-        return [(t, i, j, head, _ws(text)) for t, rows in enumerate(r.tables) for i, row in enumerate(rows) for j, (head, text) in enumerate(row)]
-
-    return _rows(df, key, html, each, {"table": "int", "row": "int", "cell": "int", "is_header": "boolean", "text": "string"})
+    return _each(df, key, html, "cells")
 
 
 def blocks(df: DataFrame, key: str, html: str = "html") -> DataFrame:
     """``(key, pos, tag, text, href)`` of block elements, with the first link inside (or their own)."""
-    each = lambda r: [(n, tag, _ws(t), h[0] if h else "") for n, (tag, t, h) in enumerate(r.blocks)]
-    return _rows(df, key, html, each, {"pos": "int", "tag": "string", "text": "string", "href": "string"})
-
-
-def _pairs(*names: str) -> ArrayType:
-    return ArrayType(StructType([StructField(n, StringType()) for n in names]))
-
-
-@F.pandas_udf(_pairs("href", "text"))
-def anchors(html: pd.Series) -> pd.Series:
-    """Links of a page in document order, as one array: what follows needs no shuffle."""
-    return html.map(lambda h: [{"href": href, "text": _ws(text)} for href, text in read(h).links])
-
-
-@F.pandas_udf(StringType())
-def text_of(html: pd.Series) -> pd.Series:
-    """Visible text of a page: text nodes joined by line ends."""
-    return html.map(lambda h: "\n".join(x.strip() for x in read(h).texts))
-
-
-@F.pandas_udf(_pairs("tag", "text"))
-def headings(html: pd.Series) -> pd.Series:
-    """Headings h1 to h4 of a page in document order."""
-    return html.map(lambda h: [{"tag": tag, "text": _ws(text)} for tag, text in read(h).headings])
+    return _each(df, key, html, "blocks")
 
 
 def first_heading(found: Column, *tags: str) -> Column:
-    """Text of the first heading of one of ``tags`` in what :func:`headings` gives, else empty."""
+    """Text of the first heading of one of ``tags`` in ``headings`` of :func:`parts`, else empty."""
     return F.coalesce(F.try_element_at(F.filter(found, lambda x: x["tag"].isin(*tags)), F.lit(1))["text"], F.lit(""))

@@ -23,9 +23,25 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A path below the shared folder that no table has yet."""
+    return f"{shared_folder(spark)}/fiscalis-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table of the shared folder: later uses read it, and what a lost executor held is read again."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/fiscalis-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there to its end."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def write_once(df: DataFrame, path: str) -> None:
+    """Write ``df`` unless a complete table is there; what an earlier run left half written is replaced."""
+    if not is_complete(df.sparkSession, path):
+        df.write.mode("overwrite").parquet(path)
