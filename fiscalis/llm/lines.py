@@ -155,22 +155,31 @@ def jaccard_forest(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[
                 yield from zip(repeat(at), found)
 
 
+def _packed(a: str, b: str, size: int) -> np.ndarray | None:
+    """The shingles of ``a`` and then of ``b`` as numbers, the last bit telling the line; None where they do not fit."""
+    if size > 7:
+        return None
+    try:
+        raw = (a + b).encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    every = np.ndarray(len(raw) - size + 1, "<u8", raw + bytes(8), 0, (1,)) << np.uint64(64 - 8 * size)
+    every[len(a) :] |= np.uint64(1)
+    return np.concatenate([every[: len(a) - size + 1], every[len(a) :]])
+
+
 def alike(a: str, b: str, p: LineParams) -> bool:
     """Whether the shingle sets of two lines, none shorter than a shingle, reach the similarity."""
-    points = np.frombuffer((a + b).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    h = rolling(points + np.uint64(1), p.shingle, 0x9E3779B97F4A7C15)
-    sets = []
-    for part in (h[: len(a) - p.shingle + 1], h[len(a) :]):
-        part = np.sort(part)
-        fresh = np.ones(len(part), bool)
-        np.not_equal(part[1:], part[:-1], out=fresh[1:])
-        sets.append(part[fresh])
-    total = len(sets[0]) + len(sets[1])
-    if min(map(len, sets)) < p.similarity * max(map(len, sets)):
-        return False
-    both = np.sort(np.concatenate(sets))
-    common = int(np.count_nonzero(both[1:] == both[:-1]))
-    return common >= p.similarity * (total - common)
+    both = _packed(a, b, p.shingle)
+    if both is None:
+        points = np.frombuffer((a + b).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        both = rolling(points + np.uint64(1), p.shingle, 0x9E3779B97F4A7C15) << np.uint64(1)
+        both[len(a) :] |= np.uint64(1)
+        both = np.concatenate([both[: len(a) - p.shingle + 1], both[len(a) :]])
+    both.sort()
+    both = both[np.append(True, both[1:] != both[:-1])]  # each line's shingles once; equal ones differ in the last bit
+    common = int(np.count_nonzero((both[1:] ^ both[:-1]) == 1))
+    return common >= p.similarity * (len(both) - common)
 
 
 def line_forest(lines: list[str], p: LineParams) -> Iterable[tuple[int, int]]:
