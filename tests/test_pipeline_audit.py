@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from fiscalis.plans.derive import derive
@@ -78,6 +79,47 @@ def test_a_stream_that_begins_anew_goes_on(spark, tmp_path):
     assert len([x for x in (tmp_path / "out").iterdir() if x.name.startswith("v")]) == 2
 
 
+def test_a_batch_writes_the_buckets_of_its_keys_only(spark, tmp_path):
+    spec = tables.TableSpec("t", "k", "k string, v int, last_seen string")
+    root = f"file://{tmp_path}/out"
+    write = ingest.merge_batch(root, spec, "last_seen", buckets=64)
+    rows = lambda part: spark.createDataFrame(part, spec.schema)
+    write(rows([(f"k{i}", i, "t0") for i in range(2000)]), 0)
+    files = lambda: {str(x.relative_to(tmp_path / "out")) for x in (tmp_path / "out").glob("v*/bucket=*")}
+    before = files()
+    assert len(before) == 64
+    want = {f"k{i}": (i, "t0") for i in range(2000)}
+    for n in range(1, 6):
+        batch = [(f"k{i * 7 * n}", -n, f"t{n}") for i in range(8)] + [(f"new{n}", n, f"t{n}"), (f"k{n}", n, f"t{n}")]  # the last one is unchanged
+        write(rows(batch), n)
+        new = {x for x in files() - before if x.startswith(f"v{n:012d}")}
+        assert 0 < len(new) <= 10
+        want |= {k: (v, t) for k, v, t in batch if want.get(k, (None,))[0] != v}
+        assert {r.k: (r.v, r.last_seen) for r in ingest.current_version(spark, root, spec).collect()} == want
+        assert len(ingest._pointers(spark, root)[2]) == 2
+    held = ingest.read_manifest(spark, root, ingest._pointers(spark, root)[2][-1]).held
+    assert {f"{v}/bucket={b}" for b, v in held.items()} <= files() and len(files()) <= 64 + 10
+    few = ingest.current_version(spark, root, spec, ["k7", "new3", "absent"])
+    assert sorted(r.k for r in few.collect()) == ["k7", "new3"] and len(few.inputFiles()) <= 3
+    write(rows([]), 6)
+    write(rows([(None, 1, "t")]), 7)
+    assert len(ingest._pointers(spark, root)[2]) == 2 and ingest.current_version(spark, root, spec).count() == len(want)
+
+
+def test_a_batch_that_stops_half_way_changes_nothing(spark, tmp_path, monkeypatch):
+    spec = tables.TableSpec("t", "k", "k string, v int, last_seen string")
+    root = f"file://{tmp_path}/out"
+    write = ingest.merge_batch(root, spec, "last_seen", buckets=8)
+    write(spark.createDataFrame([("a", 1, "t0"), ("b", 2, "t0")], spec.schema), 0)
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "_write_file", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            write(spark.createDataFrame([("a", 5, "t1")], spec.schema), 1)
+    assert {r.k: r.v for r in ingest.current_version(spark, root, spec).collect()} == {"a": 1, "b": 2}
+    write(spark.createDataFrame([("a", 5, "t1")], spec.schema), 1)
+    assert {r.k: r.v for r in ingest.current_version(spark, root, spec).collect()} == {"a": 5, "b": 2}
+
+
 def test_an_empty_mart_replaces_the_old_one(spark, tmp_path):
     df = spark.range(3)
     assert tables.write_marts({"m": df}, f"file://{tmp_path}") == {"m": 3}
