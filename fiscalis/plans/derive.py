@@ -6,6 +6,8 @@ marts read (the enriched findings, the mentions) is written once below ``work``
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,11 +29,11 @@ def _written(df: DataFrame, work: str | None, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(f"{work}/{name}")
 
 
-def enrich(documents: DataFrame, raw_findings: DataFrame, events: DataFrame | None = None) -> DataFrame:
-    """Findings with their document's organization and date, occurrence, rules and scores.
+def finding_inputs(documents: DataFrame, raw_findings: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """Findings with what their document lends them: organization, date, objective. All that their rules look at.
 
-    Time first, then rules: the join brings one row of a document to each of its findings. The organization is the
-    resolved one, else the one that the document or its event names.
+    The join brings one row of a document to each of its findings. The organization is the resolved one, else the one
+    that the document or its event names.
     """
     spark = documents.sparkSession
     events = events if events is not None else spark.createDataFrame([], EVENT_COLUMNS)
@@ -46,6 +48,11 @@ def enrich(documents: DataFrame, raw_findings: DataFrame, events: DataFrame | No
     own = raw_findings.drop("organization_id", "organization_name", "organization_type", "region").join(docs, "document_id", "left")
     for c in ("organization_id", "organization_name", "organization_type", "region", "source_url"):
         own = own.withColumn(c, text_or_empty(F.col(c)) if c in own.columns else F.lit(""))
+    return own
+
+
+def apply_rules(own: DataFrame) -> DataFrame:
+    """Occurrence, rules and scores of :func:`finding_inputs`: time first, then rules, each finding by itself."""
     own = temporal.with_occurrence(own, audit_objective="objective", doc_date="__date")
     out = findings.classify(own).withColumn("action_date", document_date(F.col("__date"))).drop("__date", "objective")
     for flag, kind in (("disciplinary", "DISCIPLINARY"), ("reparo", "REPARO"), ("criminal_referral", "CRIMINAL_REFERRAL"), ("cde_referral", "CDE_REFERRAL")):
@@ -56,9 +63,21 @@ def enrich(documents: DataFrame, raw_findings: DataFrame, events: DataFrame | No
     return out.withColumns({f"occurrence_date_{k}": F.col(f"occurrence.{v}") for k, v in parts.items()})
 
 
-def provider_links(enriched: DataFrame) -> DataFrame:
-    """``(finding_id, provider_id, name, relationship_type)`` of providers named in findings, resolved, public names left out."""
-    found = entities.provider_mentions(enriched, "finding_id", "description")
+def enrich(documents: DataFrame, raw_findings: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """Findings with their document's organization and date, occurrence, rules and scores."""
+    return apply_rules(finding_inputs(documents, raw_findings, events))
+
+
+def mentioned_people(enriched: DataFrame) -> DataFrame:
+    return entities.person_mentions(enriched, "finding_id", "description").withColumn("person_id", stable_id("ENT", F.col("normalized_name")))
+
+
+def provider_links(enriched: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """``(finding_id, provider_id, name, relationship_type)`` of providers named in findings, resolved, public names left out.
+
+    ``found`` are the mentions, if they are there already.
+    """
+    found = found if found is not None else entities.provider_mentions(enriched, "finding_id", "description")
     found = found.withColumn("provider_id", stable_id("ENT", F.col("normalized_name")))
     orgs = enriched.select(normalize_name(F.col("organization_name")).alias("normalized_name")).distinct()
     return entities.without_collisions(found, orgs).select("finding_id", "provider_id", "name", "normalized_name", "relationship_type", "provider_type", "confidence")
@@ -76,33 +95,42 @@ def _relationships(enriched: DataFrame, links: DataFrame, persons: DataFrame) ->
 
 def derive(documents: DataFrame, raw_findings: DataFrame, watch: DataFrame, events: DataFrame | None = None, work: str | None = None) -> dict[str, DataFrame]:
     """All products by name. With ``work``, a folder that all executors share, shared inputs are written there once."""
-    enriched = _written(enrich(documents, raw_findings, events), work, "enriched")
-    mentions = _written(provider_links(enriched), work, "provider_links")
-    people = entities.person_mentions(enriched, "finding_id", "description").withColumn("person_id", stable_id("ENT", F.col("normalized_name")))
-    people = _written(people, work, "person_links")
+    keep = lambda df, name: _written(df, work, name)
+    enriched = keep(enrich(documents, raw_findings, events), "enriched")
+    return products(enriched, None, keep(mentioned_people(enriched), "person_links"), documents, watch, keep)
 
+
+def products(
+    enriched: DataFrame, found: DataFrame | None, people: DataFrame, documents: DataFrame, watch: DataFrame, keep: Callable[[DataFrame, str], DataFrame],
+    organization_details=dashboard.organization_details, provider_details=dashboard.provider_details,
+) -> dict[str, DataFrame]:
+    """All products of enriched findings and their mentions; ``keep(df, name)`` stores what several of them read.
+
+    The two functions give the full profiles of ``(enrichment, organizations, providers)``.
+    """
+    mentions = keep(provider_links(enriched, found), "provider_links")
     old = mentions.groupBy("provider_id").agg(F.min("name").alias("name"), F.max("provider_type").alias("provider_type"), F.max("confidence").alias("confidence"))
     mapping, resolved = entities.resolve_providers(old)
     targets = mapping.select("provider_id", F.explode("targets").alias("target"))
     kinds = targets.join(old, "provider_id").groupBy(F.col("target").alias("provider_id")).agg(F.max("provider_type").alias("provider_type"), F.greatest(F.max("confidence"), F.lit(0.85)).alias("confidence"))
-    providers = _written(resolved.join(kinds, "provider_id"), work, "providers")
+    providers = keep(resolved.join(kinds, "provider_id"), "providers")
     orgs = enriched.filter("organization_id <> ''").groupBy("organization_id").agg(F.max(F.struct("document_id", "organization_name", "organization_type", "region")).alias("o"))
     orgs = orgs.select("organization_id", F.col("o.organization_name").alias("name"), normalize_name(F.col("o.organization_name")).alias("normalized_name"), F.col("o.organization_type").alias("organization_type"), F.col("o.region").alias("region"), F.col("o.document_id").alias("source_document_id"), F.lit(organizations.RESOLVED).alias("confidence"))
-    orgs = _written(orgs, work, "organizations")
+    orgs = keep(orgs, "organizations")
     persons = people.groupBy("person_id").agg(F.max(F.struct("finding_id", "name", "normalized_name", "role", "confidence")).alias("p")).select("person_id", "p.name", "p.normalized_name", "p.role", "p.confidence")
 
     ids = mentions.groupBy("finding_id").agg(F.array_sort(F.collect_set("provider_id")).alias("provider_ids"))
     arrays = enriched.join(ids, "finding_id", "left").withColumn("provider_ids", F.coalesce("provider_ids", F.array().cast("array<string>")))
-    mapped = _written(organizations.remap_providers(arrays, mapping, providers), work, "with_providers")
+    mapped = keep(organizations.remap_providers(arrays, mapping, providers), "with_providers")
     edges = entities.remap(_relationships(enriched, mentions, people).withColumnRenamed("target_entity_id", "provider_id"), mapping, "provider_id").withColumnRenamed("provider_id", "target_entity_id")
     gate = organizations.quality_gate(orgs, providers, persons, mapped, edges)
-    with_ids = _written(gate["finding_enrichment"], work, "finding_enrichment")
+    with_ids = keep(gate["finding_enrichment"], "finding_enrichment")
     one_each = with_ids.withColumn("provider_id", F.explode_outer("provider_ids"))
     hub = interop.adapt_entities(gate["entities"])
     years, precision = marts.temporal_summary(enriched)
     usable = enriched.filter(missing(F.col("organization_id")).isNotNull())
-    org_details = dashboard.organization_details(with_ids, orgs, gate["providers"])
-    provider_details = dashboard.provider_details(with_ids, orgs, gate["providers"])
+    org_details = organization_details(with_ids, orgs, gate["providers"])
+    provider_rows = provider_details(with_ids, orgs, gate["providers"])
     enforcement = findings.enforcement_events(enriched)
     hypotheses = findings.hypothesis_rows(enriched)
     alerts = findings.alert_matches(enriched)
@@ -120,7 +148,7 @@ def derive(documents: DataFrame, raw_findings: DataFrame, watch: DataFrame, even
         "fau_matches": alerts,
         "provider_links": mentions,
         "organization_profiles": dashboard.with_bounds(dashboard.organizations_list(org_details), with_ids, "organization_id"),
-        "provider_profiles": dashboard.with_bounds(dashboard.providers_list(provider_details), one_each, "provider_id"),
+        "provider_profiles": dashboard.with_bounds(dashboard.providers_list(provider_rows), one_each, "provider_id"),
         "region_profiles": dashboard.region_details(with_ids),
         "penal_cases": dashboard.penal_cases(hypotheses, with_ids, with_ids),
         "enforcement_list": dashboard.enforcement_list(enforcement, with_ids, with_ids),

@@ -8,7 +8,6 @@ moved into place when all it names is written; readers see the table before or a
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -18,9 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from fiscalis.operators.store import keep_last, upsert
+from fiscalis.sources.publication import POINTER, manifests, next_version, read_text, write_manifest
 from fiscalis.sources.tables import TableSpec
 
-POINTER = "_current"
 BUCKETS = 256
 
 
@@ -43,17 +42,8 @@ class Manifest:
         return cls(doc["buckets"], {int(k): v for k, v in doc["held"].items()})
 
 
-def _pointers(spark: SparkSession, root: str):
-    """File system, folder of the manifests and their names, oldest first: names begin with a counter of the table."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted(x.getPath().getName() for x in fs.listStatus(folder)) if fs.exists(folder) else []
-    return fs, folder, [n for n in names if n.startswith("v")]
-
-
 def read_manifest(spark: SparkSession, root: str, name: str) -> Manifest:
-    return Manifest.from_json(spark.read.text(f"{root}/{POINTER}/{name}", wholetext=True).first().value)
+    return Manifest.from_json(read_text(spark, f"{root}/{POINTER}/{name}"))
 
 
 def _read(spark: SparkSession, spec: TableSpec, paths: list[str]) -> DataFrame:
@@ -62,7 +52,7 @@ def _read(spark: SparkSession, spec: TableSpec, paths: list[str]) -> DataFrame:
 
 def current_version(spark: SparkSession, root: str, spec: TableSpec, keys: list | None = None) -> DataFrame:
     """The table of the newest manifest; empty before the first. With ``keys`` only their buckets are read."""
-    _, _, names = _pointers(spark, root)
+    _, _, names = manifests(spark, root)
     if not names:
         return spark.createDataFrame([], spec.schema)
     manifest = read_manifest(spark, root, names[-1])
@@ -81,15 +71,6 @@ def _touched(rows: DataFrame, key: str, buckets: int) -> list[int]:
     return sorted(r.b for r in rows.select(bucket_of(key, buckets).alias("b")).distinct().collect())
 
 
-def _write_file(spark: SparkSession, fs, folder, name: str, text: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    part = path(folder, f"_{name}")
-    out = fs.create(part, True)
-    out.write(bytearray(text, "utf-8"))
-    out.close()
-    fs.rename(part, path(folder, name))
-
-
 def _drop_unnamed(spark: SparkSession, root: str, fs, folder, names: list[str], keep: int) -> None:
     """Delete all manifests but the last ``keep``, and the buckets that none of those names."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
@@ -119,19 +100,18 @@ def merge_batch(root: str, spec: TableSpec, order: str, keep: int = 2, buckets:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fs, folder, names = _pointers(spark, root)
+        fs, folder, names = manifests(spark, root)
         manifest = read_manifest(spark, root, names[-1]) if names else Manifest(buckets)
         rows = keep_last(batch.select(*spec.schema.names), spec.key, order)
         touched = _touched(rows, spec.key, manifest.buckets)
         if not touched:
             return
-        n = int(names[-1][1:13]) + 1 if names else 0
-        version = f"v{n:012d}-{uuid.uuid4().hex[:8]}"
+        version = next_version(names)
         merged = upsert(_read(spark, spec, manifest.paths(root, touched)), rows, spec.key).drop("change")
         placed = merged.withColumn("bucket", bucket_of(spec.key, manifest.buckets)).repartition("bucket")
         placed.write.partitionBy("bucket").parquet(f"{root}/{version}")
         held = manifest.held | dict.fromkeys(touched, version)
-        _write_file(spark, fs, folder, version, Manifest(manifest.buckets, held).to_json())
+        write_manifest(spark, fs, folder, version, Manifest(manifest.buckets, held).to_json())
         _drop_unnamed(spark, root, fs, folder, [*names, version], keep)
 
     return write

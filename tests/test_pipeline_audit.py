@@ -96,14 +96,14 @@ def test_a_batch_writes_the_buckets_of_its_keys_only(spark, tmp_path):
         assert 0 < len(new) <= 10
         want |= {k: (v, t) for k, v, t in batch if want.get(k, (None,))[0] != v}
         assert {r.k: (r.v, r.last_seen) for r in ingest.current_version(spark, root, spec).collect()} == want
-        assert len(ingest._pointers(spark, root)[2]) == 2
-    held = ingest.read_manifest(spark, root, ingest._pointers(spark, root)[2][-1]).held
+        assert len(ingest.manifests(spark, root)[2]) == 2
+    held = ingest.read_manifest(spark, root, ingest.manifests(spark, root)[2][-1]).held
     assert {f"{v}/bucket={b}" for b, v in held.items()} <= files() and len(files()) <= 64 + 10
     few = ingest.current_version(spark, root, spec, ["k7", "new3", "absent"])
     assert sorted(r.k for r in few.collect()) == ["k7", "new3"] and len(few.inputFiles()) <= 3
     write(rows([]), 6)
     write(rows([(None, 1, "t")]), 7)
-    assert len(ingest._pointers(spark, root)[2]) == 2 and ingest.current_version(spark, root, spec).count() == len(want)
+    assert len(ingest.manifests(spark, root)[2]) == 2 and ingest.current_version(spark, root, spec).count() == len(want)
 
 
 def test_a_batch_that_stops_half_way_changes_nothing(spark, tmp_path, monkeypatch):
@@ -112,7 +112,7 @@ def test_a_batch_that_stops_half_way_changes_nothing(spark, tmp_path, monkeypatc
     write = ingest.merge_batch(root, spec, "last_seen", buckets=8)
     write(spark.createDataFrame([("a", 1, "t0"), ("b", 2, "t0")], spec.schema), 0)
     with monkeypatch.context() as m:
-        m.setattr(ingest, "_write_file", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        m.setattr(ingest, "write_manifest", lambda *a: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             write(spark.createDataFrame([("a", 5, "t1")], spec.schema), 1)
     assert {r.k: r.v for r in ingest.current_version(spark, root, spec).collect()} == {"a": 1, "b": 2}
