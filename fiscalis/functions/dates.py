@@ -55,6 +55,11 @@ def month_windows(spark: SparkSession, start_year: int, end_year: int, end_month
     )
 
 
+def search_day(iso_date: Column) -> Column:
+    """A day as the search form takes it, dd/MM/yyyy; null where there is no day."""
+    return F.date_format(F.try_to_timestamp(missing(iso_date), F.lit("yyyy-MM-dd")), "dd/MM/yyyy")
+
+
 def overlaps(date_from: Column, date_to: Column, lo: str = "", hi: str = "") -> Column:
     """Closed intervals overlap; no bounds: true; no dates: false; a one-sided interval uses its other end."""
     if not lo and not hi:

@@ -190,9 +190,11 @@ def region_names(spark, sf):
     return D.region_names(enriched(spark, sf))
 
 
-@query("question_catalogue", "select unnest([" + ", ".join(f"'{k}'" for k, _ in T.QUESTIONS) + "]) as id, cast(unnest(range(" + str(len(T.QUESTIONS)) + ")) as int) as position")
+@query("question_catalogue", f"{_WITH}, q as (select unnest([" + ", ".join(f"'{k}'" for k, _ in T.QUESTIONS) + "]) as id, cast(unnest(range(" + str(len(T.QUESTIONS)) + ")) as int) as position) select id, position, count(e.finding_id) as findings from q left join e on e.cgr_score % " + str(len(T.QUESTIONS)) + " = position group by 1, 2")
 def question_catalogue(spark, sf):
-    return D.questions(spark).select("id", "position")
+    """The published questions, each with the findings whose score falls to it."""
+    n = enriched(spark, sf).groupBy((F.col("cgr_score") % len(T.QUESTIONS)).cast("int").alias("position")).agg(F.count("*").alias("findings"))
+    return D.questions(spark).join(n, "position", "left").select("id", "position", F.coalesce("findings", F.lit(0)).alias("findings"))
 
 
 _REG = "select page_id, case page_id % 5 when 0 then 'FETCHED' when 1 then 'ERROR' when 2 then 'FETCHED' when 3 then '' else 'DISCOVERED' end as status, cast(page_id % 6 as int) as attempts, case page_id % 3 when 0 then 'NEWS_ARCHIVE' when 1 then 'KNOWN_SEED' else '' end as discovery_channel from pages"

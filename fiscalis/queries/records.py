@@ -9,10 +9,12 @@ from fiscalis.operators import documents as docs_ops
 from fiscalis.operators import entities, organizations, publications, queues, temporal
 from fiscalis.plans import explore, interop, marts
 from fiscalis.queries.dashboard import _E, enriched
+from fiscalis.queries import rules as rules_queries
 from fiscalis.queries.synthetic import lit, registry, tables
 from fiscalis.rules import tables as T
 
 QUERIES, SQL, query = registry()
+SQL_FAU = rules_queries.SQL["fau_matches"]
 
 
 def cases(name: str, f, rows: tuple[tuple[str, str], ...]) -> None:
@@ -257,6 +259,16 @@ def case_stats(spark, sf):
     return publications.case_stats(merged_cases(spark, sf))
 
 
+@query("municipal_stats", "with s as (select c_custkey % 1000 as k, c_nationkey, case c_custkey % 4 when 0 then 'GREEN' when 1 then 'RED' when 2 then 'YELLOW' else 'UNKNOWN' end as status from customer) select count(*) as rows, count(distinct (k, c_nationkey)) as municipalities, count_if(status = 'GREEN') as green, count_if(status = 'RED') as red, count(distinct (k, c_nationkey)) >= 345 as complete from s")
+def municipal_stats(spark, sf):
+    (c,) = tables(spark, sf, "customer")
+    kinds = F.expr("case c_custkey % 4 when 0 then 'GREEN' when 1 then 'RED' when 2 then 'YELLOW' else 'UNKNOWN' end")
+    rows = c.select((F.col("c_custkey") % 1000).cast("string").alias("commune"), F.col("c_nationkey").cast("string").alias("region"), kinds.alias("status"))
+    out = publications.municipal_stats(rows)
+    of = lambda k: F.coalesce(F.col("statuses")[k], F.lit(0)).alias(k.lower())
+    return out.select("rows", "municipalities", of("GREEN"), of("RED"), "complete")
+
+
 @query("municipal_snapshot", "select 'C' || cast(c_custkey as string) as commune, unnest([" + ", ".join(f"'{c}'" for c, _ in T.INDICATORS) + "]) as indicator_code, unnest(['01/01', '01/02', '01/03', '01/04', '01/05', '01/06', '01/07', '01/08']) as as_of from customer")
 def municipal_snapshot(spark, sf):
     """One page per customer: the larger of two tables, a header with days and one row of ten cells."""
@@ -317,10 +329,15 @@ def synced_documents(spark, sf):
     return queues.sync_documents(known, d, "2024").select("audit_hash", "status", F.col("discovery_channel").alias("channel"), "document_id")
 
 
-@query("scannable_collections", "select 'CC-MAIN-' || cast(y as string) || '-05' as collection_id from (select unnest(range(2008, 2030)) as y) where y between 2013 and 2026 and y % 3 <> 0 order by 1 limit 5")
+_COLLECTIONS = "select 'CC-MAIN-' || cast({year} as string) || '-' || lpad(cast({month} as string), 2, '0') as collection_id, max(case when {month} % 3 = 0 then 'SCANNED' else 'ERROR' end) as status, count(*) as n from {orders} group by 1"
+
+
+@query("scannable_collections", f"with c as ({_COLLECTIONS.format(year='year(o_orderdate)', month='month(o_orderdate)', orders='orders')}) select collection_id from c where cast(substr(collection_id, 9, 4) as int) between 1993 and 1997 and status <> 'SCANNED'")
 def scannable_collections(spark, sf):
-    years = spark.range(2008, 2030).select(F.concat(F.lit("CC-MAIN-"), "id", F.lit("-05")).alias("collection_id"), F.when(F.col("id") % 3 == 0, "SCANNED").otherwise("ERROR").alias("status"))
-    return queues.scannable_collections(years.select("collection_id"), years, 2013, 2026, n=5)
+    """Index collections named by the months of the orders, a third of them scanned already."""
+    (o,) = tables(spark, sf, "orders")
+    c = spark.sql(_COLLECTIONS.format(year="year(o_orderdate)", month="month(o_orderdate)", orders="{orders}"), orders=o)
+    return queues.scannable_collections(c.select("collection_id"), c.select("collection_id", "status"), 1993, 1997)
 
 
 @query("collection_state", "select 'C' || cast(l_linenumber as string) as collection_id, case when l_linenumber % 2 = 0 then 'ERROR' else 'SCANNED' end as status, count(distinct l_partkey) as hashes_found, case when l_linenumber % 2 = 0 then 'a | b' else '' end as last_error from lineitem group by 1, 2, 4 union all select 'OLD', 'SCANNED', 7, ''")
@@ -473,11 +490,14 @@ def rule_set_labels(spark, sf):
     return rules.apply(rows, "t").select("o_orderkey", F.array_join("own.labels", ",").alias("labels"), "own.weight")
 
 
-@query("alert_catalogue", "select unnest([" + ", ".join(lit(r[0]) for r in T.ALERT_PATTERNS) + "]) as pattern_code, unnest([" + ", ".join(lit(r[2]) for r in T.ALERT_PATTERNS) + "]) as process, 'https://h/fau' as source_url")
+@query("alert_catalogue", f"with m as ({SQL_FAU}), c as (select unnest([" + ", ".join(lit(r[0]) for r in T.ALERT_PATTERNS) + "]) as pattern_code, unnest([" + ", ".join(lit(r[2]) for r in T.ALERT_PATTERNS) + "]) as process) select c.pattern_code, process, 'https://h/fau' as source_url, count(m.finding_id) as findings, max(m.score) as highest from c left join m on m.pattern_code = c.pattern_code group by 1, 2")
 def alert_catalogue(spark, sf):
+    """The catalogue with the findings that each pattern is met in."""
     from fiscalis.rules.ruleset import alert_catalogue as catalogue
 
-    return catalogue(spark, "https://h/fau").select("pattern_code", "process", "source_url")
+    met = rules_queries.QUERIES["fau_matches"](spark, sf).groupBy("pattern_code").agg(F.count("*").alias("findings"), F.max("score").alias("highest"))
+    rows = catalogue(spark, "https://h/fau").select("pattern_code", "process", "source_url").join(met, "pattern_code", "left")
+    return rows.withColumn("findings", F.coalesce("findings", F.lit(0)))
 
 
 @query("lateral_links", "select page_id, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) as href from pages")

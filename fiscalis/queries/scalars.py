@@ -188,9 +188,13 @@ def semaforo_histogram(spark, sf):
     return semaforo_melt(spark, sf).groupBy("code", "status").agg(F.count("*").alias("n"))
 
 
-@query("month_calendar", "select strftime(m, '%Y-%m') as window_id, cast(cast(m as date) as string) as date_from, cast(last_day(cast(m as date)) as string) as date_to from (select unnest(generate_series(timestamp '2013-01-01', timestamp '2024-03-01', interval 1 month)) as m)")
+@query("month_calendar", "select strftime(m, '%Y-%m') as window_id, cast(cast(m as date) as string) as date_from, cast(last_day(cast(m as date)) as string) as date_to, '01/' || strftime(m, '%m/%Y') as from_text, strftime(last_day(cast(m as date)), '%d/%m/%Y') as to_text, count(o_orderkey) as orders from (select unnest(generate_series(timestamp '1992-01-01', timestamp '2001-03-01', interval 1 month)) as m) left join orders on strftime(o_orderdate, '%Y-%m') = strftime(m, '%Y-%m') group by m")
 def month_calendar(spark, sf):
-    return D.month_windows(spark, 2013, 2024, 3)
+    """Search windows with the days that a search form takes, and the orders that fall into each."""
+    (o,) = tables(spark, sf, "orders")
+    months = o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("window_id")).agg(F.count("*").alias("orders"))
+    out = D.month_windows(spark, 1992, 2001, 3).join(months, "window_id", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
+    return out.select("window_id", "date_from", "date_to", D.search_day(F.col("date_from")).alias("from_text"), D.search_day(F.col("date_to")).alias("to_text"), "orders")
 
 
 @query("interval_overlap", "select o_orderkey, case when coalesce(a, b) is null then false else coalesce(a, b) <= '1997-06-30' and coalesce(b, a) >= '1996-01-15' end as inside from (select o_orderkey, case when o_orderkey % 4 < 2 then strftime(o_orderdate, '%Y-%m-%d') end as a, case when o_orderkey % 4 in (0, 2) then strftime(o_orderdate + interval 40 day, '%Y-%m-%d') end as b from orders)")
