@@ -20,10 +20,13 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from fiscalis.functions.identity import legacy_audit_hash
 from fiscalis.operators import queues
 from fiscalis.sources.http import FetchParams, fetch
+from fiscalis.sources.tables import TableSpec
 
 FORMAT = "url_index"
 SCHEMA = "collection_id string, prefix string, page int, url string, line string, error string"
 MAX_ERROR = 350
+#: State of the index collections between scans.
+STATE = TableSpec("cc_collections", "collection_id", "collection_id string, status string, hashes_found bigint, last_scanned string, last_error string")
 
 
 def query_url(api: str, prefix: str, **more: object) -> str:
