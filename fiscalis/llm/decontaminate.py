@@ -169,7 +169,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -> DataFrame:
-    """``docs`` without the rows whose text holds a test item within its error budget; all columns are passed on."""
+    """``docs`` without the rows whose text holds a test item within its error budget; all columns are passed on.
+
+    A null or empty text holds none and stays; repeated rows go or stay alike; texts count whole. Items without a word are
+    left out; an empty table of items keeps all rows, an empty table of documents stays empty.
+    """
     at = place(docs.columns, "text")
     out = docs.withColumn(docs.columns[at], F.col(f"`{docs.columns[at]}`").cast("string"))
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).orderBy("item_id", "text").toLocalIterator()

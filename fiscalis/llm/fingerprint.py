@@ -40,7 +40,10 @@ def weighted_fingerprint(text: str, size: int = 2) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2) -> DataFrame:
-    """``(id, fp long)`` of every row; null texts count as empty. No shuffle."""
+    """``(id, fp long)`` of every row; null texts count as empty. No shuffle.
+
+    Texts of any length count whole; repeated rows have a row each; an empty table gives no rows.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +113,8 @@ def edited_neighbours(docs: DataFrame) -> DataFrame:
     The edited text has the last half of the code points replaced by the first as many of the next document by
     ascending doc_id (equal ids by text; null ids first; after the last the first). Rows are dealt by ranges of
     doc_id, so texts move once and all neighbours but those at the borders meet in one task; each task leaves its
-    first and last row, two per partition, to be joined.
+    first and last row, two per partition, to be joined. A null text is empty, a single row is its own neighbour, repeated
+    rows are neighbours of one another, texts count whole, and an empty table gives no rows.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = fields(

@@ -392,7 +392,8 @@ def dedup_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
 
     Of near-equal lines of all texts the first by (doc_id, position) stays; a null id stands before all others. A null
     text stays null. Blank lines stay where they are, unless no other line of a text that had some is left: then the
-    text is empty. Rows that repeat an id with the same text keep the same lines. Columns else are passed on.
+    text is empty. Rows that repeat an id with the same text keep the same lines. Columns else are passed on. Lines and
+    texts of any length count whole; an empty table stays empty.
     """
     _, kept = kept_lines(docs, p)
     keep = [c for c in docs.columns if c.lower() not in ("n_lines", "n_kept")]

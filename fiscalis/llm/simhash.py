@@ -54,7 +54,10 @@ def ascii_words(text: bytes | None) -> list[bytes]:
 
 
 def simhash_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(id, fp long)`` of every row; whole texts; null and blank texts get 0. Runs without a shuffle."""
+    """``(id, fp long)`` of every row; whole texts; null and blank texts get 0. Runs without a shuffle.
+
+    Repeated rows and null ids have a fingerprint each; a text of any length counts whole; an empty table gives no rows.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,7 +239,11 @@ def near_duplicate_groups(docs: DataFrame, p: NearDupParams = NearDupParams(), l
 
 
 def drop_near_duplicates(docs: DataFrame, p: NearDupParams = NearDupParams()) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: the first by id; all columns are passed on."""
+    """``docs`` with one row of each near-duplicate group: the first by id; all columns are passed on.
+
+    Texts without a word are one group; of repeated rows one stays; a null id stands before all others. Texts count
+    whole, and an empty table stays empty.
+    """
     groups = near_duplicate_groups(docs, p)
     at = (fresh(docs.columns, "dk"), fresh(docs.columns, "tkey"))
     stay = groups.filter("dk = group_dk and tkey = group_tkey").select(F.col("dk").alias(at[0]), F.col("tkey").alias(at[1]))

@@ -448,7 +448,11 @@ def substring_spans(docs: DataFrame, p: SubstringParams = SubstringParams()) ->
 
 
 def remove_substrings(docs: DataFrame, p: SubstringParams = SubstringParams(), digest: bool = False) -> DataFrame:
-    """``doc_id, n_words, n_removed`` and ``kept_text``, or its SHA-256 ``kept_sha256`` with ``digest``; a row per row."""
+    """``doc_id, n_words, n_removed`` and ``kept_text``, or its SHA-256 ``kept_sha256`` with ``digest``; a row per row.
+
+    A null or empty text has no words. Repeated rows come in an order of their own, so that the later ones lose what they
+    share with the first. Texts of any length count whole; an empty table gives no rows. ``doc_id`` is a whole number.
+    """
     last = "kept_sha256" if digest else "kept_text"
     schema = fields(f"doc_id long, n_words long, n_removed long, {last} string")
 

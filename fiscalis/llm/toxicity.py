@@ -27,7 +27,10 @@ _FOLD = bytes(
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    """``max_train_rows`` bounds the labelled sample, and that the terms: any that tells alone or in a pair has weights."""
+    """``max_train_rows`` bounds the labelled sample, and that the terms: any that tells alone or in a pair has weights.
+
+    ``prior`` is the score of every text where nothing is labelled.
+    """
 
     bits: int = 20
     factors: int = 8
@@ -43,6 +46,7 @@ class ToxicityParams:
     l2: float = 1e-4
     seed: int = 17
     threshold: float = 0.3
+    prior: float = 0.1
 
 
 def _hashed(wide: np.ndarray, n: int) -> np.ndarray:
@@ -218,7 +222,7 @@ class FactorizationMachine:
 
 def fit_fm(rows: list[np.ndarray], labels: np.ndarray, p: ToxicityParams, words: list[np.ndarray] | None = None) -> FactorizationMachine:
     """Adagrad over mini-batches, log loss. Without both labels the machine has a bias only. ``words``: as in :func:`informative`."""
-    share = (labels.sum() + 0.5) / (len(labels) + 1)
+    share = (labels.sum() + 0.5) / (len(labels) + 1) if len(labels) else p.prior
     bias = float(np.log(share / (1 - share)))
     slots, first = informative(rows, labels, p, words) if len(rows) else (np.empty(0, np.int64), np.zeros((0, p.factors)))
     rng = np.random.default_rng(p.seed)
@@ -302,7 +306,8 @@ def score_toxicity(
 ) -> DataFrame:
     """``docs`` with ``score_col double`` (0 to 1) in place of any column of that name; whole texts, one row per row.
 
-    Null and empty texts get the score of no terms. The model is a closure of bounded size.
+    Null and empty texts get the score of no terms; an empty table gives no rows. The model is broadcast; its size is
+    bounded by the labelled rows.
     """
     bits = p.bits
     keep = [c for c in docs.columns if c.lower() != score_col.lower()]
@@ -327,7 +332,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityPar
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()) -> DataFrame:
-    """``docs`` without the rows that reach the threshold; all columns are passed on."""
+    """``docs`` without the rows that reach the threshold; all columns are passed on.
+
+    Null and empty texts get the score of no terms; repeated rows go or stay alike; texts count whole. Without labels the
+    machine has a bias below the threshold only, and all rows stay; an empty table stays empty.
+    """
     name = fresh(docs.columns, "toxicity")
     scored = score_toxicity(docs, train_toxicity(docs, labels, p), p, name)
     return scored.filter(F.col(name) < p.threshold).drop(name)

@@ -207,7 +207,7 @@ def filter_urls(df: DataFrame, url_col: str = "url", rules: Sequence[Rule] = QUE
     """``df`` with ``host, path, rule, score, verdict`` (columns of these names are replaced).
 
     Null urls and urls without ``://`` have an empty host and path, no rule, and the classifier's verdict on no
-    n-grams. One row per row.
+    n-grams. One row per row, repeated rows too; urls of any length count whole; an empty table gives no rows.
     """
     model = model or train_urls()
     own = {"host", "path", "rule", "score", "verdict"}

@@ -167,3 +167,29 @@ def test_item_ids_of_any_type(spark):
     for kind, ids in (("decimal(10,2)", [Decimal("1.50"), Decimal("2.00")]), ("string", ["x", "y"]), ("binary", [bytearray(b"x"), bytearray(b"y")])):
         bench = spark.createDataFrame([(ids[0], "two three"), (ids[1], "five")], f"item_id {kind}, text string")
         assert [(r.doc_id, r.item_id) for r in find_leaks(docs, bench, LeakParams(short=True)).collect()] == [("d1", ids[0])]
+
+
+def test_fingerprints_of_an_empty_table_and_a_single_row(spark):
+    from fiscalis.llm.fingerprint import edited_neighbours, fingerprints
+
+    docs = spark.createDataFrame([(7, "uno dos tres")], "doc_id long, text string")
+    assert fingerprints(docs.filter("false")).count() == 0 and edited_neighbours(docs.filter("false")).count() == 0
+    (row,) = edited_neighbours(docs).collect()
+    assert row.doc_id == 7 and row.fp == row.next_fp
+
+
+def test_leaks_without_items_or_documents(spark):
+    from fiscalis.llm.decontaminate import drop_leaks
+
+    docs = spark.createDataFrame([(1, "a b c"), (2, None), (2, None)], "doc_id long, text string")
+    items = spark.createDataFrame([("i", "x y z " * 5), (None, None)], "item_id string, text string")
+    assert drop_leaks(docs, items.filter("false")).count() == 3 and drop_leaks(docs, items).count() == 3
+    assert drop_leaks(docs.filter("false"), items).count() == 0
+
+
+def test_toxicity_without_labels_keeps_all(spark):
+    from fiscalis.llm.toxicity import drop_toxic
+
+    docs = spark.createDataFrame([(1, "a b c"), (2, None), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert drop_toxic(docs, labels).count() == 3 and drop_toxic(docs.filter("false"), labels).count() == 0
