@@ -1,10 +1,13 @@
 import random
 
+import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
+from fiscalis.llm import simhash
 from fiscalis.llm.common import connected_components
-from fiscalis.llm.simhash import op1_simhash_neardup, simhash_components, simhash_fingerprints
+from fiscalis.llm.simhash import neighbour_buckets, op1_simhash_neardup, simhash_components, simhash_fingerprints, wide_fingerprints
 
 
 def plain_fingerprint(text, size=3):
@@ -93,3 +96,48 @@ def test_connected_components_on_paths(spark, n):
     edges = [(i + 1, i) for i in range(n)] + [(100, 101), (101, 100), (200, 200)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(n + 1)} | {100: 100, 101: 100}
+
+
+def test_wide_fingerprints_are_majorities_of_weighted_votes():
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 1 << 63, n, np.uint64) for n in (0, 1, 5, 300)]
+    got = wide_fingerprints(sets, 256, 14)
+    assert got.shape == (4, 18) and not got[0].any()
+    place = np.random.default_rng(42).permutation(256)
+    for hashes, row in zip(sets, got.tolist(), strict=True):
+        votes = [0] * 256
+        for k, weight in enumerate((1, 2, 2), 1):
+            for h in simhash._mixed(simhash._mixed(hashes + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)))).tolist():
+                for b in range(256):
+                    votes[b] += (weight if h >> 63 else -weight) * (-1) ** (h & 255 & b).bit_count()
+        assert row == [sum((votes[place[14 * j + i]] > 0) << i for i in range(14)) for j in range(18)]
+
+
+def test_neighbour_buckets_hold_every_pair_one_bit_apart(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = []
+    for i in range(500):
+        segs = [rng.getrandbits(8) << 4, rng.choice([77, 76, 5, rng.getrandbits(12)])]
+        rows.append((i, [v ^ (1 << rng.randrange(12)) if rng.random() < 0.3 else v for v in segs]))
+    want = {(a, b) for a, x in rows for b, y in rows if a < b and any((u ^ v).bit_count() <= 1 for u, v in zip(x, y, strict=True))}
+    for step in (1 << 16, 3):
+        monkeypatch.setattr(simhash, "_STEP", step)
+        found = neighbour_buckets(spark.createDataFrame(rows, "id long, segs array<int>"), 12).collect()
+        assert len(found) == len(set(found))
+        buckets = {}
+        for r in found:
+            buckets.setdefault(r.bucket, []).append(r.id)
+        got = {(min(a, b), max(a, b)) for own in buckets.values() for a in own for b in own if a != b}
+        assert want <= got
+        for bucket, own in buckets.items():  # a value and its neighbours, nothing else
+            assert all((rows[i][1][bucket >> 12] ^ bucket & 4095).bit_count() <= 1 for i in own)
+
+
+def test_near_dedup_of_the_pipeline_takes_its_candidates_from_simhash(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"so many equal words stand here again {' '.join('abcdefgh')} and {i % 2} {'x' * (i // 2)}") for i in range(4)], "doc_id long, text string")
+    asked = []
+    monkeypatch.setattr(simhash, "neighbour_buckets", lambda prints, *a: asked.append(prints.columns) or neighbour_buckets(prints, *a))
+    kept = corpus_pipeline.near_dedup(spark, docs, None)
+    assert asked == [["id", "segs"]] and 1 <= kept.count() <= 4
+    monkeypatch.setattr(simhash, "neighbour_buckets", lambda prints, *a: neighbour_buckets(prints, *a).filter("false"))
+    assert corpus_pipeline.near_dedup(spark, docs, None).count() == 4  # no other path finds pairs
