@@ -124,18 +124,62 @@ def fields(schema: str) -> T.StructType:
     return T.StructType.fromDDL(schema)
 
 
+_EDGES = 200_000
+
+
+def contracted(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect the same nodes: each node but the least of its component with that one."""
+    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = ends[: len(u)], ends[len(u) :]
+    up = np.arange(len(nodes))
+    while True:
+        low = np.minimum(up[a], up[b])
+        nxt = up.copy()
+        np.minimum.at(nxt, up[a], low)
+        np.minimum.at(nxt, up[b], low)
+        while (nxt[nxt] != nxt).any():
+            nxt = nxt[nxt]
+        if (nxt == up).all():
+            break
+        up = nxt
+    other = np.flatnonzero(up != np.arange(len(nodes)))
+    return nodes[other], nodes[up[other]]
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """:func:`contracted` edges of a task, ``_EDGES`` at a time."""
+    held: list[pa.RecordBatch] = []
+
+    def flush() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        ends = contracted(*(table.column(c).to_numpy() for c in ("u", "v")))
+        return pa.RecordBatch.from_arrays([pa.array(x, table.schema.field(0).type) for x in ends], ["u", "v"])
+
+    for batch in batches:
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= _EDGES:
+            yield flush()
+            held = []
+    if held:
+        yield flush()
+
+
 def connected_components(edges: DataFrame, label: str = "cc") -> DataFrame:
     """Distributed union-find: ``edges (u, v)`` of any orderable type -> ``(node, root)``, root the least node reachable.
 
     Alternating large-star and small-star contractions; each round is two aggregations and two joins over the edge
-    list, which never grows beyond its first size. A hub is the heavy side of a join against one row per node, which
+    list, which never grows beyond its first size. Before each, every task contracts the edges that it reads, and tasks
+    are as many as the edges ask for, so that few edges take few rounds of few files. A hub is the heavy side of a join against one row per node, which
     adaptive execution splits. Rounds grow with the logarithm of the component's diameter. Self loops are allowed;
     an empty edge list gives an empty result.
     """
     cur = materialize(edges.select("u", "v").filter("u <> v").distinct(), label)
-    mark = None
+    mark, n = None, cur.count()
     while True:
-        sym = cur.select("u", "v").unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        tasks = 1 + n // _EDGES
+        own = cur.coalesce(tasks).mapInArrow(_contract, cur.schema)
+        both = own.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
+        sym = both.select("e.u", "e.v")
         least = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = sym.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
@@ -147,13 +191,13 @@ def connected_components(edges: DataFrame, label: str = "cc") -> DataFrame:
             .filter("u <> v")
             .distinct()
         )
-        nxt = materialize(small, label)
+        nxt = materialize(small.coalesce(tasks), label)
         row = nxt.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         remove(nxt.sparkSession, cur._scratch)
         cur = nxt
         if (row.n, row.s) == mark or row.n == 0:
             break
-        mark = (row.n, row.s)
+        mark, n = (row.n, row.s), row.n
     out = cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return out.unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 

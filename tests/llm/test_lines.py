@@ -3,6 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from fiscalis.llm import common
 from fiscalis.llm.common import bucket_edges, connected_components
 from fiscalis.llm.lines import LineParams, band_keys, dedup_lines, jaccard_forest, normal_lines, op4_line_dedup, shingle_set
 
@@ -158,3 +159,21 @@ def test_copies_of_a_dense_bucket(spark):
     df = spark.range(20_000).select(F.lit(1).cast("long").alias("bucket"), "id", F.col("id").alias("v"))
     assert bucket_edges(df, "v", linker, 64).count() >= 19_999
     assert seen.value < 2 * 20_000 + 400
+
+
+def test_few_edges_take_few_rounds_and_many_tasks_lose_nothing(spark, monkeypatch):
+    """A path of 3000 nodes in any order, stars and pairs: two rounds in one task, the same result in many."""
+    rng = random.Random(12)
+    path = list(range(3000))
+    rng.shuffle(path)
+    pairs = list(zip(path, path[1:])) + [(5000, 5000 + i) for i in range(1, 400)] + [(9001, 9000), (9000, 9001), (7, 7)]
+    edges = spark.createDataFrame(pairs, "u long, v long").repartition(5)
+    want = {i: 0 for i in range(3000)} | {5000 + i: 5000 for i in range(400)} | {9000: 9000, 9001: 9000}
+    written = []
+    monkeypatch.setattr(common, "materialize", lambda df, label, f=common.materialize: written.append(label) or f(df, label))
+    assert {r.node: r.root for r in connected_components(edges).collect()} == want
+    assert len(written) <= 3
+    monkeypatch.setattr(common, "_EDGES", 300)
+    assert {r.node: r.root for r in connected_components(edges).collect()} == want
+    names = spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "y")], "u string, v string")
+    assert {(r.node, r.root) for r in connected_components(names).collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}
