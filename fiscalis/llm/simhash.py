@@ -7,7 +7,9 @@ Equality on the variant finds the neighbouring values, equality on the value fin
 fingerprints below them are verified by their Hamming distance.
 
 Near duplicates by word shingles, a stage of the pipeline, take the same steps on wide fingerprints of many segments,
-since texts at a similarity of 0.8 differ in 15 % of their bits; what meets is verified by its shingles.
+since texts at a similarity of 0.8 differ in 15 % of their bits; what meets is verified by its shingles. There unrelated
+texts meet by chance, in pairs that grow with the square of their number; they are told apart by the bits of the
+segments that follow, where two values meet, before a row is made of them.
 """
 
 from __future__ import annotations
@@ -144,10 +146,11 @@ class NearDupParams:
     """Near duplicates by word shingles: Jaccard ``similarity`` of the shingle sets, verified exactly.
 
     SimHash fingerprints of ``bits`` bits (a power of 4) in segments of ``width``; a pair is a candidate if a segment
-    differs in one bit at most and the whole in a share of ``radius`` at most. Texts at similarity 0.8 differ in 15.3 %
-    of the bits at most, whatever their lengths, so 99.98 % of such pairs are candidates directly. Unrelated texts meet
-    by chance ``bits * n / 2 ** width`` times each: beyond some ten million texts ``width`` should grow with the
-    logarithm of their number, and ``bits`` with it.
+    differs in one bit at most, the two segments after it in a share of ``beside`` at most, and the whole in a share of
+    ``radius`` at most. Texts at similarity 0.8 differ in 15.3 % of the bits at most, whatever their lengths, so 99.98 %
+    of such pairs are candidates directly. Segments of unrelated texts meet by chance ``bits * n / 2 ** width`` times a
+    text, and the two after them let one in 1100 of these pass: beyond some hundred million texts ``width`` should grow
+    with the logarithm of their number, and ``bits`` with it.
     """
 
     shingle: int = 5
@@ -155,6 +158,7 @@ class NearDupParams:
     bits: int = 4096
     width: int = 28
     radius: float = 0.22
+    beside: float = 0.29
     block: int = 256
 
     @property
@@ -199,11 +203,13 @@ def wide_fingerprints(sets: list[np.ndarray], bits: int, width: int) -> np.ndarr
 _CLASS = 5
 
 
-def variant_stars(dealt: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def variant_stars(dealt: np.ndarray, width: int, ones: np.ndarray | None = None, vary: np.ndarray | None = None, most: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Centres and members of the stars in ascending keys of :func:`neighbour_buckets`; both are cells.
 
     Each value is indexed under its variants with one bit of the half left out that its key does not fix. Equal
     variants are two values that differ in that bit; the one that more texts carry, else the lesser one, is the centre.
+    ``ones`` and ``vary`` are the bits beside each value: set in any of its texts, and not the same in all. Two values
+    are left apart if more than ``most`` of the bits that neither varies differ, as then no two texts are any nearer.
     """
     half = width // 2
     size, value = dealt & ((1 << _CLASS) - 1), dealt >> _CLASS
@@ -219,8 +225,15 @@ def variant_stars(dealt: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray
     for bit in range(half):
         one = 1 << bit
         variants = ((value & ~one) << (_CLASS + 1)) | ((value >> bit & 1) << _CLASS) | size
-        variants.sort()
+        if ones is None:
+            variants.sort()
+        else:
+            order = np.argsort(variants)
+            variants = variants[order]
         twin = np.flatnonzero(variants[1:] >> (_CLASS + 1) == variants[:-1] >> (_CLASS + 1))
+        if len(twin) and ones is not None:
+            a, b = order[twin], order[twin + 1]
+            twin = twin[np.bitwise_count((ones[a] ^ ones[b]) & ~(vary[a] | vary[b])) <= most]
         if len(twin):
             low, high = variants[twin], variants[twin + 1]
             bare = low >> (_CLASS + 1)
@@ -232,42 +245,65 @@ def variant_stars(dealt: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(centres), np.concatenate(members)
 
 
-def neighbour_buckets(prints: DataFrame, width: int, label: str = "stars") -> DataFrame:
+def neighbour_buckets(prints: DataFrame, width: int, label: str = "stars", beside: float | None = None) -> DataFrame:
     """Candidate buckets of ``prints (id, segs array<int>)``, many segments of an even ``width``: ``(bucket long, id)``.
 
     A bucket is a segment value with those that differ from it in one bit. Two such values agree in one half of the
     bits, so each distinct value is sent under either half, and a half holds ``2 ** (width / 2)`` values at most; its
     one-wildcard variants are made and compared where it arrives. Of two neighbours only the one that more texts carry
     has a bucket for both, so copies of a text are not listed with each neighbour of their values.
+
+    With ``beside``, values do not meet if the two segments after them differ in more than that share of bits, for all
+    of their texts. So what meets by chance makes no rows, and all that is nearer is found as without it.
     """
     if width % 2 or width > 30:
         raise ValueError("an even width of 30 bits at most")
     half = width // 2
     schema = fields("bucket long, cell long")
-    parts = prints.select("id", F.posexplode("segs").alias("seg", "val"))
-    parts = parts.select("id", (F.shiftleft(F.col("seg").cast("long"), width) + F.col("val")).alias("cell"))
-    values = parts.groupBy("cell").agg(F.floor(F.log2(F.count("*"))).cast("long").alias("size"))
+    parts = prints.select("id", "segs", F.posexplode("segs").alias("seg", "val"))
+    after = [F.get("segs", F.pmod(F.col("seg") + k, F.size("segs"))).cast("long") for k in (1, 2)]
+    parts = parts.select(
+        "id", "seg", (F.shiftleft(F.col("seg").cast("long"), width) + F.col("val")).alias("cell"), (F.shiftleft(after[0], width) + after[1]).alias("near")
+    )
+    most = 64 if beside is None else int(beside * 2 * width)
     seg, low = F.shiftright("cell", width), F.col("cell").bitwiseAND(F.lit((1 << half) - 1))
     high = F.shiftright("cell", half).bitwiseAND(F.lit((1 << half) - 1))
+    size = F.floor(F.log2("n")).cast("long")
     pack = lambda side, fixed, other: F.shiftleft(F.shiftleft(F.shiftleft(seg * 2 + side, half) + fixed, half) + other, _CLASS) + F.col("size")
-    dealt = values.select(F.explode(F.array(pack(0, high, low), pack(1, low, high))).alias("key"))
-    dealt = dealt.repartition(F.shiftright("key", half + _CLASS)).sortWithinPartitions("key")
+    extra = [] if beside is None else ["ones", "vary"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty(0, np.int64)
+        held = [np.empty(0, np.int64)] * (1 + len(extra))
+
+        def met(cols: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in variant_stars(cols[0], width, *cols[1:], most=most)], schema.names)
+
         for batch in batches:
-            held = np.concatenate([held, batch.column(0).to_numpy()])
-            if len(held) < _STEP:
+            held = [np.concatenate([x, c.to_numpy()]) for x, c in zip(held, batch.columns, strict=True)]
+            key = held[0]
+            if len(key) < _STEP:
                 continue
-            end = int(np.searchsorted(held, held[-1] >> (half + _CLASS) << (half + _CLASS)))  # the last half may go on
+            end = int(np.searchsorted(key, key[-1] >> (half + _CLASS) << (half + _CLASS)))  # the last half may go on
             if end:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in variant_stars(held[:end], width)], schema.names)
-                held = held[end:]
-        if len(held):
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in variant_stars(held, width)], schema.names)
-
-    stars = materialize(dealt.mapInArrow(run, schema).distinct(), label)
-    return parts.join(stars, "cell").select("bucket", "id").distinct()
+                yield met([x[:end] for x in held])
+                held = [x[end:] for x in held]
+        if len(held[0]):
+            yield met(held)
+
+    def stars_of(own: DataFrame) -> DataFrame:
+        if beside is None:
+            values = own.groupBy("cell").agg(F.count("*").alias("n")).withColumn("size", size)
+        else:
+            values = own.groupBy("cell").agg(F.count("*").alias("n"), F.expr("bit_or(near)").alias("ones"), F.expr("bit_or(near) ^ bit_and(near)").alias("vary"))
+            apart = (F.col("n") == 2) & (F.bit_count("vary") > most)  # two texts that meet by chance have no bucket of their own
+            values = values.withColumn("size", F.when(apart, F.lit(0).cast("long")).otherwise(size))
+        dealt = values.select(F.explode(F.array(pack(0, high, low), pack(1, low, high))).alias("key"), *extra)
+        dealt = dealt.repartition(F.shiftright("key", half + _CLASS)).sortWithinPartitions("key")
+        return materialize(dealt.mapInArrow(run, schema).distinct(), label)
+
+    # segments in two parts, one after the other, so that their shuffles do not add up on the disks
+    stars = stars_of(parts.filter("seg % 2 = 0")).unionByName(stars_of(parts.filter("seg % 2 = 1")))
+    return parts.select("id", "cell").join(stars, "cell").select("bucket", "id").distinct()
 
 
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -294,7 +330,7 @@ def near_duplicate_groups(docs: DataFrame, p: NearDupParams = NearDupParams(), l
 
     prints = keyed.select(F.col("tkey").alias("id"), "text").mapInArrow(run, schema).groupBy("id").agg(F.first("segs").alias("segs"))
     prints = materialize(prints, f"{label}-fp")
-    places_of = materialize(neighbour_buckets(prints, p.width, f"{label}-stars"), f"{label}-met")
+    places_of = materialize(neighbour_buckets(prints, p.width, f"{label}-stars", p.beside), f"{label}-met")
     # buckets with the same members are one: they are told by size and two checksums
     met = places_of.groupBy("bucket").agg(F.count("*").alias("n"), F.expr("bit_xor(id)").alias("x"), F.expr("bit_xor(xxhash64(id))").alias("y"))
     met = met.filter("n > 1").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")

@@ -141,3 +141,39 @@ def test_near_dedup_of_the_pipeline_takes_its_candidates_from_simhash(spark, mon
     assert asked == [["id", "segs"]] and 1 <= kept.count() <= 4
     monkeypatch.setattr(simhash, "neighbour_buckets", lambda prints, *a: neighbour_buckets(prints, *a).filter("false"))
     assert corpus_pipeline.near_dedup(spark, docs, None).count() == 4  # no other path finds pairs
+
+
+def test_chance_meetings_of_unrelated_texts_make_no_rows(spark, monkeypatch):
+    """At 12 bits a segment, 300 unrelated texts meet by chance some 48,000 times; near copies among them are found."""
+    rng = random.Random(21)
+    docs = [(i, " ".join(f"w{rng.getrandbits(40)}" for _ in range(40))) for i in range(300)]
+    docs += [(1000 + i, f"{docs[i][1]} more") for i in range(20)]
+    met = []
+    monkeypatch.setattr(simhash, "neighbour_buckets", lambda *a: met.append(neighbour_buckets(*a)) or met[0])
+    groups = simhash.near_duplicate_groups(spark.createDataFrame(docs, "doc_id long, text string"), simhash.NearDupParams(width=12)).collect()
+    assert {r.dk: r.group_dk for r in groups} == {i: i % 1000 for i, _ in docs}
+    together = met[0].groupBy("bucket").agg(simhash.F.collect_list(simhash.F.expr("id")).alias("ids"), simhash.F.count("*").alias("n")).filter("n > 1")
+    assert together.agg(simhash.F.sum("n")).first()[0] < 20 * 341 * 3
+
+
+def test_values_are_left_apart_only_where_no_two_of_their_texts_are_near(spark):
+    rng = random.Random(9)
+    base = [[rng.getrandbits(12) for _ in range(8)] for _ in range(60)]
+    rows = []
+    for i in range(400):
+        segs = list(rng.choice(base)) if rng.random() < 0.7 else [rng.choice(base)[0], *(rng.getrandbits(12) for _ in range(7))]
+        rows.append((i, [v ^ sum(1 << rng.randrange(12) for _ in range(rng.randrange(3))) & 4095 for v in segs]))
+    bits = lambda a, b: (a ^ b).bit_count()
+    want, every = set(), set()
+    for a, x in rows:
+        for b, y in rows[:a]:
+            for j in range(8):
+                if bits(x[j], y[j]) <= 1:
+                    every.add((b, a))
+                    if sum(bits(x[(j + k) % 8], y[(j + k) % 8]) for k in (1, 2)) <= int(0.29 * 24):
+                        want.add((b, a))
+    buckets = {}
+    for r in neighbour_buckets(spark.createDataFrame(rows, "id long, segs array<int>"), 12, "stars", 0.29).collect():
+        buckets.setdefault(r.bucket, set()).add(r.id)
+    got = {(a, b) for own in buckets.values() for a in own for b in own if a < b}
+    assert want <= got and len(want) > 500 and len(every - got) > 100
