@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -22,6 +23,8 @@ from fiscalis.llm.common import bucket_edges, connected_components, fields, fres
 from fiscalis.llm.substring import _batch, _keyed, _mixed, _planes, _unplanes, filled, merge_rounds, merged_runs, pack_sorted, rolling, rounds, unpack_sorted
 
 _EMPTY = np.uint64((1 << 64) - 1)
+#: White space but the space and the line feed.
+_SPACES = [chr(x) for x in (9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
 
 @dataclass(frozen=True)
@@ -49,7 +52,10 @@ class LineParams:
 
 def normal_lines(text: str) -> list[str]:
     """Lines (split at ``\\n``) in the form that is compared: lower case, white space runs as one space, trimmed."""
-    return [" ".join(x.split()) for x in text.lower().split("\n")]
+    text = text.lower()
+    if "  " in text or any(x in text for x in _SPACES):
+        return [" ".join(x.split()) for x in text.split("\n")]
+    return [x.strip(" ") for x in text.split("\n")]
 
 
 def line_id(line: str) -> int:
@@ -66,6 +72,7 @@ def _line_shingles(points: np.ndarray, size: int) -> np.ndarray:
     return _mixed(rolling(points + np.uint64(1), min(size, len(points)), 0x100000001B3) * np.uint64(0x9E3779B97F4A7C15))
 
 
+@lru_cache(maxsize=4)
 def _probes(p: LineParams) -> np.ndarray:
     """For each bin the sequence of bins that an empty one borrows from."""
     return np.random.default_rng(p.seed).integers(0, p.bins, (4 * p.bins, p.bins))
@@ -78,11 +85,14 @@ def band_keys(lines: list[str], p: LineParams) -> np.ndarray:
     sizes = np.array([len(x) for x in lines])
     flat = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     ends = np.cumsum(sizes)
-    owner = np.repeat(np.arange(n), np.maximum(sizes - p.shingle + 1, 0))
-    starts = np.arange(len(owner)) + np.repeat(ends - sizes, np.maximum(sizes - p.shingle + 1, 0)) - np.repeat(np.cumsum(np.maximum(sizes - p.shingle + 1, 0)) - np.maximum(sizes - p.shingle + 1, 0), np.maximum(sizes - p.shingle + 1, 0))
-    if len(owner):
-        h = _line_shingles(flat, p.shingle)[starts]
-        np.minimum.at(sig, owner * k + ((h >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(np.int64), h)
+    if len(flat) >= p.shingle:
+        h = _line_shingles(flat, p.shingle)
+        inside = np.ones(len(flat), bool)
+        for back in range(1, p.shingle):  # what starts here goes on in the next line
+            inside[(ends - back)[sizes >= back]] = False
+        inside = inside[: len(h)]
+        h, at = h[inside], np.repeat(np.arange(n) * k, sizes)[: len(h)][inside]
+        np.minimum.at(sig, at + ((h >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(np.int64), h)
     for i in np.flatnonzero((sizes < p.shingle) & (sizes > 0)).tolist():
         h = _line_shingles(flat[ends[i] - sizes[i] : ends[i]], p.shingle)[0]
         sig[i * k + (int(h) >> 32) * k // (1 << 32)] = h
@@ -182,11 +192,63 @@ def alike(a: str, b: str, p: LineParams) -> bool:
     return common >= p.similarity * (len(both) - common)
 
 
+def _letters(lines: list[str]) -> bytes | None:
+    """One byte for each code point of the lines, equal ones for equal ones; None beyond 256 different ones."""
+    text = "".join(lines)
+    try:
+        return text.encode("latin-1")
+    except UnicodeEncodeError:
+        known = sorted(map(ord, set(text)))
+        if len(known) > 256:
+            return None
+        return np.searchsorted(known, np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")).astype(np.uint8).tobytes()
+
+
 def line_forest(lines: list[str], p: LineParams) -> Iterable[tuple[int, int]]:
-    """:func:`jaccard_forest` of lines; pairs, the common case, are compared directly."""
-    if len(lines) == 2 and min(map(len, lines)) >= p.shingle:
-        return ((0, 1),) if alike(*lines, p) else ()
-    return jaccard_forest([shingle_set(x, p.shingle) for x in lines], p.similarity)
+    """:func:`jaccard_forest` of lines: their shingles as numbers that end in the line's, in one sort for all.
+
+    Pairs, the common case, are compared directly.
+    """
+    n, size = len(lines), p.shingle
+    if n == 2 and min(map(len, lines)) >= size:
+        if alike(*lines, p):
+            yield 0, 1
+        return
+    sizes = np.array([len(x) for x in lines])
+    raw = _letters(lines) if size < 8 and n <= 1 << (64 - 8 * size) and sizes.min() >= size else None
+    if raw is None:
+        yield from jaccard_forest([shingle_set(x, size) for x in lines], p.similarity)
+        return
+    room = 64 - 8 * size
+    every = np.ndarray(len(raw) - size + 1, "<u8", raw + bytes(8), 0, (1,)) << np.uint64(room)
+    every |= np.repeat(np.arange(n, dtype=np.uint64), sizes)[: len(every)]
+    inside = np.ones(len(every), bool)
+    ends = np.cumsum(sizes)[:-1]
+    for back in range(1, size):
+        inside[ends - back] = False
+    every = every[inside]
+    every.sort()
+    every = every[np.append(True, every[1:] != every[:-1])]  # each line's shingles once
+    line = (every & np.uint64((1 << room) - 1)).astype(np.int64)
+    own = np.bincount(line, minlength=n)
+    shingle = every >> np.uint64(room)
+    dense = np.cumsum(np.append(False, shingle[1:] != shingle[:-1]))
+    rest = np.arange(n)
+    member = np.zeros(dense[-1] + 1, bool)
+    while len(rest):
+        front, rest = [int(rest[0])], rest[1:]
+        while front and len(rest):
+            at = front.pop()
+            mine = dense[line == at]
+            member[mine] = True
+            common = np.bincount(line[member[dense]], minlength=n)[rest]
+            member[mine] = False
+            near = common >= p.similarity * (own[rest] + own[at] - common) - 1e-9
+            if near.any():
+                found = rest[near].tolist()
+                rest = rest[~near]
+                front += found
+                yield from zip(repeat(at), found)
 
 
 _LOCAL = -2_000_000

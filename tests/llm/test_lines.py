@@ -3,9 +3,9 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from fiscalis.llm import common
+from fiscalis.llm import common, lines
 from fiscalis.llm.common import bucket_edges, connected_components
-from fiscalis.llm.lines import LineParams, band_keys, dedup_lines, jaccard_forest, normal_lines, op4_line_dedup, shingle_set
+from fiscalis.llm.lines import LineParams, band_keys, dedup_lines, jaccard_forest, line_forest, normal_lines, op4_line_dedup, shingle_set
 
 
 def similar(a, b):
@@ -177,3 +177,40 @@ def test_few_edges_take_few_rounds_and_many_tasks_lose_nothing(spark, monkeypatc
     assert {r.node: r.root for r in connected_components(edges).collect()} == want
     names = spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "y")], "u string, v string")
     assert {(r.node, r.root) for r in connected_components(names).collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}
+
+
+def test_groups_of_lines_are_verified_in_one_sort(monkeypatch):
+    """Random groups in several alphabets have the components of the definition; no line gets a set of its own."""
+    rng = random.Random(14)
+    asked = []
+    monkeypatch.setattr(lines, "shingle_set", lambda *a: asked.append(a) or shingle_set(*a))
+    for alphabet in ("abcdefgh ", "ab", "aé\xff\x00 ", "абвгд ", "語言模型学ab"):
+        for _ in range(60):
+            base = ["".join(rng.choices(alphabet, k=rng.randrange(6, 60))) for _ in range(3)]
+            group = []
+            for _ in range(rng.randrange(2, 12)):
+                x = list(rng.choice(base))
+                for _ in range(rng.randrange(3)):
+                    x[rng.randrange(len(x))] = rng.choice(alphabet)
+                group.append("".join(x) + rng.choice(alphabet) * rng.randrange(3))
+            sets = [{x[j : j + 6] for j in range(len(x) - 5)} for x in group]
+            up = list(range(len(group)))
+            for a in range(len(group)):
+                for b in range(a):
+                    if similar(sets[a], sets[b]):
+                        up = [up[b] if u == up[a] else u for u in up]
+            got = list(range(len(group)))
+            links = list(line_forest(group, LineParams()))
+            for a, b in links:
+                got = [got[b] if u == got[a] else u for u in got]
+            assert {(a, b) for a in range(len(up)) for b in range(a) if up[a] == up[b]} == {(a, b) for a in range(len(up)) for b in range(a) if got[a] == got[b]}
+            assert len(links) < len(group)
+    assert not asked
+    many = "".join(map(chr, range(0x4E00, 0x4E00 + 300)))
+    assert len(list(line_forest([many, many + "x", many + "y", "short"], LineParams()))) == 2 and asked
+
+
+def test_lines_in_the_compared_form_with_and_without_odd_spaces():
+    for text in ("a b  c\n x\ty ", "\x85 A\x1cB\r\n \u3000", "  ", "\n", " x\n\u200b y ", " \n a", ""):
+        assert normal_lines(text) == [" ".join(x.split()) for x in text.lower().split("\n")]
+    assert {chr(c) for c in range(0x110000) if chr(c).isspace()} == {*lines._SPACES, " ", "\n"}
