@@ -274,7 +274,12 @@ def _with_first(n: int, at: int, pairs: Iterable[tuple[int, int]]) -> tuple[list
 
 
 def bucket_edges(
-    members: DataFrame, payload: str, linker: Callable[[list], Iterable[tuple[int, int]]], block: int = 1024, label: str = "buckets"
+    members: DataFrame,
+    payload: str,
+    linker: Callable[[list], Iterable[tuple[int, int]]],
+    block: int = 1024,
+    label: str = "buckets",
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Verified links inside buckets: ``members (bucket long, id long, <payload>)`` -> spanning edges ``(u, v)``.
 
@@ -284,9 +289,15 @@ def bucket_edges(
     one another. The rows that are left meet all blocks, themselves in blocks, so every link is found, each group is
     bounded, and the groups of a hot bucket spread over the cluster. A bucket of n rows with r left is copied
     1 + r / block times, not n / block times.
+
+    Where the sizes are known, ``sizes (bucket, n)`` has those above 1, and the rows of ``members`` their bucket's ``n``.
     """
-    own = members.select("bucket", "id", F.col(payload).alias("payload"))
-    sizes = materialize(own.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), f"{label}-sizes")
+    own = members.select("bucket", "id", F.col(payload).alias("payload"), *(["n"] if sizes is not None else []))
+    if sizes is None:
+        sizes = materialize(own.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), f"{label}-sizes")
+        small = own.join(sizes.filter(F.col("n") <= block), "bucket")
+    else:
+        small, own = own.filter(F.col("n") <= block), own.drop("n")
     schema = fields("u long, v long, left boolean")
 
     def dealt(rows: DataFrame) -> DataFrame:
@@ -316,7 +327,7 @@ def bucket_edges(
                 yield batch(out)
 
     zero = F.lit(0)
-    small = own.join(sizes.filter(F.col("n") <= block), "bucket").withColumn("i", zero).withColumn("j", zero)
+    small = small.withColumn("i", zero).withColumn("j", zero)
     edges = dealt(small).mapInArrow(link, schema).select("u", "v")
     hot = sizes.filter(F.col("n") > block)
     if hot.isEmpty():

@@ -78,37 +78,73 @@ def _probes(p: LineParams) -> np.ndarray:
     return np.random.default_rng(p.seed).integers(0, p.bins, (4 * p.bins, p.bins))
 
 
+def _band_shingles(lines: list[str], size: int) -> np.ndarray:
+    """A hash for each position of the joined lines, of the ``size`` code points from there; past the end zeros follow.
+
+    The code points are bytes of one number; one beyond a byte counts as a hash of its own, in lines of any kind alike.
+    """
+    text = "".join(lines)
+    try:
+        if size > 8:
+            raise ValueError("more bytes than a number has")
+        raw = text.encode("latin-1")
+        h = np.ndarray(len(raw), "<u8", raw + bytes(8), 0, (1,)) << np.uint64(64 - 8 * size)
+    except ValueError:
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        wide = points > 255
+        points[wide] = _mixed(points[wide] * np.uint64(0x9E3779B97F4A7C15))
+        if size > 8:
+            h = rolling(np.append(points, np.zeros(size - 1, np.uint64)), size, 0x100000001B3)
+        else:
+            h = rolling(np.append(points, np.zeros(size - 1, np.uint64))[::-1], size, 256)[::-1] << np.uint64(64 - 8 * size)
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    return h
+
+
+_PIECE = 100_000
+
+
 def band_keys(lines: list[str], p: LineParams) -> np.ndarray:
     """``len(lines) x bands`` keys of 64 bits; equal shingle sets have equal keys."""
     n, k = len(lines), p.bins
-    sig = np.full(n * k, _EMPTY, np.uint64)
-    sizes = np.array([len(x) for x in lines])
-    flat = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    ends = np.cumsum(sizes)
-    if len(flat) >= p.shingle:
-        h = _line_shingles(flat, p.shingle)
-        inside = np.ones(len(flat), bool)
-        for back in range(1, p.shingle):  # what starts here goes on in the next line
-            inside[(ends - back)[sizes >= back]] = False
-        inside = inside[: len(h)]
-        h, at = h[inside], np.repeat(np.arange(n) * k, sizes)[: len(h)][inside]
-        np.minimum.at(sig, at + ((h >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(np.int64), h)
-    for i in np.flatnonzero((sizes < p.shingle) & (sizes > 0)).tolist():
-        h = _line_shingles(flat[ends[i] - sizes[i] : ends[i]], p.shingle)[0]
-        sig[i * k + (int(h) >> 32) * k // (1 << 32)] = h
-    row, col = np.divmod(np.flatnonzero(sig == _EMPTY), k)
-    own = sig.reshape(n, k)
+    sig = np.full(n * k + 1, _EMPTY, np.uint64)  # the last is for shingles that reach into the next line
+    every = np.array([len(x) for x in lines])
+    ends, at = np.cumsum(every), 0
+    while at < n:
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _PIECE, "right")))
+        sizes = every[at:end]
+        h = _band_shingles(lines[at:end], p.shingle)
+        to = (h >> np.uint64(32)) * np.uint64(k)
+        to >>= np.uint64(32)
+        to = to.view(np.int64)
+        to += np.repeat(np.arange(at, end) * k, sizes)
+        last = np.cumsum(sizes)
+        for back in range(1, p.shingle):
+            to[(last - back)[sizes >= back]] = n * k
+        short = np.flatnonzero((sizes < p.shingle) & (sizes > 0))
+        for i in short.tolist():  # one shingle, the whole line
+            own = _band_shingles(lines[at + i : at + i + 1], p.shingle)[0]
+            sig[(at + i) * k + (int(own) >> 32) * k // (1 << 32)] = own
+        np.minimum.at(sig, to, h)
+        at = end
+    own = sig[:-1]
+    empty = np.flatnonzero(own == _EMPTY)
+    col = empty % k
+    row = empty - col
     out = own.copy()
-    table = _probes(p)
-    for t in range(len(table)):
-        if not len(row):
+    for probe in _probes(p):
+        if not len(empty):
             break
-        got = own[row, table[t, col]]
+        got = own.take(row + probe.take(col))
         full = got != _EMPTY
-        out[row[full], col[full]] = got[full]
-        row, col = row[~full], col[~full]
-    if len(row):
-        out[row, col] = own.min(axis=1)[row]
+        out[empty[full]] = got[full]
+        left = ~full
+        empty, row, col = empty[left], row[left], col[left]
+    if len(empty):
+        out[empty] = own.reshape(n, k).min(axis=1)[row // k]
     keys = np.full((n, p.bands), np.uint64(p.seed))
     parts = out.reshape(n, p.bands, p.rows)
     for r in range(p.rows):
@@ -204,6 +240,36 @@ def _letters(lines: list[str]) -> bytes | None:
         return np.searchsorted(known, np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")).astype(np.uint8).tobytes()
 
 
+_PRODUCTS = 4_000_000_000
+
+
+def _common(dense: np.ndarray, line: np.ndarray, values: int, n: int) -> np.ndarray:
+    """How many of ``values`` each two of ``n`` lines have in common; ``dense`` ascending, the value of each entry."""
+    step = max(1, 4_000_000 // n)
+    out = np.zeros((n, n), np.float32)
+    for at in range(0, values, step):
+        i, j = np.searchsorted(dense, (at, at + step))
+        has = np.zeros((min(step, values - at), n), np.float32)
+        has[dense[i:j] - at, line[i:j]] = 1
+        out += has.T @ has  # whole numbers below 2 ** 24
+    return out
+
+
+def _spanning(common: np.ndarray, own: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
+    """Index pairs spanning the components of the sets of sizes ``own`` that reach the similarity."""
+    near = common >= similarity * (own[:, None] + own - common) - 1e-9
+    left = np.ones(len(own), bool)
+    while left.any():
+        front = [int(left.argmax())]
+        left[front] = False
+        while front:
+            at = front.pop()
+            found = np.flatnonzero(near[at] & left).tolist()
+            left[found] = False
+            front += found
+            yield from zip(repeat(at), found)
+
+
 def line_forest(lines: list[str], p: LineParams) -> Iterable[tuple[int, int]]:
     """:func:`jaccard_forest` of lines: their shingles as numbers that end in the line's, in one sort for all.
 
@@ -229,20 +295,28 @@ def line_forest(lines: list[str], p: LineParams) -> Iterable[tuple[int, int]]:
     every = every[inside]
     every.sort()
     every = every[np.append(True, every[1:] != every[:-1])]  # each line's shingles once
-    line = (every & np.uint64((1 << room) - 1)).astype(np.int64)
+    line = (every & np.uint64((1 << room) - 1)).astype(np.uint16)
     own = np.bincount(line, minlength=n)
     shingle = every >> np.uint64(room)
-    dense = np.cumsum(np.append(False, shingle[1:] != shingle[:-1]))
+    new = np.append(True, shingle[1:] != shingle[:-1])
+    shared = ~(new & np.append(new[1:], True))  # what a single line has tells nothing more
+    line, new = line[shared], new[shared]
+    starts = np.flatnonzero(new)
+    if n * n * len(starts) <= _PRODUCTS:
+        yield from _spanning(_common(np.cumsum(new) - 1, line, len(starts), n), own, p.similarity)
+        return
+    lengths = np.diff(np.append(starts, len(line)))
+    dense = (np.cumsum(new) - 1)[np.argsort(line, kind="stable")]
+    mine = np.split(dense, np.cumsum(np.bincount(line, minlength=n))[:-1])
     rest = np.arange(n)
-    member = np.zeros(dense[-1] + 1, bool)
     while len(rest):
         front, rest = [int(rest[0])], rest[1:]
         while front and len(rest):
             at = front.pop()
-            mine = dense[line == at]
-            member[mine] = True
-            common = np.bincount(line[member[dense]], minlength=n)[rest]
-            member[mine] = False
+            runs = lengths[mine[at]]  # the lines that have a shingle with this one, shingle by shingle
+            stop = np.cumsum(runs)
+            met = line[np.repeat(starts[mine[at]] - stop + runs, runs) + np.arange(stop[-1])] if len(runs) else line[:0]
+            common = np.bincount(met, minlength=n)[rest]
             near = common >= p.similarity * (own[rest] + own[at] - common) - 1e-9
             if near.any():
                 found = rest[near].tolist()
@@ -251,16 +325,31 @@ def line_forest(lines: list[str], p: LineParams) -> Iterable[tuple[int, int]]:
                 yield from zip(repeat(at), found)
 
 
+def _steps(a: np.ndarray) -> bytes:
+    """Ascending unsigned numbers as differences, each in as many bytes as the largest takes."""
+    d = np.diff(a, prepend=np.uint64(0)).astype("<u8")
+    width = max(1, (int(d.max()).bit_length() + 7) // 8)
+    return bytes([width]) + d.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unsteps(data: bytes) -> np.ndarray:
+    width = data[0]
+    d = np.zeros(((len(data) - 1) // width, 8), np.uint8)
+    d[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
+    return np.cumsum(d.view("<u8").ravel(), dtype=np.uint64)
+
+
 _LOCAL = -2_000_000
 _SENT = fields("dest long, a binary, b binary, c binary, d binary")
-_MET = fields("bucket long, lid long, n long, s long, a binary, b binary, c binary, d binary")
+_MET = fields("bucket long, lid long, a binary, b binary, c binary, d binary")
 
 
 def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
     """One pass over the texts, written: rows of two kinds.
 
-    ``bucket, lid, n, s``: a line that shares a band with others, the size and a checksum of the set of such lines.
-    Lines of a hot key have ``n = 0`` and may come twice. ``a, b, c, d``: packed ids of the lines of a chunk, each with its first document, position and text there. Keys
+    ``bucket, lid``: lines that share a band with others. A bucket is named by its least line, so what the bands of a
+    line find is one bucket, with each line once but for repeats among the rows; a hot key is a bucket of its own.
+    ``a, b, c, d``: packed ids of the lines of a chunk, each with its first document, position and text there. Keys
     travel as one sorted blob per chunk of lines and destination, so a line that is frequent is one entry per chunk.
     """
 
@@ -272,13 +361,13 @@ def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
         shift = np.uint64(64 - top)
         rows: dict[str, list] = {k: [] for k in ("dest", "a", "b", "c", "d")}
         for t, i in filled(keys >> shift):
-            for k, v in zip(rows, (t, pack_sorted(keys[i] - (np.uint64(t) << shift)), _planes(who[i]), pack_sorted(np.flatnonzero(hot[i])), b""), strict=True):
+            for k, v in zip(rows, (t, _steps(keys[i] - (np.uint64(t) << shift)), who[i].astype("<u8").tobytes(), pack_sorted(np.flatnonzero(hot[i])), b""), strict=True):
                 rows[k].append(v)
         return _batch(_SENT, **rows)
 
-    def gathered(held: list[dict], top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys, lines and hot marks of rows of one destination, by key."""
-        parts = [unpack_sorted(r["a"]) for r in held]
+    def gathered(held: list[dict], top: int, alone: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys, lines and hot marks of rows of one destination, by key; without ``alone`` of keys that come twice."""
+        parts = [_unsteps(r["a"]) for r in held]
         keys = np.concatenate(parts) + (np.uint64(held[0]["dest"]) << np.uint64(64 - top))
         hot = np.zeros(len(keys), bool)
         at = 0
@@ -287,7 +376,13 @@ def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
                 hot[at + unpack_sorted(r["c"]).astype(np.int64)] = True
             at += len(part)
         order = np.argsort(keys)
-        return keys[order], np.concatenate([_unplanes(r["b"], "<u8") for r in held])[order], hot[order]
+        keys = keys[order]
+        if not alone:
+            twin = np.zeros(len(keys) + 1, bool)
+            twin[1:-1] = keys[1:] == keys[:-1]
+            shared = twin[1:] | twin[:-1]
+            keys, order = keys[shared], order[shared]
+        return keys, np.concatenate([np.frombuffer(r["b"], "<u8") for r in held])[order], hot[order]
 
     def refine(done: int, way: int):
         top = done.bit_length() - 1
@@ -314,7 +409,7 @@ def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
             parts, at = [], 0
             while at < len(lines):
                 end, size = at, 0
-                while end < len(lines) and end - at < 8192 and (size < 100_000 or end == at):
+                while end < len(lines) and end - at < 4096 and (size < 1_000_000 or end == at):
                     size += len(lines[end])
                     end += 1
                 parts.append(band_keys(lines[at:end], p))
@@ -357,44 +452,37 @@ def line_bands(keyed: DataFrame, p: LineParams, buckets: int) -> DataFrame:
                 for a, b in zip(table.column("a"), table.column("b"), strict=True):
                     bucket, lid = _unplanes(a.as_py(), "<i8"), _unplanes(b.as_py(), "<i8")
                     none = [None] * len(bucket)
-                    yield _batch(_MET, bucket=bucket, lid=lid, n=np.zeros(len(bucket), np.int64), s=bucket, a=none, b=none, c=none, d=none)
+                    yield _batch(_MET, bucket=bucket, lid=lid, a=none, b=none, c=none, d=none)
                 continue
             if t < 0:
                 none = [None] * table.num_rows
-                yield _batch(_MET, bucket=none, lid=none, n=none, s=none, **{c: table.column(c).to_pylist() for c in "abcd"})
+                yield _batch(_MET, bucket=none, lid=none, **{c: table.column(c).to_pylist() for c in "abcd"})
                 continue
-            keys, who, hot = gathered(table.to_pylist(), sum(bits))
-            twin = np.zeros(len(keys) + 1, bool)
-            twin[1:-1] = keys[1:] == keys[:-1]
-            shared = twin[1:] | twin[:-1]
-            keys, who, hot = keys[shared], who[shared], hot[shared]
+            keys, who, hot = gathered(table.to_pylist(), sum(bits), alone=False)
             if not len(keys):
                 continue
             order = np.lexsort((who, keys))
             keys, who, hot = keys[order], who[order], hot[order]
-            hot = np.maximum.reduceat(hot, np.flatnonzero(np.append(True, keys[1:] != keys[:-1])))
-            fresh = np.ones(len(keys), bool)
-            fresh[1:] = (keys[1:] != keys[:-1]) | (who[1:] != who[:-1])
-            keys, who = keys[fresh], who[fresh]
-            new = np.ones(len(keys), bool)
-            new[1:] = keys[1:] != keys[:-1]
-            starts = np.flatnonzero(new)
+            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             n = np.diff(np.append(starts, len(keys)))
-            s = np.add.reduceat(_mixed(who), starts)
-            # a hot key's lines are spread: it has no checksum and stands for itself
-            s, told = np.where(hot, keys[starts], s), np.where(hot, 0, n)
-            each = np.repeat(np.arange(len(starts)), n)
-            many = n[each] > 1
-            bucket = keys.view(np.int64)[many]
-            none = [None] * len(bucket)
-            yield _batch(_MET, bucket=bucket, lid=who[many].view(np.int64), n=told[each][many], s=s[each][many].view(np.int64), a=none, b=none, c=none, d=none)
+            # the least line stands for a bucket; a hot key's lines are spread, so it stands for itself
+            bucket = np.repeat(np.where(np.maximum.reduceat(hot, starts), keys[starts], who[starts]), n)
+            many = np.repeat(who[starts] != who[starts + n - 1], n)
+            bucket, who = bucket[many], who[many]
+            order = np.lexsort((who, bucket))
+            bucket, who = bucket[order], who[order]
+            fresh = np.ones(len(who), bool)
+            fresh[1:] = (bucket[1:] != bucket[:-1]) | (who[1:] != who[:-1])
+            bucket, who = bucket[fresh], who[fresh]
+            none = [None] * len(who)
+            yield _batch(_MET, bucket=bucket.view(np.int64), lid=who.view(np.int64), a=none, b=none, c=none, d=none)
 
     sent = merge_rounds(keyed.select("dk", "tkey", "text").mapInArrow(sign, _SENT), ways, refine).repartition("dest").sortWithinPartitions("dest")
     return materialize(sent.mapInArrow(meet, _MET), "line-bands")
 
 
-def first_places(met: DataFrame) -> DataFrame:
-    """``(lid, dk, pos, tkey)``: the first place of every distinct line, from what :func:`line_bands` wrote."""
+def chunk_places(met: DataFrame) -> DataFrame:
+    """``(lid, dk, pos, tkey)``: the first place of a line in each chunk that has it, from what :func:`line_bands` wrote."""
     schema = fields("lid long, dk long, pos int, tkey long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,27 +490,36 @@ def first_places(met: DataFrame) -> DataFrame:
             for a, b, c, d in zip(*(batch.column(i) for i in range(4)), strict=True):
                 yield _batch(schema, lid=_unplanes(a.as_py(), "<i8"), dk=_unplanes(b.as_py(), "<i8"), pos=_unplanes(c.as_py(), "<i4"), tkey=_unplanes(d.as_py(), "<i8"))
 
-    every = met.filter("a is not null").select("a", "b", "c", "d").mapInArrow(run, schema)
-    return every.groupBy("lid").agg(F.min(F.struct("dk", "pos", "tkey")).alias("at")).select("lid", "at.dk", "at.pos", "at.tkey")
+    return met.filter("a is not null").select("a", "b", "c", "d").mapInArrow(run, schema)
 
 
 def line_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(lid, line)`` of the places in ``wanted (dk, pos, tkey)``; the lines come from their first documents only."""
+    """``(lid, line)`` of the places in ``wanted (dk, pos, tkey)``; the lines come from their first documents only.
+
+    Rows that repeat an id with the same text meet in a task, which reads the first of them; more than one only if the
+    join is split for skew.
+    """
     schema = fields("lid long, line string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[tuple[int, int]] = set()
         for batch in batches:
             lid, out = [], []
-            for text, places in zip(batch.column(0), batch.column(1), strict=True):
-                lines = text.as_py().decode("utf-8", "replace").lower().split("\n")
+            for dk, tkey, text, places in zip(*(batch.column(i) for i in range(4)), strict=True):
+                own = (dk.as_py(), tkey.as_py())
+                if own in done:
+                    continue
+                done.add(own)
+                lines = text.as_py().decode("utf-8", "replace").split("\n")
                 for i in places.as_py():
-                    line = " ".join(lines[i].split())
+                    line = " ".join(lines[i].lower().split())
                     lid.append(line_id(line))
                     out.append(line)
             yield _batch(schema, lid=np.array(lid, np.uint64).view(np.int64), line=out)
 
     per_text = wanted.groupBy("dk", "tkey").agg(F.collect_list("pos").alias("places"))
-    return keyed.join(per_text, ["dk", "tkey"]).select("text", "places").mapInArrow(run, schema)
+    # the short side is hashed, so that texts are not sorted
+    return keyed.join(per_text.hint("shuffle_hash"), ["dk", "tkey"]).select("dk", "tkey", "text", "places").mapInArrow(run, schema)
 
 
 def kept_lines(docs: DataFrame, p: LineParams = LineParams()) -> tuple[DataFrame, DataFrame]:
@@ -430,21 +527,19 @@ def kept_lines(docs: DataFrame, p: LineParams = LineParams()) -> tuple[DataFrame
     keyed = _keyed(docs)
     buckets = max(4, 4 * keyed.rdd.getNumPartitions())
     met = line_bands(keyed, p, buckets)
-    first = materialize(first_places(met), "line-places")
-    several = met.filter("bucket is not null")
-    chosen = several.filter("n > 0").groupBy("n", "s").agg(F.min("bucket").alias("bucket")).select("bucket")
-    plain = several.filter("n > 0").join(chosen, "bucket", "left_semi").select("bucket", "lid")
-    members = materialize(plain.unionByName(several.filter("n = 0").select("bucket", "lid").distinct()), "line-members")
-    wanted = first.join(members.select("lid").distinct(), "lid", "left_semi").select("dk", "pos", "tkey")
-    texts = materialize(line_texts(keyed, wanted), "line-texts").dropDuplicates(["lid"])
-    paired = members.join(texts, "lid").select("bucket", F.col("lid").alias("id"), "line")
+    places = materialize(chunk_places(met), "line-places")
+    pairs = materialize(met.filter("bucket is not null").select("bucket", "lid").distinct(), "line-pairs")
+    sizes = materialize(pairs.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "line-sizes")
+    members = pairs.join(sizes, "bucket").select("bucket", F.col("lid").alias("id"), "n")
+    first = places.join(pairs.select("lid").distinct().hint("shuffle_hash"), "lid", "left_semi").groupBy("lid").agg(F.min(F.struct("dk", "pos", "tkey")).alias("at"))
+    texts = materialize(line_texts(keyed, first.select("at.dk", "at.pos", "at.tkey")), "line-texts").withColumnRenamed("lid", "id")
 
     def linker(payload: list):
         return line_forest(payload, p)
 
-    edges = bucket_edges(paired, "line", linker, block=512)
+    edges = bucket_edges(members.join(texts, "id"), "line", linker, sizes=sizes)
     roots = connected_components(edges, "line-cc").select(F.col("node").alias("lid"), "root")
-    owned = first.join(roots, "lid", "left").groupBy(F.coalesce("root", "lid").alias("root")).agg(F.min(F.struct("dk", "pos", "tkey")).alias("at"))
+    owned = places.join(roots.hint("shuffle_hash"), "lid", "left").groupBy(F.coalesce("root", "lid").alias("root")).agg(F.min(F.struct("dk", "pos", "tkey")).alias("at"))
     kept = owned.groupBy(F.col("at.dk").alias("dk"), F.col("at.tkey").alias("tkey")).agg(F.collect_list("at.pos").alias("kept"))
     return keyed, materialize(kept, "line-kept")
 
@@ -460,7 +555,7 @@ def dedup_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     _, kept = kept_lines(docs, p)
     keep = [c for c in docs.columns if c.lower() not in ("n_lines", "n_kept")]
     dk, tkey, stays = (fresh([*keep, "n_lines", "n_kept"], c) for c in ("dk", "tkey", "stays"))
-    own = _keyed(docs.select(*[F.col(f"`{c}`") for c in keep]), carry=(dk, tkey)).join(kept.toDF(dk, tkey, stays), [dk, tkey], "left")
+    own = _keyed(docs.select(*[F.col(f"`{c}`") for c in keep]), carry=(dk, tkey)).join(kept.toDF(dk, tkey, stays).hint("shuffle_hash"), [dk, tkey], "left")
     at, n_at = place(keep, "text"), len(keep)
     own = own.withColumn(keep[at], F.col(f"`{keep[at]}`").cast("string"))
     out = own.select(*[F.col(f"`{c}`") for c in keep], F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_kept"), stays)
@@ -468,18 +563,22 @@ def dedup_lines(docs: DataFrame, p: LineParams = LineParams()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m, texts = [], [], []
-            for text, kept_at in zip(batch.column(at), batch.column(n_at + 2), strict=True):
-                text = text.as_py()
-                lines = text.split("\n") if text else []
-                stay = set(kept_at.as_py() or ())
-                left = [x for i, x in enumerate(lines) if i in stay or not x.strip()]
-                if not stay and any(x.strip() for x in lines):
-                    left = []
+            held = batch.column(n_at + 2)
+            ends, places = held.offsets.to_pylist(), held.values.to_pylist()
+            for text, start, end in zip(batch.column(at).cast(pa.binary()).to_pylist(), ends, ends[1:], strict=False):
+                lines = text.split(b"\n") if text else []
+                left = lines
+                if end - start < len(lines):
+                    stay = set(places[start:end])
+                    whole = [i in stay or not x or not x.decode("utf-8", "replace").strip() for i, x in enumerate(lines)]
+                    left = [x for x, own in zip(lines, whole, strict=True) if own]
+                    if not stay and len(left) < len(lines):
+                        left = []
                 n.append(len(lines))
                 m.append(len(left))
-                texts.append(None if text is None else "\n".join(left))
+                texts.append(text if left is lines else b"\n".join(left))
             cols = [batch.column(i) for i in range(n_at)] + [pa.array(n, pa.int64()), pa.array(m, pa.int64())]
-            cols[at] = pa.array(texts, pa.string())
+            cols[at] = pa.array(texts, pa.binary()).view(pa.string())
             yield pa.RecordBatch.from_arrays(cols, batch.schema.names[: n_at + 2])
 
     return out.mapInArrow(run, out.drop(stays).schema)

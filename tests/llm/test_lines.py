@@ -214,3 +214,65 @@ def test_lines_in_the_compared_form_with_and_without_odd_spaces():
     for text in ("a b  c\n x\ty ", "\x85 A\x1cB\r\n \u3000", "  ", "\n", " x\n\u200b y ", " \n a", ""):
         assert normal_lines(text) == [" ".join(x.split()) for x in text.lower().split("\n")]
     assert {chr(c) for c in range(0x110000) if chr(c).isspace()} == {*lines._SPACES, " ", "\n"}
+
+
+def test_lines_that_meet_in_differing_company_are_verified_in_few_groups(spark, monkeypatch):
+    """What the bands of a line find is one group, not one for each set of lines; the same lines stay."""
+    rng = random.Random(21)
+    base = ["".join(rng.choices("abcdefgh ", k=90)) for _ in range(12)]
+    docs = []
+    for i in range(240):
+        x = list(base[i % 12])
+        for _ in range(3):
+            x[rng.randrange(90)] = rng.choice("xyz")
+        docs.append((i, "".join(x)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = []
+    monkeypatch.setattr(lines, "bucket_edges", lambda members, *a, f=bucket_edges, **b: rows.append(members.count()) or f(members, *a, **b))
+    got = sorted((r.doc_id, r.n_lines, r.n_kept, r.text) for r in dedup_lines(df).collect())
+    assert got == sorted(plain(docs))
+    keys = band_keys([t for _, t in docs], LineParams())
+    found = {}
+    for i, own in enumerate(keys.tolist()):
+        for k in own:
+            found.setdefault(k, set()).add(i)
+    assert 0 < rows[0] < 0.8 * sum(map(len, {frozenset(x) for x in found.values() if len(x) > 1}))
+
+
+def test_large_groups_by_counts_and_by_search_agree(monkeypatch):
+    rng = random.Random(22)
+    base = ["".join(rng.choices("abcdefgh ", k=50)) for _ in range(20)]
+    group = [x[: rng.randrange(42, 51)] + rng.choice("xyz") for x in base for _ in range(12)]
+    rng.shuffle(group)
+
+    def parts():
+        up = list(range(len(group)))
+        links = list(line_forest(group, LineParams()))
+        for a, b in links:
+            up = [up[b] if u == up[a] else u for u in up]
+        return [up.index(u) for u in up], len(links)
+
+    by_counts = parts()
+    monkeypatch.setattr(lines, "_PRODUCTS", 0)
+    assert parts() == by_counts and len(set(by_counts[0])) == len(group) - by_counts[1]
+    monkeypatch.setattr(lines, "_PRODUCTS", 1 << 60)
+    assert lines._common(np.repeat(np.arange(3), 2), np.array([0, 1, 0, 1, 1, 2]), 3, 3).tolist() == [[2, 2, 0], [2, 3, 1], [0, 1, 1]]
+
+
+def test_shingles_hash_alike_in_lines_of_bytes_and_of_wider_letters():
+    for size in (1, 3, 6, 8, 9):
+        p = LineParams(shingle=size)
+        narrow = ["h\u00e9llo w\u00f6rld, this is a line", "ab", "", "\xff" * 20, "x"]
+        alone = band_keys(narrow, p)
+        assert (alone == band_keys([*narrow, "\u8a9e\u8a00\u6a21\u578b\u5b66\u4e60\u5f88\u6709\u610f\u601d"], p)[: len(narrow)]).all()
+        assert all((band_keys([x], p) == alone[i]).all() for i, x in enumerate(narrow))
+    deltas = np.array([3, 3, 70_000, 1 << 40, (1 << 63) + 5], np.uint64)
+    for k in range(1, 6):
+        assert (lines._unsteps(lines._steps(deltas[:k])) == deltas[:k]).all()
+
+
+def test_output_of_bytes_odd_blanks_and_a_repeated_id(spark):
+    docs = [(1, "one line here\n\u00a0\n\u3000\none line here\n"), (2, "one line here"), (3, "\u00e9t\u00e9\n\u00c9T\u00c9\nother"), (3, "\u00e9t\u00e9\n\u00c9T\u00c9\nother"), (4, "\n\n")]
+    got = sorted((r.doc_id, r.n_lines, r.n_kept, r.text) for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    twice = (3, 3, 2, "\u00e9t\u00e9\nother")
+    assert got == [(1, 5, 4, "one line here\n\u00a0\n\u3000\n"), (2, 1, 0, ""), twice, twice, (4, 3, 3, "\n\n")]
