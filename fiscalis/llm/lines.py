@@ -246,12 +246,12 @@ _PRODUCTS = 4_000_000_000
 def _common(dense: np.ndarray, line: np.ndarray, values: int, n: int) -> np.ndarray:
     """How many of ``values`` each two of ``n`` lines have in common; ``dense`` ascending, the value of each entry."""
     step = max(1, 4_000_000 // n)
-    out = np.zeros((n, n), np.float32)
+    out = np.zeros((n, n))
     for at in range(0, values, step):
         i, j = np.searchsorted(dense, (at, at + step))
         has = np.zeros((min(step, values - at), n), np.float32)
         has[dense[i:j] - at, line[i:j]] = 1
-        out += has.T @ has  # whole numbers below 2 ** 24
+        out += has.T @ has  # whole numbers below 2 ** 24 each time
     return out
 
 
@@ -295,7 +295,7 @@ def line_forest(lines: list[str], p: LineParams) -> Iterable[tuple[int, int]]:
     every = every[inside]
     every.sort()
     every = every[np.append(True, every[1:] != every[:-1])]  # each line's shingles once
-    line = (every & np.uint64((1 << room) - 1)).astype(np.uint16)
+    line = (every & np.uint64((1 << room) - 1)).astype(np.uint16 if n <= 1 << 16 else np.int64)
     own = np.bincount(line, minlength=n)
     shingle = every >> np.uint64(room)
     new = np.append(True, shingle[1:] != shingle[:-1])

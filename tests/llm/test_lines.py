@@ -276,3 +276,8 @@ def test_output_of_bytes_odd_blanks_and_a_repeated_id(spark):
     got = sorted((r.doc_id, r.n_lines, r.n_kept, r.text) for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect())
     twice = (3, 3, 2, "\u00e9t\u00e9\nother")
     assert got == [(1, 5, 4, "one line here\n\u00a0\n\u3000\n"), (2, 1, 0, ""), twice, twice, (4, 3, 3, "\n\n")]
+
+
+def test_more_lines_than_two_bytes_number():
+    links = list(line_forest(["abcdef", *["ghijkl"] * 70_000], LineParams(shingle=2)))
+    assert len(links) == 69_999 and {b for _, b in links} == set(range(2, 70_001))
