@@ -174,9 +174,13 @@ def link_cases(cases: DataFrame, reparos: DataFrame) -> DataFrame:
     return out.withColumn("match_status", F.when(F.col("candidate_reparo_ids").isNull(), "UNLINKED").otherwise("CANDIDATE_REPARO_LINK"))
 
 
+#: A day as the header of a column names it.
+HEADER_DAY = r"\((\d{2}/\d{2})\)"
+
+
 def header_dates(headers: Column) -> Column:
     """Days ``(dd/mm)`` of a table's headers; of sixteen and more, which stand in pairs, every other; eight at most."""
-    found = F.filter(F.transform(headers, lambda x: F.regexp_extract(x, r"\((\d{2}/\d{2})\)", 1)), lambda x: x != "")
+    found = F.filter(F.transform(headers, lambda x: F.regexp_extract(x, HEADER_DAY, 1)), lambda x: x != "")
     single = F.filter(found, lambda x, i: i % 2 == 0)
     return F.slice(F.when(F.size(found) >= 16, single).otherwise(found), 1, 8)
 
@@ -185,17 +189,23 @@ def municipal_snapshot(cells: DataFrame, day: str) -> DataFrame:
     """Indicators from ``cells (page, table, row, cell, is_header, text)``.
 
     The table with most rows (the first of equals); rows of ten data cells and more that name commune and region; eight
-    columns melted, each with the day that its header names.
+    columns melted, each with the day that its header names. All is told within a page by windows, after one shuffle:
+    nothing is joined, so nothing that grows with the pages is broadcast.
     """
     if "is_header" not in cells.columns:
         cells = cells.withColumn("is_header", F.lit(False))
-    sizes = cells.groupBy("page", "table").agg(F.countDistinct("row").alias("n"))
-    largest = sizes.groupBy("page").agg(F.min(F.struct((-F.col("n")).alias("n"), "table")).alias("t")).select("page", F.col("t.table").alias("table"))
-    own = cells.join(largest, ["page", "table"])
-    data, head = ~F.coalesce(F.col("is_header"), F.lit(False)), F.coalesce(F.col("is_header"), F.lit(False))
-    dates = own.filter(head).groupBy("page").agg(F.array_sort(F.collect_list(F.struct("row", "cell", "text"))).alias("h"))
-    dates = dates.select("page", header_dates(F.transform("h", lambda x: x["text"])).alias("dates"))
-    rows = own.filter(data).groupBy("page", "row").agg(F.array_sort(F.collect_list(F.struct("cell", "text"))).alias("c")).filter(F.size("c") >= 10).join(dates, "page", "left")
+    head, pair = F.coalesce(F.col("is_header"), F.lit(False)), F.struct("cell", "text")
+    listed = lambda x: F.array_sort(F.collect_list(x))
+    lines = cells.filter("page is not null and table is not null").repartition("page").groupBy("page", "table", "row")
+    lines = lines.agg(listed(F.when(~head, pair)).alias("c"), listed(F.when(head & F.col("text").rlike(HEADER_DAY), pair)).alias("h"))
+    table, page = Window.partitionBy("page", "table"), Window.partitionBy("page")
+    lines = lines.withColumn("n", F.count("row").over(table)).withColumn("__best", F.min(F.struct((-F.col("n")).alias("n"), "table")).over(page))
+    own = lines.filter(F.col("table") == F.col("__best.table")).withColumn("h", F.slice(F.transform("h", lambda x: F.regexp_substr(x["text"], F.lit(HEADER_DAY))), 1, 16))
+    # sixteen days tell all that is read of the headers, so no line carries more of its page
+    before = F.coalesce(F.sum(F.size("h")).over(page.orderBy("row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = own.withColumn("__first", F.when((before < 16) & (F.size("h") > 0), F.struct("row", "h")))
+    own = own.withColumn("__first", F.array_sort(F.collect_list("__first").over(page))).filter(F.size("c") >= 10)
+    rows = own.select("c", header_dates(F.flatten(F.transform("__first", lambda x: x["h"]))).alias("dates"))
     day_of = lambda i: F.coalesce(F.get("dates", F.lit(i)), F.lit(""))
     melted = F.array(*[F.struct(F.lit(code).alias("indicator_code"), F.lit(label).alias("indicator_label"), day_of(i).alias("indicator_as_of_ddmm"), F.col("c")[i + 2]["text"].alias("raw_value")) for i, (code, label) in enumerate(T.INDICATORS)])
     out = rows.select(F.col("c")[0]["text"].alias("commune"), F.col("c")[1]["text"].alias("region"), F.explode_outer(melted).alias("m")).select("commune", "region", "m.*")
