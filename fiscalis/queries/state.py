@@ -71,7 +71,8 @@ def _registry(spark, sf):
 @query("registry_sync_full_outer", f"select coalesce(k.registry_id, s.registry_id) as registry_id, coalesce(k.channel, 'NEWS') as channel, coalesce(k.first_seen, '2021') as first_seen, case when s.registry_id is null then '2020' else '2021' end as last_seen, coalesce(k.status, 'DISCOVERED') as status from (select distinct * from ({_KNOWN})) k full join (select distinct * from ({_SEEN})) s on k.registry_id = s.registry_id")
 def registry_sync_full_outer(spark, sf):
     known, found = _registry(spark, sf)
-    return queues.sync_registry(known, found, "registry_id", "NEWS", "2021").select("registry_id", "channel", "first_seen", "last_seen", "status")
+    out = queues.sync_registry(known, found, "registry_id", "NEWS", "2021").select("registry_id", "channel", "first_seen", "last_seen", "status")
+    return out.distinct()  # pages of one url may differ in their attempts alone
 
 
 @query("queue_priority_batch", "select page_id from pages where (page_id % 4) < 4 and page_id % 3 <> 0 order by case page_id % 5 when 0 then 0 when 1 then 1 when 2 then 2 when 3 then 3 else 9 end, url, page_id limit 40")

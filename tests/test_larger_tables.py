@@ -57,3 +57,9 @@ def equals_sql(spark, folder, name):
 @pytest.mark.parametrize("name", ["registered_hashes", "searched_hashes", "synced_documents"])
 def test_pages_that_share_a_url_are_rows_of_their_own(spark, repeated, name):
     equals_sql(spark, repeated, name)
+
+
+def test_registry_keeps_every_state_of_a_url(spark, tmp_path):
+    rows = [(i, f"https://h/{i % 7}", "") for i in range(30)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    equals_sql(spark, str(tmp_path), "registry_sync_full_outer")
